@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from gantry.llm.packing import op2_packing
 from gantry.llm.quality import op10_quality_rules
 from gantry.llm.sentencepieces import op1_sentencepiece
 
-QUERIES = {"op1_sentencepiece": op1_sentencepiece, "op10_quality_rules": op10_quality_rules}
+QUERIES = {"op1_sentencepiece": op1_sentencepiece, "op2_packing": op2_packing, "op10_quality_rules": op10_quality_rules}
 
 SQL: dict[str, str] = {}
