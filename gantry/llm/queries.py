@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from gantry.llm.language import op7_language_id
+from gantry.llm.media import op6_media_columns
 from gantry.llm.packing import op2_packing
 from gantry.llm.quality import op10_quality_rules
 from gantry.llm.sentencepieces import op1_sentencepiece
 
-QUERIES = {"op1_sentencepiece": op1_sentencepiece, "op2_packing": op2_packing, "op7_language_id": op7_language_id, "op10_quality_rules": op10_quality_rules}
+QUERIES = {"op1_sentencepiece": op1_sentencepiece, "op2_packing": op2_packing, "op6_media_columns": op6_media_columns, "op7_language_id": op7_language_id, "op10_quality_rules": op10_quality_rules}
 
 SQL: dict[str, str] = {}
