@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from gantry.llm.ctw import op9_context_tree
 from gantry.llm.language import op7_language_id
 from gantry.llm.media import op6_media_columns
 from gantry.llm.neardup import op5_near_duplicates
@@ -10,6 +11,6 @@ from gantry.llm.quality import op10_quality_rules
 from gantry.llm.repeats import op8_repeated_passages
 from gantry.llm.sentencepieces import op1_sentencepiece
 
-QUERIES = {"op1_sentencepiece": op1_sentencepiece, "op2_packing": op2_packing, "op5_near_duplicates": op5_near_duplicates, "op6_media_columns": op6_media_columns, "op7_language_id": op7_language_id, "op8_repeated_passages": op8_repeated_passages, "op10_quality_rules": op10_quality_rules}
+QUERIES = {"op1_sentencepiece": op1_sentencepiece, "op2_packing": op2_packing, "op5_near_duplicates": op5_near_duplicates, "op6_media_columns": op6_media_columns, "op7_language_id": op7_language_id, "op8_repeated_passages": op8_repeated_passages, "op9_context_tree": op9_context_tree, "op10_quality_rules": op10_quality_rules}
 
 SQL: dict[str, str] = {}
