@@ -13,6 +13,7 @@ left out of the token table and may have any names.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -31,11 +32,41 @@ DIMENSIONS, BITS = 4, 12
 CACHE = 250_000
 #: White space as the byte-level pre-tokenizer's pattern has it. No pre-token holds white space after another character.
 _WS = "\t-\r \x85\xa0  -     　"
+_SPACES = frozenset(c for c in map(chr, range(0x3001)) if re.match(f"[{_WS}]", c))
 CHUNK = re.compile(f"[{_WS}]*[^{_WS}]+|[{_WS}]+")
 
 
+#: Fixed value: the pattern of byte-level pre-tokenization.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+
+def byte_characters() -> dict[str, int]:
+    """The character that byte-level vocabularies write for each byte: itself if printable, else the next free one from 256."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    free = iter(range(256, 512))
+    return {chr(b if b in plain else next(free)): b for b in range(256)}
+
+
+def merge_ranks(file: str) -> dict[bytes, int] | None:
+    """Bytes to id of a tokenizer file in which ids rise in the order of merges, so that the id is the rank; else None."""
+    with open(file, encoding="utf-8") as f:
+        whole = json.load(f)
+    model, split = whole["model"], whole.get("pre_tokenizer") or {}
+    if model["type"] != "BPE" or whole.get("normalizer") or split.get("type") != "ByteLevel" or split.get("add_prefix_space", True) or not split.get("use_regex", True):
+        return None
+    special = {x["content"] for x in whole.get("added_tokens", ())}
+    byte = byte_characters()
+    made = [model["vocab"]["".join(m.split(" ") if isinstance(m, str) else m)] for m in model["merges"]]
+    ranks = {bytes(byte[c] for c in t): i for t, i in model["vocab"].items() if t not in special}
+    return ranks if made == sorted(set(made)) and len(ranks) == 256 + len(made) and len([t for t in ranks if len(t) == 1]) == 256 else None
+
+
 class ChunkTokenizer:
-    """A byte-level BPE tokenizer file, applied to whole texts by chunks that are cached."""
+    """A byte-level BPE tokenizer file, applied to whole texts by chunks that are cached.
+
+    New chunks go to the merge loop for vocabularies of ranks where the file's ids are ranks (the ids are the same, without the other
+    library's alignments), else to the tokenizer itself.
+    """
 
     def __init__(self, file: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -47,6 +78,29 @@ class ChunkTokenizer:
         self.dtype = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.ranked = None
+        if ranks := merge_ranks(file):
+            import tiktoken
+
+            self.ranked = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+            self.widths = np.zeros(self.size, np.int64)
+            self.widths[list(ranks.values())] = [len(t) for t in ranks]
+
+    def _learn(self, chunks: list[str]) -> None:
+        """Chunks that follow each other where each begins with white space are encoded as one text and taken apart by their bytes."""
+        if self.ranked is None:
+            for c, e in zip(chunks, self.tokenizer.encode_batch(chunks, add_special_tokens=False)):
+                self.known[c] = np.array(e.ids, self.dtype).tobytes()
+            return
+        chain = [c for c in chunks if c[0] in _SPACES and c[-1] not in _SPACES]
+        for c in set(chunks).difference(chain):
+            self.known[c] = np.array(self.ranked.encode_ordinary(c), self.dtype).tobytes()
+        ids = np.array(self.ranked.encode_ordinary("".join(chain)), np.int64)
+        ends = np.searchsorted(np.cumsum(self.widths[ids]), np.cumsum([len(c.encode()) for c in chain]), side="left") + 1
+        packed, width, at = ids.astype(self.dtype).tobytes(), self.dtype.itemsize, 0
+        for c, end in zip(chain, ends.tolist()):
+            self.known[c] = packed[at * width : end * width]
+            at = end
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Packed ids of each text, in ``dtype``."""
@@ -55,17 +109,14 @@ class ChunkTokenizer:
         if len(known) >= CACHE:
             self.older = older = dict(known)
             known.clear()
-        missing = {c for parts in chunks for c in parts if c not in known}
         new = []
-        for c in missing:
+        for c in set().union(*chunks).difference(known):
             if (packed := older.get(c)) is not None:
                 known[c] = packed
             else:
                 new.append(c)
-        for i in range(0, len(new), 10_000):
-            part = new[i : i + 10_000]
-            for c, e in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False)):
-                known[c] = np.array(e.ids, self.dtype).tobytes()
+        for i in range(0, len(new), 20_000):
+            self._learn(new[i : i + 20_000])
         return [b"".join(map(known.__getitem__, parts)) for parts in chunks]
 
 
