@@ -1,16 +1,58 @@
-"""The corpus pipeline: language ID, quality rules, near-dedup, repeated passages, packing."""
+"""The corpus pipeline: language ID, quality rules, near-dedup, repeated passages, packing.
+
+STAGES lists (name, function); each function takes (spark, docs, sf_dir) and returns a DataFrame. All but the last return
+the columns of documents. SQL can't express the stages' tokenizers and models, so there is no ORACLE_SQL; the tests
+hold the result against a brute-force version.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from gantry.llm import language, neardup, packing, quality, repeats
+from gantry.llm.shared import written
+
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which a language is found; those without text or a letter go."""
+    found = language.identify(docs, language.training_texts(docs))
+    return found.filter(F.col("lang_pred") != language.UNKNOWN).select(*docs.columns)
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the rules and their posterior keep."""
+    judged = written(quality.judge(docs.select("doc_id", "text", F.xxhash64("text").alias("h"))).select("doc_id", "h", "kept"), "judged")
+    bad = judged.filter(~F.col("kept")).select(F.col("doc_id").alias("_id"), F.col("h").alias("_h")).distinct()
+    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_id"]) & (F.xxhash64(docs["text"]) == bad["_h"]), "left_anti")
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document of each group of near-duplicates: five-word shingles, similarity of 0.8 or more."""
+    return neardup.keep_first(docs)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages that one of a smaller doc_id has too."""
+    return repeats.without_repeats(docs).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of sequences of 1024 tokens, along the Hilbert curve."""
+    return packing.packed_digests(docs, TOKENIZER)
+
+
+STAGES = [("language_id", language_id), ("quality_rules", quality_rules), ("near_dedup", near_dedup), ("repeated_passages", repeated_passages), ("packing", pack)]
 
-STAGES: list = []
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents table, without the files between them."""
+    """All stages over the documents table."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -37,18 +37,23 @@ def _vote(good: Column, bad: Column) -> Column:
     return F.when(bad, -1).when(good, 1).otherwise(0)
 
 
-#: Name to vote. Bounds are on whole-text statistics; between good and bad a rule abstains.
-RULES = {
-    "length": _vote(F.col("n_words") >= 50, F.col("n_words") < 20),
-    "repeats": _vote(100 * F.col("n_repeat_words") <= 5 * F.col("n_words"), 100 * F.col("n_repeat_words") > 30 * F.col("n_words")),
-    "symbols": _vote(_ratio("n_symbols", "n_words") <= 0.02, _ratio("n_symbols", "n_words") > 0.1),
-    "word_length": _vote(_ratio("word_chars", "n_words").between(3, 9), ~_ratio("word_chars", "n_words").between(2, 14)),
-    "lines": _vote(_ratio("n_dup_lines", "n_lines") <= 0.05, _ratio("n_dup_lines", "n_lines") > 0.3),
-    "letters": _vote(_ratio("n_letters", "word_chars") >= 0.85, _ratio("n_letters", "word_chars") < 0.6),
-    "capitals": _vote(_ratio("n_upper", "n_letters") <= 0.15, _ratio("n_upper", "n_letters") > 0.4),
-    "tables": _vote(F.col("n_bars") == 0, _ratio("n_bars", "n_words") > 0.1),
-    "shouting": _vote(_ratio("n_bangs", "n_words") <= 0.02, _ratio("n_bangs", "n_words") > 0.2),
-}
+#: The rules, in the order of ``votes``.
+RULES = ("length", "repeats", "symbols", "word_length", "lines", "letters", "capitals", "tables", "shouting")
+
+
+def votes() -> dict[str, Column]:
+    """Rule to vote. Bounds are on whole-text statistics; between good and bad a rule abstains."""
+    return {
+        "length": _vote(F.col("n_words") >= 50, F.col("n_words") < 20),
+        "repeats": _vote(100 * F.col("n_repeat_words") <= 5 * F.col("n_words"), 100 * F.col("n_repeat_words") > 30 * F.col("n_words")),
+        "symbols": _vote(_ratio("n_symbols", "n_words") <= 0.02, _ratio("n_symbols", "n_words") > 0.1),
+        "word_length": _vote(_ratio("word_chars", "n_words").between(3, 9), ~_ratio("word_chars", "n_words").between(2, 14)),
+        "lines": _vote(_ratio("n_dup_lines", "n_lines") <= 0.05, _ratio("n_dup_lines", "n_lines") > 0.3),
+        "letters": _vote(_ratio("n_letters", "word_chars") >= 0.85, _ratio("n_letters", "word_chars") < 0.6),
+        "capitals": _vote(_ratio("n_upper", "n_letters") <= 0.15, _ratio("n_upper", "n_letters") > 0.4),
+        "tables": _vote(F.col("n_bars") == 0, _ratio("n_bars", "n_words") > 0.1),
+        "shouting": _vote(_ratio("n_bangs", "n_words") <= 0.02, _ratio("n_bangs", "n_words") > 0.2),
+    }
 
 
 def statistics(df: DataFrame, text: str = "text") -> DataFrame:
@@ -143,7 +148,7 @@ def judge(df: DataFrame, text: str = "text") -> DataFrame:
     """``df`` with its statistics, base_failed, the posterior ``p_good`` and ``kept``."""
     keep = [F.col(c) for c in df.columns if c != text]
     stats = written(statistics(df, text).select(*keep, *[c for c in (*BASE, "n_lines", "n_letters", "n_upper", "n_bars", "n_bangs") if c not in df.columns]), "quality")
-    voted = stats.withColumns({f"v_{r}": vote for r, vote in RULES.items()})
+    voted = stats.withColumns({f"v_{r}": vote for r, vote in votes().items()})
     patterns = written(voted.filter(~base_failed()).groupBy(*[f"v_{r}" for r in RULES]).agg(F.count("*").alias("n")).coalesce(1), "patterns")
     rates, good = fit(patterns)
     p = 1 / (1 + F.exp(-_log_odds(rates, good)))
