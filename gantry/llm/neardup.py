@@ -162,7 +162,7 @@ class _Group:
         self.other: list[tuple] = []
 
     def links(self) -> Iterator[tuple]:
-        """Confirmed links that join parts of the group not yet joined within it, each part from one probe."""
+        """Confirmed links, each of which joins two parts of the group; the pivot's own links make the first part."""
         if not self.probe or not self.other:
             return
         sizes = np.array([len(o[2]) // 8 for o in self.other])
@@ -170,27 +170,36 @@ class _Group:
         values = np.frombuffer(b"".join(o[2] for o in self.other), np.uint64)
         vocabulary, index = np.unique(values, return_inverse=True)
         starts = np.cumsum(sizes) - sizes
-        seen: set[tuple] = set()
-        for x, d, raw in self.probe:
+        part = {o[0]: "pivot" if o[3] else o[0] for o in self.other}
+        members: dict = {}
+        for x, root in part.items():
+            members.setdefault(root, []).append(x)
+        for x, d, raw, _ in self.probe:
+            if x not in part:
+                part[x] = x
+                members[x] = [x]
             s = np.frombuffer(raw, np.uint64)
             near = np.flatnonzero((np.abs(far - d) <= 1 - PERCENT / 100 + 1e-9) & (100 * np.minimum(sizes, len(s)) >= PERCENT * np.maximum(sizes, len(s))))
             if not len(near):
                 continue
-            mark = np.zeros(len(vocabulary), np.int32)
             at = np.searchsorted(vocabulary, s)
             at = at[at < len(vocabulary)]
-            hit = at[np.isin(vocabulary[at], s, assume_unique=True)]
-            mark[hit] = 1
+            mark = np.zeros(len(vocabulary), np.int32)
+            mark[at[np.isin(vocabulary[at], s, assume_unique=True)]] = 1
             common = np.add.reduceat(mark[index], starts)
             for k in near[_linked(common[near], sizes[near] + len(s) - common[near])]:
                 y = self.other[k][0]
-                if x != y and (y, x) not in seen:
-                    seen.add((x, y))
+                a, b = part[x], part[y]
+                if a != b:
+                    small, large = sorted((a, b), key=lambda r: len(members[r]))
+                    for z in members[small]:
+                        part[z] = large
+                    members[large] += members.pop(small)
                     yield x, y
 
 
 def _block_links(rows: DataFrame) -> DataFrame:
-    """u, v: links found in groups (p, bx, by) of rows (p, bx, by, probe, x, d, xs), sorted by group."""
+    """u, v: links found in groups (p, bx, by) of rows (p, bx, by, probe, x, d, xs, linked), sorted by group."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, group = None, _Group()
@@ -200,14 +209,14 @@ def _block_links(rows: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array([a for a, _ in links], kind), pa.array([b for _, b in links], kind)], names=["u", "v"])
 
         for batch in batches:
-            for p, bx, by, probe, x, d, xs in zip(*[c.to_pylist() for c in batch.columns]):
+            for p, bx, by, probe, x, d, xs, linked in zip(*[c.to_pylist() for c in batch.columns]):
                 if (p, bx, by) != key:
                     yield out(list(group.links()))
                     key, group = (p, bx, by), _Group()
-                (group.probe if probe else group.other).append((x, d, xs))
+                (group.probe if probe else group.other).append((x, d, xs, linked))
         yield out(list(group.links()))
 
-    return rows.select("p", "bx", "by", "probe", "x", "d", "xs").mapInArrow(run, f"u {_NODE}, v {_NODE}")
+    return rows.select("p", "bx", "by", "probe", "x", "d", "xs", "linked").mapInArrow(run, f"u {_NODE}, v {_NODE}")
 
 
 def links(rows: DataFrame, texts: DataFrame, size: int) -> DataFrame:
@@ -225,8 +234,8 @@ def links(rows: DataFrame, texts: DataFrame, size: int) -> DataFrame:
     open_ = open_.select("p", F.ceil(F.col("n") / BLOCK).cast("int").alias("nb"), F.ceil(F.col("f") / BLOCK).cast("int").alias("fb"))
     members = tested.select("p", "x", "d", "linked").join(open_, "p")
     block = lambda n: F.pmod(F.xxhash64("x"), n).cast("int")
-    probes = members.filter(~F.col("linked")).select("p", "x", "d", F.lit(True).alias("probe"), block(F.col("fb")).alias("bx"), F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("by"))
-    others = members.select("p", "x", "d", F.lit(False).alias("probe"), F.explode(F.sequence(F.lit(0), F.col("fb") - 1)).alias("bx"), block(F.col("nb")).alias("by"))
+    probes = members.filter(~F.col("linked")).select("p", "x", "d", "linked", F.lit(True).alias("probe"), block(F.col("fb")).alias("bx"), F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("by"))
+    others = members.select("p", "x", "d", "linked", F.lit(False).alias("probe"), F.explode(F.sequence(F.lit(0), F.col("fb") - 1)).alias("bx"), block(F.col("nb")).alias("by"))
     dealt = probes.unionByName(others).join(sets.select(F.col("node").alias("x"), F.col("set").alias("xs")), "x")
     more = _block_links(dealt.repartition("p", "bx", "by").sortWithinPartitions("p", "bx", "by"))
     return tested.filter("linked").select(F.col("p").alias("u"), F.col("x").alias("v")).unionByName(more)
@@ -240,7 +249,8 @@ def near_duplicates(df: DataFrame, size: int = SHINGLE, key: str = "doc_id", tex
     found = components(links(rows, texts, size))
     first = rows.filter("node IS NOT NULL").groupBy("node").agg(F.min("row.key").alias("first"))
     labelled = first.join(found.select(F.col("u").alias("node"), F.col("v").alias("root")), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    least = labelled.groupBy("root").agg(F.min("first").alias("component"))
+    labelled = written(labelled, "labelled")
+    least = written(labelled.groupBy("root").agg(F.min("first").alias("component")), "least")
     by_node = written(labelled.join(least, "root").select("node", "component"), "classes")
     classes = rows.select("row", "n_shingles", "node").join(by_node, "node", "left")
     component = F.coalesce("component", "row.key")
