@@ -105,6 +105,19 @@ class ChunkTokenizer:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Packed ids of each text, in ``dtype``."""
         chunks = [CHUNK.findall(x) for x in texts]
+        self._know(chunks)
+        known = self.known
+        return [b"".join(map(known.__getitem__, parts)) for parts in chunks]
+
+    def sizes(self, chunks: list[str]) -> list[int]:
+        """Packed bytes of each chunk."""
+        try:
+            return [len(self.known[c]) for c in chunks]
+        except KeyError:
+            self._know([chunks])
+            return [len(self.known[c]) for c in chunks]
+
+    def _know(self, chunks: list[list[str]]) -> None:
         known, older = self.known, self.older
         if len(known) >= CACHE:
             self.older = older = dict(known)
@@ -117,7 +130,6 @@ class ChunkTokenizer:
                 new.append(c)
         for i in range(0, len(new), 20_000):
             self._learn(new[i : i + 20_000])
-        return [b"".join(map(known.__getitem__, parts)) for parts in chunks]
 
 
 _TOKENIZERS: dict[str, ChunkTokenizer] = {}

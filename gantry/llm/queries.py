@@ -10,7 +10,9 @@ from gantry.llm.packing import op2_packing
 from gantry.llm.quality import op10_quality_rules
 from gantry.llm.repeats import op8_repeated_passages
 from gantry.llm.sentencepieces import op1_sentencepiece
+from gantry.llm.tokencounts import op4_token_counts
+from gantry.llm.warc import OP3_SQL, op3_warc_revisits
 
-QUERIES = {"op1_sentencepiece": op1_sentencepiece, "op2_packing": op2_packing, "op5_near_duplicates": op5_near_duplicates, "op6_media_columns": op6_media_columns, "op7_language_id": op7_language_id, "op8_repeated_passages": op8_repeated_passages, "op9_context_tree": op9_context_tree, "op10_quality_rules": op10_quality_rules}
+QUERIES = {"op1_sentencepiece": op1_sentencepiece, "op2_packing": op2_packing, "op3_warc_revisits": op3_warc_revisits, "op4_token_counts": op4_token_counts, "op5_near_duplicates": op5_near_duplicates, "op6_media_columns": op6_media_columns, "op7_language_id": op7_language_id, "op8_repeated_passages": op8_repeated_passages, "op9_context_tree": op9_context_tree, "op10_quality_rules": op10_quality_rules}
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op3_warc_revisits": OP3_SQL}

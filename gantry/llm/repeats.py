@@ -38,7 +38,7 @@ LENGTH, ANCHOR = 50, 24
 WINDOW = LENGTH - ANCHOR + 1
 LEFT = LENGTH - ANCHOR
 HOT = 2000
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES, STEP = 4 << 20, 1 << 20
 #: Anchors and contexts that one partition holds at the most, about.
 PART_ANCHORS, PART_CONTEXTS = 2_000_000, 100_000
 NO_ID = (1 << 63) - 1
@@ -52,24 +52,26 @@ def _join(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return a
 
 
-class Grams:
-    """Hashes of all strings of 1, 2, 4, 8 and 16 bytes of a buffer."""
+def _gram_hashes(data: np.ndarray) -> np.ndarray:
+    """Hashes of all strings of ANCHOR (16 + 8) bytes."""
+    h = (data.astype(np.uint64) + np.uint64(1)) * _C2
+    for n in (1, 2, 4):
+        h = _join(h[: len(h) - n], h[n:])
+    eight = h
+    h = _join(h[: len(h) - 8], h[8:])
+    h = _join(h[: len(h) - 8], eight[16:])
+    return h ^ (h >> np.uint64(32))
 
-    def __init__(self, data: np.ndarray):
-        self.by = {1: (data.astype(np.uint64) + np.uint64(1)) * _C2}
-        for n in (1, 2, 4, 8):
-            h = self.by[n]
-            self.by[2 * n] = _join(h[: len(h) - n], h[n:])
 
-    def at(self, positions: np.ndarray | None, size: int) -> np.ndarray:
-        """Hashes of the strings of ``size`` bytes at positions (all, where None)."""
-        n, start, out = len(self.by[1]) - size + 1, 0, None
-        for part in (16, 8, 4, 2, 1):
-            while size - start >= part:
-                h = self.by[part][start : start + n] if positions is None else self.by[part][positions + start]
-                out = h.copy() if out is None else _join(out, h)
-                start += part
-        return out
+def _window_hashes(windows: np.ndarray) -> np.ndarray:
+    """Hashes of rows of LENGTH bytes."""
+    wide = np.zeros((len(windows), -(-LENGTH // 8) * 8), np.uint8)
+    wide[:, :LENGTH] = windows
+    words = wide.view("<u8")
+    h = words[:, 0].copy()
+    for k in range(1, words.shape[1]):
+        h = _join(h, words[:, k])
+    return h ^ (h >> np.uint64(32))
 
 
 def _slide(x: np.ndarray, width: int, best) -> np.ndarray:
@@ -81,23 +83,30 @@ def _slide(x: np.ndarray, width: int, best) -> np.ndarray:
     return best(x[: len(x) - (width - have)], x[width - have :]) if have < width else x
 
 
-def anchors(data: np.ndarray, ends: np.ndarray, skip: np.ndarray) -> tuple[np.ndarray, np.ndarray, Grams | None]:
-    """Positions and hashes of the anchors of the texts that end at ``ends`` in ``data``, without those to skip."""
-    if len(data) < LENGTH:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64), None
-    grams = Grams(data)
-    h = grams.at(None, ANCHOR)
-    h ^= h >> np.uint64(32)
+def anchors(data: np.ndarray, ends: np.ndarray, skip: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions and hashes of the anchors of the texts that end at ``ends`` in ``data``, without those to skip; STEP bytes at a time."""
+    found = [_anchors(data, ends, skip, a, min(a + STEP, len(data))) for a in range(0, len(data), STEP)]
+    return tuple(np.concatenate(c) for c in zip(*found)) if found else (np.zeros(0, np.int64), np.zeros(0, np.uint64))
+
+
+def _anchors(data: np.ndarray, ends: np.ndarray, skip: np.ndarray, a: int, b: int) -> tuple[np.ndarray, np.ndarray]:
+    """The anchors at positions a..b: all windows that hold such a position are in the part that is looked at."""
+    low, high = max(0, a - WINDOW + 1), min(len(data), b + LENGTH)
+    if high - low < LENGTH:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    h = _gram_hashes(data[low:high])
     order = (h * _C1 >> np.uint64(32)).astype(np.uint32)
     order |= np.uint32(1)
     least = _slide(order, WINDOW, np.minimum)
-    starts = np.concatenate([[0], ends[:-1]])
-    for s, e, dead in zip(starts, ends, skip):  # windows that begin in a text and don't end in it, or in one to skip
-        least[(s if dead else max(s, e - LENGTH + 1)) : e] = 0
+    first, last = np.searchsorted(ends, low, side="right"), np.searchsorted(ends, high, side="left")
+    for i in range(first, min(last + 1, len(ends))):  # windows that begin in a text and don't end in it, or in one to skip
+        s, e = (int(ends[i - 1]) if i else 0), int(ends[i])
+        least[max(0, (s if skip[i] else max(s, e - LENGTH + 1)) - low) : max(0, e - low)] = 0
     pad = np.zeros(WINDOW - 1, np.uint32)
     most = _slide(np.concatenate([pad, least, pad]), WINDOW, np.maximum)
-    positions = np.flatnonzero(most == order)
-    return positions, h[positions], grams
+    at = np.flatnonzero(most == order)
+    at = at[(at >= a - low) & (at < b - low)]
+    return at + low, h[at]
 
 
 class Block:
@@ -201,9 +210,7 @@ def _contexts(blocks: DataFrame) -> DataFrame:
 
     def out(block, ids, sizes, text, copies, cold, hot) -> Iterator[pa.RecordBatch]:
         docs = Block(ids, sizes, text, copies)
-        positions, hashes, grams = docs.anchors()
-        if grams is None:
-            return
+        positions, hashes = docs.anchors()
         signed = hashes.view(np.int64)
         pick = np.isin(signed, np.array(cold or [], np.int64))
         hits = positions[np.isin(signed, np.array(hot or [], np.int64))]
@@ -217,7 +224,8 @@ def _contexts(blocks: DataFrame) -> DataFrame:
         windows, wdoc = windows[inside], wdoc[inside]
         n, m = len(at), len(windows)
         at, doc = np.concatenate([at, windows]), np.concatenate([doc, wdoc])
-        keys = np.concatenate([keys, grams.at(windows, LENGTH).view(np.int64) if m else np.zeros(0, np.int64)])
+        if m:
+            keys = np.concatenate([keys, _window_hashes(np.lib.stride_tricks.sliding_window_view(docs.data, LENGTH)[windows]).view(np.int64)])
         left, right = np.concatenate([left, np.zeros(m, np.int64)]), np.concatenate([right, np.full(m, LENGTH)])
         whole = left + right >= LENGTH
         at, doc, keys, left, right = at[whole], doc[whole], keys[whole], left[whole], right[whole]

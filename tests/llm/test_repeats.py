@@ -52,6 +52,7 @@ def corpus(rng):
 def test_same_bytes_as_brute_force(spark, monkeypatch, hot, block):
     monkeypatch.setattr(R, "HOT", hot)
     monkeypatch.setattr(R, "BLOCK_BYTES", block)
+    monkeypatch.setattr(R, "STEP", 1 << 20 if hot else 130)
     rows = corpus(random.Random(hot + block))
     rows += [rows[3], (rows[4][0], rows[5][1]), (None, rows[7][1])]
     df = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, n_bytes int").repartition(2)
