@@ -94,7 +94,7 @@ WITH p AS (
   SELECT page_id, html,
     regexp_replace(regexp_replace(lower(regexp_extract(bare, '^[^/?]*', 0)), ':(80|443)$', ''), '^(www|m)\.', '') AS host,
     regexp_replace(regexp_extract(bare, '^[^/?]*([^?]*)', 1), '/+$', '') AS path,
-    list_sort(list_filter(string_split(regexp_extract(bare, '\?(.*)$', 1), '&'), x -> x <> '' AND NOT regexp_matches(lower(x), '^(utm_[a-z]+|ref|fbclid|gclid|sid|sessionid)='))) AS q
+    list_sort(list_filter(string_split(regexp_extract(bare, '\?(.*)$', 1), '&'), lambda x: x <> '' AND NOT regexp_matches(lower(x), '^(utm_[a-z]+|ref|fbclid|gclid|sid|sessionid)='))) AS q
   FROM p
 ), c AS (
   SELECT page_id, md5(html) AS etag, length(html) AS n, host || path || CASE WHEN len(q) > 0 THEN '?' || array_to_string(q, '&') ELSE '' END AS curl FROM parts
