@@ -2,29 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from gantry.plans import relational  # noqa: F401
+from gantry.plans.registry import QUERIES, SQL
 
-from gantry.operators.bars import build_bars
-from gantry.session import table
-
-QUERIES = {}
-SQL = {}
-
-
-def query(sql: str | None = None):
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            SQL[f.__name__] = sql
-        return f
-
-    return add
-
-
-@query(
-    """SELECT user_id, date_trunc('hour', ts) AS bar, arg_min(value, row(ts, event_id)) AS open, max(value) AS high, min(value) AS low,
-    arg_max(value, row(ts, event_id)) AS close, count(*) AS n FROM events GROUP BY 1, 2"""
-)
-def bars_hourly(spark, sf_dir):
-    """Open/high/low/close bars from ticks (AG7)."""
-    return build_bars(table(spark, sf_dir, "events"), ["user_id"], F.date_trunc("hour", "ts"), "value", ["ts", "event_id"])
+__all__ = ["QUERIES", "SQL"]
