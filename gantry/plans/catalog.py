@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from gantry.plans import relational  # noqa: F401
+from gantry.plans import domain, relational  # noqa: F401
 from gantry.plans.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
