@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import gc
 import hashlib
+import time
 from collections.abc import Iterator
 from itertools import groupby
 
@@ -197,11 +198,16 @@ def _shared(blocks: DataFrame, parts: int) -> DataFrame:
     return rows.repartition(parts, "hash").mapInArrow(both, "block long, hash long, hot boolean")
 
 
-_CONTEXT = "hash long, block long, context int, left binary, right binary, least long, occurrences binary"
+_CONTEXT = "block long, part long, payload binary"
+_SPAN = LEFT + LENGTH
 
 
-def _contexts(blocks: DataFrame) -> DataFrame:
-    """Rows of two kinds. A context: hash, block, context (its number), left, right and the least id that has it. A block: its occurrences, packed as (document, position, context, left, right)."""
+def _contexts(blocks: DataFrame, parts: int) -> DataFrame:
+    """Rows (block, part, payload) of two kinds, compressed.
+
+    With a part from 0 on: a block's contexts whose anchor's hash falls to that part, as numbers, hashes, least ids, and
+    the bytes with the lengths of both sides. Part -1: the block's occurrences (document, position, context, left, right).
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -222,7 +228,7 @@ def _contexts(blocks: DataFrame) -> DataFrame:
         wdoc = np.searchsorted(docs.ends, windows, side="right")
         inside = (wdoc < len(docs.ends)) & (windows + LENGTH <= docs.ends[np.minimum(wdoc, len(docs.ends) - 1)])
         windows, wdoc = windows[inside], wdoc[inside]
-        n, m = len(at), len(windows)
+        m = len(windows)
         at, doc = np.concatenate([at, windows]), np.concatenate([doc, wdoc])
         if m:
             keys = np.concatenate([keys, _window_hashes(np.lib.stride_tricks.sliding_window_view(docs.data, LENGTH)[windows]).view(np.int64)])
@@ -231,32 +237,45 @@ def _contexts(blocks: DataFrame) -> DataFrame:
         at, doc, keys, left, right = at[whole], doc[whole], keys[whole], left[whole], right[whole]
         if not len(at):
             return
-        span = LEFT + LENGTH
-        bytes_ = np.zeros((len(at), span + 2), np.uint8)
+        bytes_ = np.zeros((len(at), _SPAN + 2), np.uint8)
         padded = np.concatenate([np.zeros(LEFT, np.uint8), docs.data, np.zeros(LENGTH, np.uint8)])
-        bytes_[:, :span] = np.lib.stride_tricks.sliding_window_view(padded, span)[at]
-        column = np.arange(span)
-        bytes_[:, :span][(column < (LEFT - left)[:, None]) | (column >= (LEFT + right)[:, None])] = 0
-        bytes_[:, span], bytes_[:, span + 1] = left, right
-        _, first, number = np.unique(bytes_.view(f"V{span + 2}").ravel(), return_index=True, return_inverse=True)
+        bytes_[:, :_SPAN] = np.lib.stride_tricks.sliding_window_view(padded, _SPAN)[at]
+        column = np.arange(_SPAN)
+        bytes_[:, :_SPAN][(column < (LEFT - left)[:, None]) | (column >= (LEFT + right)[:, None])] = 0
+        bytes_[:, _SPAN], bytes_[:, _SPAN + 1] = left, right
+        _, first, number = np.unique(bytes_.view(f"V{_SPAN + 2}").ravel(), return_index=True, return_inverse=True)
         least = np.full(len(first), NO_ID)
         np.minimum.at(least, number, docs.ids[doc])
-        packed = np.stack([doc, at, number, left, right], 1).astype(np.int64)
-        yield batch_of([0], [block], [-1], [None], [None], [0], [zstandard.ZstdCompressor(1).compress(packed.tobytes())])
-        for begin in range(0, len(first), 20_000):
-            part = first[begin : begin + 20_000]
-            k = len(part)
-            lefts = [bytes_[i, LEFT - left[i] : LEFT].tobytes() for i in part]
-            rights = [bytes_[i, LEFT : LEFT + right[i]].tobytes() for i in part]
-            yield batch_of(keys[part], np.full(k, block), np.arange(begin, begin + k, dtype=np.int32), lefts, rights, least[begin : begin + k], [None] * k)
-
-    def batch_of(*columns) -> pa.RecordBatch:
-        types = [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.binary()]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["hash", "block", "context", "left", "right", "least", "occurrences"])
+        pack = zstandard.ZstdCompressor(3).compress
+        occurrences = np.stack([doc, at, number, left, right], 1).astype(np.int32)
+        yield rows([block], [-1], [pack(occurrences.tobytes())])
+        part = (keys[first].view(np.uint64) >> np.uint64(20)) % np.uint64(parts)
+        order = np.argsort(part, kind="stable")
+        bounds = [0, *(np.flatnonzero(np.diff(part[order])) + 1).tolist(), len(order)]
+        payloads = []
+        for a, b in zip(bounds, bounds[1:]):
+            k = order[a:b]
+            payloads.append(pack(b"".join([k.astype(np.int64).tobytes(), keys[first[k]].tobytes(), least[k].tobytes(), bytes_[first[k]].tobytes()])))
+        yield rows([block] * len(payloads), part[order[bounds[:-1]]].astype(np.int64), payloads)
+
+    def rows(block, part, payload) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(block, pa.int64()), pa.array(part, pa.int64()), pa.array(payload, pa.binary())], names=["block", "part", "payload"])
 
     return blocks.select("block", "ids", "sizes", "text", "copies", "cold", "hot").mapInArrow(run, _CONTEXT)
 
 
+def _unpacked(block: int, payload: bytes) -> Iterator[tuple]:
+    """(hash, block, context, left, right, least) of each context of a payload."""
+    raw = zstandard.ZstdDecompressor().decompressobj().decompress(payload)
+    n = len(raw) // (24 + _SPAN + 2)
+    number, key, least = (np.frombuffer(raw, np.int64, n, 8 * n * i).tolist() for i in range(3))
+    at = 24 * n
+    for i in range(n):
+        row = raw[at : at + _SPAN + 2]
+        at += _SPAN + 2
+        yield key[i], block, number[i], row[LEFT - row[_SPAN] : LEFT], row[LEFT : LEFT + row[_SPAN + 1]], least[i]
+
+
 def intervals(values: list[bytes], cap: int) -> Iterator[tuple[int, int, int]]:
     """(first, last, length) of the intervals of sorted strings with a common prefix, by a scan with a stack."""
     numbers = [int.from_bytes(v.ljust(cap, b"\0"), "big") for v in values]
@@ -288,7 +307,7 @@ def maximal_repeats(contexts: list[tuple[bytes, bytes]]) -> Iterator[tuple[list[
 
 
 def _groups(contexts: DataFrame, parts: int, run, schema: str) -> DataFrame:
-    """``run``(rows of one hash) for all hashes, where rows are (hash, block, context, left, right, least)."""
+    """``run``(rows of one anchor) for all anchors, where rows are (hash, block, context, left, right, least)."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [x.split()[0] for x in schema.split(", ")]
@@ -297,17 +316,19 @@ def _groups(contexts: DataFrame, parts: int, run, schema: str) -> DataFrame:
         def flush(rows: list[tuple]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=names)
 
-        rows = (r for b in batches for r in zip(*[c.to_pylist() for c in b.columns]))
-        for _, group in groupby(rows, key=lambda r: r[0]):
-            held.extend(run(list(group)))
-            if len(held) >= 20_000:
-                yield flush(held)
-                held = []
+        payloads = (r for b in batches for r in zip(*[c.to_pylist() for c in b.columns]))
+        for _, part in groupby(payloads, key=lambda r: r[0]):  # one part at a time
+            rows = sorted((r for _, block, payload in part for r in _unpacked(block, payload)), key=lambda r: r[0])
+            for _, group in groupby(rows, key=lambda r: r[0]):
+                held.extend(run(list(group)))
+                if len(held) >= 20_000:
+                    yield flush(held)
+                    held = []
         if held:
             yield flush(held)
 
-    rows = contexts.filter("context >= 0").select("hash", "block", "context", "left", "right", "least")
-    return rows.repartition(parts, "hash").sortWithinPartitions("hash").mapInArrow(each, schema)
+    rows = contexts.filter("part >= 0").select("part", "block", "payload")
+    return rows.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(each, schema)
 
 
 def _covered(rows: list[tuple]) -> list[tuple]:
@@ -329,9 +350,11 @@ def _grouped(rows: list[tuple]) -> list[tuple]:
 
 
 def _release(spark: SparkSession) -> None:
-    """Lets Spark remove the shuffle files of tables that have been written."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Lets Spark remove the shuffle files of tables that have been written: it does so when their plans are collected as garbage."""
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
 
 
 class Repeats:
@@ -348,9 +371,10 @@ class Repeats:
         shared = written(_shared(self.blocks, self.parts), "shared")
         _release(spark)
         lists = shared.groupBy("block").agg(F.collect_list(F.when(~F.col("hot"), F.col("hash"))).alias("cold"), F.collect_list(F.when(F.col("hot"), F.col("hash"))).alias("hot"))
-        self.contexts = written(_contexts(self.blocks.join(lists, "block")), "contexts")
+        self.parts = max(least, shared.count() // PART_CONTEXTS)
+        self.contexts = written(_contexts(self.blocks.join(lists, "block"), self.parts), "contexts", "none")
+        del lists, shared
         _release(spark)
-        self.parts = max(least, self.contexts.count() // PART_CONTEXTS)
 
     def reach(self) -> DataFrame:
         return written(_groups(self.contexts, self.parts, _covered, "block long, context long, left long, right long"), "reach")
@@ -366,14 +390,14 @@ class Repeats:
                     starts = np.cumsum(np.frombuffer(sizes, np.int64)) - np.frombuffer(sizes, np.int64)
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), block)), pa.array(x[:, 2].copy()), pa.array(np.frombuffer(ids, np.int64)[x[:, 0]]), pa.array(x[:, 1] - starts[x[:, 0]])], names=["block", "context", "id", "at"])
 
-        packed = self.contexts.filter("context < 0").select("block", "occurrences").join(self.blocks.select("block", "ids", "sizes"), "block")
+        packed = self.contexts.filter("part < 0").select("block", F.col("payload").alias("occurrences")).join(self.blocks.select("block", "ids", "sizes"), "block")
         places = packed.select("block", "occurrences", "ids", "sizes").mapInArrow(run, "block long, context long, id long, at long")
         return members.join(places, ["block", "context"]).select("hash", "number", (F.col("left") + F.col("right")).alias("length"), "id", (F.col("at") - F.col("left")).alias("start"))
 
     def spans(self, run, schema) -> DataFrame:
         """``run``(block, covered bytes) for each block."""
         reach = self.reach().groupBy("block").agg(F.collect_list(F.struct("context", "left", "right")).alias("reach"))
-        packed = self.contexts.filter("context < 0").select("block", "occurrences")
+        packed = self.contexts.filter("part < 0").select("block", F.col("payload").alias("occurrences"))
         rows = self.blocks.drop("hashes", "bytes").join(packed, "block", "left").join(reach, "block", "left")
         rows = rows.select("block", "ids", "sizes", "text", "copies", "occurrences", F.col("reach.context").alias("c"), F.col("reach.left").alias("l"), F.col("reach.right").alias("r"))
 
@@ -387,7 +411,7 @@ class Repeats:
 
 
 def _occurrences(raw: bytes | None) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompressobj().decompress(raw), np.int64).reshape(-1, 5) if raw else np.zeros((0, 5), np.int64)
+    return np.frombuffer(zstandard.ZstdDecompressor().decompressobj().decompress(raw), np.int32).reshape(-1, 5).astype(np.int64) if raw else np.zeros((0, 5), np.int64)
 
 
 def _mask(docs: Block, occurrences: bytes | None, c: list[int], left: list[int], right: list[int]) -> np.ndarray:
