@@ -175,8 +175,3 @@ def company_name(name: Column) -> Column:
     plain = F.regexp_replace(F.upper(name), r"[^A-Z0-9 ]", " ")
     plain = F.regexp_replace(plain, r"\b(INC|CORP|CORPORATION|LTD|LLC|CO|PLC)\b", " ")
     return F.trim(F.regexp_replace(plain, r" +", " "))
-
-
-def no_negative_zero(x: Column) -> Column:
-    """``x`` with 0.0 in place of -0.0, which compare equal but print and hash differently."""
-    return F.when(x == 0, 0.0).otherwise(x)

@@ -69,11 +69,11 @@ def truncated_files(spark, d):
     return Q.truncated(files(spark, d), ["file"], 8)
 
 
-@query(_ROLES + _QBARS + " SELECT ticker, bar, n_quotes, mid_min, mid_max, mid_med, mid_p95, crossed, in_range, overlap, round(CASE WHEN out_dist = 0 THEN 0.0 ELSE out_dist END, 9) AS out_dist, round(spread_med, 6) AS spread_med, round(scale, 9) AS scale FROM j")
+@query(_ROLES + _QBARS + " SELECT ticker, bar, n_quotes, mid_min, mid_max, mid_med, mid_p95, crossed, in_range, overlap, CASE WHEN abs(out_dist) < 5e-10 THEN 0.0 ELSE round(out_dist, 9) END AS out_dist, round(spread_med, 6) AS spread_med, round(scale, 9) AS scale FROM j")
 def coherence_rows(spark, d):
     """Bars with quotes, flags and distances."""
     j = _joined(spark, d)
-    return j.select("ticker", "bar", "n_quotes", "mid_min", "mid_max", "mid_med", "mid_p95", "crossed", "in_range", "overlap", F.round(X.no_negative_zero(F.col("out_dist")), 9).alias("out_dist"), F.round("spread_med", 6).alias("spread_med"), F.round("scale", 9).alias("scale"))
+    return j.select("ticker", "bar", "n_quotes", "mid_min", "mid_max", "mid_med", "mid_p95", "crossed", "in_range", "overlap", F.round("out_dist", 9).alias("out_dist"), F.round("spread_med", 6).alias("spread_med"), F.round("scale", 9).alias("scale"))
 
 
 @query(_ROLES + _QBARS + " SELECT dayofweek(bar) AS dow, count(*) AS bars, round(avg(CASE WHEN in_range THEN 1.0 ELSE 0.0 END), 9) AS p_in_range, round(avg(CASE WHEN overlap THEN 1.0 ELSE 0.0 END), 9) AS p_overlap, round(quantile_cont(abs(out_dist), 0.95), 9) AS out_p95, round(list_extract(list_sort(list(open_err)), CAST(round((count(*) - 1) * 0.5) AS INTEGER) + 1), 9) AS open_err_p50, round(list_extract(list_sort(list(close_err)), CAST(round((count(*) - 1) * 0.9) AS INTEGER) + 1), 9) AS close_err_p90 FROM j GROUP BY 1")
@@ -335,7 +335,7 @@ def event_index(spark, d):
 @query(with_roles("daily") + ", r AS (SELECT *, close / open - 1 AS ret FROM daily), f AS (SELECT ticker, date, ret, (1 + coalesce(lead(ret, 1) OVER w, 0)) * (1 + coalesce(lead(ret, 2) OVER w, 0)) * (1 + coalesce(lead(ret, 3) OVER w, 0)) - 1 AS fwd3, min(ret) OVER (PARTITION BY ticker ORDER BY date ROWS BETWEEN 1 FOLLOWING AND 3 FOLLOWING) AS worst3 FROM r WINDOW w AS (PARTITION BY ticker ORDER BY date)) SELECT ticker, date, CASE WHEN ret > 0 THEN round(ret, 9) ELSE 0.0 END AS explosion, CASE WHEN least(fwd3, worst3) < 0 THEN round(-least(fwd3, worst3), 9) ELSE 0.0 END AS decay FROM f")
 def lifecycle_scores(spark, d):
     """D83, T18."""
-    return E.lifecycle_scores(daily(spark, d)).select("ticker", "date", F.round(X.no_negative_zero(F.col("explosion")), 9).alias("explosion"), F.round(X.no_negative_zero(F.col("decay")), 9).alias("decay"))
+    return E.lifecycle_scores(daily(spark, d)).select("ticker", "date", F.round("explosion", 9).alias("explosion"), F.round("decay", 9).alias("decay"))
 
 
 @query(with_roles("daily") + ", r AS (SELECT *, close / open - 1 AS ret, row_number() OVER (PARTITION BY ticker ORDER BY date) AS pos FROM daily), f AS (SELECT ticker, date, close, ret, min(close) OVER w AS lo, max(close) OVER w AS hi, count(*) OVER w AS n10, regr_slope(close, pos) OVER w AS sl FROM r WINDOW w AS (PARTITION BY ticker ORDER BY date ROWS BETWEEN 1 FOLLOWING AND 10 FOLLOWING)) SELECT ticker, date, n10, CASE WHEN lo / close - 1 <= -0.5 AND sl < 0 THEN 'dump' WHEN lo / close - 1 >= -0.2 THEN 'hold' WHEN hi / lo - 1 >= 0.5 THEN 'recovery' ELSE 'shakeout' END AS regime FROM f WHERE ret >= 0.3 AND n10 >= 3")
