@@ -5,7 +5,8 @@ parsed greedily into the longest phrases each automaton knows, and the phrases,
 document's length estimate the cross entropy. The language with the least wins.
 
 Training reads a bounded sample: labelled documents of each of the LANGUAGES most frequent languages in the order of a hash of doc_id, whole, until
-TRAIN_BYTES are reached. Automata become dense tables of bounded size; blocks of BLOCK bytes of all documents
+TRAIN_BYTES are reached. A bound on that hash, from the language's count, leaves about SPARE * TRAIN_ROWS rows of it
+to be ranked, however large the corpus is. Automata become dense tables of bounded size; blocks of BLOCK bytes of all documents
 of a batch walk them in step. Every byte of a text is parsed; a phrase ends at the end of a block.
 
 Cases: a null text or one without a letter is ``und`` with score 0; without labelled text all are; equal texts get equal
@@ -29,6 +30,8 @@ from gantry.llm.shared import documents
 UNKNOWN = "und"
 LANGUAGES = 64
 TRAIN_ROWS, TRAIN_BYTES = 300, 50_000
+#: Values of the hash of doc_id, and how many times TRAIN_ROWS rows a language has below the bound on it, about.
+HASHES, SPARE = 1 << 40, 4
 BLOCK = 4096
 LETTER = re.compile(r"[^\W\d_]")
 _PLAIN = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in range(256))
@@ -147,15 +150,17 @@ class CrossParser:
 
 def training_texts(labelled: DataFrame, key: str = "doc_id", lang: str = "lang", text: str = "text") -> dict[str, bytes]:
     """Language to text of the bounded sample, from rows with a language and a text."""
-    rows = labelled.select(F.col(lang).alias("lang"), F.xxhash64(key).alias("h"), F.col(text).alias("text")).filter("lang IS NOT NULL AND text IS NOT NULL")
-    frequent = [r["lang"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()]
+    h = F.pmod(F.xxhash64(key), F.lit(HASHES))
+    rows = labelled.select(F.col(lang).alias("lang"), h.alias("h"), F.col(text).alias("text")).filter("lang IS NOT NULL AND text IS NOT NULL")
+    frequent = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()}
+    if not frequent:
+        return {}
+    ends = [F.lit(x) for lang, n in frequent.items() for x in (lang, min(HASHES, -(-HASHES * SPARE * TRAIN_ROWS // n)))]
+    rows = rows.filter(F.col("h") < F.create_map(*ends)[F.col("lang")])  # of the other languages none
     order = Window.partitionBy("lang").orderBy("h", "size")
-    sizes = rows.filter(F.col("lang").isin(frequent)).select("lang", "h", F.octet_length("text").alias("size"))
-    first = sizes.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= TRAIN_ROWS)
+    first = rows.select("lang", "h", F.octet_length("text").alias("size")).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= TRAIN_ROWS)
     before = F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1))
     edge = first.withColumn("before", F.coalesce(before, F.lit(0))).filter(F.col("before") < TRAIN_BYTES).groupBy("lang").agg(F.max("h").alias("edge")).collect()
-    if not edge:
-        return {}
     chosen = F.lit(False)
     for r in edge:  # at most LANGUAGES
         chosen = chosen | ((F.col("lang") == r["lang"]) & (F.col("h") <= r["edge"]))
