@@ -2,12 +2,15 @@
 
 A text is its words, joined by single spaces, and an end byte. Each byte is eight binary decisions; each decision is
 estimated by the Krichevsky-Trofimov rule at every context of up to DEPTH bytes before, and the estimates of all depths are mixed with the
-weights that context-tree weighting gives them after all training texts. The tree holds the contexts that occur at least N / CONTEXTS times among N training
-bytes, so at most CONTEXTS of each depth whatever the corpus; the rarer continuations of a context share one child, so
-every training byte counts at every depth. That bound (DEPTH * CONTEXTS nodes times the byte alphabet) is what the
-driver computes with and what tasks get.
+weights that context-tree weighting gives them after all training texts. The tree holds every context that occurs at least LEAST times
+before a training byte, at every size of the corpus; the rarer continuations of a context share one child, so every training byte counts at every depth.
 
-Context counts are an aggregation over all training texts. Word counts of the unigram base go by blocks of documents: a block
+The tree is never in one place. Each block of documents sends its distinct strings of DEPTH bytes and the byte after them, with their
+training counts, to the part that their last SPLIT context bytes belong to. A part adds them up, has the whole subtrees below those bytes, and weighs them
+one decision at a time. What a subtree adds to the decisions at the last byte goes to the driver (256 * 255 sums at most, whatever the
+corpus), which weighs the top; then each part sends each block the log probabilities of the strings it asked for.
+
+Word counts of the unigram base go by blocks of documents in the same way: a block
 sends each distinct word once and gets its corpus count back, so a frequent word is one row for each block.
 
 Cases: a null or empty text is the end alone; without training text every byte has probability 1/256 and no token is known;
@@ -20,6 +23,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
+from itertools import groupby
 from math import ceil, log10
 
 import numpy as np
@@ -30,7 +34,9 @@ from pyspark.sql import functions as F
 
 from gantry.llm.shared import documents, written
 
-DEPTH, CONTEXTS = 6, 1 << 16
+DEPTH, SPLIT, LEAST = 6, 2, 2
+#: A bound on the contexts of each depth, by a least count that rises with the corpus; None: no bound.
+CONTEXTS: int | None = None
 END = 10
 PAD = bytes([END]) * DEPTH
 BLOCK_BYTES = 16 << 20
@@ -79,13 +85,13 @@ class Block:
         self.text = zstandard.ZstdDecompressor().decompress(text, max_output_size=int((self.sizes + DEPTH).sum()))
         self.ends = np.cumsum(self.sizes + DEPTH)
 
-    def train_positions(self) -> np.ndarray:
-        """Flags of the bytes of training texts, ends included."""
-        flags = np.repeat(~self.held, self.sizes + DEPTH)
+    def positions(self) -> tuple[np.ndarray, np.ndarray]:
+        """Flags of the bytes of texts, ends included, and of those of training texts."""
+        own = np.ones(len(self.text), bool)
         starts = self.ends - self.sizes - DEPTH
         for k in range(DEPTH):
-            flags[starts + k] = False
-        return flags
+            own[starts + k] = False
+        return own, own & np.repeat(~self.held, self.sizes + DEPTH)
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
@@ -97,84 +103,90 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
 # Contexts -----------------------------------------------------------------------------------------------------------
 
 
-def context_counts(blocks: DataFrame) -> DataFrame:
-    """g, n: how often each string of DEPTH bytes comes before a byte of a training text; the last byte is the lowest of g."""
+STEP = 1 << 18
+#: Strings that a part gathers before it adds them up.
+GATHERED = 2_000_000
+_MIX = np.uint64(0x9E3779B97F4A7C15)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, held, sizes, text in _rows(batches):
-            block = Block(ids, held, sizes, text)
-            x = np.frombuffer(block.text, np.uint8)
-            g = np.zeros(len(x) - DEPTH, np.int64)
-            for k in range(DEPTH):
-                g <<= 8
-                g |= x[k : len(x) - DEPTH + k]
-            grams, n = np.unique(g[block.train_positions()[DEPTH:]], return_counts=True)
-            for at in range(0, len(grams), 100_000):
-                yield pa.RecordBatch.from_arrays([pa.array(grams[at : at + 100_000]), pa.array(n[at : at + 100_000])], names=["g", "n"])
-
-    return blocks.select("ids", "held", "sizes", "text").mapInArrow(run, "g long, n long").groupBy("g").agg(F.sum("n").alias("n"))
-
-
-class Tree:
-    """Contexts as a trie from the last byte backwards, over the classes of the bytes that occur in it."""
-
-    def __init__(self, contexts: list[tuple[int, int]]):
-        """``contexts``: (depth, packed bytes) without the root; every context's shorter ones are among them."""
-        contexts = sorted(contexts)
-        self.nodes = {(0, 0): 0} | {c: i + 1 for i, c in enumerate(contexts)}
-        self.depth = np.array([0, *[d for d, _ in contexts]], np.int64)
-        self.parent = np.array([0, *[self.nodes[d - 1, g & ((1 << 8 * (d - 1)) - 1)] for d, g in contexts]], np.int64)
-        last = np.array([0, *[g >> 8 * (d - 1) for d, g in contexts]], np.int64)
-        self.child = np.zeros((len(self.nodes), 256), np.int32)
-        self.child[self.parent[1:], last[1:]] = np.arange(1, len(self.nodes))
-        used = np.unique(last[1:]).tolist()
-        self.back = np.full(256, len(used), np.uint8 if len(used) < 256 else np.uint16)  # classes of context bytes
-        self.back[used] = np.arange(len(used))
-        self.width = len(used) + 1
-        self.child = np.concatenate([self.child[:, used], np.zeros((len(self.nodes), 1), np.int32)], 1).ravel()
-
-    def deepest(self, x: np.ndarray, begin: int, end: int) -> np.ndarray:
-        """The deepest context of the tree before each of the bytes begin..end of x, where begin is DEPTH at least."""
-        c = self.back[x[begin - DEPTH : end]]
-        n = end - begin
-        at = self.child.take(c[DEPTH - 1 : DEPTH - 1 + n])
-        going = at > 0
-        for k in range(2, DEPTH + 1):
-            to = self.child.take(at * self.width + c[DEPTH - k : DEPTH - k + n])
-            to *= going
-            going = to > 0
-            np.copyto(at, to, where=going)
-        return at
 
+def strings(x: np.ndarray, a: int, b: int) -> np.ndarray:
+    """The DEPTH bytes before each of the bytes a..b of x, the last one highest, and the byte itself lowest."""
+    g = np.zeros(b - a, np.int64)
+    for k in range(1, DEPTH + 1):
+        g <<= 8
+        g |= x[a - k : b - k]
+    return g << 8 | x[a:b]
+
+
+def part_of(g: np.ndarray, parts: int) -> np.ndarray:
+    """The part of each string: all of one subtree go to one."""
+    return (((g >> 8 * (DEPTH - SPLIT + 1)).astype(np.uint64) + np.uint64(1)) * _MIX >> np.uint64(33)) % np.uint64(parts)
+
+
+def added(g: list[np.ndarray], n: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct strings in order and the sums of their counts."""
+    g, n = np.concatenate(g), np.concatenate(n)
+    order = np.argsort(g, kind="stable")
+    g = g[order]
+    first = np.flatnonzero(np.concatenate([np.ones(min(1, len(g)), bool), g[1:] != g[:-1]]))
+    return g[first], np.add.reduceat(n[order], first) if len(first) else n
 
-STEP = 1 << 18
 
+def _packed(g: np.ndarray, n: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(1).compress(np.diff(g, prepend=0).tobytes() + n.astype(np.int64).tobytes())
 
-def symbol_counts(blocks: DataFrame, tree) -> DataFrame:
-    """node, symbol, n: the training bytes after each deepest context. ``tree`` is a broadcast Tree."""
+
+def _unpacked(payload: bytes) -> tuple[np.ndarray, np.ndarray]:
+    both = np.frombuffer(zstandard.ZstdDecompressor().decompress(payload), np.int64).reshape(2, -1)
+    return np.cumsum(both[0]), both[1]
+
+
+_PIECE = "part long, block long, payload binary"
+
+
+def _pieces(part: list[int], block: list[int], payload: list[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array(block, pa.int64()), pa.array(payload, pa.binary())], names=["part", "block", "payload"])
+
+
+def block_strings(blocks: DataFrame, parts: int) -> DataFrame:
+    """part, block, payload: the distinct strings of each block and how often they occur in its training texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t = tree.value
-        total = np.zeros(len(t.depth) * 256, np.int64)
-        for ids, held, sizes, text in _rows(batches):
+        for number, ids, held, sizes, text in _rows(batches):
             block = Block(ids, held, sizes, text)
-            x, train = np.frombuffer(block.text, np.uint8), block.train_positions()
-            found = []
+            x, (own, train) = np.frombuffer(block.text, np.uint8), block.positions()
+            found, counts = [], []
             for a in range(DEPTH, len(x), STEP):
                 b = min(len(x), a + STEP)
-                found.append((t.deepest(x, a, b).astype(np.int64) * 256 + x[a:b])[train[a:b]])
-            total += np.bincount(np.concatenate(found), minlength=len(total))
-        seen = np.flatnonzero(total)
-        for at in range(0, len(seen), 100_000):
-            s = seen[at : at + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(s // 256), pa.array(s % 256), pa.array(total[s])], names=["node", "symbol", "n"])
+                g, n = np.unique((strings(x, a, b) << 1 | train[a:b])[own[a:b]], return_counts=True)
+                found.append(g >> 1)
+                counts.append(n * (g & 1))
+            g, n = added(found, counts)
+            part = part_of(g, parts)
+            order = np.argsort(part, kind="stable")
+            bounds = [0, *(np.flatnonzero(np.diff(part[order])) + 1).tolist(), len(order)]
+            payloads = [_packed(g[k], n[k]) for k in (order[a:b] for a, b in zip(bounds, bounds[1:]))]
+            yield _pieces(part[order[bounds[:-1]]].astype(np.int64), [number] * len(payloads), payloads)
 
-    return blocks.select("ids", "held", "sizes", "text").mapInArrow(run, "node long, symbol long, n long").groupBy("node", "symbol").agg(F.sum("n").alias("n"))
+    return blocks.select("block", "ids", "held", "sizes", "text").mapInArrow(run, _PIECE)
 
 
-def _log_kt(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Log of the Krichevsky-Trofimov probability of a zeros and b ones in a given order."""
-    return _lgamma(a + 0.5) + _lgamma(b + 0.5) - _lgamma(a + b + 1) - np.log(np.pi)
+def subtrees(pieces: DataFrame, parts: int) -> DataFrame:
+    """part, block (-1), payload: all strings of a part with their training counts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, rows in groupby(_rows(batches), key=lambda r: r[0]):
+            g, n, more = [], [], 0
+            for _, payload in rows:
+                one = _unpacked(payload)
+                g.append(one[0])
+                n.append(one[1])
+                more += len(one[0])
+                if more > GATHERED:
+                    (g, n), more = [[c] for c in added(g, n)], 0
+            yield _pieces([part], [-1], [_packed(*added(g, n))])
+
+    return pieces.select("part", "payload").repartition(parts, "part").sortWithinPartitions("part").mapInArrow(run, _PIECE)
 
 
 def _lgamma(x: np.ndarray) -> np.ndarray:
@@ -188,107 +200,185 @@ def _lgamma(x: np.ndarray) -> np.ndarray:
     return (y - 0.5) * np.log(y) - y + 0.5 * np.log(2 * np.pi) + inv / 12 - inv**3 / 360 + inv**5 / 1260 - shift
 
 
-def weigh(tree: Tree, nodes: np.ndarray, symbols: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(classes of bytes, log10 probability of each class after each deepest node) from the counts at deepest nodes."""
-    seen = np.unique(symbols).astype(np.int64)
-    width = len(seen)
-    classes = np.full(256, width, np.int64)
-    classes[seen] = np.arange(width)
-    size = len(tree.depth)
-    rest = np.zeros((size, width), np.float32)
-    rest[nodes, classes[symbols]] = n
-    whole = rest.copy()
-    levels = [np.flatnonzero(tree.depth == d) for d in range(int(tree.depth.max()) + 1)]
-    for level in reversed(levels[1:]):
-        np.add.at(whole, tree.parent[level], whole[level])
-    bits = (seen[:, None] >> np.arange(7, -1, -1)) & 1
-    place = np.stack([(1 << k) + (seen >> (8 - k)) for k in range(8)], 1)  # decision nodes 1..255
-    used, place = np.unique(place, return_inverse=True)
-    place = place.reshape(width, 8)
-    ones, zeros = np.zeros((width, len(used))), np.zeros((width, len(used)))
-    for k in range(8):
-        ones[np.arange(width), place[:, k]] += bits[:, k]
-        zeros[np.arange(width), place[:, k]] += 1 - bits[:, k]
-    stop = np.zeros((size, len(used)), np.float32)  # weight of ending at a node
-    below: dict[int, np.ndarray] = {}
-    chunk = 2048
-    for d in range(len(levels) - 1, -1, -1):
-        up = np.zeros((len(levels[d - 1]) if d else 1, len(used)))
-        for at in range(0, len(levels[d]), chunk):
-            level = levels[d][at : at + chunk]
-            all_, some = whole[level].astype(np.float64), rest[level].astype(np.float64)
-            own = _log_kt(all_ @ zeros, all_ @ ones)
-            split = _log_kt(some @ zeros, some @ ones)
-            if d in below:
-                split += below[d][at : at + chunk]
-            high = np.maximum(own, split)
-            both = high + np.log(0.5 * np.exp(own - high) + 0.5 * np.exp(split - high))
-            stop[level] = 0.5 * np.exp(own - both)
-            if d:
-                np.add.at(up, tree.parent[level] - levels[d - 1][0], both)
-        if d:
-            below[d - 1] = up
-        below.pop(d, None)
-    kt = lambda c: (c @ ones + 0.5) / (c @ ones + c @ zeros + 1)
-    out = np.zeros((size, width + 1), np.float32)
-    path: dict[int, np.ndarray] = {}
-    for d, level in enumerate(levels):
-        # a prediction is sum over the path of (product of going on) * stop * kt; kept as (what is summed so far, product so far)
-        summed, going = np.zeros((len(level), len(used)), np.float32), np.ones((len(level), len(used)), np.float32)
-        if d:
-            up = tree.parent[level] - levels[d - 1][0]
-            summed, going = path[0][up], path[1][up]
-        for at in range(0, len(level), chunk):
-            s = slice(at, at + chunk)
-            part = level[s]
-            summed[s] += going[s] * stop[part] * kt(whole[part])
-            going[s] *= 1 - stop[part]
-            one = np.clip(summed[s] + going[s] * kt(rest[part]), 1e-12, 1 - 1e-12)
-            p = np.zeros((len(part), width))
+_SMALL = 4096
+_TABLES = {add: _lgamma(np.arange(_SMALL) + add) for add in (0.5, 1.0)}
+
+
+def _lgamma_plus(n: np.ndarray, add: float) -> np.ndarray:
+    out = _TABLES[add].take(np.minimum(n, _SMALL - 1))
+    if len(large := np.flatnonzero(n >= _SMALL)):
+        out[large] = _lgamma(n[large] + add)
+    return out
+
+
+def _log_kt(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Log of the Krichevsky-Trofimov probability of a zeros and b ones in a given order."""
+    return _lgamma_plus(a, 0.5) + _lgamma_plus(b, 0.5) - _lgamma_plus(a + b, 1.0) - np.log(np.pi)
+
+
+def _kt(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return (b + 0.5) / (a + b + 1)
+
+
+def _sums(at: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
+    return np.bincount(at, values, size)
+
+
+class Decisions:
+    """The estimates of one of the eight decisions at the contexts of one depth, an entry for each context and the bits decided before."""
+
+    def __init__(self, zeros: np.ndarray, ones: np.ndarray, exists: np.ndarray, below: np.ndarray | None = None):
+        """``below``: zeros, ones and log probability of the longer contexts of the tree, by entry; without, there are none."""
+        self.zeros, self.ones, self.exists = zeros, ones, exists
+        self.rest = (zeros, ones) if below is None else (zeros - below[0].astype(np.int64), ones - below[1].astype(np.int64))
+        own, split = _log_kt(zeros, ones), _log_kt(*self.rest) + (0 if below is None else below[2])
+        self.both = np.logaddexp(own, split) - np.log(2)
+        self.stop = 0.5 * np.exp(own - self.both)
+
+    def sent(self, parent: np.ndarray, size: int) -> np.ndarray:
+        """``below`` of the next shorter contexts."""
+        return np.stack([_sums(parent, c * self.exists, size) for c in (self.zeros, self.ones, self.both)])
+
+    def path(self, summed: np.ndarray, going: np.ndarray, one: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """What is summed on the way to each context and the weight of going on, and the probability of a one at the deepest context, from those of the shorter one."""
+        summed = summed + going * self.stop * _kt(self.zeros, self.ones)
+        going = going * (1 - self.stop)
+        return summed, going, np.where(self.exists, summed + going * _kt(*self.rest), one)
+
+
+class Subtrees:
+    """The contexts of SPLIT to DEPTH bytes of a part: for each depth the distinct strings of context and byte."""
+
+    def __init__(self, g: np.ndarray, n: np.ndarray, least: int):
+        self.levels = []  # (strings, counts, flags of those whose context is in the tree, place of each in the next level)
+        for d in range(DEPTH, SPLIT - 1, -1):
+            first = np.concatenate([[True], g[1:] >> 8 != g[:-1] >> 8])
+            node = np.cumsum(first) - 1
+            exists = (np.add.reduceat(n, np.flatnonzero(first)) >= least)[node]
+            if d == SPLIT:
+                self.levels.append((g, n, exists, None))
+                break
+            up, place = np.unique(g >> 16 << 8 | g & 255, return_inverse=True)
+            self.levels.append((g, n, exists, place))
+            g, n = up, np.bincount(place, n, len(up)).astype(np.int64)
+
+    def decided(self, k: int) -> list[tuple[Decisions, np.ndarray, np.ndarray]]:
+        """For each depth from DEPTH on: decisions after k bits, the entry of each string, and the parent's entry of each entry."""
+        entries = []
+        for g, _, _, _ in self.levels:
+            change = np.concatenate([[True], g[1:] >> (8 - k) != g[:-1] >> (8 - k)])
+            entries.append((np.cumsum(change) - 1, np.flatnonzero(change)))
+        out, below = [], None
+        for i, (g, n, exists, place) in enumerate(self.levels):
+            of, first = entries[i]
+            ones = np.add.reduceat(n * (g >> (7 - k) & 1), first)
+            x = Decisions(np.add.reduceat(n, first) - ones, ones, exists[first], below)
+            if place is None:
+                e = g[first] >> (8 - k)  # two context bytes and k bits; of the parent's, the last byte and the bits
+                out.append((x, of, e >> (8 * (SPLIT - 1) + k) << k | e & ((1 << k) - 1)))
+            else:
+                parent = entries[i + 1][0][place[first]]
+                below = x.sent(parent, len(entries[i + 1][1]))
+                out.append((x, of, parent))
+        return out
+
+    def logs(self, top: list[tuple]) -> np.ndarray:
+        """log10 probability of the byte of each string."""
+        total = np.zeros(len(self.levels[0][0]))
+        for k in range(8):
+            entry, *path = top[k]
+            for x, of, parent in reversed(self.decided(k)):
+                at = np.searchsorted(entry, parent) if entry is not None else parent
+                entry, path = None, x.path(*[c[at] for c in path])
+            one = np.clip(path[2], 1e-12, 1 - 1e-12)[of]
+            total += np.log10(np.where(self.levels[0][0] >> (7 - k) & 1, one, 1 - one))
+        return total
+
+
+#: Units of log probabilities that are summed as whole numbers, so that their order doesn't matter.
+UNIT = 1 << 20
+
+
+def tops(trees: DataFrame, least: int) -> list[tuple]:
+    """For each of the eight decisions: entries (last byte and bits), and what ``Decisions.path`` gives there; from sums over all subtrees."""
+    columns = ["zeros", "ones", "z", "o", "both"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (payload,) in _rows(batches):
+            tree = Subtrees(*_unpacked(payload), least)
             for k in range(8):
-                q = one[:, place[:, k]]
-                p += np.log(np.where(bits[:, k] == 1, q, 1 - q))
-            out[part, :width] = p / np.log(10)
-            left = np.maximum(1 - np.exp(p).sum(1), 1e-12)
-            out[part, width] = np.log10(left / max(1, 256 - width))
-        path = {0: summed, 1: going}
-    return classes, out
-
-
-class Model:
-    """Scores of texts: the tree, the classes of bytes and the log10 probability of each class after each node."""
-
-    def __init__(self, tree: Tree, classes: np.ndarray, table: np.ndarray):
-        self.tree, self.classes, self.table, self.width = tree, classes.astype(np.int32), table.ravel(), table.shape[1]
-
-    def scores(self, text: bytes, sizes: np.ndarray) -> np.ndarray:
-        """log10 probability of each text of a block."""
-        x = np.frombuffer(text, np.uint8)
-        total = np.zeros(len(x) + 1)
-        for a in range(DEPTH, len(x), STEP):
-            b = min(len(x), a + STEP)
-            total[a + 1 : b + 1] = self.table.take(self.tree.deepest(x, a, b) * self.width + self.classes[x[a:b]])
-        ends = np.cumsum(sizes + DEPTH)
-        starts = ends - sizes
-        return np.add.reduceat(total[1:], np.stack([starts, ends], 1).ravel()[:-1])[::2] if len(sizes) else np.zeros(0)
-
-
-def train(spark: SparkSession, blocks: DataFrame) -> Model:
-    grams = written(context_counts(blocks), "grams")
-    total = grams.agg(F.sum("n")).first()[0] or 0
-    least = max(2, ceil(total / CONTEXTS))
-    contexts = []
-    for d in range(1, DEPTH + 1):  # at most CONTEXTS rows each
-        suffix = grams.groupBy(F.col("g").bitwiseAND(F.lit((1 << 8 * d) - 1)).alias("g")).agg(F.sum("n").alias("n"))
-        contexts += [(d, r["g"]) for r in suffix.filter(F.col("n") >= least).select("g").collect()]
-    tree = Tree(contexts)
-    shipped = spark.sparkContext.broadcast(tree)
-    counts = symbol_counts(blocks, shipped).toPandas()  # at most a row for each node and byte
-    shipped.unpersist()
-    if not len(counts):
-        return Model(tree, np.zeros(256, np.int64), np.full((1, 1), -log10(256), np.float32))
-    classes, table = weigh(tree, counts["node"].to_numpy(), counts["symbol"].to_numpy(), counts["n"].to_numpy())
-    return Model(tree, classes, table)
+                x, _, parent = tree.decided(k)[-1]
+                entry, at = np.unique(parent, return_inverse=True)
+                whole = [_sums(at, c, len(entry)) for c in (x.zeros, x.ones)]
+                z, o, both = x.sent(at, len(entry))
+                arrays = [np.full(len(entry), k), entry, *[np.rint(c).astype(np.int64) for c in (*whole, z, o, both * UNIT)]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in arrays], names=["k", "entry", *columns])
+
+    sums = trees.select("payload").mapInArrow(run, "k long, entry long, " + ", ".join(f"{c} long" for c in columns))
+    rows = sums.groupBy("k", "entry").agg(*[F.sum(c).alias(c) for c in columns]).collect()  # at most 256 * 255
+    out = []
+    total: dict[int, int] = {r["entry"]: r["zeros"] + r["ones"] for r in rows if r["k"] == 0}
+    for k in range(8):
+        mine = sorted(tuple(r)[1:] for r in rows if r["k"] == k)
+        entry, zeros, ones, z, o, both = np.array(mine, np.int64).reshape(-1, 6).T
+        exists = np.array([total[e] >= least for e in (entry >> k).tolist()], bool)
+        last = Decisions(zeros, ones, exists, np.stack([z, o, both / UNIT]))
+        size = 1 << k
+        at = entry & (size - 1)
+        root = Decisions(_sums(at, zeros, size).astype(np.int64), _sums(at, ones, size).astype(np.int64), np.ones(size, bool), last.sent(at, size))
+        path = root.path(np.zeros(size), np.ones(size), np.zeros(size))
+        out.append((entry, *last.path(*[c[at] for c in path])))
+    return out
+
+
+def string_logs(pieces: DataFrame, trees: DataFrame, top: list[tuple], least: int, parts: int) -> DataFrame:
+    """part, block, payload: log10 probabilities of the strings of each piece, in order."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, rows in groupby(_rows(batches), key=lambda r: r[0]):
+            g = logs = None
+            for _, block, payload in rows:
+                keys, n = _unpacked(payload)
+                if block < 0:  # comes first
+                    g, logs = keys, Subtrees(keys, n, least).logs(top).astype(np.float32)
+                else:
+                    yield _pieces([part], [block], [logs[np.searchsorted(g, keys)].tobytes()])
+
+    return pieces.union(trees).repartition(parts, "part").sortWithinPartitions("part", "block").mapInArrow(run, _PIECE)
+
+
+def context_logs(blocks: DataFrame, parts: int) -> DataFrame:
+    """part, block, payload: log10 probabilities of the distinct strings of each block, by the tree of all training texts."""
+    pieces = written(block_strings(blocks, parts), "strings", "none")
+    trees = written(subtrees(pieces, parts), "subtrees", "none")
+    least = LEAST
+    if CONTEXTS:
+
+        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            yield pa.RecordBatch.from_pydict({"n": [sum(int(_unpacked(p)[1].sum()) for (p,) in _rows(batches))]})
+
+        least = max(LEAST, ceil((trees.select("payload").mapInArrow(count, "n long").agg(F.sum("n")).first()[0] or 0) / CONTEXTS))
+    return string_logs(pieces, trees, tops(trees, least), least, parts)
+
+
+def scores(block: Block, logs: list, parts: int) -> np.ndarray:
+    """log10 probability of each text of a block from the pieces (part, payload) of ``context_logs``."""
+    x, (own, _) = np.frombuffer(block.text, np.uint8), block.positions()
+    steps = []
+    for a in range(DEPTH, len(x), STEP):
+        b = min(len(x), a + STEP)
+        g, at = np.unique(strings(x, a, b)[own[a:b]], return_inverse=True)
+        steps.append((a, b, g, at.astype(np.int32)))
+    g = np.unique(np.concatenate([s[2] for s in steps]))
+    part, values = part_of(g, parts), np.zeros(len(g), np.float32)
+    order = np.argsort(part, kind="stable")
+    place = part[order]
+    for p, payload in logs:
+        values[order[np.searchsorted(place, np.uint64(p)) : np.searchsorted(place, np.uint64(p), side="right")]] = np.frombuffer(payload, np.float32)
+    total = np.zeros(len(x))
+    for a, b, mine, at in steps:
+        total[a:b][own[a:b]] = values[np.searchsorted(g, mine)][at]
+    return np.add.reduceat(total, block.ends - block.sizes)
 
 
 # Words --------------------------------------------------------------------------------------------------------------
@@ -343,9 +433,10 @@ def scored(df: DataFrame, key: str = "doc_id", text: str = "text", hold: Callabl
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of each row."""
     spark = df.sparkSession
     blocks = written(blocks_of(df, key, text, hold), "texts", "none")
-    shipped = spark.sparkContext.broadcast(train(spark, blocks))
     size = blocks.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    counts = written(word_counts(blocks, max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // (8 << 20))), "words")
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // (8 << 20))
+    logs = written(context_logs(blocks, parts), "logs", "none").groupBy("block").agg(F.collect_list(F.struct("part", "payload")).alias("logs"))
+    counts = written(word_counts(blocks, parts), "words")
 
     def totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = tokens = 0
@@ -364,8 +455,7 @@ def scored(df: DataFrame, key: str = "doc_id", text: str = "text", hold: Callabl
     pieces = counts.filter("block IS NOT NULL").groupBy("block").agg(F.collect_list(F.struct("words", "counts")).alias("words"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shipped.value
-        for ids, held, sizes, text_, words in _rows(batches):
+        for ids, held, sizes, text_, words, mine in _rows(batches):
             block = Block(ids, held, sizes, text_)
             known = {b"\n": n_texts}
             for piece in words or []:
@@ -379,11 +469,11 @@ def scored(df: DataFrame, key: str = "doc_id", text: str = "text", hold: Callabl
                 n_known.append(sum([k for _, k in got]) + end_known)
                 base.append(sum([x for x, _ in got]) + end_log)
             keys = pa.array([None if i == NO_ID else i for i in block.ids.tolist()], pa.int64())
-            score = model.scores(block.text, block.sizes)
+            score = scores(block, [(piece["part"], piece["payload"]) for piece in mine], parts)
             columns = [keys, pa.array(block.held), pa.array(tokens, pa.int64()), pa.array(n_known, pa.int64()), pa.array(np.full(len(keys), n_tokens)), pa.array(base, pa.float64()), pa.array(score)]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    joined = blocks.join(pieces, "block", "left").select("ids", "held", "sizes", "text", "words")
+    joined = blocks.join(pieces, "block", "left").join(logs, "block", "left").select("ids", "held", "sizes", "text", "words", "logs")
     return joined.mapInArrow(run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 

@@ -108,3 +108,14 @@ def test_odd_rows(spark, small):
     none = C.scored(df, hold=lambda i: True).collect()
     assert {r.train_tokens for r in none} == {0} and {r.n_known for r in none} == {0}
     assert next(r.score for r in none if r.doc_id == 2) == pytest.approx(-log10(256))
+
+
+def test_rare_contexts_count_in_a_large_corpus(spark):
+    rng = random.Random(3)
+    common = ["the thing and a stand of the kind", "und über das"]
+    rows = [(None, " ".join(rng.choice(common) for _ in range(400))) for _ in range(60)]  # 65536 contexts a depth would drop what occurs less than 9 times
+    rows += [(None, "qzjxkvbp")] * 3
+    out = next(i for i in range(100) if held(i))
+    df = spark.createDataFrame([*rows, (out, "qzjxkvbp")], "doc_id long, text string")
+    assert sum(len(t.encode()) for _, t in rows) > 8 << 16
+    assert next(r.score for r in C.scored(df).collect() if r.doc_id == out) > -7
