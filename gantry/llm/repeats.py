@@ -432,32 +432,40 @@ def _mask(docs: Block, occurrences: bytes | None, c: list[int], left: list[int],
     return mask
 
 
+_REMAINING = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
+
+
 def repeated_bytes(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept (the remaining bytes) of each row."""
+    return _remaining(df, key, text).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept")
+
+
+def _remaining(df: DataFrame, key: str, text: str) -> DataFrame:
+    """The columns of ``repeated_bytes``, and the md5 of the text where bytes go."""
 
     def run(docs: Block, mask: np.ndarray) -> Iterator[pa.RecordBatch]:
         rows = []
         for i, s, e in zip(docs.ids.tolist(), docs.starts.tolist(), docs.ends.tolist()):
             gone = mask[s:e]
             spans = int(np.count_nonzero(gone[1:] & ~gone[:-1])) + int(e > s and gone[0])
-            rows.append((None if i == NO_ID else i, e - s, int(np.count_nonzero(gone)), spans, docs.data[s:e][~gone].tobytes() if spans else docs.text[s:e]))
-        types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), types)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
+            rows.append((None if i == NO_ID else i, e - s, int(np.count_nonzero(gone)), spans, docs.data[s:e][~gone].tobytes() if spans else docs.text[s:e], hashlib.md5(docs.text[s:e]).hexdigest() if spans else None))
+        types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.string()]
+        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), types)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "hash"])
 
-    return Repeats(df, key, text).spans(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    return Repeats(df, key, text).spans(run, _REMAINING + ", hash string")
 
 
 def without_repeats(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``df`` with the text that remains. A character of which a byte went goes whole. ``key`` must tell rows apart."""
-    kept = written(repeated_bytes(df, key, text).filter("n_removed > 0").select(F.col("doc_id").alias("_key"), F.col("kept").alias("_kept")), "kept")
+    """``df`` with the text that remains. A character of which a byte went goes whole. Rows of one key (or null) and different texts each keep their own."""
+    kept = written(_remaining(df, key, text).filter("n_removed > 0").select(F.col("doc_id").alias("_key"), F.col("hash").alias("_hash"), F.col("kept").alias("_kept")), "kept")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = pa.array([None if x is None else x.decode("utf-8", "ignore") for x in batch.column(1).to_pylist()], pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column(0), texts], names=["_key", "_kept"])
+            texts = pa.array([None if x is None else x.decode("utf-8", "ignore") for x in batch.column(2).to_pylist()], pa.string())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), texts], names=["_key", "_hash", "_kept"])
 
-    decoded = kept.mapInArrow(run, "_key long, _kept string").dropDuplicates(["_key"])
-    joined = df.join(decoded, F.col(key).eqNullSafe(F.col("_key")), "left")
+    decoded = kept.mapInArrow(run, "_key long, _hash string, _kept string").dropDuplicates(["_key", "_hash"])  # equal rows lose the same bytes
+    joined = df.join(decoded, F.col(key).cast("long").eqNullSafe(F.col("_key")) & (F.md5(F.col(text).cast("binary")) == F.col("_hash")), "left")
     return joined.withColumn(text, F.coalesce("_kept", text)).select(*df.columns)
 
 

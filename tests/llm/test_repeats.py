@@ -79,3 +79,11 @@ def test_text_without_repeats(spark):
     df = spark.createDataFrame([(1, "a " + p, 7), (2, p + " b", 8), (3, None, 9)], "doc_id long, text string, _x int")
     assert sorted(map(tuple, R.without_repeats(df).collect())) == [(1, "a " + p, 7), (2, " b", 8), (3, None, 9)]
     assert R.without_repeats(df.limit(0)).collect() == []
+
+
+def test_texts_of_one_id_and_of_null_stay_apart(spark):
+    p = "ein längerer Abschnitt, der in mehreren Dokumenten wörtlich gleich vorkommt"
+    rows = [(1, "a " + p), (2, p + " b"), (2, "another text of two"), (2, "c " + p), (None, p + " d"), (None, "nothing here"), (None, "e " + p), (None, None), (2, p + " b")]
+    got = R.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = [rows[0], (2, " b"), rows[2], (2, "c"), (None, "d"), rows[5], (None, "e"), rows[7], (2, " b")]
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
