@@ -4,10 +4,10 @@ For each language a suffix automaton is built of labelled text; it recognises ev
 parsed greedily into the longest phrases each automaton knows, and the phrases, times the bits of a position in the training text, over the
 document's length estimate the cross entropy. The language with the least wins.
 
-Training reads a bounded sample: labelled documents of each of the LANGUAGES most frequent languages in the order of a hash of doc_id, whole, until
-TRAIN_BYTES are reached. A bound on that hash, from the language's count, leaves about SPARE * TRAIN_ROWS rows of it
-to be ranked, however large the corpus is. Automata become dense tables of bounded size; blocks of BLOCK bytes of all documents
-of a batch walk them in step. Every byte of a text is parsed; a phrase ends at the end of a block.
+Training reads a bounded sample of every language: its labelled documents in the order of a hash of doc_id, until
+TRAIN_BYTES are reached; the document that reaches them is cut there. Documents to be predicted are whole. A bound on that hash, from the language's count, leaves about SPARE * TRAIN_ROWS rows of it
+to be ranked, however large the corpus is. Automata become dense tables of bounded size, of LANGUAGES languages at a time: where there are more, about HELD bytes of documents are
+kept and walk one group of languages after the other. Blocks of BLOCK bytes of all documents of a batch walk the tables in step. Every byte of a text is parsed; a phrase ends at the end of a block.
 
 Cases: a null text or one without a letter is ``und`` with score 0; without labelled text all are; equal texts get equal
 results; rows may repeat; an empty table gives an empty result; extra columns are left out or, in ``identify``,
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from gantry.llm.shared import documents
 
 UNKNOWN = "und"
-LANGUAGES = 64
+LANGUAGES, HELD = 64, 32 << 20
 TRAIN_ROWS, TRAIN_BYTES = 300, 50_000
 #: Values of the hash of doc_id, and how many times TRAIN_ROWS rows a language has below the bound on it, about.
 HASHES, SPARE = 1 << 40, 4
@@ -133,41 +133,49 @@ class CrossParser:
             counts[:, k] = np.bincount(owner, count, len(texts))
         return counts
 
-    def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        plain = [normal(x) if x and LETTER.search(x) else b"" for x in texts]
-        sizes = np.array([len(x) for x in plain])
-        entropy = self.phrases(plain) * self.bits / np.maximum(sizes, 1)[:, None]
-        if not self.languages:
-            return [UNKNOWN] * len(texts), [0.0] * len(texts)
-        ranked = np.argsort(entropy, axis=1, kind="stable")
-        rows = np.arange(len(texts))
-        best = entropy[rows, ranked[:, 0]]
-        second = entropy[rows, ranked[:, 1]] if len(self.languages) > 1 else np.full(len(texts), np.inf)
-        score = np.where(second > 0, 1 - best / np.where(second > 0, second, 1), 0.0)
-        names = [self.languages[i] if n else UNKNOWN for i, n in zip(ranked[:, 0], sizes)]
-        return names, [float(s) if n else 0.0 for s, n in zip(score, sizes)]
+    def entropy(self, plain: list[bytes]) -> np.ndarray:
+        """Bits a byte of each text (rows) in each language (columns)."""
+        return self.phrases(plain) * self.bits / np.maximum([len(x) for x in plain], 1)[:, None]
+
+
+def predict(training: dict[str, bytes], texts: list[str | None]) -> tuple[list[str], list[float]]:
+    """Language and score of each text, by all languages."""
+    languages = sorted(training)
+    if not languages:
+        return [UNKNOWN] * len(texts), [0.0] * len(texts)
+    plain = [normal(x) if x and LETTER.search(x) else b"" for x in texts]
+    groups = [{x: training[x] for x in languages[i : i + LANGUAGES]} for i in range(0, len(languages), LANGUAGES)]
+    entropy = np.concatenate([parser(g).entropy(plain) for g in groups], 1)
+    ranked = np.argsort(entropy, axis=1, kind="stable")
+    rows = np.arange(len(texts))
+    best = entropy[rows, ranked[:, 0]]
+    second = entropy[rows, ranked[:, 1]] if len(languages) > 1 else np.full(len(texts), np.inf)
+    score = np.where(second > 0, 1 - best / np.where(second > 0, second, 1), 0.0)
+    names = [languages[i] if n else UNKNOWN for i, n in zip(ranked[:, 0], plain)]
+    return names, [float(s) if n else 0.0 for s, n in zip(score, plain)]
 
 
 def training_texts(labelled: DataFrame, key: str = "doc_id", lang: str = "lang", text: str = "text") -> dict[str, bytes]:
     """Language to text of the bounded sample, from rows with a language and a text."""
     h = F.pmod(F.xxhash64(key), F.lit(HASHES))
     rows = labelled.select(F.col(lang).alias("lang"), h.alias("h"), F.col(text).alias("text")).filter("lang IS NOT NULL AND text IS NOT NULL")
-    frequent = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()}
+    frequent = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}  # a row for each language
     if not frequent:
         return {}
     ends = [F.lit(x) for lang, n in frequent.items() for x in (lang, min(HASHES, -(-HASHES * SPARE * TRAIN_ROWS // n)))]
-    rows = rows.filter(F.col("h") < F.create_map(*ends)[F.col("lang")])  # of the other languages none
+    rows = rows.filter(F.col("h") < F.create_map(*ends)[F.col("lang")])
     order = Window.partitionBy("lang").orderBy("h", "size")
     first = rows.select("lang", "h", F.octet_length("text").alias("size")).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= TRAIN_ROWS)
     before = F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    edge = first.withColumn("before", F.coalesce(before, F.lit(0))).filter(F.col("before") < TRAIN_BYTES).groupBy("lang").agg(F.max("h").alias("edge")).collect()
-    chosen = F.lit(False)
-    for r in edge:  # at most LANGUAGES
-        chosen = chosen | ((F.col("lang") == r["lang"]) & (F.col("h") <= r["edge"]))
+    edges = first.withColumn("before", F.coalesce(before, F.lit(0))).filter(F.col("before") < TRAIN_BYTES).groupBy("lang").agg(F.max("h").alias("edge")).collect()
+    if not edges:
+        return {}
+    edge = F.create_map(*[F.lit(x) for r in edges for x in (r["lang"], r["edge"])])
+    begin = F.substring(F.col("text").cast("binary"), 1, TRAIN_BYTES).alias("begin")  # all that training can take of a document
     texts: dict[str, bytes] = {}
-    for r in sorted(rows.filter(chosen).collect(), key=lambda r: (r["lang"], r["h"], r["text"])):
+    for r in sorted(rows.filter(F.col("h") <= edge[F.col("lang")]).select("lang", "h", begin).collect(), key=lambda r: (r["lang"], r["h"], bytes(r["begin"]))):
         if len(got := texts.get(r["lang"], b"")) < TRAIN_BYTES:
-            texts[r["lang"]] = got + b" " + normal(r["text"])
+            texts[r["lang"]] = (got + b" " + normal(bytes(r["begin"]).decode("utf-8", "ignore")))[:TRAIN_BYTES]
     return {k: v for k, v in texts.items() if v.strip()}
 
 
@@ -183,15 +191,26 @@ def parser(texts: dict[str, bytes]) -> CrossParser:
     return _PARSERS[key][1]
 
 
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of about HELD bytes, so that few walks share the work of building each group of automata."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.nbytes for b in held) >= HELD:
+            yield pa.concat_batches(held)
+            held = []
+    if held:
+        yield pa.concat_batches(held)
+
+
 def identify(df: DataFrame, texts: dict[str, bytes], text: str = "text") -> DataFrame:
     """``df`` with lang_pred and score of each whole text."""
     rest = [c for c in df.columns if c not in ("lang_pred", "score")]
     schema = df.select(*rest).schema.add("lang_pred", "string").add("score", "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = parser(texts)
-        for batch in batches:
-            names, scores = model.predict(batch.column(batch.schema.get_field_index(text)).to_pylist())
+        for batch in batches if len(texts) <= LANGUAGES else _joined(batches):
+            names, scores = predict(texts, batch.column(batch.schema.get_field_index(text)).to_pylist())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=[*batch.schema.names, "lang_pred", "score"])
 
     return df.select(*rest).mapInArrow(run, schema)

@@ -49,3 +49,20 @@ def test_held_out_accuracy(spark):
         return
     got = L.op7_language_id(spark, where).join(spark.read.parquet(f"{where}/documents.parquet").select("doc_id", "lang"), "doc_id").filter("held_out").collect()
     assert sum(r.lang_pred == r.lang for r in got) >= 0.97 * len(got)
+
+
+def test_every_language_is_learned(spark):
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(8))
+    words = {f"x{i:02}": [word() for _ in range(12)] for i in range(L.LANGUAGES + 6)}
+    rows = [(k * 100 + j, " ".join(rng.choice(w) for _ in range(12)), x) for k, (x, w) in enumerate(words.items()) for j in range(2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    texts = L.training_texts(df)
+    assert sorted(texts) == sorted(words)
+    assert all(r.lang_pred == r.lang for r in L.identify(df, texts).collect())
+
+
+def test_long_training_document_is_cut(spark, monkeypatch):
+    monkeypatch.setattr(L, "TRAIN_BYTES", 1000)
+    df = spark.createDataFrame([(1, "über nicht " * 5000, "de"), (2, "the and " * 20, "en")], "doc_id long, text string, lang string")
+    assert {x: len(t) for x, t in L.training_texts(df).items()} == {"de": 1000, "en": 160}
