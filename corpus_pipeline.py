@@ -18,9 +18,12 @@ TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which a language is found; those without text or a letter go."""
-    found = language.identify(docs, language.training_texts(docs))
-    return found.filter(F.col("lang_pred") != language.UNKNOWN).select(*docs.columns)
+    """Documents in which a language is found; those without text or a letter go. Where lang is null it becomes the language found; without labels it stays null."""
+    texts = language.training_texts(docs)
+    if not texts:
+        return language.with_letters(docs)
+    found = language.identify(docs, texts).filter(F.col("lang_pred") != language.UNKNOWN)
+    return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

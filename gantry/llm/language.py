@@ -216,6 +216,17 @@ def identify(df: DataFrame, texts: dict[str, bytes], text: str = "text") -> Data
     return df.select(*rest).mapInArrow(run, schema)
 
 
+def with_letters(df: DataFrame, text: str = "text") -> DataFrame:
+    """The rows whose text has a letter."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
+            yield batch.filter(pa.array([bool(x and LETTER.search(x)) for x in texts], pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)
+
+
 def held_out(key: Column) -> Column:
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 

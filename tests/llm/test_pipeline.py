@@ -68,3 +68,11 @@ def test_odd_rows(spark):
         for _, stage in corpus_pipeline.STAGES:
             docs = stage(spark, docs, "").cache()
         assert docs.count() == len({r.sequence_id for r in docs.collect()})
+
+
+def test_language_id_fills_lang_and_keeps_documents_without_labels(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    rows = [(1, "the thing and with the other " * 9, "en", "s", 1), (2, "und nicht schön über das " * 9, "de", "s", 1), (3, "the other thing", None, "s", 1), (None, "nicht über das", None, "s", 1), (5, "12 !", None, "s", 1), (6, None, None, "s", 1)]
+    stage = lambda r: {(x.doc_id, x.lang) for x in corpus_pipeline.language_id(spark, spark.createDataFrame(r, schema), "").collect()}
+    assert stage(rows) == {(1, "en"), (2, "de"), (3, "en"), (None, "de")}
+    assert stage([(i, t, None, s, n) for i, t, _, s, n in rows]) == {(1, None), (2, None), (3, None), (None, None)}
