@@ -7,7 +7,7 @@ it and after it that a window with this anchor can reach.
 The contexts of an anchor are put in the order of their right sides, the suffixes that begin at the anchor, with the lengths of common prefixes of
 neighbours. A scan with a stack gives the intervals of that order with a common prefix, and within each interval the same scan over the reversed left
 sides tells where the left extensions differ. Each pair of such intervals with LENGTH bytes in all is a maximal repeat with all its occurrences (as far
-as the contexts reach; a longer passage is a chain of overlapping repeats). A byte is removed where a repeat covers it of which an occurrence lies
+as the contexts reach; a longer passage is a chain of overlapping repeats, which ``Repeats.groups`` joins). A byte is removed where a repeat covers it of which an occurrence lies
 in a document of a smaller id.
 
 Documents are kept in compressed blocks of a bounded size. Equal contexts of a block are one row, so are equal windows; an anchor with over HOT occurrences is
@@ -30,7 +30,7 @@ from itertools import groupby
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gantry.llm.shared import documents, written
@@ -246,6 +246,7 @@ def _contexts(blocks: DataFrame, parts: int) -> DataFrame:
         _, first, number = np.unique(bytes_.view(f"V{_SPAN + 2}").ravel(), return_index=True, return_inverse=True)
         least = np.full(len(first), NO_ID)
         np.minimum.at(least, number, docs.ids[doc])
+        times = np.bincount(number, minlength=len(first)).astype(np.int64)
         pack = zstandard.ZstdCompressor(3).compress
         occurrences = np.stack([doc, at, number, left, right], 1).astype(np.int32)
         yield rows([block], [-1], [pack(occurrences.tobytes())])
@@ -255,7 +256,7 @@ def _contexts(blocks: DataFrame, parts: int) -> DataFrame:
         payloads = []
         for a, b in zip(bounds, bounds[1:]):
             k = order[a:b]
-            payloads.append(pack(b"".join([k.astype(np.int64).tobytes(), keys[first[k]].tobytes(), least[k].tobytes(), bytes_[first[k]].tobytes()])))
+            payloads.append(pack(b"".join([k.astype(np.int64).tobytes(), keys[first[k]].tobytes(), least[k].tobytes(), times[k].tobytes(), bytes_[first[k]].tobytes()])))
         yield rows([block] * len(payloads), part[order[bounds[:-1]]].astype(np.int64), payloads)
 
     def rows(block, part, payload) -> pa.RecordBatch:
@@ -265,15 +266,15 @@ def _contexts(blocks: DataFrame, parts: int) -> DataFrame:
 
 
 def _unpacked(block: int, payload: bytes) -> Iterator[tuple]:
-    """(hash, block, context, left, right, least) of each context of a payload."""
+    """(hash, block, context, left, right, least, times) of each context of a payload."""
     raw = zstandard.ZstdDecompressor().decompressobj().decompress(payload)
-    n = len(raw) // (24 + _SPAN + 2)
-    number, key, least = (np.frombuffer(raw, np.int64, n, 8 * n * i).tolist() for i in range(3))
-    at = 24 * n
+    n = len(raw) // (32 + _SPAN + 2)
+    number, key, least, times = (np.frombuffer(raw, np.int64, n, 8 * n * i).tolist() for i in range(4))
+    at = 32 * n
     for i in range(n):
         row = raw[at : at + _SPAN + 2]
         at += _SPAN + 2
-        yield key[i], block, number[i], row[LEFT - row[_SPAN] : LEFT], row[LEFT : LEFT + row[_SPAN + 1]], least[i]
+        yield key[i], block, number[i], row[LEFT - row[_SPAN] : LEFT], row[LEFT : LEFT + row[_SPAN + 1]], least[i], times[i]
 
 
 def intervals(values: list[bytes], cap: int) -> Iterator[tuple[int, int, int]]:
@@ -307,7 +308,7 @@ def maximal_repeats(contexts: list[tuple[bytes, bytes]]) -> Iterator[tuple[list[
 
 
 def _groups(contexts: DataFrame, parts: int, run, schema: str) -> DataFrame:
-    """``run``(rows of one anchor) for all anchors, where rows are (hash, block, context, left, right, least)."""
+    """``run``(rows of one anchor) for all anchors, where rows are (hash, block, context, left, right, least, times)."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [x.split()[0] for x in schema.split(", ")]
@@ -346,7 +347,10 @@ def _covered(rows: list[tuple]) -> list[tuple]:
 
 def _grouped(rows: list[tuple]) -> list[tuple]:
     """(hash, number, left, right, block, context) of each member of each maximal repeat of an anchor."""
-    return [(rows[0][0], k, left, right, rows[i][1], rows[i][2]) for k, (members, left, right) in enumerate(maximal_repeats([(r[3], r[4]) for r in rows])) for i in members]
+    found = list(maximal_repeats([(r[3], r[4]) for r in rows]))
+    whole = {i for members, left, right in found for i in members if (left, right) == (len(rows[i][3]), len(rows[i][4]))}
+    found += [([i], len(r[3]), len(r[4])) for i, r in enumerate(rows) if r[6] > 1 and i not in whole]  # equal contexts of one block are one row
+    return [(rows[0][0], k, left, right, rows[i][1], rows[i][2]) for k, (members, left, right) in enumerate(found) for i in members]
 
 
 def _release(spark: SparkSession) -> None:
@@ -380,7 +384,50 @@ class Repeats:
         return written(_groups(self.contexts, self.parts, _covered, "block long, context long, left long, right long"), "reach")
 
     def groups(self) -> DataFrame:
-        """hash, number (of the group at its anchor), length, id, start: all occurrences of all maximal repeats of the distinct texts."""
+        """hash, number (of the group), length, id, start: all occurrences of all maximal repeats, copies included.
+
+        What repeats at several anchors with the same occurrences is one group. Exact copies make a group of their whole text.
+        """
+        fragments = written(self._fragments(), "fragments")
+        group = ["hash", "number"]
+        first = fragments.groupBy(*group).agg(F.min(F.struct("id", "doc", "start", "length")).alias("f")).select(*group, "f.*")
+        origin = first.select(*group, F.col("id").alias("_id"), F.col("doc").alias("_doc"), F.col("start").alias("_start"))
+        placed = fragments.join(origin, group)
+        # sums of two hashes tell sets of occurrences, relative to the first, apart
+        marks = [F.sum(F.xxhash64(F.lit(s), "doc", F.col("start") - F.col("_start")).cast("decimal(38,0)")).alias(f"mark{s}") for s in (1, 2)]
+        sets = placed.groupBy(*group).agg(F.count("*").alias("n"), *marks).join(first, group)
+        row = Window.partitionBy("n", "mark1", "mark2", "doc").orderBy("start", F.desc("length"), *group)
+        ended = F.max(F.col("start") + F.col("length")).over(row.rowsBetween(Window.unboundedPreceding, -1))
+        chained = sets.withColumn("new", F.coalesce((F.col("start") > ended).cast("int"), F.lit(1))).withColumn("chain", F.sum("new").over(row.rowsBetween(Window.unboundedPreceding, 0)))
+        chain = ["n", "mark1", "mark2", "doc", "chain"]
+        lengths = chained.groupBy(*chain).agg(F.min(F.struct("start", (-F.col("length")).alias("less"), *group)).alias("m"), (F.max(F.col("start") + F.col("length")) - F.min("start")).alias("length"))
+        kept = lengths.select("m.hash", "m.number", "length")
+        found = written(fragments.drop("length").join(kept, group), "found")  # a chain begins where its first fragment does
+        documents_ = self._documents()
+        same = documents_.groupBy("h1", "h2").agg(F.count("*").alias("times"), F.min(F.struct("id", "doc")).alias("m")).filter("times > 1").select("h1", "h2", F.col("m.doc").alias("_doc"))
+        equal = written(documents_.join(same, ["h1", "h2"]), "equal")
+        again = found.join(equal.filter("copy").select(F.col("_doc").alias("doc"), F.col("id").alias("_id")), "doc").select(*group, "length", F.col("_id").alias("id"), "start")
+        wholes = equal.filter(F.col("size") >= LENGTH).select(F.col("h1").alias("hash"), F.lit(-1).cast("long").alias("number"), F.col("size").alias("length"), "id", F.lit(0).cast("long").alias("start"))
+        parts = found.select(*group, "length", "id", "start").union(again)
+        return parts.union(wholes).withColumn("id", F.when(F.col("id") != NO_ID, F.col("id")))
+
+    def _documents(self) -> DataFrame:
+        """doc (block and place in it), id, size, h1, h2 (of the text) and copy (whether a smaller id has the text) of each row."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for block, ids, sizes, hashes, copies in zip(*[c.to_pylist() for c in batch.columns]):
+                    ids, sizes, h = np.frombuffer(ids, np.int64), np.frombuffer(sizes, np.int64), np.frombuffer(hashes, np.int64).reshape(-1, 2)
+                    copy = np.zeros(len(ids), bool)
+                    copy[copies or []] = True
+                    columns = [np.full(len(ids), block), np.arange(len(ids)), ids, sizes, h[:, 0].copy(), h[:, 1].copy(), copy]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["block", "place", "id", "size", "h1", "h2", "copy"])
+
+        rows = self.blocks.select("block", "ids", "sizes", "hashes", "copies").mapInArrow(run, "block long, place long, id long, size long, h1 long, h2 long, copy boolean")
+        return rows.select(F.struct("block", "place").alias("doc"), "id", "size", "h1", "h2", "copy")
+
+    def _fragments(self) -> DataFrame:
+        """hash, number, length, id, doc, start: all occurrences of all maximal repeats within contexts, without exact copies."""
         members = _groups(self.contexts, self.parts, _grouped, "hash long, number long, left long, right long, block long, context long")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -388,11 +435,11 @@ class Repeats:
                 for block, raw, ids, sizes in zip(*[c.to_pylist() for c in batch.columns]):
                     x = _occurrences(raw)
                     starts = np.cumsum(np.frombuffer(sizes, np.int64)) - np.frombuffer(sizes, np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), block)), pa.array(x[:, 2].copy()), pa.array(np.frombuffer(ids, np.int64)[x[:, 0]]), pa.array(x[:, 1] - starts[x[:, 0]])], names=["block", "context", "id", "at"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), block)), pa.array(x[:, 2].copy()), pa.array(np.frombuffer(ids, np.int64)[x[:, 0]]), pa.array(x[:, 0].copy()), pa.array(x[:, 1] - starts[x[:, 0]])], names=["block", "context", "id", "place", "at"])
 
         packed = self.contexts.filter("part < 0").select("block", F.col("payload").alias("occurrences")).join(self.blocks.select("block", "ids", "sizes"), "block")
-        places = packed.select("block", "occurrences", "ids", "sizes").mapInArrow(run, "block long, context long, id long, at long")
-        return members.join(places, ["block", "context"]).select("hash", "number", (F.col("left") + F.col("right")).alias("length"), "id", (F.col("at") - F.col("left")).alias("start"))
+        places = packed.select("block", "occurrences", "ids", "sizes").mapInArrow(run, "block long, context long, id long, place long, at long")
+        return members.join(places, ["block", "context"]).select("hash", "number", (F.col("left") + F.col("right")).alias("length"), "id", F.struct("block", "place").alias("doc"), (F.col("at") - F.col("left")).alias("start"))
 
     def spans(self, run, schema) -> DataFrame:
         """``run``(block, covered bytes) for each block."""

@@ -87,3 +87,19 @@ def test_texts_of_one_id_and_of_null_stay_apart(spark):
     got = R.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     want = [rows[0], (2, " b"), rows[2], (2, "c"), (None, "d"), rows[5], (None, "e"), rows[7], (2, " b")]
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+
+
+def test_groups_hold_long_passages_of_one_block_and_of_copies(spark):
+    rng = random.Random(5)
+    text = lambda n: "".join(rng.choice("abcdefghijkl ") for _ in range(n))
+    p, q, r = text(400), text(300), text(200)
+    rows = [(1, text(100) + "X" + p + "Y" + text(50)), (2, text(30) + "Z" + p + "W" + text(90)), (3, q), (4, q), (5, text(80) + "V" + r + "U"), (6, "T" + r + "S" + text(70))]
+    rows += [(7, rows[5][1]), (None, rows[5][1])]
+    got = R.Repeats(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).groups().collect()
+    sets = {}
+    for g in got:
+        sets.setdefault((g.hash, g.number, g.length), []).append((g.id, g.start))
+    sets = sorted(sorted(v, key=str) for v in sets.values())
+    where = lambda s: sorted(((i, t.index(s)) for i, t in rows if s in t), key=str)
+    assert sorted(map(str, sets)) == sorted(str(where(s)) for s in (p, q, r, rows[5][1]))
+    assert {g.length for g in got} == {400, 300, 200, 272}
