@@ -4,36 +4,43 @@ For each language a suffix automaton is built of labelled text; it recognises ev
 parsed greedily into the longest phrases each automaton knows, and the phrases, times the bits of a position in the training text, over the
 document's length estimate the cross entropy. The language with the least wins.
 
-Training reads a bounded sample of every language: its labelled documents in the order of a hash of doc_id, until
-TRAIN_BYTES are reached; the document that reaches them is cut there. Documents to be predicted are whole. A bound on that hash, from the language's count, leaves about SPARE * TRAIN_ROWS rows of it
-to be ranked, however large the corpus is. Automata become dense tables of bounded size, of LANGUAGES languages at a time: where there are more, about HELD bytes of documents are
-kept and walk one group of languages after the other. Blocks of BLOCK bytes of all documents of a batch walk the tables in step. Every byte of a text is parsed; a phrase ends at the end of a block.
+Training reads a bounded sample of every language: its labelled documents in the order of a hash of doc_id and text, until
+TRAIN_ROWS of them or TRAIN_BYTES are reached; the document that reaches the bytes is cut there. Documents to be predicted are whole. A bound on that hash, from
+the number of a language's different documents, leaves about SPARE * TRAIN_ROWS of them to be ranked, however large the corpus is and however often one is repeated.
 
-Cases: a null text or one without a letter is ``und`` with score 0; without labelled text all are; equal texts get equal
-results; rows may repeat; an empty table gives an empty result; extra columns are left out or, in ``identify``,
+Documents walk the automata PIECE_BYTES at a time, in blocks of BLOCK bytes side by side. Each block is parsed as if a phrase began with it; then blocks that continue a text
+are walked again from the state the block before has ended in, until both parses are in one state, from where on they are the same. So a phrase may
+cross any number of blocks, and the count is that of the parse of the whole text.
+
+Automata are held for LANGUAGES languages at a time: where there are more, about HELD bytes of documents are kept and walk one group of languages after the other.
+
+Cases: a null text or one without a letter (Unicode category L) is ``und`` with score 0; without labelled text all are; a very long text is one more run of blocks;
+of languages with equal entropies the first by name wins, with score 0; equal texts get equal
+results; rows may repeat, also in training, where equal rows count once; an empty table gives an empty result; extra columns are left out or, in ``identify``,
 passed through, where lang_pred and score replace columns of those names.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from math import log2
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import regex
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gantry.llm.shared import documents
 
 UNKNOWN = "und"
-LANGUAGES, HELD = 64, 32 << 20
+LANGUAGES, HELD = 16, 32 << 20
 TRAIN_ROWS, TRAIN_BYTES = 300, 50_000
-#: Values of the hash of doc_id, and how many times TRAIN_ROWS rows a language has below the bound on it, about.
+#: Values of the hash of a training document, and how many times TRAIN_ROWS documents a language has below the bound on it, about.
 HASHES, SPARE = 1 << 40, 4
-BLOCK = 4096
-LETTER = re.compile(r"[^\W\d_]")
+BLOCK, PIECE_BYTES = 1024, 4 << 20
+LETTER = regex.compile(r"\p{L}")
 _PLAIN = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in range(256))
 DEAD, ROOT = 0, 1
 
@@ -74,70 +81,119 @@ def automaton(text: bytes) -> list[dict[int, int]]:
     return moves
 
 
-class CrossParser:
-    """Automata of all languages as one table of moves; class 0 stands for bytes that no language has."""
+class Automaton:
+    """The automaton of one text as arrays: states with one move keep it; the others have a row in a table. Class 0 stands for bytes the text doesn't have."""
 
-    def __init__(self, texts: dict[str, bytes]):
-        self.languages = sorted(texts)
-        seen = sorted(set().union(*map(set, texts.values()))) if texts else []
+    def __init__(self, text: bytes):
+        moves, seen = automaton(text), sorted(set(text))
         self.classes = np.zeros(256, np.uint8)
         self.classes[seen] = np.arange(1, len(seen) + 1)
         self.width = len(seen) + 1
-        self.bits = np.array([log2(len(texts[x]) + 2) for x in self.languages])
-        tables, self.base, states = [], [], 0
-        for x in self.languages:
-            moves = automaton(texts[x])
-            table = np.zeros((len(moves), self.width), np.int32)
-            for s, m in enumerate(moves):
-                for c, t in m.items():
-                    table[s, self.classes[c]] = t
-            tables.append(table)
-            self.base.append(states)
-            states += len(moves)
-        self.moves = np.concatenate(tables).ravel() if tables else np.zeros(0, np.int32)
-        self.roots = np.stack([t[ROOT] for t in tables]) if tables else np.zeros((0, self.width), np.int32)
+        self.bits = log2(len(text) + 2)
+        self.only, self.to = np.full(len(moves), 255, np.uint8), np.zeros(len(moves), np.int32)
+        self.row = np.zeros(len(moves), np.int32)
+        wide = [s for s, m in enumerate(moves) if len(m) > 1 or s == ROOT]
+        self.row[wide] = np.arange(1, len(wide) + 1)
+        self.table = np.zeros((len(wide) + 1) * self.width, np.int32)
+        classes = self.classes.tolist()
+        for k, s in enumerate(wide):
+            for c, t in moves[s].items():
+                self.table[(k + 1) * self.width + classes[c]] = t
+        for s, m in enumerate(moves):
+            if len(m) == 1 and s != ROOT:
+                [(c, self.to[s])] = m.items()
+                self.only[s] = classes[c]
+        root = self.table[self.row[ROOT] * self.width :][: self.width]
+        self.strange = (root == DEAD).astype(np.int32)
+        self.first = np.where(root == DEAD, ROOT, root).astype(np.int32)
+
+    def walk(self, state: np.ndarray, count: np.ndarray, c: np.ndarray) -> np.ndarray:
+        """States after one more byte of each; ``count`` gets the phrases that end."""
+        to = self.table.take(self.row.take(state) * self.width + c)
+        to = np.where(self.only.take(state) == c, self.to.take(state), to)
+        stop = np.flatnonzero(to == DEAD)
+        if len(stop):
+            at = c[stop]
+            count[stop] += (state[stop] != ROOT) + self.strange[at]
+            to[stop] = self.first[at]
+        return to
+
+
+class CrossParser:
+    """The automata of some languages."""
+
+    def __init__(self, texts: dict[str, bytes]):
+        self.languages = sorted(texts)
+        self.automata = [Automaton(texts[x]) for x in self.languages]
+        self.bits = np.array([a.bits for a in self.automata])
 
     def phrases(self, texts: list[bytes]) -> np.ndarray:
         """Phrases of each text (rows) in each language (columns)."""
-        counts = np.zeros((len(texts), len(self.languages)), np.int64)
         sizes = np.array([len(x) for x in texts], np.int64)
         if not sizes.sum() or not self.languages:
-            return counts
-        codes = self.classes[np.frombuffer(b"".join(texts), np.uint8)]
-        blocks = -(-sizes // BLOCK)
-        owner = np.repeat(np.arange(len(texts)), blocks)
-        within = (np.arange(len(owner)) - np.repeat(np.cumsum(blocks) - blocks, blocks)) * BLOCK
-        begin = np.repeat(np.cumsum(sizes) - sizes, blocks) + within
-        length = np.minimum(BLOCK, np.repeat(sizes, blocks) - within)
-        order = np.argsort(-length, kind="stable")
-        owner, begin, length = owner[order], begin[order], length[order]
-        alive = np.searchsorted(-length, -np.arange(1, length[0] + 1), side="right")  # blocks of at least so many bytes
-        for k in range(len(self.languages)):
-            moves = self.moves[self.base[k] * self.width :]
-            first = np.where(self.roots[k] == DEAD, ROOT, self.roots[k]).astype(np.int32)
-            strange = self.roots[k] == DEAD
-            state = np.full(len(owner), ROOT, np.int32)
-            count = np.zeros(len(owner), np.int32)
-            for t in range(length[0]):
-                n = alive[t]
-                c = codes[begin[:n] + t]
-                s = state[:n]
-                to = moves.take(s * self.width + c)
-                stop = np.flatnonzero(to == DEAD)
-                if len(stop):
-                    at = c[stop]
-                    count[stop] += (s[stop] != ROOT).astype(np.int32) + strange[at]
-                    to[stop] = first[at]
-                state[:n] = to
-            count += state != ROOT
-            counts[:, k] = np.bincount(owner, count, len(texts))
-        return counts
+            return np.zeros((len(texts), len(self.languages)), np.int64)
+        raw, blocks = _Blocks(sizes), np.frombuffer(b"".join(texts), np.uint8)
+        return np.stack([raw.phrases(a, a.classes[blocks]) for a in self.automata], 1)
 
     def entropy(self, plain: list[bytes]) -> np.ndarray:
         """Bits a byte of each text (rows) in each language (columns)."""
         return self.phrases(plain) * self.bits / np.maximum([len(x) for x in plain], 1)[:, None]
 
 
+class _Blocks:
+    """Texts of these sizes, one after the other, in blocks of at most BLOCK bytes."""
+
+    def __init__(self, sizes: np.ndarray):
+        blocks = -(-sizes // BLOCK)
+        self.texts = len(sizes)
+        self.owner = np.repeat(np.arange(len(sizes)), blocks)
+        within = (np.arange(len(self.owner)) - np.repeat(np.cumsum(blocks) - blocks, blocks)) * BLOCK
+        self.begin = np.repeat(np.cumsum(sizes) - sizes, blocks) + within
+        self.length = np.minimum(BLOCK, np.repeat(sizes, blocks) - within)
+        self.follows = np.flatnonzero(within > 0)
+        self.last = within + BLOCK >= np.repeat(sizes, blocks)
+
+    def phrases(self, of: Automaton, codes: np.ndarray) -> np.ndarray:
+        order = np.argsort(-self.length, kind="stable")
+        begin, length = self.begin[order], self.length[order]
+        alive = np.searchsorted(-length, -np.arange(1, length[0] + 1), side="right")  # blocks of at least so many bytes
+        state, count = np.full(len(order), ROOT, np.int32), np.zeros(len(order), np.int64)
+        for t in range(length[0]):
+            n = alive[t]
+            state[:n] = of.walk(state[:n], count[:n], codes[begin[:n] + t])
+        ends, counts = np.empty_like(state), np.empty_like(count)
+        ends[order], counts[order] = state, count
+        more, ends = self._continued(of, codes, ends)
+        return np.bincount(self.owner, counts + more + (self.last & (ends != ROOT)), self.texts).astype(np.int64)
+
+    def _continued(self, of: Automaton, codes: np.ndarray, alone: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each block, the phrases that the whole text's parse has there more than its own, and the state in which the former leaves it."""
+        more, ends = np.zeros(len(alone), np.int64), alone.copy()
+        todo = self.follows[alone[self.follows - 1] != ROOT]
+        while len(todo):
+            real, guess = ends[todo - 1], np.full(len(todo), ROOT, np.int32)
+            n_real, n_guess = np.zeros(len(todo), np.int64), np.zeros(len(todo), np.int64)
+            left = alone[todo]
+            k = np.arange(len(todo))  # those whose two parses differ still
+            for t in range(BLOCK):
+                done = t >= self.length[todo[k]]
+                left[k[done]] = real[done]
+                keep = ~done & (real != guess)
+                k, real, guess = k[keep], real[keep], guess[keep]
+                if not len(k):
+                    break
+                c = codes[self.begin[todo[k]] + t]
+                a, b = n_real[k], n_guess[k]
+                real, guess = of.walk(real, a, c), of.walk(guess, b, c)
+                n_real[k], n_guess[k] = a, b
+            left[k] = real
+            more[todo] = n_real - n_guess
+            changed = todo[left != ends[todo]]
+            ends[todo] = left
+            todo = changed[~self.last[changed]] + 1
+        return more, ends
+
+
 def predict(training: dict[str, bytes], texts: list[str | None]) -> tuple[list[str], list[float]]:
     """Language and score of each text, by all languages."""
     languages = sorted(training)
@@ -157,23 +213,19 @@ def predict(training: dict[str, bytes], texts: list[str | None]) -> tuple[list[s
 
 def training_texts(labelled: DataFrame, key: str = "doc_id", lang: str = "lang", text: str = "text") -> dict[str, bytes]:
     """Language to text of the bounded sample, from rows with a language and a text."""
-    h = F.pmod(F.xxhash64(key), F.lit(HASHES))
+    h = F.pmod(F.xxhash64(key, text), F.lit(HASHES))
     rows = labelled.select(F.col(lang).alias("lang"), h.alias("h"), F.col(text).alias("text")).filter("lang IS NOT NULL AND text IS NOT NULL")
-    frequent = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}  # a row for each language
-    if not frequent:
-        return {}
-    ends = [F.lit(x) for lang, n in frequent.items() for x in (lang, min(HASHES, -(-HASHES * SPARE * TRAIN_ROWS // n)))]
-    rows = rows.filter(F.col("h") < F.create_map(*ends)[F.col("lang")])
-    order = Window.partitionBy("lang").orderBy("h", "size")
-    first = rows.select("lang", "h", F.octet_length("text").alias("size")).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= TRAIN_ROWS)
-    before = F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    edges = first.withColumn("before", F.coalesce(before, F.lit(0))).filter(F.col("before") < TRAIN_BYTES).groupBy("lang").agg(F.max("h").alias("edge")).collect()
-    if not edges:
+    different = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).collect()}  # a row for each language
+    if not different:
         return {}
-    edge = F.create_map(*[F.lit(x) for r in edges for x in (r["lang"], r["edge"])])
-    begin = F.substring(F.col("text").cast("binary"), 1, TRAIN_BYTES).alias("begin")  # all that training can take of a document
+    ends = [F.lit(x) for lang, n in different.items() for x in (lang, min(HASHES, -(-HASHES * SPARE * TRAIN_ROWS // n)))]
+    begin = F.substring(F.col("text").cast("binary"), 1, TRAIN_BYTES)  # all that training can take of a document
+    once = rows.filter(F.col("h") < F.create_map(*ends)[F.col("lang")]).groupBy("lang", "h").agg(F.min(begin).alias("begin"))
+    order = Window.partitionBy("lang").orderBy("h")
+    first = once.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= TRAIN_ROWS)
+    before = F.coalesce(F.sum(F.octet_length("begin")).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     texts: dict[str, bytes] = {}
-    for r in sorted(rows.filter(F.col("h") <= edge[F.col("lang")]).select("lang", "h", begin).collect(), key=lambda r: (r["lang"], r["h"], bytes(r["begin"]))):
+    for r in first.withColumn("before", before).filter(F.col("before") < TRAIN_BYTES).sort("lang", "h").select("lang", "begin").collect():
         if len(got := texts.get(r["lang"], b"")) < TRAIN_BYTES:
             texts[r["lang"]] = (got + b" " + normal(bytes(r["begin"]).decode("utf-8", "ignore")))[:TRAIN_BYTES]
     return {k: v for k, v in texts.items() if v.strip()}
@@ -203,13 +255,25 @@ def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.concat_batches(held)
 
 
+def _sliced(batches: Iterator[pa.RecordBatch], text: str, most: int) -> Iterator[pa.RecordBatch]:
+    """Slices of batches with about ``most`` bytes of text, or one row."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(text))), 0).to_numpy(zero_copy_only=False)
+        part = np.cumsum(sizes, dtype=np.int64) // most
+        bounds = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+        for a, b in zip(bounds, bounds[1:]):
+            if b > a:
+                yield batch.slice(a, b - a)
+
+
 def identify(df: DataFrame, texts: dict[str, bytes], text: str = "text") -> DataFrame:
     """``df`` with lang_pred and score of each whole text."""
     rest = [c for c in df.columns if c not in ("lang_pred", "score")]
     schema = df.select(*rest).schema.add("lang_pred", "string").add("score", "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches if len(texts) <= LANGUAGES else _joined(batches):
+        few = len(texts) <= LANGUAGES
+        for batch in _sliced(batches if few else _joined(batches), text, PIECE_BYTES if few else HELD):
             names, scores = predict(texts, batch.column(batch.schema.get_field_index(text)).to_pylist())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=[*batch.schema.names, "lang_pred", "score"])
 

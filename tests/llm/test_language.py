@@ -21,8 +21,28 @@ def test_phrases_match_brute_force(monkeypatch):
     train = {x: bytes(rng.choice(a) for _ in range(300)) for x, a in (("aa", b"abc "), ("bb", b"abd e"))}
     parser = L.CrossParser(train)
     texts = [bytes(rng.choice(b"abcde f") for _ in range(rng.randint(0, 90))) for _ in range(200)]
-    want = [[sum(brute(t[i : i + 16], train[x]) for i in range(0, len(t), 16)) for x in ("aa", "bb")] for t in texts]
-    assert np.array_equal(parser.phrases(texts), want)
+    texts += [train["aa"], train["bb"] * 2, b"ab" * 300, b"abc" * 500, b"a" * 333]  # phrases over many blocks, and parses that never meet
+    assert np.array_equal(parser.phrases(texts), [[brute(t, train[x]) for x in ("aa", "bb")] for t in texts])
+
+
+def test_one_phrase_over_blocks():
+    rng = random.Random(5)
+    text = bytes(rng.choice(b"abcdefgh ") for _ in range(9000))
+    assert L.CrossParser({"x": text, "y": b"ab"}).phrases([text[100:8900], b"", text[:3000] + b"~" + text[:3000]])[:, 0].tolist() == [1, 0, 3]
+
+
+def test_winner_and_score_match_brute_force():
+    rng = random.Random(6)
+    train = {x: L.normal(" ".join("".join(rng.choice(a) for _ in range(rng.randint(2, 7))) for _ in range(60))) for x, a in (("aa", "abcd"), ("bb", "bcde"), ("cc", "éabc"))}
+    texts = [None, "", "12 ² ½ Ⅷ ①", "zzz", *(" ".join("".join(rng.choice(a) for _ in range(5)) for _ in range(rng.choice((1, 9, 2000)))) for a in ("abcd", "bcde", "éabc", "xyab") for _ in range(6))]
+    names, scores = L.predict(train, texts)
+    for text, name, score in zip(texts, names, scores):
+        if not any(map(str.isalpha, text or "")):
+            assert (name, score) == ("und", 0)
+            continue
+        plain = L.normal(text)
+        bits = sorted((brute(plain, train[x]) * np.log2(len(train[x]) + 2) / len(plain), x) for x in train)
+        assert name == bits[0][1] and abs(score - (1 - bits[0][0] / bits[1][0])) < 1e-9
 
 
 def test_odd_rows(spark):
@@ -66,3 +86,11 @@ def test_long_training_document_is_cut(spark, monkeypatch):
     monkeypatch.setattr(L, "TRAIN_BYTES", 1000)
     df = spark.createDataFrame([(1, "über nicht " * 5000, "de"), (2, "the and " * 20, "en")], "doc_id long, text string, lang string")
     assert {x: len(t) for x, t in L.training_texts(df).items()} == {"de": 1000, "en": 160}
+
+
+def test_repeated_rows_and_ids_in_training(spark):
+    rows = [(None, f"the other thing {i}", "en") for i in range(40)] + [(7, "über nicht schön", "de")] * 500 + [(8, "y a-t-il", "fr")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    texts = L.training_texts(df)
+    assert texts["de"].split() == "über nicht schön".encode().split() and texts["en"].count(b"other") == 40 and texts["fr"]
+    assert L.training_texts(df.limit(0)) == {}
