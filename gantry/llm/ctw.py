@@ -15,7 +15,7 @@ sends each distinct word once and gets its corpus count back, so a frequent word
 
 Cases: a null or empty text is the end alone; without training text every byte has probability 1/256 and no token is known;
 equal texts get equal scores; rows may repeat; a null doc_id is a training row; an empty table gives an empty result;
-extra columns are left out.
+extra columns are left out; a very long text is a block of its own.
 """
 
 from __future__ import annotations
@@ -40,7 +40,6 @@ CONTEXTS: int | None = None
 END = 10
 PAD = bytes([END]) * DEPTH
 BLOCK_BYTES = 16 << 20
-NO_ID = -(1 << 63)
 
 
 def held_out(doc_id: int | None) -> bool:
@@ -50,48 +49,75 @@ def held_out(doc_id: int | None) -> bool:
 # Blocks -------------------------------------------------------------------------------------------------------------
 
 
+_BLOCK = "block long, ids binary, nulls binary, held binary, tokens binary, sizes binary, text binary, train_texts long, train_tokens long"
+
+
 def blocks_of(df: DataFrame, key: str = "doc_id", text: str = "text", hold: Callable = held_out) -> DataFrame:
-    """block, ids, held (a flag each), sizes (bytes with the end) and the compressed texts, each after DEPTH end bytes."""
+    """block, ids, nulls and held (a flag each), tokens and sizes (bytes) with the end, the compressed texts, each after DEPTH end bytes, and sums over training texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part, made, ids, texts, bytes_ = TaskContext.get().partitionId(), 0, [], [], 0
+        part, made, ids, texts, tokens, bytes_ = TaskContext.get().partitionId(), 0, [], [], [], 0
+        names = [c.split()[0] for c in _BLOCK.split(", ")]
+        kinds = [pa.int64(), *[pa.binary()] * 6, pa.int64(), pa.int64()]
 
         def out() -> pa.RecordBatch:
-            held = bytes(hold(None if i == NO_ID else i) for i in ids)
-            row = [(part << 32) + made, np.array(ids, np.int64).tobytes(), held, np.array([len(t) + 1 for t in texts], np.int64).tobytes(), zstandard.ZstdCompressor(1).compress(b"".join(PAD + t + b"\n" for t in texts))]
-            return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, [pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary()])], names=["block", "ids", "held", "sizes", "text"])
+            held = np.array([hold(i) for i in ids], bool)
+            n = np.array(tokens, np.int64)
+            packed = zstandard.ZstdCompressor(1).compress(b"".join(PAD + t + b"\n" for t in texts))
+            row = [(part << 32) + made, np.array([i or 0 for i in ids], np.int64).tobytes(), bytes(i is None for i in ids), held.tobytes(), n.tobytes(), np.array([len(t) + 1 for t in texts], np.int64).tobytes(), packed, int((~held).sum()), int(n[~held].sum())]
+            return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, kinds)], names=names)
 
         for batch in batches:
-            for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                t = b" ".join((t or "").encode().lower().split())
+            for at in range(batch.num_rows):  # texts may be long: one at a time
+                i, words = batch.column(0)[at].as_py(), (batch.column(1)[at].as_py() or "").encode().lower().split()
+                t = b" ".join(words)
                 if ids and bytes_ + len(t) > BLOCK_BYTES:
                     yield out()
-                    made, ids, texts, bytes_ = made + 1, [], [], 0
-                ids.append(NO_ID if i is None else i)
+                    made, ids, texts, tokens, bytes_ = made + 1, [], [], [], 0
+                ids.append(i)
                 texts.append(t)
+                tokens.append(len(words) + 1)
                 bytes_ += len(t)
         if ids:
             yield out()
 
-    return df.select(F.col(key).cast("long"), text).mapInArrow(run, "block long, ids binary, held binary, sizes binary, text binary")
+    return df.select(F.col(key).cast("long"), text).mapInArrow(run, _BLOCK)
 
 
 class Block:
-    def __init__(self, ids: bytes, held: bytes, sizes: bytes, text: bytes):
-        self.ids, self.held = np.frombuffer(ids, np.int64), np.frombuffer(held, np.bool_)
-        self.sizes = np.frombuffer(sizes, np.int64)
+    def __init__(self, held: bytes, sizes: bytes, text: bytes):
+        self.held, self.sizes = np.frombuffer(held, np.bool_), np.frombuffer(sizes, np.int64)
         self.text = zstandard.ZstdDecompressor().decompress(text, max_output_size=int((self.sizes + DEPTH).sum()))
         self.ends = np.cumsum(self.sizes + DEPTH)
-
-    def positions(self) -> tuple[np.ndarray, np.ndarray]:
-        """Flags of the bytes of texts, ends included, and of those of training texts."""
-        own = np.ones(len(self.text), bool)
-        starts = self.ends - self.sizes - DEPTH
+        self.begins = self.ends - self.sizes - DEPTH
+        self.data = np.frombuffer(self.text, np.uint8)
+        self.own = np.ones(len(self.text), bool)  # flags of the bytes of texts, ends included
         for k in range(DEPTH):
-            own[starts + k] = False
-        return own, own & np.repeat(~self.held, self.sizes + DEPTH)
+            self.own[self.begins + k] = False
+
+    def words(self) -> Iterator[tuple[bool, list[bytes]]]:
+        for hold, end, size in zip(self.held.tolist(), self.ends.tolist(), self.sizes.tolist()):
+            yield hold, self.text[end - size : end].split()
+
+    def steps(self) -> Iterator[tuple[int, int, np.ndarray]]:
+        """Ranges of positions and their strings, those of pads too."""
+        for a in range(DEPTH, len(self.data), STEP):
+            b = min(len(self.data), a + STEP)
+            yield a, b, strings(self.data, a, b)
+
+    def distinct(self) -> tuple[np.ndarray, np.ndarray]:
+        """The distinct strings of all texts, in order, and how often each occurs in training texts."""
+        train = np.repeat(~self.held, self.sizes + DEPTH)
+        g, n = np.empty(int(np.count_nonzero(self.own)), np.int64), 0
+        for a, b, found in self.steps():
+            mine = (found << 1 | train[a:b])[self.own[a:b]]
+            g[n : n + len(mine)] = mine
+            n += len(mine)
+        g.sort()
+        first = np.concatenate([np.zeros(min(1, n), np.int64), *[np.flatnonzero((g[a : a + STEP] ^ g[a - 1 : a - 1 + len(g[a : a + STEP])]) > 1) + a for a in range(1, n, STEP)]])
+        return g[first] >> 1, np.add.reduceat(g & 1, first) if n else first
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
@@ -152,23 +178,15 @@ def block_strings(blocks: DataFrame, parts: int) -> DataFrame:
     """part, block, payload: the distinct strings of each block and how often they occur in its training texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, ids, held, sizes, text in _rows(batches):
-            block = Block(ids, held, sizes, text)
-            x, (own, train) = np.frombuffer(block.text, np.uint8), block.positions()
-            found, counts = [], []
-            for a in range(DEPTH, len(x), STEP):
-                b = min(len(x), a + STEP)
-                g, n = np.unique((strings(x, a, b) << 1 | train[a:b])[own[a:b]], return_counts=True)
-                found.append(g >> 1)
-                counts.append(n * (g & 1))
-            g, n = added(found, counts)
+        for number, held, sizes, text in _rows(batches):
+            g, n = Block(held, sizes, text).distinct()
             part = part_of(g, parts)
             order = np.argsort(part, kind="stable")
             bounds = [0, *(np.flatnonzero(np.diff(part[order])) + 1).tolist(), len(order)]
             payloads = [_packed(g[k], n[k]) for k in (order[a:b] for a, b in zip(bounds, bounds[1:]))]
             yield _pieces(part[order[bounds[:-1]]].astype(np.int64), [number] * len(payloads), payloads)
 
-    return blocks.select("block", "ids", "held", "sizes", "text").mapInArrow(run, _PIECE)
+    return blocks.select("block", "held", "sizes", "text").mapInArrow(run, _PIECE)
 
 
 def subtrees(pieces: DataFrame, parts: int) -> DataFrame:
@@ -361,24 +379,50 @@ def context_logs(blocks: DataFrame, parts: int) -> DataFrame:
     return string_logs(pieces, trees, tops(trees, least), least, parts)
 
 
+class Lookup:
+    """Values of distinct strings, found by open addressing."""
+
+    def __init__(self, g: np.ndarray, values: np.ndarray):
+        bits = max(1, (2 * len(g)).bit_length())
+        self.last, self.shift = (1 << bits) - 1, np.uint64(64 - bits)
+        self.keys, self.values = np.full(1 << bits, -1, np.int64), np.zeros(1 << bits, np.float32)
+        left, at = np.arange(len(g)), self._place(g)
+        while len(left):
+            free = self.keys[at] == -1
+            self.keys[at[free]] = g[left[free]]
+            won = self.keys[at] == g[left]
+            self.values[at[won]] = values[left[won]]
+            left, at = left[~won], at[~won] + 1 & self.last
+
+    def _place(self, g: np.ndarray) -> np.ndarray:
+        return (g.astype(np.uint64) * _MIX >> self.shift).astype(np.int64)
+
+    def get(self, g: np.ndarray) -> np.ndarray:
+        """Values of strings, all of which are known."""
+        at = self._place(g)
+        left = np.flatnonzero(self.keys.take(at) != g)
+        while len(left):
+            at[left] = at[left] + 1 & self.last
+            left = left[self.keys.take(at[left]) != g[left]]
+        return self.values.take(at)
+
+
 def scores(block: Block, logs: list, parts: int) -> np.ndarray:
     """log10 probability of each text of a block from the pieces (part, payload) of ``context_logs``."""
-    x, (own, _) = np.frombuffer(block.text, np.uint8), block.positions()
-    steps = []
-    for a in range(DEPTH, len(x), STEP):
-        b = min(len(x), a + STEP)
-        g, at = np.unique(strings(x, a, b)[own[a:b]], return_inverse=True)
-        steps.append((a, b, g, at.astype(np.int32)))
-    g = np.unique(np.concatenate([s[2] for s in steps]))
+    g, _ = block.distinct()
     part, values = part_of(g, parts), np.zeros(len(g), np.float32)
     order = np.argsort(part, kind="stable")
     place = part[order]
     for p, payload in logs:
         values[order[np.searchsorted(place, np.uint64(p)) : np.searchsorted(place, np.uint64(p), side="right")]] = np.frombuffer(payload, np.float32)
-    total = np.zeros(len(x))
-    for a, b, mine, at in steps:
-        total[a:b][own[a:b]] = values[np.searchsorted(g, mine)][at]
-    return np.add.reduceat(total, block.ends - block.sizes)
+    known, out = Lookup(g, values), np.zeros(len(block.sizes))
+    for a, b, found in block.steps():
+        own = block.own[a:b]
+        total = np.zeros(b - a)
+        total[own] = known.get(found[own])
+        first, last = np.searchsorted(block.begins, a, side="right") - 1, np.searchsorted(block.begins, b)
+        out[first:last] += np.add.reduceat(total, np.maximum(block.begins[first:last] - a, 0))
+    return out
 
 
 # Words --------------------------------------------------------------------------------------------------------------
@@ -391,12 +435,10 @@ def word_counts(blocks: DataFrame, parts: int) -> DataFrame:
     """
 
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, ids, held, sizes, text in _rows(batches):
-            texts = Block(ids, held, sizes, text)
+        for block, held, sizes, text in _rows(batches):
             seen: Counter = Counter()
             others: set[bytes] = set()
-            for end, size, hold in zip(texts.ends.tolist(), texts.sizes.tolist(), texts.held.tolist()):
-                words = texts.text[end - size : end].split()
+            for hold, words in Block(held, sizes, text).words():
                 others.update(words) if hold else seen.update(words)
             words = [*seen, *others.difference(seen)]
             n = np.zeros(len(words), np.int64)
@@ -425,7 +467,7 @@ def word_counts(blocks: DataFrame, parts: int) -> DataFrame:
             row = [int(block[order[a]]), b" ".join([words[i] for i in mine]), counts[mine].tobytes()]
             yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, kinds)], names=names)
 
-    rows = blocks.select("block", "ids", "held", "sizes", "text").mapInArrow(distinct, "word binary, block long, n long")
+    rows = blocks.select("block", "held", "sizes", "text").mapInArrow(distinct, "word binary, block long, n long")
     return rows.repartition(parts, "word").mapInArrow(corpus, "block long, words binary, counts binary")
 
 
@@ -438,42 +480,31 @@ def scored(df: DataFrame, key: str = "doc_id", text: str = "text", hold: Callabl
     logs = written(context_logs(blocks, parts), "logs", "none").groupBy("block").agg(F.collect_list(F.struct("part", "payload")).alias("logs"))
     counts = written(word_counts(blocks, parts), "words")
 
-    def totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        texts = tokens = 0
-        for held, sizes, text_ in _rows(batches):
-            block = Block(b"", held, sizes, text_)
-            for end, size_, out in zip(block.ends.tolist(), block.sizes.tolist(), block.held.tolist()):
-                if not out:
-                    texts += 1
-                    tokens += len(block.text[end - size_ : end].split()) + 1
-        yield pa.RecordBatch.from_pydict({"texts": [texts], "tokens": [tokens]})
-
-    row = blocks.select("held", "sizes", "text").mapInArrow(totals, "texts long, tokens long").agg(F.sum("texts"), F.sum("tokens")).first()
+    row = blocks.agg(F.sum("train_texts"), F.sum("train_tokens")).first()
     n_texts, n_tokens = row[0] or 0, row[1] or 0
-    distinct = sum(int(np.frombuffer(r["counts"], np.int64)[0]) for r in counts.filter("block IS NULL").select("counts").collect()) + (n_texts > 0)
+    distinct = sum(int(np.frombuffer(r["counts"], np.int64)[0]) for r in counts.filter("block IS NULL").select("counts").collect()) + (n_texts > 0)  # a row for each part
     below = log10(n_tokens + distinct + 1)
     pieces = counts.filter("block IS NOT NULL").groupBy("block").agg(F.collect_list(F.struct("words", "counts")).alias("words"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, held, sizes, text_, words, mine in _rows(batches):
-            block = Block(ids, held, sizes, text_)
-            known = {b"\n": n_texts}
-            for piece in words or []:
-                known.update(zip(piece["words"].split(), np.frombuffer(piece["counts"], np.int64).tolist()))
-            logs = {w: (log10(c + 1) - below, c > 0) for w, c in known.items()}
-            end_log, end_known = logs[b"\n"]
-            tokens, n_known, base = [], [], []
-            for end, size_ in zip(block.ends.tolist(), block.sizes.tolist()):
-                got = [logs[w] for w in block.text[end - size_ : end].split()]
-                tokens.append(len(got) + 1)
-                n_known.append(sum([k for _, k in got]) + end_known)
-                base.append(sum([x for x, _ in got]) + end_log)
-            keys = pa.array([None if i == NO_ID else i for i in block.ids.tolist()], pa.int64())
+        for ids, nulls, held, tokens, sizes, text_, words, mine in _rows(batches):
+            block = Block(held, sizes, text_)
             score = scores(block, [(piece["part"], piece["payload"]) for piece in mine], parts)
-            columns = [keys, pa.array(block.held), pa.array(tokens, pa.int64()), pa.array(n_known, pa.int64()), pa.array(np.full(len(keys), n_tokens)), pa.array(base, pa.float64()), pa.array(score)]
+            found = {b"\n": n_texts}
+            for piece in words or []:
+                found.update(zip(piece["words"].split(), np.frombuffer(piece["counts"], np.int64).tolist()))
+            unseen = log10(1) - below
+            logs = {w: log10(c + 1) - below if c else unseen for w, c in found.items()}
+            end, n_known, base = logs[b"\n"], [], []
+            for _, of_text in block.words():
+                got = [end, *map(logs.__getitem__, of_text)]
+                n_known.append(len(got) - got.count(unseen))
+                base.append(sum(got))
+            keys = pa.array(np.frombuffer(ids, np.int64), mask=np.frombuffer(nulls, np.bool_))
+            columns = [keys, pa.array(block.held), pa.array(np.frombuffer(tokens, np.int64)), pa.array(n_known, pa.int64()), pa.array(np.full(len(keys), n_tokens)), pa.array(base, pa.float64()), pa.array(score)]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    joined = blocks.join(pieces, "block", "left").join(logs, "block", "left").select("ids", "held", "sizes", "text", "words", "logs")
+    joined = blocks.join(pieces, "block", "left").join(logs, "block", "left").select("ids", "nulls", "held", "tokens", "sizes", "text", "words", "logs")
     return joined.mapInArrow(run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
