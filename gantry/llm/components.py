@@ -27,12 +27,11 @@ def components(links: DataFrame, rounds: int = 40) -> DataFrame:
     ``links`` has columns u and v of one orderable type. Each round halves the depth of the forest at least; every
     round is written to the shared folder, and only counts and sums come to the driver. An empty table gives none.
     """
-    spark = links.sparkSession
     edges = written(links.filter("u <> v").select("u", "v").distinct(), "links")
     before = None
     for _ in range(rounds):
         stars = written(_small(_large(edges)), "stars")
-        drop_written(spark, edges)
+        drop_written(edges)
         edges = stars
         state = stars.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
         if state == before:

@@ -27,19 +27,18 @@ from math import log2
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gantry.llm.shared import documents
+from gantry.llm.shared import PIECE_BYTES, documents, released, sliced
 
 UNKNOWN = "und"
 LANGUAGES, HELD = 16, 32 << 20
 TRAIN_ROWS, TRAIN_BYTES = 300, 50_000
 #: Values of the hash of a training document, and how many times TRAIN_ROWS documents a language has below the bound on it, about.
 HASHES, SPARE = 1 << 40, 4
-BLOCK, PIECE_BYTES = 1024, 4 << 20
+BLOCK = 1024
 LETTER = regex.compile(r"\p{L}")
 _PLAIN = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in range(256))
 DEAD, ROOT = 0, 1
@@ -235,7 +234,7 @@ _PARSERS: dict[int, tuple[dict, CrossParser]] = {}
 
 
 def parser(texts: dict[str, bytes]) -> CrossParser:
-    """The worker's parser of these texts, built once."""
+    """The task's parser of these texts, built once."""
     key = hash(tuple(sorted(texts.items())))
     if key not in _PARSERS or _PARSERS[key][0] != texts:
         _PARSERS.clear()
@@ -255,27 +254,18 @@ def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.concat_batches(held)
 
 
-def _sliced(batches: Iterator[pa.RecordBatch], text: str, most: int) -> Iterator[pa.RecordBatch]:
-    """Slices of batches with about ``most`` bytes of text, or one row."""
-    for batch in batches:
-        sizes = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(text))), 0).to_numpy(zero_copy_only=False)
-        part = np.cumsum(sizes, dtype=np.int64) // most
-        bounds = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
-        for a, b in zip(bounds, bounds[1:]):
-            if b > a:
-                yield batch.slice(a, b - a)
-
-
 def identify(df: DataFrame, texts: dict[str, bytes], text: str = "text") -> DataFrame:
     """``df`` with lang_pred and score of each whole text."""
     rest = [c for c in df.columns if c not in ("lang_pred", "score")]
     schema = df.select(*rest).schema.add("lang_pred", "string").add("score", "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        few = len(texts) <= LANGUAGES
-        for batch in _sliced(batches if few else _joined(batches), text, PIECE_BYTES if few else HELD):
-            names, scores = predict(texts, batch.column(batch.schema.get_field_index(text)).to_pylist())
+        few, at = len(texts) <= LANGUAGES, rest.index(text)
+        for batch in sliced(batches if few else _joined(batches), at, PIECE_BYTES if few else HELD, 1 << 30):
+            names, scores = predict(texts, batch.column(at).to_pylist())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=[*batch.schema.names, "lang_pred", "score"])
+        _PARSERS.clear()
+        released()
 
     return df.select(*rest).mapInArrow(run, schema)
 

@@ -7,8 +7,8 @@ for each range, gives every document its place in one stream, which is cut every
 sequence is padded.
 
 Cases: a null or empty text is its end id alone; repeated rows are packed as often as they occur; an empty table gives
-no pieces; a document longer than a sequence is cut into several pieces; a null doc_id sorts first; extra columns are
-left out of the token table and may have any names.
+no pieces; a document longer than a sequence is cut into several pieces, however long it is; documents with equal keys, doc_ids and counts stand in any order; a null doc_id sorts first; extra columns are
+left out of the token table and may have any names. An added token of the file in a text becomes its id, as that tokenizer gives it.
 """
 
 from __future__ import annotations
@@ -24,12 +24,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gantry.llm.shared import documents, drop_written, written
+from gantry.llm.shared import documents, drop_written, released, sliced, written
 
 LENGTH = 1024
+#: Bytes of ids in each range of the curve, about.
+RANGE_BYTES = 32 << 20
 DIMENSIONS, BITS = 4, 12
 #: Chunks of text whose ids a Python worker keeps; a full table becomes the older one, which still answers.
-CACHE = 250_000
+CACHE = 100_000
+#: Characters of the longest chunk that is kept.
+LONG = 64
 #: White space as the byte-level pre-tokenizer's pattern has it. No pre-token holds white space after another character.
 _WS = "\t-\r \x85\xa0  -     　"
 _SPACES = frozenset(c for c in map(chr, range(0x3001)) if re.match(f"[{_WS}]", c))
@@ -47,10 +51,8 @@ def byte_characters() -> dict[str, int]:
     return {chr(b if b in plain else next(free)): b for b in range(256)}
 
 
-def merge_ranks(file: str) -> dict[bytes, int] | None:
-    """Bytes to id of a tokenizer file in which ids rise in the order of merges, so that the id is the rank; else None."""
-    with open(file, encoding="utf-8") as f:
-        whole = json.load(f)
+def merge_ranks(whole: dict) -> dict[bytes, int] | None:
+    """Bytes to id of a tokenizer file's content in which ids rise in the order of merges, so that the id is the rank; else None."""
     model, split = whole["model"], whole.get("pre_tokenizer") or {}
     if model["type"] != "BPE" or whole.get("normalizer") or split.get("type") != "ByteLevel" or split.get("add_prefix_space", True) or not split.get("use_regex", True):
         return None
@@ -64,37 +66,48 @@ def merge_ranks(file: str) -> dict[bytes, int] | None:
 class ChunkTokenizer:
     """A byte-level BPE tokenizer file, applied to whole texts by chunks that are cached.
 
-    New chunks go to the merge loop for vocabularies of ranks where the file's ids are ranks (the ids are the same, without the other
-    library's alignments), else to the tokenizer itself.
+    New chunks go to the merge loop for vocabularies of ranks (tiktoken's) where the file's ids are ranks: the ids are the same, without the
+    alignments the other library keeps. A text with one of the file's added tokens goes to the tokenizer itself, as do all texts where ids are no ranks.
     """
 
     def __init__(self, file: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(file)
-        self.tokenizer.encode_special_tokens = True
-        self.size = self.tokenizer.get_vocab_size()
+        with open(file, encoding="utf-8") as f:
+            content = json.load(f)
+        self.file, self._whole, ranks, added = file, None, merge_ranks(content), content.get("added_tokens", ())
+        #: Finds the file's added tokens in a text, the longest first.
+        self.added = re.compile("|".join(map(re.escape, sorted((x["content"] for x in added), key=len, reverse=True)))) if added else None
+        self.added_width = max([0, *(len(x["content"]) for x in added)])
+        self.plain = not any(x.get(k) for x in added for k in ("lstrip", "rstrip", "single_word"))
+        self.size = 1 + max([*content["model"]["vocab"].values(), *(x["id"] for x in added)])
         self.dtype = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.ranked = None
-        if ranks := merge_ranks(file):
+        if ranks:
             import tiktoken
 
             self.ranked = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
             self.widths = np.zeros(self.size, np.int64)
             self.widths[list(ranks.values())] = [len(t) for t in ranks]
 
+    @property
+    def whole(self):
+        """The file's own tokenizer."""
+        if self._whole is None:
+            os.environ["TOKENIZERS_PARALLELISM"] = "false"
+            from tokenizers import Tokenizer
+
+            self._whole = Tokenizer.from_file(self.file)
+        return self._whole
+
+    def _pack(self, ids: list[int]) -> bytes:
+        return np.array(ids, self.dtype).tobytes()
+
     def _learn(self, chunks: list[str]) -> None:
         """Chunks that follow each other where each begins with white space are encoded as one text and taken apart by their bytes."""
-        if self.ranked is None:
-            for c, e in zip(chunks, self.tokenizer.encode_batch(chunks, add_special_tokens=False)):
-                self.known[c] = np.array(e.ids, self.dtype).tobytes()
-            return
         chain = [c for c in chunks if c[0] in _SPACES and c[-1] not in _SPACES]
         for c in set(chunks).difference(chain):
-            self.known[c] = np.array(self.ranked.encode_ordinary(c), self.dtype).tobytes()
+            self.known[c] = self._pack(self.ranked.encode_ordinary(c))
         ids = np.array(self.ranked.encode_ordinary("".join(chain)), np.int64)
         ends = np.searchsorted(np.cumsum(self.widths[ids]), np.cumsum([len(c.encode()) for c in chain]), side="left") + 1
         packed, width, at = ids.astype(self.dtype).tobytes(), self.dtype.itemsize, 0
@@ -103,21 +116,22 @@ class ChunkTokenizer:
             at = end
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Packed ids of each text, in ``dtype``."""
-        chunks = [CHUNK.findall(x) for x in texts]
-        self._know(chunks)
+        """Packed ids of each text, in ``dtype``: those of the file's tokenizer without special tokens of its own."""
+        if self.ranked is None:
+            return [self._pack(e.ids) for e in self.whole.encode_batch(texts, add_special_tokens=False)]
+        odd = {i for i, x in enumerate(texts) if self.added and self.added.search(x)}
+        chunks = [[] if i in odd else CHUNK.findall(x) for i, x in enumerate(texts)]
+        long = self._know(chunks)
         known = self.known
-        return [b"".join(map(known.__getitem__, parts)) for parts in chunks]
-
-    def sizes(self, chunks: list[str]) -> list[int]:
-        """Packed bytes of each chunk."""
-        try:
-            return [len(self.known[c]) for c in chunks]
-        except KeyError:
-            self._know([chunks])
-            return [len(self.known[c]) for c in chunks]
-
-    def _know(self, chunks: list[list[str]]) -> None:
+        out = [b"".join(map(known.__getitem__, parts)) for parts in chunks]
+        for c in long:
+            del known[c]
+        for i in odd:
+            out[i] = self._pack(self.whole.encode(texts[i], add_special_tokens=False).ids)
+        return out
+
+    def _know(self, chunks: list[list[str]]) -> list[str]:
+        """Learns these chunks; gives those that are too long to be kept."""
         known, older = self.known, self.older
         if len(known) >= CACHE:
             self.older = older = dict(known)
@@ -130,6 +144,12 @@ class ChunkTokenizer:
                 new.append(c)
         for i in range(0, len(new), 20_000):
             self._learn(new[i : i + 20_000])
+        return [c for c in new if len(c) > LONG]
+
+    def forget(self) -> None:
+        """Drops what has been kept, at the end of a task."""
+        self.known, self.older = {}, {}
+        released()
 
 
 _TOKENIZERS: dict[str, ChunkTokenizer] = {}
@@ -190,15 +210,14 @@ def tokenized(df: DataFrame, file: str, end_id: int, doc_id: str = "doc_id", tex
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = tokenizer(file)
         table, end = signs(coder.size, DIMENSIONS), np.array([end_id], coder.dtype).tobytes()
-        for whole in batches:
-            for at in range(0, whole.num_rows, 1000):
-                batch = whole.slice(at, 1000)
-                packed = [x + end for x in coder.encode([x or "" for x in batch.column(1).to_pylist()])]
-                n = np.array([len(x) // coder.dtype.itemsize for x in packed], np.int64)
-                ids, starts = np.frombuffer(b"".join(packed), coder.dtype), np.cumsum(n) - n
-                sums = np.stack([np.add.reduceat(np.take(table[:, d], ids), starts) for d in range(DIMENSIONS)], 1)
-                key = hilbert(grid(sums, n, BITS), BITS)
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(key), pa.array(packed, pa.binary())], names=["doc_id", "n", "key", "ids"])
+        for batch in sliced(batches, 1):
+            packed = [x + end for x in coder.encode([x or "" for x in batch.column(1).to_pylist()])]
+            n = np.array([len(x) // coder.dtype.itemsize for x in packed], np.int64)
+            ids, starts = np.frombuffer(b"".join(packed), coder.dtype), np.cumsum(n) - n
+            sums = np.stack([np.add.reduceat(np.take(table[:, d], ids), starts) for d in range(DIMENSIONS)], 1)
+            key = hilbert(grid(sums, n, BITS), BITS)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(key), pa.array(packed, pa.binary())], names=["doc_id", "n", "key", "ids"])
+        coder.forget()
 
     return df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, "doc_id long, n long, key long, ids binary")
 
@@ -206,8 +225,9 @@ def tokenized(df: DataFrame, file: str, end_id: int, doc_id: str = "doc_id", tex
 def pack(tokens: DataFrame, itemsize: int, length: int = LENGTH) -> DataFrame:
     """Pieces of the table that ``tokenized`` gives: doc_id, start, length, ids, doc_tokens, sequence_id, offset."""
     spark = tokens.sparkSession
-    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     tokens = written(tokens, "tokens")
+    size = (tokens.agg(F.sum("n")).first()[0] or 0) * itemsize
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // RANGE_BYTES)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -221,14 +241,14 @@ def pack(tokens: DataFrame, itemsize: int, length: int = LENGTH) -> DataFrame:
 
     ordered = tokens.repartitionByRange(parts, "key", "doc_id").sortWithinPartitions("key", "doc_id", "n")
     placed = written(ordered.mapInArrow(place, "doc_id long, n long, ids binary, part long, at long"), "placed")
-    drop_written(spark, tokens)
+    drop_written(tokens)
     before, base = 0, {}
     for row in sorted(placed.groupBy("part").agg(F.sum("n").alias("n")).collect()):  # one row for each range
         base[row["part"]] = before
         before += row["n"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, 2):
             out: list[list] = [[] for _ in range(7)]
             for doc, n, ids, part, at in zip(*[c.to_pylist() for c in batch.columns]):
                 begin, start = base[part] + at, 0

@@ -1,17 +1,24 @@
-"""Helpers of the training-data operators: reading, cutting lineage, text words."""
+"""Helpers of the training-data operators: reading, cutting lineage, slicing batches, column names."""
 
 from __future__ import annotations
 
 import atexit
+import ctypes
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 #: Words are maximal runs of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
+#: Bytes of text that a Python worker takes from a batch at a time.
+PIECE_BYTES = 4 << 20
 
 _LOCAL: list[str] = []
 
@@ -21,10 +28,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or, where it is unset (tests), a temporary one."""
+    """The folder all executors share: spark.checkpoint.dir, or, where it is unset and Spark runs in this process alone (tests), a temporary one."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if where:
         return where.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not _LOCAL:
         _LOCAL.append(tempfile.mkdtemp(prefix="gantry-shared-"))
         atexit.register(shutil.rmtree, _LOCAL[0], True)
@@ -41,12 +50,46 @@ def written(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     path = new_path(spark, name)
     schema = df.schema
     df.write.option("compression", compression).parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    table = spark.read.schema(schema).parquet(path)
+    table.written_to = path
+    return table
 
 
-def drop_written(spark: SparkSession, df: DataFrame) -> None:
-    """Deletes the files behind a ``written`` table that no plan reads any more."""
-    jvm = spark.sparkContext._jvm
-    for file in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(file)
+def drop_written(*tables: DataFrame) -> None:
+    """Deletes the files behind ``written`` tables that no plan reads any more."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df.written_to)
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def sliced(batches: Iterator[pa.RecordBatch], text: int, most: int = PIECE_BYTES, rows: int = 2000) -> Iterator[pa.RecordBatch]:
+    """Slices of batches with about ``most`` bytes in column ``text``, or one row, and at most ``rows`` rows."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        part = np.cumsum(sizes) // most + np.arange(batch.num_rows) // rows * (1 << 40)
+        bounds = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+        for a, b in zip(bounds, bounds[1:]):
+            if b > a:
+                yield batch.slice(a, b - a)
+
+
+def released() -> None:
+    """Gives the memory of caches that a task has dropped back to the system: Spark keeps its Python workers for the next operator."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def private(df: DataFrame, *names: str) -> list[str]:
+    """Names for columns of an operator's own that no column of ``df`` has (Spark's names differ by more than case)."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out

@@ -11,14 +11,12 @@ FILE = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def reference():
-    t = Tokenizer.from_file(FILE)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(FILE)
 
 
 def test_chunks_encode_like_whole_texts():
     t, coder, rng = reference(), P.tokenizer(FILE), random.Random(1)
-    texts = ["", " ", "a\n\n b", "<|endoftext|> x", "it's  we'll\t\n", "x　y \x85z", "a\x1cb \x1c c", "日本 語", "x" * 3000]
+    texts = ["", " ", "a\n\n b", "<|endoftext|> x", "see <|endoftext|> here", "x<|endoftext|>", "a  <|endoftext|>\n\n b<|endoftext|><|endoftext|>  ", "<|endoftext|", "<|endoftext|>", "it's  we'll\t\n", "x　y \x85z", "a\x1cb \x1c c", "日本 語", "x" * 3000]
     for letters in ("ab \n", "a1!? \t ", "é日 ' s", "l're \x1c\x1f", "ab\u2009\u1680\u2028\u200b"):
         texts += ["".join(rng.choice(letters) for _ in range(rng.randint(1, 60))) for _ in range(400)]
     for text, got in zip(texts, coder.encode(texts)):
@@ -54,7 +52,7 @@ def check(rows, got):
 
 def test_pieces_tile_all_ids(spark):
     rows = [(i, " ".join(["one two", "drei", "quatre"][i % 3] for _ in range(i * 7 % 90))) for i in range(60)]
-    rows += [(100, None), (101, ""), (102, "word " * 9000), (None, "no id"), (7, "same id"), (3, "twice"), (3, "twice")]
+    rows += [(100, None), (101, ""), (102, "word " * 9000), (None, "no id"), (7, "same id"), (104, "end <|endoftext|> start"), (105, "x" * 200_000), (3, "twice"), (3, "twice")]
     df = spark.createDataFrame([(i, x, 1) for i, x in rows], "doc_id long, text string, ids int")
     check(rows, P.packed_digests(df, FILE).collect())
     assert P.packed_digests(df.limit(0), FILE).collect() == []
