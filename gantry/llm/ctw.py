@@ -24,7 +24,7 @@ import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
 from itertools import groupby
-from math import ceil, log10
+from math import log10
 
 import numpy as np
 import pyarrow as pa
@@ -32,11 +32,9 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gantry.llm.shared import documents, written
+from gantry.llm.shared import documents, released, written
 
 DEPTH, SPLIT, LEAST = 6, 2, 2
-#: A bound on the contexts of each depth, by a least count that rises with the corpus; None: no bound.
-CONTEXTS: int | None = None
 END = 10
 PAD = bytes([END]) * DEPTH
 BLOCK_BYTES = 16 << 20
@@ -110,14 +108,23 @@ class Block:
     def distinct(self) -> tuple[np.ndarray, np.ndarray]:
         """The distinct strings of all texts, in order, and how often each occurs in training texts."""
         train = np.repeat(~self.held, self.sizes + DEPTH)
-        g, n = np.empty(int(np.count_nonzero(self.own)), np.int64), 0
-        for a, b, found in self.steps():
-            mine = (found << 1 | train[a:b])[self.own[a:b]]
-            g[n : n + len(mine)] = mine
-            n += len(mine)
-        g.sort()
-        first = np.concatenate([np.zeros(min(1, n), np.int64), *[np.flatnonzero((g[a : a + STEP] ^ g[a - 1 : a - 1 + len(g[a : a + STEP])]) > 1) + a for a in range(1, n, STEP)]])
-        return g[first] >> 1, np.add.reduceat(g & 1, first) if n else first
+        found, held, n = [], [], 0
+
+        def gather() -> None:
+            g = np.concatenate(held or [np.zeros(0, np.int64)])
+            held.clear()
+            g.sort()
+            first = np.flatnonzero(np.concatenate([np.ones(min(1, len(g)), bool), (g[1:] ^ g[:-1]) > 1]))
+            found.append((g[first] >> 1, np.add.reduceat(g & 1, first) if len(g) else first))
+
+        for a, b, mine in self.steps():
+            held.append((mine << 1 | train[a:b])[self.own[a:b]])
+            n += b - a
+            if n >= SORTED:
+                gather()
+                n = 0
+        gather()
+        return added(*map(list, zip(*found)))
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
@@ -129,7 +136,8 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
 # Contexts -----------------------------------------------------------------------------------------------------------
 
 
-STEP = 1 << 18
+#: Positions that are looked at, and strings that are sorted, at a time.
+STEP, SORTED = 1 << 18, 1 << 22
 #: Strings that a part gathers before it adds them up.
 GATHERED = 2_000_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -369,14 +377,7 @@ def context_logs(blocks: DataFrame, parts: int) -> DataFrame:
     """part, block, payload: log10 probabilities of the distinct strings of each block, by the tree of all training texts."""
     pieces = written(block_strings(blocks, parts), "strings", "none")
     trees = written(subtrees(pieces, parts), "subtrees", "none")
-    least = LEAST
-    if CONTEXTS:
-
-        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            yield pa.RecordBatch.from_pydict({"n": [sum(int(_unpacked(p)[1].sum()) for (p,) in _rows(batches))]})
-
-        least = max(LEAST, ceil((trees.select("payload").mapInArrow(count, "n long").agg(F.sum("n")).first()[0] or 0) / CONTEXTS))
-    return string_logs(pieces, trees, tops(trees, least), least, parts)
+    return string_logs(pieces, trees, tops(trees, LEAST), LEAST, parts)
 
 
 class Lookup:
@@ -477,35 +478,48 @@ def scored(df: DataFrame, key: str = "doc_id", text: str = "text", hold: Callabl
     blocks = written(blocks_of(df, key, text, hold), "texts", "none")
     size = blocks.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // (8 << 20))
-    logs = written(context_logs(blocks, parts), "logs", "none").groupBy("block").agg(F.collect_list(F.struct("part", "payload")).alias("logs"))
     counts = written(word_counts(blocks, parts), "words")
-
     row = blocks.agg(F.sum("train_texts"), F.sum("train_tokens")).first()
     n_texts, n_tokens = row[0] or 0, row[1] or 0
     distinct = sum(int(np.frombuffer(r["counts"], np.int64)[0]) for r in counts.filter("block IS NULL").select("counts").collect()) + (n_texts > 0)  # a row for each part
     below = log10(n_tokens + distinct + 1)
-    pieces = counts.filter("block IS NOT NULL").groupBy("block").agg(F.collect_list(F.struct("words", "counts")).alias("words"))
+    unseen = log10(1) - below
+
+    # all that belongs to a block, in the order of ``kind``: its texts, the logs of its strings, the counts of its words
+    columns = ["block", "kind", "part", "ids", "nulls", "held", "tokens", "sizes", "text", "counts"]
+    types = dict(block="long", kind="int", part="long") | {c: "binary" for c in columns[3:]}
+    row_of = lambda d, kind, **has: d.select(*[F.lit(kind).alias(c) if c == "kind" else F.col(has.get(c, c)).alias(c) if has.get(c, c) in d.columns else F.lit(None).cast(types[c]).alias(c) for c in columns])
+    logs = context_logs(blocks, parts)
+    rows = row_of(blocks, 0).unionByName(row_of(logs, 1, text="payload")).unionByName(row_of(counts.filter("block IS NOT NULL"), 2, text="words"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, nulls, held, tokens, sizes, text_, words, mine in _rows(batches):
-            block = Block(held, sizes, text_)
-            score = scores(block, [(piece["part"], piece["payload"]) for piece in mine], parts)
-            found = {b"\n": n_texts}
-            for piece in words or []:
-                found.update(zip(piece["words"].split(), np.frombuffer(piece["counts"], np.int64).tolist()))
-            unseen = log10(1) - below
-            logs = {w: log10(c + 1) - below if c else unseen for w, c in found.items()}
-            end, n_known, base = logs[b"\n"], [], []
-            for _, of_text in block.words():
-                got = [end, *map(logs.__getitem__, of_text)]
+        for _, mine in groupby(_rows(batches), key=lambda r: r[0]):
+            _, _, _, ids, nulls, held, tokens, sizes, texts, _ = next(mine)
+            block, pieces, score = Block(held, sizes, texts), [], None
+            known = {b"\n": n_texts}
+            for _, kind, part, *_, payload, found in mine:
+                if kind == 1:
+                    pieces.append((part, payload))
+                    continue
+                if score is None:
+                    score, pieces = scores(block, pieces, parts), []
+                known.update(zip(payload.split(), np.frombuffer(found, np.int64).tolist()))
+            if score is None:  # no words at all
+                score = scores(block, pieces, parts)
+            for w, c in known.items():
+                known[w] = log10(c + 1) - below if c else unseen
+            end, n_known, base = known[b"\n"], [], []
+            for _, words in block.words():
+                got = [end, *map(known.__getitem__, words)]
                 n_known.append(len(got) - got.count(unseen))
                 base.append(sum(got))
             keys = pa.array(np.frombuffer(ids, np.int64), mask=np.frombuffer(nulls, np.bool_))
-            columns = [keys, pa.array(block.held), pa.array(np.frombuffer(tokens, np.int64)), pa.array(n_known, pa.int64()), pa.array(np.full(len(keys), n_tokens)), pa.array(base, pa.float64()), pa.array(score)]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+            found = [keys, pa.array(block.held), pa.array(np.frombuffer(tokens, np.int64)), pa.array(n_known, pa.int64()), pa.array(np.full(len(keys), n_tokens)), pa.array(base, pa.float64()), pa.array(score)]
+            yield pa.RecordBatch.from_arrays(found, names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+        released()
 
-    joined = blocks.join(pieces, "block", "left").join(logs, "block", "left").select("ids", "nulls", "held", "tokens", "sizes", "text", "words", "logs")
-    return joined.mapInArrow(run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    dealt = rows.repartition(parts, "block").sortWithinPartitions("block", "kind")
+    return dealt.mapInArrow(run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
 def op9_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -77,16 +77,16 @@ def brute(rows, least):
 
 @pytest.fixture
 def small(monkeypatch):
-    monkeypatch.setattr(C, "CONTEXTS", 40)
     monkeypatch.setattr(C, "BLOCK_BYTES", 1500)
+    monkeypatch.setattr(C, "STEP", 100)
+    monkeypatch.setattr(C, "SORTED", 250)
 
 
 def test_scores_match_the_definition(spark, small):
     rows = texts(random.Random(1), 60)
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     got = {r.doc_id: r for r in C.scored(df).collect()}
-    n = sum(len(C.PAD) * 0 + len(b" ".join(t.encode().split())) + 1 for i, t in rows if not held(i))
-    want = brute(rows, max(2, -(-n // 40)))
+    want = brute(rows, C.LEAST)
     for i, t in rows:
         assert got[i].score == pytest.approx(want[i], rel=1e-4), i
     tokens = [w for i, t in rows if not held(i) for w in [*t.split(), "\n"]]
@@ -99,10 +99,11 @@ def test_scores_match_the_definition(spark, small):
 
 
 def test_odd_rows(spark, small):
-    rows = [(1, None), (2, ""), (None, "the the"), (4, "The\tTHE"), (4, "The\tTHE"), (16, "unseen Ω bytes"), (6, "w " * 50_000)]
+    rows = [(1, None), (2, ""), (None, "the the"), (4, "The\tTHE"), (4, "The\tTHE"), (16, "unseen Ω bytes"), (6, "w " * 50_000), (-(1 << 63), "least id")]
     df = spark.createDataFrame([(*r, 0.5) for r in rows], "doc_id long, text string, score double")
     got = C.scored(df).collect()
-    assert sorted(r.n_tokens for r in got) == [1, 1, 3, 3, 3, 4, 50_001]
+    assert sorted(r.n_tokens for r in got) == [1, 1, 3, 3, 3, 3, 4, 50_001]
+    assert {r.doc_id for r in got} == {i for i, _ in rows}
     assert all(r.score < 0 and r.base_score < 0 for r in got)
     assert C.scored(df.limit(0)).collect() == []
     none = C.scored(df, hold=lambda i: True).collect()
