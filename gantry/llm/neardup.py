@@ -5,13 +5,13 @@ Under each hash function both the least and the greatest value of a shingle set
 make candidates: sets of a similarity of 0.8 share none of the bands with a probability under 2e-5.
 
 Equal sets are one node from the start. In each bucket the least node is the pivot; every other node's similarity to
-it is computed on full sets. Nodes that link with their pivot need no more tests among each other. A node that doesn't
+it is computed on full sets, the nodes of a pivot being dealt out over SALTS groups, each of which gets the pivot's set once. Nodes that link with their pivot need no more tests among each other. A node that doesn't
 is tested against all nodes that share that pivot, except where the triangle inequality of the Jaccard distance rules a link out; groups are
 dealt out in blocks, so no task holds more than two blocks. Thus no pair in a bucket stays undecided, and no
 list of all pairs is made. Components come from the confirmed links.
 
 Cases: a null or empty text, or one without words, has no shingles and links with nothing; one with fewer words than a shingle is one
-shingle of all its words; repeated rows and equal texts share a component; a null doc_id is never a component's least id
+shingle of all its words; a very long text is hashed whole, as a slice of its own; all ties go to the least id or node; repeated rows and equal texts share a component; a null doc_id is never a component's least id
 unless all its ids are null; an empty table gives an empty result; extra columns are left out of
 ``near_duplicates`` and pass through ``keep_first``.
 """
@@ -29,12 +29,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DecimalType, LongType
 
 from gantry.llm.components import components
-from gantry.llm.shared import documents, written
+from gantry.llm.shared import documents, drop_written, private, released, sliced, written
 
 SHINGLE, PERCENT = 5, 80
 HASHES, ROWS = 108, 6
 BANDS = 2 * HASHES // ROWS
-BLOCK = 400
+BLOCK, SALTS = 400, 64
 _NODE = "decimal(38,0)"
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -109,15 +109,15 @@ def signed(df: DataFrame, size: int) -> DataFrame:
     """row, n_shingles, node and bands of each row of (row, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, 500):
-                batch = whole.slice(at, 500)
-                sets = shingle_sets(batch.column(1).to_pylist(), size)
-                full = [s for s in sets if len(s)]
-                keys = bands(full).ravel() if full else np.zeros(0, np.int64)
-                offsets = np.concatenate([[0], np.cumsum([BANDS * (len(s) > 0) for s in sets])]).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys))
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), _nodes(sets), lists], names=["row", "n_shingles", "node", "bands"])
+        for batch in sliced(batches, 1, rows=500):
+            sets = shingle_sets(batch.column(1).to_pylist(), size)
+            full = [s for s in sets if len(s)]
+            keys = bands(full).ravel() if full else np.zeros(0, np.int64)
+            offsets = np.concatenate([[0], np.cumsum([BANDS * (len(s) > 0) for s in sets])]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), _nodes(sets), lists], names=["row", "n_shingles", "node", "bands"])
+        _WORDS.clear()
+        released()
 
     schema = df.select("row").schema.add("n_shingles", "long").add("node", DecimalType(38, 0)).add("bands", ArrayType(LongType()))
     return df.select("row", "text").mapInArrow(run, schema)
@@ -127,27 +127,36 @@ def _sets_of(df: DataFrame, size: int) -> DataFrame:
     """node and set (packed hashes) of each row of (node, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, 1):
             sets = shingle_sets(batch.column(1).to_pylist(), size)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.tobytes() for s in sets], pa.binary())], names=["node", "set"])
+        _WORDS.clear()
+        released()
 
     return df.select("node", "text").mapInArrow(run, f"node {_NODE}, set binary")
 
 
-def _with_pivot(pairs: DataFrame) -> DataFrame:
-    """p, x, common, nx, np: sizes of the sets and of their intersection, of rows (p, x, ps, xs)."""
+def _with_pivot(rows: DataFrame) -> DataFrame:
+    """p, s, x, common, nx, np: sizes of the sets and of their intersection, of rows (p, s, x, set), where the pivot's own row, without x, comes first in each group (p, s)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        pivot = np.zeros(0, np.uint64)
+        for batch in sliced(batches, 3):
             common, nx, np_ = [], [], []
-            for a, b in zip(batch.column(2), batch.column(3)):
-                a, b = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)
-                common.append(len(np.intersect1d(a, b, assume_unique=True)))
-                np_.append(len(a))
-                nx.append(len(b))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(common, pa.int64()), pa.array(nx, pa.int64()), pa.array(np_, pa.int64())], names=["p", "x", "common", "nx", "np"])
-
-    return pairs.select("p", "x", "ps", "xs").mapInArrow(run, f"p {_NODE}, x {_NODE}, common long, nx long, np long")
+            own = batch.column(2).is_null().to_pylist()
+            for is_pivot, raw in zip(own, batch.column(3)):
+                found = np.frombuffer(raw.as_buffer(), np.uint64)
+                if is_pivot:
+                    pivot = found.copy()
+                    continue
+                at = np.minimum(np.searchsorted(pivot, found), len(pivot) - 1)
+                common.append(int(np.count_nonzero(pivot[at] == found)))
+                np_.append(len(pivot))
+                nx.append(len(found))
+            rest = batch.select([0, 1, 2]).filter(pa.array([not x for x in own]))
+            yield pa.RecordBatch.from_arrays([*rest.columns, pa.array(common, pa.int64()), pa.array(nx, pa.int64()), pa.array(np_, pa.int64())], names=["p", "s", "x", "common", "nx", "np"])
+
+    return rows.select("p", "s", "x", "set").mapInArrow(run, f"p {_NODE}, s int, x {_NODE}, common long, nx long, np long")
 
 
 def _linked(common, union) -> bool:
@@ -219,26 +228,29 @@ def _block_links(rows: DataFrame) -> DataFrame:
     return rows.select("p", "bx", "by", "probe", "x", "d", "xs", "linked").mapInArrow(run, f"u {_NODE}, v {_NODE}")
 
 
-def links(rows: DataFrame, texts: DataFrame, size: int) -> DataFrame:
-    """Confirmed links u, v between nodes. ``rows`` is what ``signed`` gives, written; ``texts`` has row and text."""
+def links(rows: DataFrame, texts: DataFrame, size: int) -> tuple[DataFrame, list[DataFrame]]:
+    """Confirmed links u, v between nodes, and the written tables they are made of. ``rows`` is what ``signed`` gives, written; ``texts`` has row and text."""
     member = rows.filter("node IS NOT NULL").select(F.explode("bands").alias("band"), F.col("node").alias("x")).distinct()
     bucket = member.groupBy("band").agg(F.min("x").alias("p"), F.count("*").alias("n")).filter("n > 1").select("band", "p")
-    edges = written(member.join(bucket, "band").filter("x <> p").select("p", "x").distinct(), "edges")
+    salt = F.pmod(F.xxhash64("x"), F.lit(SALTS)).cast("int").alias("s")
+    edges = written(member.join(bucket, "band").filter("x <> p").select("p", "x").distinct().select("p", salt, "x"), "edges")
     wanted = edges.select(F.col("p").alias("node")).unionByName(edges.select(F.col("x").alias("node"))).distinct()
     pick = rows.filter("node IS NOT NULL").groupBy("node").agg(F.min("row").alias("row")).join(wanted, "node", "left_semi")
     sets = written(_sets_of(texts.join(pick, "row").select("node", "text"), size).dropDuplicates(["node"]), "sets", "none")
-    pairs = edges.join(sets.select(F.col("node").alias("x"), F.col("set").alias("xs")), "x").join(sets.select(F.col("node").alias("p"), F.col("set").alias("ps")), "p")
-    tested = _with_pivot(pairs).withColumn("d", 1 - F.col("common") / (F.col("nx") + F.col("np") - F.col("common")))
+    others = edges.join(sets.withColumnRenamed("node", "x"), "x").select("p", "s", "x", "set")
+    pivots = edges.select("p", "s").distinct().join(sets.withColumnRenamed("node", "p"), "p").select("p", "s", F.lit(None).cast(_NODE).alias("x"), "set")
+    dealt = pivots.unionByName(others).repartition("p", "s").sortWithinPartitions("p", "s", F.asc_nulls_first("x"))
+    tested = _with_pivot(dealt).withColumn("d", 1 - F.col("common") / (F.col("nx") + F.col("np") - F.col("common")))
     tested = written(tested.withColumn("linked", 100 * F.col("common") >= PERCENT * (F.col("nx") + F.col("np") - F.col("common"))), "tested")
     open_ = tested.groupBy("p").agg(F.count("*").alias("n"), F.count_if(~F.col("linked")).alias("f")).filter("n > 1 AND f > 0")
-    open_ = open_.select("p", F.ceil(F.col("n") / BLOCK).cast("int").alias("nb"), F.ceil(F.col("f") / BLOCK).cast("int").alias("fb"))
-    members = tested.select("p", "x", "d", "linked").join(open_, "p")
+    open_ = open_.select("p", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("s"), F.ceil(F.col("n") / BLOCK).cast("int").alias("nb"), F.ceil(F.col("f") / BLOCK).cast("int").alias("fb"))
+    members = tested.select("p", "s", "x", "d", "linked").join(open_, ["p", "s"])
     block = lambda n: F.pmod(F.xxhash64("x"), n).cast("int")
     probes = members.filter(~F.col("linked")).select("p", "x", "d", "linked", F.lit(True).alias("probe"), block(F.col("fb")).alias("bx"), F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("by"))
     others = members.select("p", "x", "d", "linked", F.lit(False).alias("probe"), F.explode(F.sequence(F.lit(0), F.col("fb") - 1)).alias("bx"), block(F.col("nb")).alias("by"))
     dealt = probes.unionByName(others).join(sets.select(F.col("node").alias("x"), F.col("set").alias("xs")), "x")
     more = _block_links(dealt.repartition("p", "bx", "by").sortWithinPartitions("p", "bx", "by"))
-    return tested.filter("linked").select(F.col("p").alias("u"), F.col("x").alias("v")).unionByName(more)
+    return tested.filter("linked").select(F.col("p").alias("u"), F.col("x").alias("v")).unionByName(more), [edges, sets, tested]
 
 
 def near_duplicates(df: DataFrame, size: int = SHINGLE, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -246,12 +258,15 @@ def near_duplicates(df: DataFrame, size: int = SHINGLE, key: str = "doc_id", tex
     row = F.struct(F.col(key).alias("key"), F.xxhash64(text).alias("h"))
     texts = df.select(row.alias("row"), F.col(text).alias("text"))
     rows = written(signed(texts, size), "signed")
-    found = components(links(rows, texts, size))
+    linked, used = links(rows, texts, size)
+    found = components(linked)
+    drop_written(*used)
     first = rows.filter("node IS NOT NULL").groupBy("node").agg(F.min("row.key").alias("first"))
     labelled = first.join(found.select(F.col("u").alias("node"), F.col("v").alias("root")), "node", "left").withColumn("root", F.coalesce("root", "node"))
     labelled = written(labelled, "labelled")
     least = written(labelled.groupBy("root").agg(F.min("first").alias("component")), "least")
     by_node = written(labelled.join(least, "root").select("node", "component"), "classes")
+    drop_written(labelled, least, found)
     classes = rows.select("row", "n_shingles", "node").join(by_node, "node", "left")
     component = F.coalesce("component", "row.key")
     kept = F.col("row.key").eqNullSafe(component)
@@ -260,9 +275,12 @@ def near_duplicates(df: DataFrame, size: int = SHINGLE, key: str = "doc_id", tex
 
 def keep_first(df: DataFrame, size: int = SHINGLE, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``df`` with the least key of their component; of repeated rows one stays."""
-    kept = near_duplicates(df, size, key, text).filter("kept").select(F.col(key).alias("_key"), "h").distinct()
-    hashed = df.withColumn("_h", F.xxhash64(text))
-    return hashed.join(kept, hashed[key].eqNullSafe(kept["_key"]) & (hashed["_h"] == kept["h"]), "left_semi").dropDuplicates([key, "_h"]).drop("_h")
+    own_key, own_hash = private(df, "_key", "_h")
+    kept = near_duplicates(df, size, key, text).filter("kept").select(F.col(key).alias(own_key), F.col("h").alias("h")).distinct()
+    kept = kept.withColumnRenamed("h", own_hash)
+    stays = F.col(key).eqNullSafe(F.col(own_key)) & (F.xxhash64(text) == F.col(own_hash))
+    hashed = df.withColumn(*private(df, "_text_h"), F.xxhash64(text))
+    return hashed.join(kept, stays, "left_semi").dropDuplicates([key, hashed.columns[-1]]).select(*df.columns)
 
 
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,15 +15,13 @@ taken apart into its windows, each of which has one row for each block at most.
 one row for each block. Exact copies are found first; all but the least id leave before anchors are taken.
 
 Cases: a null text counts as empty; texts under LENGTH bytes lose nothing; rows with one id never remove bytes of each
-other; a null id counts as larger than all others; an empty table gives an empty result; extra columns are left out of
-``repeated_bytes`` and pass through ``without_repeats``.
+other; a null id counts as the largest of 64-bit numbers; an empty table gives an empty result; extra columns are left out of
+``repeated_bytes`` and pass through ``without_repeats``; a very long text is a block of its own.
 """
 
 from __future__ import annotations
 
-import gc
 import hashlib
-import time
 from collections.abc import Iterator
 from itertools import groupby
 
@@ -33,7 +31,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gantry.llm.shared import documents, written
+from gantry.llm.shared import documents, drop_written, private, released, written
 
 LENGTH, ANCHOR = 50, 24
 WINDOW = LENGTH - ANCHOR + 1
@@ -127,31 +125,32 @@ class Block:
 
 
 def blocks_of(df: DataFrame, key: str, text: str) -> DataFrame:
-    """block, ids, sizes, hashes, bytes and the compressed text of up to BLOCK_BYTES (or one document) a row."""
+    """block, ids, sizes, hashes, bytes, the compressed text and flags of null ids of up to BLOCK_BYTES (or one document) a row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part, made, rows, held = TaskContext.get().partitionId(), 0, [], 0
+        part, made, rows, nulls, held = TaskContext.get().partitionId(), 0, [], [], 0
 
         def out() -> pa.RecordBatch:
             raw = [t for _, t in rows]
             hashes = b"".join(hashlib.blake2b(t, digest_size=16).digest() for t in raw)
-            row = [(part << 32) + made, np.array([i for i, _ in rows], np.int64).tobytes(), np.array([len(t) for t in raw], np.int64).tobytes(), hashes, held, zstandard.ZstdCompressor(1).compress(b"".join(raw))]
-            return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, [pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.binary()])], names=["block", "ids", "sizes", "hashes", "bytes", "text"])
+            row = [(part << 32) + made, np.array([i for i, _ in rows], np.int64).tobytes(), np.array([len(t) for t in raw], np.int64).tobytes(), hashes, held, zstandard.ZstdCompressor(1).compress(b"".join(raw)), bytes(nulls)]
+            return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, [pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.binary(), pa.binary()])], names=["block", "ids", "sizes", "hashes", "bytes", "text", "nulls"])
 
         for batch in batches:
             for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 t = (t or "").encode()
                 if rows and held + len(t) > BLOCK_BYTES:
                     yield out()
-                    made, rows, held = made + 1, [], 0
+                    made, rows, nulls, held = made + 1, [], [], 0
                 rows.append((NO_ID if i is None else i, t))
+                nulls.append(i is None)
                 held += len(t)
         if rows:
             yield out()
 
-    return df.select(F.col(key).cast("long"), text).mapInArrow(run, "block long, ids binary, sizes binary, hashes binary, bytes long, text binary")
+    return df.select(F.col(key).cast("long"), text).mapInArrow(run, "block long, ids binary, sizes binary, hashes binary, bytes long, text binary, nulls binary")
 
 
 def _copies(blocks: DataFrame) -> DataFrame:
@@ -168,34 +167,56 @@ def _copies(blocks: DataFrame) -> DataFrame:
     return rows.join(least, ["h1", "h2"]).filter("id > least").groupBy("block").agg(F.collect_list("place").alias("copies"))
 
 
+def _packed(hashes: np.ndarray, counts: np.ndarray) -> bytes:
+    """Sorted hashes and their counts: bytes of the differences, plane by plane, as most of a plane is noise or zero."""
+    planes = np.diff(hashes, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T
+    return zstandard.ZstdCompressor(1).compress(np.ascontiguousarray(planes).tobytes() + counts.astype(np.int32).view(np.uint8).reshape(-1, 4).T.tobytes())
+
+
+def _unpack(payload: bytes) -> tuple[np.ndarray, np.ndarray]:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(payload), np.uint8)
+    n = len(raw) // 12
+    hashes = np.cumsum(np.ascontiguousarray(raw[: 8 * n].reshape(8, n).T).view(np.uint64).ravel(), dtype=np.uint64)
+    return hashes, np.ascontiguousarray(raw[8 * n :].reshape(4, n).T).view(np.int32).ravel()
+
+
 def _shared(blocks: DataFrame, parts: int) -> DataFrame:
-    """block, hash, hot: anchors with two occurrences or more, in the blocks that have them."""
+    """block, cold and hot (packed 64-bit hashes): anchors with two occurrences or more, in the blocks that have them; rows by block and part of the hashes."""
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, ids, sizes, text, copies in zip(*[c.to_pylist() for c in batch.columns]):
                 hashes, counts = np.unique(Block(ids, sizes, text, copies).anchors()[1], return_counts=True)
-                for at in range(0, len(hashes), 100_000):
-                    h, n = hashes[at : at + 100_000], counts[at : at + 100_000]
-                    yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(np.full(len(h), block)), pa.array(n.astype(np.int32))], names=["hash", "block", "n"])
+                part = (hashes * _C1 >> np.uint64(33)) % np.uint64(parts)
+                order = np.argsort(part, kind="stable")
+                bounds = [0, *(np.flatnonzero(np.diff(part[order])) + 1).tolist(), len(order)] if len(order) else [0]
+                picks = [order[a:b] for a, b in zip(bounds, bounds[1:])]
+                yield pa.RecordBatch.from_arrays([pa.array(part[order[bounds[:-1]]].astype(np.int64)), pa.array([block] * len(picks), pa.int64()), pa.array([_packed(hashes[k], counts[k]) for k in picks], pa.binary())], names=["part", "block", "payload"])
+        released()
 
     def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        columns = [(b.column(0).to_numpy(), b.column(1).to_numpy(), b.column(2).to_numpy()) for b in batches]
-        if not columns:
-            return
-        hashes, block, n = (np.concatenate(c) for c in zip(*columns))
-        order = np.argsort(hashes, kind="stable")
-        hashes, block, n = hashes[order], block[order], n[order]
-        starts = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
-        total = np.repeat(np.add.reduceat(n.astype(np.int64), starts), np.diff(np.append(starts, len(hashes))))
-        keep = total > 1
-        hashes, block, hot = hashes[keep], block[keep], total[keep] > HOT
-        for at in range(0, len(hashes), 100_000):
-            s = slice(at, at + 100_000)
-            yield pa.RecordBatch.from_arrays([pa.array(block[s]), pa.array(hashes[s]), pa.array(hot[s])], names=["block", "hash", "hot"])
-
-    rows = blocks.select("block", "ids", "sizes", "text", "copies").mapInArrow(found, "hash long, block long, n int")
-    return rows.repartition(parts, "hash").mapInArrow(both, "block long, hash long, hot boolean")
+        rows = (r for b in batches for r in zip(*[c.to_pylist() for c in b.columns]))
+        for _, mine in groupby(rows, key=lambda r: r[0]):  # one part at a time
+            blocks_, pieces = [], []
+            for _, block, payload in mine:
+                blocks_.append(block)
+                pieces.append(_unpack(payload))
+            sizes = [len(h) for h, _ in pieces]
+            hashes, n = (np.concatenate(c) for c in zip(*pieces))
+            order = np.argsort(hashes, kind="stable")
+            starts = np.flatnonzero(np.concatenate([[True], np.diff(hashes[order]) != 0]))
+            total = np.empty(len(hashes), np.int64)
+            total[order] = np.repeat(np.add.reduceat(n[order].astype(np.int64), starts), np.diff(np.append(starts, len(hashes))))
+            at = 0
+            for block, size in zip(blocks_, sizes):
+                h, t = hashes[at : at + size], total[at : at + size]
+                at += size
+                if (t > 1).any():
+                    row = [block, h[(t > 1) & (t <= HOT)].tobytes(), h[t > max(1, HOT)].tobytes()]
+                    yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, [pa.int64(), pa.binary(), pa.binary()])], names=["block", "cold", "hot"])
+
+    rows = blocks.select("block", "ids", "sizes", "text", "copies").mapInArrow(found, "part long, block long, payload binary")
+    return rows.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(both, "block long, cold binary, hot binary")
 
 
 _CONTEXT = "block long, part long, payload binary"
@@ -218,8 +239,8 @@ def _contexts(blocks: DataFrame, parts: int) -> DataFrame:
         docs = Block(ids, sizes, text, copies)
         positions, hashes = docs.anchors()
         signed = hashes.view(np.int64)
-        pick = np.isin(signed, np.array(cold or [], np.int64))
-        hits = positions[np.isin(signed, np.array(hot or [], np.int64))]
+        pick = np.isin(signed, np.frombuffer(b"".join(cold or []), np.int64))
+        hits = positions[np.isin(signed, np.frombuffer(b"".join(hot or []), np.int64))]
         at, keys = positions[pick], signed[pick]
         doc = np.searchsorted(docs.ends, at, side="right")
         left, right = np.minimum(LEFT, at - docs.starts[doc]), np.minimum(LENGTH, docs.ends[doc] - at)
@@ -353,14 +374,6 @@ def _grouped(rows: list[tuple]) -> list[tuple]:
     return [(rows[0][0], k, left, right, rows[i][1], rows[i][2]) for k, (members, left, right) in enumerate(found) for i in members]
 
 
-def _release(spark: SparkSession) -> None:
-    """Lets Spark remove the shuffle files of tables that have been written: it does so when their plans are collected as garbage."""
-    for _ in range(2):
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(0.5)
-
-
 class Repeats:
     """The tables of a search for repeated passages in ``df``; each is written to the shared folder once."""
 
@@ -372,13 +385,12 @@ class Repeats:
         self.parts = max(least, total // (7 * PART_ANCHORS))
         copies = written(_copies(blocks), "copied")
         self.blocks = blocks.join(copies, "block", "left")
-        shared = written(_shared(self.blocks, self.parts), "shared")
-        _release(spark)
-        lists = shared.groupBy("block").agg(F.collect_list(F.when(~F.col("hot"), F.col("hash"))).alias("cold"), F.collect_list(F.when(F.col("hot"), F.col("hash"))).alias("hot"))
-        self.parts = max(least, shared.count() // PART_CONTEXTS)
+        shared = written(_shared(self.blocks, self.parts), "shared", "none")
+        lists = shared.groupBy("block").agg(F.collect_list("cold").alias("cold"), F.collect_list("hot").alias("hot"))
+        n = shared.agg(F.sum(F.octet_length("cold") + F.octet_length("hot"))).first()[0] or 0
+        self.parts = max(least, n // 8 // PART_CONTEXTS)
         self.contexts = written(_contexts(self.blocks.join(lists, "block"), self.parts), "contexts", "none")
-        del lists, shared
-        _release(spark)
+        drop_written(shared)
 
     def reach(self) -> DataFrame:
         return written(_groups(self.contexts, self.parts, _covered, "block long, context long, left long, right long"), "reach")
@@ -446,12 +458,13 @@ class Repeats:
         reach = self.reach().groupBy("block").agg(F.collect_list(F.struct("context", "left", "right")).alias("reach"))
         packed = self.contexts.filter("part < 0").select("block", F.col("payload").alias("occurrences"))
         rows = self.blocks.drop("hashes", "bytes").join(packed, "block", "left").join(reach, "block", "left")
-        rows = rows.select("block", "ids", "sizes", "text", "copies", "occurrences", F.col("reach.context").alias("c"), F.col("reach.left").alias("l"), F.col("reach.right").alias("r"))
+        rows = rows.select("block", "ids", "sizes", "text", "copies", "occurrences", F.col("reach.context").alias("c"), F.col("reach.left").alias("l"), F.col("reach.right").alias("r"), "nulls")
 
         def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for _, ids, sizes, text, copies, occurrences, c, left, right in zip(*[x.to_pylist() for x in batch.columns]):
+                for _, ids, sizes, text, copies, occurrences, c, left, right, nulls in zip(*[x.to_pylist() for x in batch.columns]):
                     docs = Block(ids, sizes, text, copies)
+                    docs.nulls = np.frombuffer(nulls, np.bool_)
                     yield from run(docs, _mask(docs, occurrences, c or [], left or [], right or []))
 
         return rows.mapInArrow(each, schema)
@@ -492,10 +505,10 @@ def _remaining(df: DataFrame, key: str, text: str) -> DataFrame:
 
     def run(docs: Block, mask: np.ndarray) -> Iterator[pa.RecordBatch]:
         rows = []
-        for i, s, e in zip(docs.ids.tolist(), docs.starts.tolist(), docs.ends.tolist()):
+        for i, null, s, e in zip(docs.ids.tolist(), docs.nulls.tolist(), docs.starts.tolist(), docs.ends.tolist()):
             gone = mask[s:e]
             spans = int(np.count_nonzero(gone[1:] & ~gone[:-1])) + int(e > s and gone[0])
-            rows.append((None if i == NO_ID else i, e - s, int(np.count_nonzero(gone)), spans, docs.data[s:e][~gone].tobytes() if spans else docs.text[s:e], hashlib.md5(docs.text[s:e]).hexdigest() if spans else None))
+            rows.append((None if null else i, e - s, int(np.count_nonzero(gone)), spans, docs.data[s:e][~gone].tobytes() if spans else docs.text[s:e], hashlib.md5(docs.text[s:e]).hexdigest() if spans else None))
         types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.string()]
         yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), types)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "hash"])
 
@@ -504,16 +517,17 @@ def _remaining(df: DataFrame, key: str, text: str) -> DataFrame:
 
 def without_repeats(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``df`` with the text that remains. A character of which a byte went goes whole. Rows of one key (or null) and different texts each keep their own."""
-    kept = written(_remaining(df, key, text).filter("n_removed > 0").select(F.col("doc_id").alias("_key"), F.col("hash").alias("_hash"), F.col("kept").alias("_kept")), "kept")
+    names = private(df, "_key", "_hash", "_kept")
+    kept = written(_remaining(df, key, text).filter("n_removed > 0").select(*[F.col(c).alias(n) for c, n in zip(("doc_id", "hash", "kept"), names)]), "kept")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = pa.array([None if x is None else x.decode("utf-8", "ignore") for x in batch.column(2).to_pylist()], pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), texts], names=["_key", "_hash", "_kept"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), texts], names=names)
 
-    decoded = kept.mapInArrow(run, "_key long, _hash string, _kept string").dropDuplicates(["_key", "_hash"])  # equal rows lose the same bytes
-    joined = df.join(decoded, F.col(key).cast("long").eqNullSafe(F.col("_key")) & (F.md5(F.col(text).cast("binary")) == F.col("_hash")), "left")
-    return joined.withColumn(text, F.coalesce("_kept", text)).select(*df.columns)
+    decoded = kept.mapInArrow(run, f"{names[0]} long, {names[1]} string, {names[2]} string").dropDuplicates(names[:2])  # equal rows lose the same bytes
+    joined = df.join(decoded, F.col(key).cast("long").eqNullSafe(F.col(names[0])) & (F.md5(F.col(text).cast("binary")) == F.col(names[1])), "left")
+    return joined.withColumn(text, F.coalesce(names[2], text)).select(*df.columns)
 
 
 def op8_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,6 +20,8 @@ GAP = r"[\x20\x09-\x0D]+"
 #: Bytes of text that a Python worker takes from a batch at a time.
 PIECE_BYTES = 4 << 20
 
+CLEANUP = "spark.sql.shuffleDependency.fileCleanup.enabled"
+
 _LOCAL: list[str] = []
 
 
@@ -45,11 +47,19 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 
 def written(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
-    """``df`` as a table written to the shared folder and read back, which cuts its lineage: the files outlive any executor."""
+    """``df`` as a table written to the shared folder and read back, which cuts its lineage: the files outlive any executor.
+
+    Spark removes the shuffle files of the write once it is done.
+    """
     spark = df.sparkSession
     path = new_path(spark, name)
     schema = df.schema
-    df.write.option("compression", compression).parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    try:
+        spark.conf.set(CLEANUP, "true")
+        df.write.option("compression", compression).parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
     table = spark.read.schema(schema).parquet(path)
     table.written_to = path
     return table

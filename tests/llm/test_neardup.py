@@ -55,7 +55,8 @@ def test_same_components_as_brute_force(spark, monkeypatch, size, block):
     got = N.near_duplicates(df, size).collect()
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute(rows, size)
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
-    kept = N.keep_first(df.withColumn("h", df.doc_id), size).collect()
+    kept = N.keep_first(df.withColumns({c: df.doc_id for c in ("h", "_h", "_key", "kept", "_text_h")}), size).collect()
+    assert all(r._h == r.h == r._key == r.kept == r._text_h == r.doc_id for r in kept)
     assert sorted(r.doc_id for r in kept) == sorted({c for _, _, c in brute(rows, size)})
 
 

@@ -54,7 +54,7 @@ def test_same_bytes_as_brute_force(spark, monkeypatch, hot, block):
     monkeypatch.setattr(R, "BLOCK_BYTES", block)
     monkeypatch.setattr(R, "STEP", 1 << 20 if hot else 130)
     rows = corpus(random.Random(hot + block))
-    rows += [rows[3], (rows[4][0], rows[5][1]), (None, rows[7][1])]
+    rows += [rows[3], (rows[4][0], rows[5][1]), (None, rows[7][1]), (R.NO_ID, rows[9][1])]
     df = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, n_bytes int").repartition(2)
     got = R.repeated_bytes(df).collect()
     found = sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(r.kept).hexdigest()) for r in got), key=lambda r: (r[0] is None, r))
@@ -78,6 +78,9 @@ def test_text_without_repeats(spark):
     p = "ein längerer Abschnitt, der in zwei Dokumenten wörtlich gleich vorkommt"
     df = spark.createDataFrame([(1, "a " + p, 7), (2, p + " b", 8), (3, None, 9)], "doc_id long, text string, _x int")
     assert sorted(map(tuple, R.without_repeats(df).collect())) == [(1, "a " + p, 7), (2, " b", 8), (3, None, 9)]
+    names = ("_key", "_kept", "_hash", "kept", "hash")
+    got = R.without_repeats(df.withColumns({c: df.doc_id for c in names})).collect()
+    assert sorted((r.doc_id, r.text) for r in got) == [(1, "a " + p), (2, " b"), (3, None)] and all(r[c] == r.doc_id for r in got for c in names)
     assert R.without_repeats(df.limit(0)).collect() == []
 
 
