@@ -2,15 +2,19 @@
 
 A revisit record says that a page had not changed and holds no payload. ``resolve`` finds, for each, the latest earlier
 full response of the same canonical URL, tells whether the validators agree, and merges the headers a not-modified
-answer may carry into the response's.
+answer may carry into the response's. Where the validators disagree, the response found is not what the server had in mind, and no headers are merged.
+
+Validators: entity tags are compared weakly (``W/"x"`` and ``"x"`` agree, as a not-modified answer may do), and where both sides have one they decide; else the times of the last
+modification do; without a validator on both sides, ``agrees`` is null and the headers are merged on the URL's word.
 
 The as-of join goes by time slices: inside a slice of a URL a window finds the latest response; where the slice has none, the last response
 of an earlier slice is taken, from one summary row for each URL and slice. So a page captured very often is dealt
 out by slices, and the last step sees one row for each slice.
 
-Cases: a null URL or time resolves to nothing; of records with one time a revisit comes before responses, and of responses the greatest id is the
-latest; a null header map counts as empty; without a validator on either side, ``agrees`` is null; repeated revisits
-are resolved one by one; an empty table gives an empty result; extra columns pass through.
+Cases: a null URL or time resolves to nothing, and such rows take no part in window and join; of records with one time a revisit comes before responses, and of responses the greatest id is the
+latest; a null header map counts as empty; header names are compared and given in lower case, and of names that differ by case alone the first in their order as written wins; a very long URL or header is one
+value like others; repeated revisits
+are resolved one by one; an empty table gives an empty result; extra columns pass through, but for those with the names of the result's own.
 """
 
 from __future__ import annotations
@@ -18,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from gantry.llm.shared import private
+
 SLICE_SECONDS = 3600
 #: Headers that a not-modified answer may update.
 PERMITTED = ("cache-control", "content-location", "date", "etag", "expires", "last-modified", "vary")
@@ -37,37 +43,52 @@ def canonical(url: Column) -> Column:
 
 def merged(stored: Column, fresh: Column) -> Column:
     """The stored headers, updated by the permitted ones of the fresh answer. Names are in lower case."""
-    lower = lambda m: F.map_from_entries(F.transform(F.map_entries(m), lambda e: F.struct(F.lower(e["key"]), e["value"])))
+
+    def lower(m: Column) -> Column:
+        entries = F.array_sort(F.filter(F.map_entries(m), lambda e: e["key"].isNotNull()))
+        names = F.transform(entries, lambda e: F.lower(e["key"]))
+        return F.map_from_entries(F.transform(F.filter(entries, lambda e, i: F.array_position(names, F.lower(e["key"])) == i + 1), lambda e: F.struct(F.lower(e["key"]), e["value"])))
+
     empty = F.create_map().cast("map<string,string>")
     stored, fresh = lower(F.coalesce(stored, empty)), lower(F.coalesce(fresh, empty))
     update = F.map_filter(fresh, lambda k, v: k.isin(*PERMITTED))
     return F.map_concat(F.map_filter(stored, lambda k, v: ~F.array_contains(F.map_keys(update), k)), update)
 
 
+def _opaque(etag: Column) -> Column:
+    """An entity tag without the mark of a weak one."""
+    return F.regexp_replace(F.trim(etag), "^[Ww]/", "")
+
+
 def resolve(records: DataFrame, slice_seconds: int = SLICE_SECONDS) -> DataFrame:
-    """The revisits of ``records`` with ``found_id``, ``found_ts``, ``agrees`` and ``merged_headers``.
+    """The revisits of ``records`` with ``found_id``, ``found_ts``, ``agrees`` and ``merged_headers`` (null where nothing is found or the validators disagree).
 
     records: record_id, url, ts (timestamp), kind ('response' or 'revisit'), etag, modified, headers, and any other columns.
     """
-    keyed = records.withColumns({"_url": canonical(F.col("url")), "_slice": F.floor(F.unix_micros("ts") / (slice_seconds * 1_000_000)), "_late": (F.col("kind") == "response").cast("int")})
-    keyed = keyed.filter("kind = 'revisit' OR (_url IS NOT NULL AND ts IS NOT NULL)")
-    page = F.when(F.col("_late") == 1, F.struct(F.col("ts"), F.col("record_id").alias("id"), "etag", "modified", F.array_sort(F.map_entries("headers")).alias("headers")))
-    order = Window.partitionBy("_url", "_slice").orderBy("ts", "_late", "record_id").rowsBetween(Window.unboundedPreceding, -1)
-    own = keyed.withColumn("_own", F.when(F.col("_url").isNotNull() & F.col("ts").isNotNull(), F.last(page, ignorenulls=True).over(order)))
-    lasts = keyed.filter("_late = 1").groupBy("_url", "_slice").agg(F.max(page).alias("_last"))
-    slices = keyed.filter("_url IS NOT NULL AND ts IS NOT NULL").select("_url", "_slice").distinct().join(lasts, ["_url", "_slice"], "left")
-    before = Window.partitionBy("_url").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    earlier = slices.withColumn("_before", F.last("_last", ignorenulls=True).over(before)).select("_url", "_slice", "_before")
-    joined = own.filter("kind = 'revisit'").join(earlier, ["_url", "_slice"], "left").withColumn("_found", F.coalesce("_own", "_before"))
-    found = F.col("_found")
-    same = F.coalesce(F.col("etag") == found["etag"], F.col("modified") == found["modified"])
-    kept = [F.col(c) for c in records.columns if c not in ("found_id", "found_ts", "agrees", "merged_headers")]
+    out = ("found_id", "found_ts", "agrees", "merged_headers")
+    url, part, late, own, last, before, found_ = private(records, "_url", "_slice", "_late", "_own", "_last", "_before", "_found")
+    keyed = records.withColumns({url: canonical(F.col("url")), part: F.floor(F.unix_micros("ts") / (slice_seconds * 1_000_000)), late: (F.col("kind") == "response").cast("int")})
+    timed = F.col(url).isNotNull() & F.col("ts").isNotNull()
+    placed = keyed.filter(timed & F.col("kind").isin("response", "revisit"))
+    lost = keyed.filter((F.col("kind") == "revisit") & ~timed)
+    page = F.when(F.col(late) == 1, F.struct(F.col("ts"), F.col("record_id").alias("id"), "etag", "modified", F.array_sort(F.map_entries("headers")).alias("headers")))
+    order = Window.partitionBy(url, part).orderBy("ts", late, "record_id").rowsBetween(Window.unboundedPreceding, -1)
+    mine = placed.withColumn(own, F.last(page, ignorenulls=True).over(order)).filter("kind = 'revisit'")
+    lasts = placed.filter(F.col(late) == 1).groupBy(url, part).agg(F.max(page).alias(last))
+    slices = placed.select(url, part).distinct().join(lasts, [url, part], "left")
+    earlier = Window.partitionBy(url).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = slices.withColumn(before, F.last(last, ignorenulls=True).over(earlier)).select(url, part, before)
+    joined = mine.join(earlier, [url, part], "left").withColumn(found_, F.coalesce(own, before))
+    joined = joined.unionByName(lost, allowMissingColumns=True)
+    found = F.col(found_)
+    same = F.coalesce(_opaque(F.col("etag")) == _opaque(found["etag"]), F.col("modified") == found["modified"])
+    kept = [F.col(c) for c in records.columns if c not in out]
     return joined.select(
         *kept,
         found["id"].alias("found_id"),
         found["ts"].alias("found_ts"),
         F.when(found.isNotNull(), same).alias("agrees"),
-        F.when(found.isNotNull(), merged(F.map_from_entries(found["headers"]), F.col("headers"))).alias("merged_headers"),
+        F.when(found.isNotNull() & F.coalesce(same, F.lit(True)), merged(F.map_from_entries(found["headers"]), F.col("headers"))).alias("merged_headers"),
     )
 
 
@@ -102,6 +123,6 @@ WITH p AS (
   SELECT v.page_id, max(r.page_id) AS found_id FROM c v JOIN c r ON v.curl = r.curl AND r.page_id < v.page_id * 10 + 0.5 GROUP BY 1
 )
 SELECT v.page_id, v.curl AS canonical_url, b.found_id, b.found_id * 1000000 AS found_us, r.etag = v.etag AS agrees,
-  'content-length=' || r.n || ';etag=' || v.etag || ';expires=' || v.n AS headers
+  CASE WHEN r.etag = v.etag THEN 'content-length=' || r.n || ';etag=' || v.etag || ';expires=' || v.n END AS headers
 FROM c v LEFT JOIN best b USING (page_id) LEFT JOIN c r ON r.page_id = b.found_id
 """

@@ -34,3 +34,23 @@ def test_headers(spark):
     rows = [(1, "http://a/", datetime(2024, 1, 1), "response", "e", None, {"Content-Length": "9", "Date": "old", "Vary": "x"}, None), (2, "http://a", datetime(2024, 1, 2), "revisit", "e", None, {"date": "new", "Content-Length": "0", "ETag": "e"}, None)]
     got = W.resolve(spark.createDataFrame(rows, SCHEMA)).collect()
     assert got[0].merged_headers == {"content-length": "9", "date": "new", "vary": "x", "etag": "e"} and got[0].agrees
+
+
+def test_disagreement_weak_tags_and_names_that_differ_by_case(spark):
+    t = lambda d: datetime(2024, 1, d)
+    full = (1, "http://a/", t(1), "response", '"e"', "m", {"ETag": "a", "etag": "b", "X": "1"}, None)
+    rows = [full, (2, "http://a", t(2), "revisit", "x", "m", {"date": "new"}, None), (3, "http://a", t(3), "revisit", 'W/"e"', "other", {"Date": "n", "DATE": "m"}, None), (4, "http://a", t(4), "revisit", None, "m", None, None), (5, "http://a", t(5), "revisit", None, None, {}, None)]
+    got = {r.record_id: r for r in W.resolve(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert {i: (r.found_id, r.agrees) for i, r in got.items()} == {2: (1, False), 3: (1, True), 4: (1, True), 5: (1, None)}
+    assert got[2].merged_headers is None
+    assert got[3].merged_headers == {"etag": "a", "x": "1", "date": "m"}
+    assert got[4].merged_headers == got[5].merged_headers == {"etag": "a", "x": "1"}
+
+
+def test_clashing_columns_pass_through(spark):
+    names = ("_url", "_slice", "_late", "_own", "_last", "_before", "_found", "id")
+    rows = [(1, "http://a/", datetime(2024, 1, 1), "response", "e", None, None, None), (2, "http://a", datetime(2024, 1, 2), "revisit", "e", None, None, None), (2, None, None, "revisit", "e", None, None, None), (3, "x" * 100_000, None, "revisit", None, None, None, None)]
+    df = spark.createDataFrame(rows, SCHEMA).withColumns({c: F.col("record_id") for c in names})
+    got = W.resolve(df).collect()
+    assert sorted((r.record_id, r.found_id) for r in got if r.found_id) == [(2, 1)] and len(got) == 3
+    assert all(r[c] == r.record_id for r in got for c in names)
