@@ -254,16 +254,16 @@ def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.concat_batches(held)
 
 
-def identify(df: DataFrame, texts: dict[str, bytes], text: str = "text") -> DataFrame:
-    """``df`` with lang_pred and score of each whole text."""
-    rest = [c for c in df.columns if c not in ("lang_pred", "score")]
-    schema = df.select(*rest).schema.add("lang_pred", "string").add("score", "double")
+def identify(df: DataFrame, texts: dict[str, bytes], text: str = "text", found: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """``df`` with language and score of each whole text, in columns ``found``."""
+    rest = [c for c in df.columns if c not in found]
+    schema = df.select(*rest).schema.add(found[0], "string").add(found[1], "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         few, at = len(texts) <= LANGUAGES, rest.index(text)
         for batch in sliced(batches if few else _joined(batches), at, PIECE_BYTES if few else HELD, 1 << 30):
             names, scores = predict(texts, batch.column(at).to_pylist())
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=[*batch.schema.names, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=[*rest, *found])
         _PARSERS.clear()
         released()
 

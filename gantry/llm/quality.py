@@ -7,8 +7,8 @@ one half. Documents that fail the base rules are decided already and take no par
 counts; that table is all the iterations read, however large the corpus is.
 
 Cases: a null or empty text has no words and fails the base rules; repeated rows and equal texts get equal results; an
-empty table gives an empty result; a null doc_id is kept as it is; other columns of the input pass through ``judge``
-unread, and its own columns replace those of the same names.
+empty table gives an empty result; a null doc_id is kept as it is; a very long text is looked at whole, as one row; a posterior of exactly one half keeps; other columns of the input pass through ``judge``
+unread, and its own columns (the statistics, v_<rule>, base_failed, p_good and kept) replace those of the same names.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gantry.llm.shared import GAP, documents, written
+from gantry.llm.shared import GAP, documents, drop_written, private, written
 
 WINDOW = 8
 ROUNDS = 12
@@ -63,12 +63,14 @@ def statistics(df: DataFrame, text: str = "text") -> DataFrame:
     by a 64-bit hash of its words; only texts with an equal pair of windows are looked at further.
     """
     whole = F.coalesce(F.col(text), F.lit(""))
-    n = F.size("_words")
+    words, lines, windows, ranked = private(df, "_words", "_lines", "_windows", "_ranked")
+    n = F.size(words)
     removed = lambda pattern: F.length(whole) - F.length(F.regexp_replace(whole, pattern, ""))
-    windows = F.transform(F.sequence(F.lit(1), n - (WINDOW - 1)), lambda i: F.xxhash64(F.slice(F.col("_words"), i, F.lit(WINDOW))))
-    ranked = F.array_sort(F.transform("_windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    near = lambda x, i: F.coalesce(x["h"] == F.get("_ranked", i)["h"], F.lit(False))
-    starts = F.array_sort(F.filter(F.transform("_ranked", lambda x, i: F.when(near(x, i - 1) | near(x, i + 1), x["i"])), lambda i: i.isNotNull()))
+    one = F.transform(words, lambda w: F.xxhash64(w))
+    each = F.transform(F.sequence(F.lit(1), n - (WINDOW - 1)), lambda i: F.xxhash64(F.slice(F.col(windows), i, F.lit(WINDOW))))
+    in_order = F.array_sort(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    near = lambda x, i: F.coalesce(x["h"] == F.get(ranked, i)["h"], F.lit(False))
+    starts = F.array_sort(F.filter(F.transform(ranked, lambda x, i: F.when(near(x, i - 1) | near(x, i + 1), x["i"])), lambda i: i.isNotNull()))
     covered = F.aggregate(
         starts,
         F.struct(F.lit(0).alias("n"), F.lit(-WINDOW).alias("last")),
@@ -76,25 +78,26 @@ def statistics(df: DataFrame, text: str = "text") -> DataFrame:
         lambda s: s["n"],
     )
     return (
-        df.withColumn("_words", F.filter(F.split(whole, GAP), lambda w: w != ""))
-        .withColumn("_lines", F.filter(F.split(whole, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
-        .withColumn("_windows", F.when(n >= WINDOW, windows))
-        .withColumn("_ranked", F.when(F.size("_windows") > F.size(F.array_distinct("_windows")), ranked))
+        df.withColumn(words, F.filter(F.split(whole, GAP), lambda w: w != ""))
+        .withColumn(lines, F.filter(F.split(whole, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
+        .withColumn(windows, F.when(n >= WINDOW, one))
+        .withColumn(windows, F.when(n >= WINDOW, each))
+        .withColumn(ranked, F.when(F.size(windows) > F.size(F.array_distinct(windows)), in_order))
         .withColumns(
             {
                 "n_words": n.cast("long"),
-                "word_chars": F.length(F.array_join("_words", "")).cast("long"),
+                "word_chars": F.length(F.array_join(words, "")).cast("long"),
                 "n_symbols": removed(r"[#*$%&|<>]+").cast("long"),
-                "n_lines": F.size("_lines").cast("long"),
-                "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
-                "n_repeat_words": F.when(F.col("_ranked").isNotNull(), covered).otherwise(0).cast("long"),
+                "n_lines": F.size(lines).cast("long"),
+                "n_dup_lines": (F.size(lines) - F.size(F.array_distinct(lines))).cast("long"),
+                "n_repeat_words": F.when(F.col(ranked).isNotNull(), covered).otherwise(0).cast("long"),
                 "n_letters": removed(r"\p{L}+").cast("long"),
                 "n_upper": removed(r"\p{Lu}+").cast("long"),
                 "n_bars": removed(r"\|+").cast("long"),
                 "n_bangs": removed("!+").cast("long"),
             }
         )
-        .drop("_words", "_lines", "_windows", "_ranked")
+        .drop(words, lines, windows, ranked)
     )
 
 
@@ -151,6 +154,7 @@ def judge(df: DataFrame, text: str = "text") -> DataFrame:
     voted = stats.withColumns({f"v_{r}": vote for r, vote in votes().items()})
     patterns = written(voted.filter(~base_failed()).groupBy(*[f"v_{r}" for r in RULES]).agg(F.count("*").alias("n")).coalesce(1), "patterns")
     rates, good = fit(patterns)
+    drop_written(patterns)
     p = 1 / (1 + F.exp(-_log_odds(rates, good)))
     return voted.withColumns({"base_failed": base_failed(), "p_good": p}).withColumn("kept", ~F.col("base_failed") & (F.col("p_good") >= 0.5))
 

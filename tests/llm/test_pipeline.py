@@ -3,6 +3,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -76,3 +77,16 @@ def test_language_id_fills_lang_and_keeps_documents_without_labels(spark):
     stage = lambda r: {(x.doc_id, x.lang) for x in corpus_pipeline.language_id(spark, spark.createDataFrame(r, schema), "").collect()}
     assert stage(rows) == {(1, "en"), (2, "de"), (3, "en"), (None, "de")}
     assert stage([(i, t, None, s, n) for i, t, _, s, n in rows]) == {(1, None), (2, None), (3, None), (None, None)}
+
+
+def test_clashing_columns_pass_through(spark):
+    names = ("lang_pred", "score", "_id", "_h", "h", "_key", "_kept", "kept", "_words", "n_words", "p_good", "_text_h", "row", "node")
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(80)
+    docs = rows.withColumns({c: F.col("doc_id") for c in names})
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, "").cache()
+    got, plain = docs.collect(), rows
+    assert got and all(r[c] == r.doc_id for r in got for c in names)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        plain = stage(spark, plain, "").cache()
+    assert sorted((r.doc_id, r.text, r.lang) for r in got) == sorted((r.doc_id, r.text, r.lang) for r in plain.collect())
