@@ -1,5 +1,9 @@
 """The corpus pipeline: language ID, quality rules, near-dedup, repeated passages, packing.
 
+Cases, for every stage: rows with a null or empty text are dropped by the first stage (no language) and do no harm to the others; a null doc_id is a document of its
+own text; repeated rows stay until near-dedup leaves one; ties go to the least doc_id; very long texts are processed whole; empty tables give empty results; extra columns of any
+name pass through all stages but packing, which gives pieces.
+
 STAGES lists (name, function); each function takes (spark, docs, sf_dir) and returns a DataFrame. All but the last return
 the columns of documents. SQL can't express the stages' tokenizers and models, so there is no ORACLE_SQL; the tests
 hold the result against a brute-force version.
@@ -12,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gantry.llm import language, neardup, packing, quality, repeats
-from gantry.llm.shared import written
+from gantry.llm.shared import drop_written, private, written
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -22,8 +26,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     texts = language.training_texts(docs)
     if not texts:
         return language.with_letters(docs)
-    found = language.identify(docs, texts).filter(F.col("lang_pred") != language.UNKNOWN)
-    return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
+    predicted, score = private(docs, "lang_pred", "score")
+    found = language.identify(docs, texts, found=(predicted, score)).filter(F.col(predicted) != language.UNKNOWN)
+    return found.withColumn("lang", F.coalesce("lang", predicted)).select(*docs.columns)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,6 +61,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents table."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name)
+    for k, (name, stage) in enumerate(STAGES[:-1]):
+        before, docs = docs, written(stage(spark, docs, sf_dir), name)
+        if k:
+            drop_written(before)
     return STAGES[-1][1](spark, docs, sf_dir)
