@@ -157,7 +157,7 @@ def _validated(spark, d):
 
 @query(with_roles("files") + _FILE_CHECKS + " SELECT file, rows, array_to_string(issues, ',') AS issues, array_to_string(warns, ',') AS warns, CASE WHEN len(issues) > 0 THEN 'HARD_FAIL' WHEN len(warns) > 0 THEN 'SOFT_FAIL' ELSE 'PASS' END AS severity, CASE WHEN len(issues) > 0 THEN 'retry' WHEN len(warns) > 0 THEN 'review' ELSE 'accept' END AS action FROM val")
 def validated_files(spark, d):
-    """D46 to D49."""
+    """Files against rules given as columns (the rules of bars, quotes and trades are in certify)."""
     return _validated(spark, d).select("file", "rows", F.array_join("issues", ",").alias("issues"), F.array_join("warns", ",").alias("warns"), "severity", "action")
 
 
