@@ -27,6 +27,12 @@ def epoch_unit(t: Column) -> Column:
     return F.when(a >= 10**17, "ns").when(a >= 10**14, "us").when(a >= 10**11, "ms").otherwise("s")
 
 
+def epoch_unit_variant(t: Column) -> Column:
+    """The other rule for the unit, with its own bounds (SC19)."""
+    a = F.abs(t)
+    return F.when(a > 10**16, "ns").when(a > 10**13, "ms").when(a > 10**10, "s").otherwise("ms")
+
+
 def epoch_to_timestamp(t: Column, unit: Column) -> Column:
     """Timestamp of an epoch number in s, ms, us or ns; nanoseconds are cut to microseconds (SC17)."""
     micros = F.when(unit == "ns", div(t, 1000)).when(unit == "us", t).when(unit == "ms", t * 1000).otherwise(t * 1_000_000)
@@ -60,6 +66,11 @@ def regime(ts: Column | str) -> Column:
     return F.when((m >= OPEN_MINUTE) & (m < OPEN_MINUTE + 30), "open").when((m >= CLOSE_MINUTE - 30) & (m < CLOSE_MINUTE), "close").otherwise("midday")
 
 
+def regime_by_hour(ts: Column | str) -> Column:
+    """The other variant: open in hour 9, close from 15 on (SC28)."""
+    return F.when(F.hour(ts) == 9, "open").when(F.hour(ts) >= 15, "close").otherwise("midday")
+
+
 def mid(bid: Column, ask: Column) -> Column:
     return (bid + ask) / 2
 
@@ -129,7 +140,7 @@ def clip(x: Column, low: float | None = None, high: float | None = None) -> Colu
 
 
 #: Patterns of event names, the first that fits wins; delisting comes first since its name holds "list".
-EVENT_PATTERNS = (("delist|remov|suspend|halt", "delisted"), ("list|ipo|begin", "listed"), ("renam|symbol|ticker", "renamed"))
+EVENT_PATTERNS = (("delist|remov|suspen|halt", "delisted"), ("list|ipo|begin", "listed"), ("renam|symbol|ticker", "renamed"))
 
 
 def event_type(text: Column) -> Column:

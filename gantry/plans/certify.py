@@ -73,7 +73,7 @@ _MINFILES = """, m AS (SELECT ticker, date_trunc('minute', ts) AS bar, arg_min(p
  strftime((bar AT TIME ZONE 'UTC') AT TIME ZONE 'America/New_York', '%Y-%m-%d') AS date, CASE WHEN NOT (ticker % 17 = 0 AND minute(bar) = 9) THEN strftime(bar + CASE WHEN ticker % 5 = 0 AND minute(bar) = 3 THEN INTERVAL 1 SECOND ELSE INTERVAL 0 SECOND END, '%Y-%m-%dT%H:%M:%SZ') END AS ts_utc, year(bar) AS year, month(bar) AS month, o, CASE WHEN ticker % 7 = 0 AND minute(bar) = 11 THEN l - 1 ELSE hi END AS h, l, c, CASE WHEN ticker % 3 = 0 THEN 0 ELSE v END AS v, c AS vw, n, epoch_ms(bar) AS t FROM minrows)"""
 _MIN_SQL = rf"""{_MINFILES}, f AS (SELECT *, t < lag(t) OVER (PARTITION BY file ORDER BY pos) AS down, regexp_extract(file, 'month=(\d+)/', 1) AS p3, regexp_extract(file, '_(\d+)\.parquet', 1) AS q3 FROM minfiles),
  g AS (SELECT file, count(*) AS rows, min(p3) AS p3, min(q3) AS q3, sum(CASE WHEN ts_utc IS NULL THEN 1 ELSE 0 END) AS nullk, count(DISTINCT t) < count(*) OR count(DISTINCT coalesce(ts_utc, 'None')) < count(*) AS dup, {_BAD}, sum(CASE WHEN {_NY} <> date THEN 1 ELSE 0 END) AS od, sum(CASE WHEN strftime(make_timestamp(t * 1000), '%Y-%m-%dT%H:%M:%SZ') IS DISTINCT FROM ts_utc THEN 1 ELSE 0 END) AS ots FROM f GROUP BY 1), x AS (SELECT *, p3 = q3 AS ok FROM g),
- val AS (SELECT file, CAST(rows AS BIGINT) AS rows, list_filter([CASE WHEN NOT ok THEN 'month_mismatch_in_filename_vs_partition' END, CASE WHEN ok AND nullk > 0 THEN 'null_key_columns' END, CASE WHEN ok AND dup THEN 'duplicate_minute_rows' END, CASE WHEN ok AND bad > 0 THEN 'ohlc_inconsistency_rows:' || bad END], lambda z: z IS NOT NULL) AS issues,
+ val AS (SELECT file, CAST(rows AS BIGINT) AS rows, list_filter([CASE WHEN NOT ok THEN 'month_mismatch_in_filename_vs_partition' END, CASE WHEN ok AND nullk > 0 THEN 'null_key_columns' END, CASE WHEN ok AND dup THEN 'duplicate_minute_rows' END, CASE WHEN ok AND negative > 0 THEN 'negative_prices' END, CASE WHEN ok AND bad > 0 THEN 'ohlc_inconsistency_rows:' || bad END], lambda z: z IS NOT NULL) AS issues,
  list_filter([CASE WHEN ok AND od > 0 THEN 't_to_date_mismatch_rows' END, CASE WHEN ok AND ots > 0 THEN 'ts_utc_t_mismatch_rows' END, CASE WHEN ok AND zero_pct > 95 THEN 'high_zero_volume_ratio' END, CASE WHEN ok AND unsorted THEN 'not_sorted' END], lambda z: z IS NOT NULL) AS warns FROM x)"""
 
 
