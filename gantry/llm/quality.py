@@ -66,8 +66,8 @@ def statistics(df: DataFrame, text: str = "text") -> DataFrame:
     words, lines, windows, ranked = private(df, "_words", "_lines", "_windows", "_ranked")
     n = F.size(words)
     removed = lambda pattern: F.length(whole) - F.length(F.regexp_replace(whole, pattern, ""))
-    one = F.transform(words, lambda w: F.xxhash64(w))
-    each = F.transform(F.sequence(F.lit(1), n - (WINDOW - 1)), lambda i: F.xxhash64(F.slice(F.col(windows), i, F.lit(WINDOW))))
+    # words has many uses, so Spark keeps it as a column; what is used once inside a lambda would be made anew for each window
+    each = F.transform(F.sequence(F.lit(1), n - (WINDOW - 1)), lambda i: F.xxhash64(F.slice(F.col(words), i, F.lit(WINDOW))))
     in_order = F.array_sort(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
     near = lambda x, i: F.coalesce(x["h"] == F.get(ranked, i)["h"], F.lit(False))
     starts = F.array_sort(F.filter(F.transform(ranked, lambda x, i: F.when(near(x, i - 1) | near(x, i + 1), x["i"])), lambda i: i.isNotNull()))
@@ -80,7 +80,6 @@ def statistics(df: DataFrame, text: str = "text") -> DataFrame:
     return (
         df.withColumn(words, F.filter(F.split(whole, GAP), lambda w: w != ""))
         .withColumn(lines, F.filter(F.split(whole, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
-        .withColumn(windows, F.when(n >= WINDOW, one))
         .withColumn(windows, F.when(n >= WINDOW, each))
         .withColumn(ranked, F.when(F.size(windows) > F.size(F.array_distinct(windows)), in_order))
         .withColumns(
