@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -31,6 +31,42 @@ def q_linear(x: Column, q: float) -> Column:
     return F.percentile(x, q)
 
 
+def quantiles(df: DataFrame, keys: list[str], wanted: dict[str, tuple[Column, float, str]], splits: int = 16) -> DataFrame:
+    """Exact quantiles per key, name to (value, q, 'linear' or 'nearest'): no task holds a group's values (AG12, AG13, AG16).
+
+    Equal values are counted first; an approximate sketch cuts each group's values into ranges, whose counts say
+    which range has a rank, and running counts inside the ranges find it. Nulls are left out.
+    """
+    names = list(wanted)
+    one = [F.struct(F.lit(i).alias("_m"), wanted[n][0].cast("double").alias("_x")) for i, n in enumerate(names)]
+    counts = df.select(*keys, F.explode(F.array(*one)).alias("_e")).select(*keys, "_e.*").filter("_x IS NOT NULL").groupBy(*keys, "_m", "_x").agg(F.count("*").alias("_n"))
+    by = [*keys, "_m"]
+    edges = [F.lit(i / splits) for i in range(1, splits)]
+    cut = counts.groupBy(*by).agg(F.percentile_approx("_x", F.array(*edges), F.lit(500)).alias("_cuts"), F.sum("_n").alias("_total"))
+    same = None
+    for k in by:
+        c = F.col(k).eqNullSafe(F.col(f"_of_{k}"))
+        same = c if same is None else same & c
+    placed = counts.join(cut.withColumnsRenamed({k: f"_of_{k}" for k in by}), same).withColumn("_b", F.size(F.filter("_cuts", lambda c: c < F.col("_x"))))
+    sizes = placed.groupBy(*by, "_b").agg(F.sum("_n").alias("_in"))
+    before = sizes.withColumn("_before", F.coalesce(F.sum("_in").over(Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_in")
+    before = before.withColumnsRenamed({k: f"_at_{k}" for k in [*by, "_b"]})
+    same = F.col("_b") == F.col("_at__b")
+    for k in by:
+        same = same & F.col(k).eqNullSafe(F.col(f"_at_{k}"))
+    upto = F.sum("_n").over(Window.partitionBy(*by, "_b").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)) + F.col("_before")
+    q = F.element_at(F.array(*[F.lit(float(wanted[n][1])) for n in names]), F.col("_m") + 1)
+    near = F.element_at(F.array(*[F.lit(wanted[n][2] == "nearest") for n in names]), F.col("_m") + 1)
+    at = (F.col("_total") - 1) * q
+    low, high = F.when(near, F.round(at)).otherwise(F.floor(at)), F.when(near, F.round(at)).otherwise(F.ceil(at))
+    ranked = placed.join(before, same).withColumns({"_upto": upto, "_low": low, "_high": high, "_part": at - F.floor(at)})
+    value = lambda r: F.max(F.when((F.col("_upto") - F.col("_n") <= F.col(r)) & (F.col(r) < F.col("_upto")), F.col("_x")))
+    found = ranked.groupBy(*by).agg(value("_low").alias("_l"), value("_high").alias("_h"), F.max("_part").alias("_p"))
+    linear = F.col("_l") + (F.col("_h") - F.col("_l")) * F.col("_p")
+    result = F.when(F.col("_l") == F.col("_h"), F.col("_l")).otherwise(linear)
+    return found.groupBy(*keys).agg(*[F.max(F.when(F.col("_m") == i, result)).alias(n) for i, n in enumerate(names)])
+
+
 def shares(counts: DataFrame, n: str, by: list[str] | None = None) -> DataFrame:
     """``counts`` with the share of each row of the total (within ``by``): a one-row total is joined, no window over all rows (AG23)."""
     if by:

@@ -40,15 +40,14 @@ def aligned(bars: DataFrame, quoted: DataFrame, key: str) -> DataFrame:
 def coherence_summary(joined: DataFrame, by: list[str]) -> DataFrame:
     """Shares of coherent bars and quantiles of distances."""
     c = F.col
-    return joined.groupBy(*by).agg(
-        F.count("*").alias("bars"), S.rate(c("in_range")).alias("p_in_range"), S.rate(c("overlap")).alias("p_overlap"), S.q_linear(c("d_norm"), 0.95).alias("d_norm_p95"), S.q_linear(F.abs("out_dist"), 0.95).alias("out_dist_p95"),
-        S.q_nearest(c("open_err"), 0.5).alias("open_err_p50"), S.q_nearest(c("close_err"), 0.9).alias("close_err_p90"), F.count_if(c("crossed") > 0).alias("crossed_bars"),
-    )
+    counts = joined.groupBy(*by).agg(F.count("*").alias("bars"), S.rate(c("in_range")).alias("p_in_range"), S.rate(c("overlap")).alias("p_overlap"), F.count_if(c("crossed") > 0).alias("crossed_bars"))
+    tails = {"d_norm_p95": (c("d_norm"), 0.95, "linear"), "out_dist_p95": (F.abs("out_dist"), 0.95, "linear"), "open_err_p50": (c("open_err"), 0.5, "nearest"), "close_err_p90": (c("close_err"), 0.9, "nearest"), "scale_med": (c("scale"), 0.5, "linear")}
+    return counts.join(S.quantiles(joined, by, tails), by, "left")
 
 
 def comparability(joined: DataFrame, key: str) -> DataFrame:
     """Per key: sample, structure, point and magnitude axes, the root cause and the decision."""
-    s = coherence_summary(joined, [key]).join(joined.groupBy(key).agg(F.median("scale").alias("scale_med")), key)
+    s = coherence_summary(joined, [key])
     c = F.col
     axes = s.withColumns({"sample_status": X.grade(c("bars"), 20, 5), "structural_status": X.grade(c("p_overlap"), 0.95, 0.8), "point_status": X.grade(c("p_in_range"), 0.9, 0.6), "magnitude_status": X.grade(c("d_norm_p95"), 1.0, 5.0, False)})
     cause = F.when(F.abs(c("scale_med") - 1) > 0.2, "scale").when(c("sample_status") == "FAIL", "sample").when(c("structural_status") == "FAIL", "structure").when(c("point_status") == "FAIL", "point").when(c("magnitude_status") == "FAIL", "magnitude").otherwise("none")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -62,27 +62,29 @@ def jumps(days: DataFrame, ladder: list[float], tolerance: float) -> DataFrame:
     return j.withColumn("matched", F.coalesce(F.abs(F.col("canonical") / F.col("factor") - 1) <= tolerance, F.lit(False)) & (F.col("factor") > 1))
 
 
-def adjusted_series(days: DataFrame, rounds: int = 6, least: float = 1.8) -> DataFrame:
-    """Closes with the strongest jump divided out of the later part, up to ``rounds`` times (WN20).
+def adjusted_series(days: DataFrame, ladder: list[float], rounds: int = 6, least: float = 1.5, tolerance: float = 0.12) -> DataFrame:
+    """Closes with the strongest split-like jump undone, up to ``rounds`` times (WN20).
 
-    Each round looks at the whole adjusted series of a ticker, so this is state over one series, not a window:
-    a ticker's days are one group, bounded by its trading days.
+    A jump is split-like if its ratio (or the inverse) is ``least`` or more and within ``tolerance`` of a factor of the ladder. That factor, not the ratio, is applied to the
+    jump's day and all later ones: multiplied where the price fell, divided where it rose; of equal jumps the first. Each round looks at the whole adjusted series of a ticker,
+    so this is state over one series, not a window: a ticker's days are one group, bounded by its trading days.
     """
+    factors = np.array(sorted(ladder))
 
     def adjust(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("date", ignore_index=True)
         price = pdf["close"].to_numpy(float).copy()
         used = 0
-        for _ in range(rounds):
-            if len(price) < 2:
-                break
-            prev, now = price[:-1], price[1:]
-            ok = (prev > 0) & (now > 0)
-            ratio = [max(b / a, a / b) if k else 1.0 for a, b, k in zip(prev, now, ok)]
-            i = max(range(len(ratio)), key=ratio.__getitem__)
-            if ratio[i] < least:
+        while used < rounds and len(price) > 1:
+            with np.errstate(divide="ignore", invalid="ignore"):
+                ratio = np.where((price[:-1] > 0) & (price[1:] > 0), price[1:] / price[:-1], 1.0)
+            jump = np.maximum(ratio, 1 / ratio)
+            factor = factors[np.abs(factors - jump[:, None]).argmin(1)]
+            jump[(jump < least) | (np.abs(jump - factor) / factor > tolerance)] = 0
+            i = int(jump.argmax())
+            if not jump[i]:
                 break
-            price[i + 1 :] *= prev[i] / now[i]
+            price[i + 1 :] *= factor[i] if ratio[i] < 1 else 1 / factor[i]
             used += 1
         return pd.DataFrame({"ticker": pdf["ticker"], "date": pdf["date"], "close": pdf["close"], "adjusted": price, "rounds": used})
 

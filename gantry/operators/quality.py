@@ -58,14 +58,16 @@ def sequence_integrity(ticks: DataFrame, key: str, ts: str, seq: str) -> DataFra
 
 def clock_drift(ticks: DataFrame, venue: str, drift: Column) -> DataFrame:
     """Mean, deviation and tails of a clock difference by venue."""
-    return ticks.groupBy(venue).agg(F.count("*").alias("n"), F.avg(drift).alias("mean"), F.stddev_samp(drift).alias("std"), S.q_linear(drift, 0.99).alias("p99"), S.q_linear(F.abs(drift), 0.99).alias("abs_p99"))
+    tails = S.quantiles(ticks, [venue], {"p99": (drift, 0.99, "linear"), "abs_p99": (F.abs(drift), 0.99, "linear")})
+    return ticks.groupBy(venue).agg(F.count("*").alias("n"), F.avg(drift).alias("mean"), F.stddev_samp(drift).alias("std")).join(tails, venue, "left")
 
 
 def spread_sanity(quotes: DataFrame, keys: list[str]) -> DataFrame:
     """Spread quantiles and shares of crossed and locked quotes."""
     b, a = F.col("bid"), F.col("ask")
     bps = X.spread_bps(b, a)
-    return quotes.groupBy(*keys).agg(F.count("*").alias("rows"), S.rate(b > a).alias("crossed"), S.rate(b == a).alias("locked"), S.q_linear(bps, 0.5).alias("p50"), S.q_linear(bps, 0.95).alias("p95"))
+    tails = S.quantiles(quotes, keys, {"p50": (bps, 0.5, "linear"), "p95": (bps, 0.95, "linear")})
+    return quotes.groupBy(*keys).agg(F.count("*").alias("rows"), S.rate(b > a).alias("crossed"), S.rate(b == a).alias("locked")).join(tails, keys, "left")
 
 
 def calibrated_thresholds(history: DataFrame, keys: list[str], x: str, default: tuple[float, float]) -> DataFrame:

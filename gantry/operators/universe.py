@@ -26,13 +26,25 @@ def lifecycle(events: DataFrame) -> DataFrame:
     return out.filter(F.col("list_date").isNotNull())
 
 
-def session_rules(life: DataFrame, calendar: DataFrame, last: str) -> DataFrame:
-    """Ticker, date and session while a ticker lives: three sessions a day (D24, D25). ``calendar`` is a day table, small by its span."""
-    end = F.coalesce("delist_date", F.lit(last).cast("date"))
-    spans = life.select("ticker", F.col("list_date").alias("lo"), end.alias("hi")).filter("lo <= hi")
+#: Half days of the calendar, and the sessions with their ends on them.
+HALF_DAYS = ("07-03", "12-24")
+SESSIONS = (("premarket", "04:00:00", "09:30:00", "09:30:00", False), ("rth", "09:30:00", "16:00:00", "13:00:00", True), ("postmarket", "16:00:00", "20:00:00", None, False))
+
+
+def live_days(life: DataFrame, calendar: DataFrame, last: DataFrame) -> DataFrame:
+    """Ticker, date and is_half_day of the calendar's days while a ticker lives (JN11).
+
+    ``calendar`` is a day table, small by its span; ``last`` one row with the last day of those that still live.
+    """
+    spans = life.crossJoin(F.broadcast(last)).select("ticker", F.col("list_date").alias("lo"), F.coalesce("delist_date", "last").alias("hi")).filter("lo <= hi")
     days = T.days(spans, "lo", "hi").join(calendar.select(F.col("session_date").alias("date")), "date")
-    parts = F.array(*[F.struct(F.lit(n).alias("session"), F.lit(a).alias("start"), F.lit(b).alias("end"), F.lit(s).alias("signal_allowed")) for n, a, b, s in (("premarket", "04:00:00", "09:30:00", False), ("rth", "09:30:00", "16:00:00", True), ("postmarket", "16:00:00", "20:00:00", False))])
-    return days.select("ticker", "date", F.explode(parts).alias("s")).select("ticker", "date", "s.*")
+    return days.select("ticker", "date", F.date_format("date", "MM-dd").isin(*HALF_DAYS).alias("is_half_day"))
+
+
+def session_rules(days: DataFrame) -> DataFrame:
+    """``days`` (with is_half_day) with their sessions: three a day, two on half days."""
+    parts = F.array(*[F.struct(F.lit(n).alias("session"), F.lit(a).alias("start"), F.when(F.col("is_half_day"), F.lit(h).cast("string")).otherwise(F.lit(b)).alias("end"), F.lit(s).alias("signal_allowed")) for n, a, b, h, s in SESSIONS])
+    return days.select("*", F.explode(parts).alias("_s")).select(*days.columns, "_s.*").filter(F.col("end").isNotNull())
 
 
 def reconcile_days(expected: DataFrame, observed: DataFrame, keys: list[str]) -> DataFrame:
@@ -76,8 +88,8 @@ def with_provenance(base: DataFrame, key: str, sources: dict[str, tuple[DataFram
     return out.withColumns({name: value, f"source_{name}": tag}).drop(*[f"_{t}" for t in sources])
 
 
-def tasks(life: DataFrame, last: str) -> DataFrame:
-    """Ticker and weekday to fetch, over each ticker's life."""
-    end = F.least(F.coalesce("delist_date", F.lit(last).cast("date")), F.lit(last).cast("date"))
-    spans = life.select("ticker", F.col("list_date").alias("lo"), end.alias("hi")).filter("lo <= hi")
+def tasks(life: DataFrame, last: DataFrame) -> DataFrame:
+    """Ticker and weekday to fetch, over each ticker's life, up to the one day of ``last``."""
+    end = F.least(F.coalesce("delist_date", "last"), "last")
+    spans = life.crossJoin(F.broadcast(last)).select("ticker", F.col("list_date").alias("lo"), end.alias("hi")).filter("lo <= hi")
     return T.days(spans, "lo", "hi").filter(T.is_weekday(F.col("date"))).select("ticker", "date")

@@ -57,10 +57,10 @@ def last_quotes(spark, d):
     return q.select("ticker", "bar", F.col("bid_last").alias("bid"), F.col("ask_last").alias("ask"))
 
 
-@query(with_roles("trades") + " SELECT ticker, CAST(ts AS DATE) AS date, count(DISTINCT hour(ts) * 60 + minute(ts)) AS minutes, count(DISTINCT hour(ts) * 60 + minute(ts)) / 390 AS coverage FROM trades WHERE hour(ts) * 60 + minute(ts) >= 570 AND hour(ts) * 60 + minute(ts) < 960 GROUP BY 1, 2")
+@query(with_roles("trades") + " SELECT ticker, CAST((ts AT TIME ZONE 'UTC') AT TIME ZONE 'America/New_York' AS DATE) AS date, count(DISTINCT hour((ts AT TIME ZONE 'UTC') AT TIME ZONE 'America/New_York') * 60 + minute((ts AT TIME ZONE 'UTC') AT TIME ZONE 'America/New_York')) AS minutes, count(DISTINCT hour((ts AT TIME ZONE 'UTC') AT TIME ZONE 'America/New_York') * 60 + minute((ts AT TIME ZONE 'UTC') AT TIME ZONE 'America/New_York')) / 390 AS coverage FROM trades WHERE hour((ts AT TIME ZONE 'UTC') AT TIME ZONE 'America/New_York') * 60 + minute((ts AT TIME ZONE 'UTC') AT TIME ZONE 'America/New_York') >= 570 AND hour((ts AT TIME ZONE 'UTC') AT TIME ZONE 'America/New_York') * 60 + minute((ts AT TIME ZONE 'UTC') AT TIME ZONE 'America/New_York') < 960 GROUP BY 1, 2")
 def session_coverage(spark, d):
-    """D07, D13."""
-    return C.session_coverage(trades(spark, d), "ticker", "ts")
+    """D07, D13, FLT9: by New York time."""
+    return C.session_coverage(trades(spark, d).withColumn("ny", X.new_york("ts")), "ticker", "ny")
 
 
 @query(with_roles("files") + " SELECT file, count(*) AS rows, count(*) = 8 AS truncated FROM files GROUP BY 1")
@@ -203,18 +203,21 @@ def market_calendar(spark, d):
     return T.market_calendar(table(spark, d, "orders").agg(F.to_date(F.min("o_orderdate")).alias("low"), F.to_date(F.max("o_orderdate")).alias("high")))
 
 
-@query(with_roles("official") + _LIFE + ", cal AS (SELECT CAST(s AS DATE) AS day FROM (SELECT unnest(generate_series(TIMESTAMP '2001-06-01', TIMESTAMP '2001-07-31', INTERVAL 1 DAY)) AS s) WHERE isodow(s) < 6), r AS (SELECT ticker, day FROM life JOIN cal ON day >= list_date AND day <= coalesce(delist_date, DATE '2001-07-31') AND list_date <= coalesce(delist_date, DATE '2001-07-31')) SELECT ticker, day AS date, p.session, p.start, p.end_ AS \"end\", p.sig AS signal_allowed FROM r, (VALUES ('premarket', '04:00:00', '09:30:00', false), ('rth', '09:30:00', '16:00:00', true), ('postmarket', '16:00:00', '20:00:00', false)) p(session, start, end_, sig)")
+@query(with_roles("official") + _LIFE + ", span AS (SELECT min(event_date) AS lo, max(event_date) AS hi FROM official), cal AS (SELECT CAST(s AS DATE) AS day FROM (SELECT unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 1 DAY)) AS s FROM span) WHERE isodow(s) < 6), r AS (SELECT ticker, day, strftime(day, '%m-%d') IN ('07-03', '12-24') AS half FROM life, span JOIN cal ON day >= list_date AND day <= coalesce(delist_date, span.hi)), x AS (SELECT ticker, day, half, p.session, CASE WHEN half AND p.session = 'rth' THEN '13:00:00' ELSE p.end_ END AS end_, p.sig FROM r, (VALUES ('premarket', '09:30:00', false), ('rth', '16:00:00', true), ('postmarket', '20:00:00', false)) p(session, end_, sig) WHERE NOT (half AND p.session = 'postmarket')) SELECT ticker, session, end_ AS \"end\", count(*) AS days, min(day) AS first, max(day) AS last, bool_and(sig) AS signal_allowed FROM x GROUP BY 1, 2, 3")
 def session_rules(spark, d):
-    """D24, D25, JN11."""
-    one = spark.range(1).select(F.lit("2001-06-01").cast("date").alias("low"), F.lit("2001-07-31").cast("date").alias("high"))
-    return U.session_rules(U.lifecycle(official_events(spark, d)), T.market_calendar(one), "2001-07-31")
+    """D24, D25, JN11: sessions of all days of all tickers' lives, half days too, as days and their span by ticker and session."""
+    events = official_events(spark, d)
+    span = events.agg(F.min("event_date").alias("low"), F.max("event_date").alias("high"))
+    days = U.live_days(U.lifecycle(events), T.market_calendar(span), span.select(F.col("high").alias("last")))
+    counted = days.groupBy("ticker", "is_half_day").agg(F.count("*").alias("days"), F.min("date").alias("first"), F.max("date").alias("last"))  # all days of a kind have the same sessions
+    return U.session_rules(counted).groupBy("ticker", "session", "end").agg(F.sum("days").alias("days"), F.min("first").alias("first"), F.max("last").alias("last"), F.bool_and("signal_allowed").alias("signal_allowed"))
 
 
-@query(with_roles("trades") + ", o AS (SELECT DISTINCT ticker, CAST(ts AS DATE) AS date FROM trades), t AS (SELECT DISTINCT ticker FROM o), e AS (SELECT ticker, CAST(s AS DATE) AS date FROM t, (SELECT unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-31', INTERVAL 1 DAY)) AS s) WHERE isodow(s) < 6), j AS (SELECT coalesce(e.ticker, o.ticker) AS ticker, e.date AS ed, o.date AS od FROM e FULL JOIN o ON e.ticker = o.ticker AND e.date = o.date) SELECT ticker, count(ed) AS expected, count(od) AS observed, count(CASE WHEN ed IS NOT NULL AND od IS NOT NULL THEN 1 END) AS matched, count(CASE WHEN od IS NULL THEN 1 END) AS missing, count(CASE WHEN ed IS NULL THEN 1 END) AS extra, count(CASE WHEN ed IS NOT NULL AND od IS NOT NULL THEN 1 END) / nullif(count(ed), 0) AS coverage FROM j GROUP BY 1")
+@query(with_roles("trades") + ", o AS (SELECT DISTINCT ticker, CAST(ts AS DATE) AS date FROM trades), t AS (SELECT DISTINCT ticker FROM o), e AS (SELECT ticker, CAST(s AS DATE) AS date FROM t, (SELECT unnest(generate_series((SELECT CAST(min(date) AS TIMESTAMP) FROM o), (SELECT CAST(max(date) AS TIMESTAMP) FROM o), INTERVAL 1 DAY)) AS s) WHERE isodow(s) < 6), j AS (SELECT coalesce(e.ticker, o.ticker) AS ticker, e.date AS ed, o.date AS od FROM e FULL JOIN o ON e.ticker = o.ticker AND e.date = o.date) SELECT ticker, count(ed) AS expected, count(od) AS observed, count(CASE WHEN ed IS NOT NULL AND od IS NOT NULL THEN 1 END) AS matched, count(CASE WHEN od IS NULL THEN 1 END) AS missing, count(CASE WHEN ed IS NULL THEN 1 END) AS extra, count(CASE WHEN ed IS NOT NULL AND od IS NOT NULL THEN 1 END) / nullif(count(ed), 0) AS coverage FROM j GROUP BY 1")
 def reconciled_days(spark, d):
     """D21, D22, D70."""
     o = trades(spark, d).select("ticker", F.to_date("ts").alias("date"))
-    span = o.select("ticker").distinct().withColumns({"lo": F.lit("2024-01-01").cast("date"), "hi": F.lit("2024-01-31").cast("date")})
+    span = o.select("ticker").distinct().crossJoin(F.broadcast(o.agg(F.min("date").alias("lo"), F.max("date").alias("hi"))))
     return U.reconcile_days(T.days(span, "lo", "hi").filter(T.is_weekday(F.col("date"))), o, ["ticker"])
 
 
@@ -242,10 +245,11 @@ def provenance(spark, d):
     return U.with_provenance(c.select("c_custkey"), "c_custkey", {"partial": (best("P"), "v"), "final": (best("F"), "v"), "account": (account, "v")}, "cap")
 
 
-@query(with_roles("official") + _LIFE + ", t AS (SELECT ticker, CAST(unnest(generate_series(CAST(list_date AS TIMESTAMP), CAST(least(coalesce(delist_date, DATE '1999-12-31'), DATE '1999-12-31') AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS date FROM life WHERE list_date <= least(coalesce(delist_date, DATE '1999-12-31'), DATE '1999-12-31')) SELECT ticker, year(date) AS year, count(*) AS tasks FROM t WHERE isodow(date) < 6 GROUP BY 1, 2")
+@query(with_roles("official") + _LIFE + ", span AS (SELECT max(event_date) AS hi FROM official), t AS (SELECT ticker, CAST(unnest(generate_series(CAST(list_date AS TIMESTAMP), CAST(coalesce(delist_date, hi) AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS date FROM life, span WHERE list_date <= coalesce(delist_date, hi)) SELECT ticker, year(date) AS year, count(*) AS tasks FROM t WHERE isodow(date) < 6 GROUP BY 1, 2")
 def fetch_tasks(spark, d):
-    """D59, D60."""
-    return U.tasks(U.lifecycle(official_events(spark, d)), "1999-12-31").groupBy("ticker", F.year("date").alias("year")).agg(F.count("*").alias("tasks"))
+    """Tasks over all tickers' lives, by year."""
+    events = official_events(spark, d)
+    return U.tasks(U.lifecycle(events), events.agg(F.max("event_date").alias("last"))).groupBy("ticker", F.year("date").alias("year")).agg(F.count("*").alias("tasks"))
 
 
 _EVIDENCE = ", q AS (SELECT ticker, year(event_date) * 12 + month(event_date) AS month FROM official WHERE event_type = 'listed' GROUP BY 1, 2), o AS (SELECT ticker, year(event_date) * 12 + month(event_date) AS month FROM official WHERE event_type = 'delisted' GROUP BY 1, 2), g AS (SELECT coalesce(q.ticker, o.ticker) AS ticker, count(q.month) AS q_months, count(o.month) AS o_months, count(CASE WHEN q.month IS NOT NULL AND o.month IS NOT NULL THEN 1 END) AS overlap FROM q FULL JOIN o ON q.ticker = o.ticker AND q.month = o.month GROUP BY 1)"
@@ -350,19 +354,24 @@ def split_jumps(spark, d):
     return E.jumps(daily(spark, d), [1.0, 2.0, 3.0, 4.0, 5.0, 10.0, 20.0], 0.05).filter("ratio IS NOT NULL").select("ticker", "date", "factor", "matched")
 
 
-@query()
+_LADDER = [1.5, 2.0, 3.0, 4.0, 5.0, 6.0, 8.0, 10.0, 15.0, 20.0, 25.0, 30.0, 50.0, 100.0]
+
+
+@query(with_roles("daily").replace("WITH ", "WITH RECURSIVE ", 1) + f", s0 AS (SELECT ticker, list(date ORDER BY date) AS dates, list(close ORDER BY date) AS raw FROM daily GROUP BY 1), r AS (SELECT ticker, dates, raw, raw AS a, 0 AS it FROM s0 UNION ALL SELECT ticker, dates, raw, list_transform(range(1, len(a) + 1), lambda i: CASE WHEN i < p.k THEN a[i] WHEN p.up THEN a[i] / p.f ELSE a[i] * p.f END), it + 1 FROM (SELECT *, list_sort(list_filter(list_transform(list_transform(range(2, len(a) + 1), lambda k: struct_pack(d := greatest(a[k] / a[k - 1], a[k - 1] / a[k]), k := k, up := a[k] >= a[k - 1])), lambda z: struct_pack(less := -z.d, k := z.k, up := z.up, f := list_sort(list_transform({_LADDER}, lambda f: row(abs(CAST(f AS DOUBLE) - z.d), CAST(f AS DOUBLE))))[1][2])), lambda z: -z.less >= 1.5 AND abs(-z.less - z.f) / z.f <= 0.12))[1] AS p FROM r WHERE it < 6) WHERE p IS NOT NULL), z AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY it DESC) AS n FROM r) WHERE n = 1) SELECT ticker, unnest(dates) AS date, unnest(raw) AS close, round(unnest(a), 9) AS adjusted, it AS rounds FROM z")
 def adjusted_closes(spark, d):
-    """D88, WN20: iterative adjustment by a ticker's strongest jumps."""
-    return E.adjusted_series(daily(spark, d))
+    """D88, WN20, UD7: closes with a ticker's strongest split-like jumps undone, up to six."""
+    return E.adjusted_series(daily(spark, d), _LADDER).withColumn("adjusted", F.round("adjusted", 9))
+
+
+_REGIME = ", rr AS (SELECT *, close / open - 1 AS ret, row_number() OVER (PARTITION BY ticker ORDER BY date) AS pos FROM daily), rf AS (SELECT ticker, date, close, ret, min(close) OVER w AS lo, max(close) OVER w AS hi, count(*) OVER w AS n10, regr_slope(close, pos) OVER w AS sl FROM rr WINDOW w AS (PARTITION BY ticker ORDER BY date ROWS BETWEEN 1 FOLLOWING AND 10 FOLLOWING)), reg AS (SELECT ticker, date, CASE WHEN lo / close - 1 <= -0.5 AND sl < 0 THEN 'dump' WHEN lo / close - 1 >= -0.2 THEN 'hold' WHEN hi / lo - 1 >= 0.5 THEN 'recovery' ELSE 'shakeout' END AS regime FROM rf WHERE ret >= 0.3 AND n10 >= 3)"
+_POLICY = ", pol AS (SELECT o_custkey AS ticker, CASE WHEN round(avg(CAST(CASE o_orderstatus WHEN 'O' THEN 1.0 WHEN 'P' THEN 0.6 ELSE 0.2 END AS DOUBLE)), 9) >= 0.5 THEN 'ALLOW' ELSE 'BLOCK' END AS policy FROM orders GROUP BY 1)"
 
 
-@query(with_roles("daily") + ", ix AS (SELECT ticker, date FROM (SELECT ticker, date, (high - low) / open AS rg FROM daily) WHERE rg >= 3), r AS (SELECT *, close / open - 1 AS ret FROM daily), dump AS (SELECT DISTINCT ticker, date FROM r WHERE ret <= -0.9), pol AS (SELECT o_custkey AS ticker, CASE WHEN round(avg(CAST(CASE o_orderstatus WHEN 'O' THEN 1.0 WHEN 'P' THEN 0.6 ELSE 0.2 END AS DOUBLE)), 9) >= 0.5 THEN 'ALLOW' ELSE 'BLOCK' END AS policy FROM orders GROUP BY 1) SELECT ix.ticker, ix.date, CASE WHEN coalesce(policy, 'BLOCK') <> 'BLOCK' AND dump.ticker IS NULL THEN 'pass' ELSE 'stop' END AS gate FROM ix LEFT JOIN dump ON dump.ticker = ix.ticker AND dump.date = ix.date LEFT JOIN pol ON pol.ticker = ix.ticker")
+@query(with_roles("daily") + _INDEX + _REGIME + _POLICY + " SELECT x.ticker, x.date, regime, coalesce(policy, 'none') AS policy, CASE WHEN coalesce(policy, 'BLOCK') <> 'BLOCK' AND coalesce(regime, 'none') <> 'dump' THEN 'pass' ELSE 'stop' END AS gate FROM x LEFT JOIN reg ON reg.ticker = x.ticker AND reg.date = x.date LEFT JOIN pol ON pol.ticker = x.ticker WHERE event_score >= 1.0")
 def event_gate(spark, d):
-    """Event days through policy and regime."""
+    """Event days of the index through regime and policy."""
     b = daily(spark, d)
-    index = b.withColumn("is_event_day", (F.col("high") - F.col("low")) / F.col("open") >= 3).select("ticker", "date", "is_event_day")
-    regime = b.withColumn("regime", F.when(F.col("close") / F.col("open") - 1 <= -0.9, "dump").otherwise("hold"))
     status = F.when(F.col("o_orderstatus") == "O", "PASS").when(F.col("o_orderstatus") == "P", "WARN").otherwise("FAIL")
     rows = table(spark, d, "orders").select(F.col("o_custkey").alias("ticker"), status.alias("status"))
     policy = P.policy_scores(rows, {"PASS": 1.0, "WARN": 0.6, "FAIL": 0.2}, 0.5, 0.5)
-    return E.event_gate(index, regime, policy).select("ticker", "date", "gate")
+    return E.event_gate(E.event_index(b, 1.0), E.regimes(b, 0.3), policy).select("ticker", "date", "regime", F.coalesce("policy", F.lit("none")).alias("policy"), "gate")

@@ -61,7 +61,7 @@ def horizontal(spark, d):
 def thresholds_from_aggregate(spark, d):
     """PRJ12, JN13: a one-row aggregate joined to every row."""
     e = table(spark, d, "events")
-    one = e.agg(F.median("value").alias("m"), F.percentile("value", 0.9).alias("q"))
+    one = S.quantiles(e, [], {"m": (F.col("value"), 0.5, "linear"), "q": (F.col("value"), 0.9, "linear")})
     return e.crossJoin(F.broadcast(one)).select("event_id", (F.col("value") > F.col("m")).alias("above"), (F.col("value") >= F.col("q")).alias("high"))
 
 
@@ -79,11 +79,11 @@ def filter_sets(spark, d):
     return o.filter(o.o_orderstatus.isin("F", "P") & o.o_orderdate.between(F.lit("1996-01-01").cast("timestamp_ntz"), F.lit("1996-12-31").cast("timestamp_ntz")) & o.o_orderpriority.rlike("^[12]-")).select("o_orderkey", "o_orderpriority")
 
 
-@query("SELECT event_id FROM events WHERE hour(ts) * 60 + minute(ts) >= 570 AND hour(ts) * 60 + minute(ts) < 960 AND isfinite(value) AND abs(value - 100) > 1e-9")
+@query("SELECT event_id FROM events WHERE hour((ts AT TIME ZONE 'UTC') AT TIME ZONE 'America/New_York') * 60 + minute((ts AT TIME ZONE 'UTC') AT TIME ZONE 'America/New_York') >= 570 AND hour((ts AT TIME ZONE 'UTC') AT TIME ZONE 'America/New_York') * 60 + minute((ts AT TIME ZONE 'UTC') AT TIME ZONE 'America/New_York') < 960 AND isfinite(value) AND abs(value - 100) > 1e-9")
 def session_filter(spark, d):
     """FLT6, FLT7, FLT9."""
     v = F.col("value")
-    return table(spark, d, "events").filter(X.in_session("ts") & ~F.isnan(v) & (F.abs(v) < float("inf")) & (F.abs(v - 100) > X.EPS)).select("event_id")
+    return table(spark, d, "events").filter(X.in_session(X.new_york("ts")) & ~F.isnan(v) & (F.abs(v) < float("inf")) & (F.abs(v - 100) > X.EPS)).select("event_id")
 
 
 @query("SELECT c_custkey, c_mktsegment FROM customer c WHERE EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o_totalprice > 100000)")
@@ -430,10 +430,10 @@ def set_membership(spark, d):
     return a.join(b, "k", "full").select("k", F.coalesce("a", F.lit(False)).alias("in_a"), F.coalesce("b", F.lit(False)).alias("in_b"))
 
 
-@query("SELECT event_id, strftime(ts, '%A') AS dow, year(ts) AS y, date_trunc('minute', ts) AS minute, CASE WHEN hour(ts) * 60 + minute(ts) < 570 THEN 'premarket' WHEN hour(ts) * 60 + minute(ts) < 960 THEN 'rth' WHEN hour(ts) * 60 + minute(ts) <= 1200 THEN 'postmarket' ELSE 'closed' END AS session, CASE WHEN hour(ts) * 60 + minute(ts) BETWEEN 570 AND 599 THEN 'open' WHEN hour(ts) * 60 + minute(ts) BETWEEN 930 AND 959 THEN 'close' ELSE 'midday' END AS regime, (ts AT TIME ZONE 'UTC') AT TIME ZONE 'America/New_York' AS ny FROM events")
+@query("SELECT event_id, strftime(ts, '%A') AS dow, year(ts) AS y, date_trunc('minute', ts) AS minute, CASE WHEN hour((ts AT TIME ZONE 'UTC') AT TIME ZONE 'America/New_York') * 60 + minute((ts AT TIME ZONE 'UTC') AT TIME ZONE 'America/New_York') < 570 THEN 'premarket' WHEN hour((ts AT TIME ZONE 'UTC') AT TIME ZONE 'America/New_York') * 60 + minute((ts AT TIME ZONE 'UTC') AT TIME ZONE 'America/New_York') < 960 THEN 'rth' WHEN hour((ts AT TIME ZONE 'UTC') AT TIME ZONE 'America/New_York') * 60 + minute((ts AT TIME ZONE 'UTC') AT TIME ZONE 'America/New_York') <= 1200 THEN 'postmarket' ELSE 'closed' END AS session, CASE WHEN hour((ts AT TIME ZONE 'UTC') AT TIME ZONE 'America/New_York') * 60 + minute((ts AT TIME ZONE 'UTC') AT TIME ZONE 'America/New_York') BETWEEN 570 AND 599 THEN 'open' WHEN hour((ts AT TIME ZONE 'UTC') AT TIME ZONE 'America/New_York') * 60 + minute((ts AT TIME ZONE 'UTC') AT TIME ZONE 'America/New_York') BETWEEN 930 AND 959 THEN 'close' ELSE 'midday' END AS regime, (ts AT TIME ZONE 'UTC') AT TIME ZONE 'America/New_York' AS ny FROM events")
 def time_parts(spark, d):
     """SC20, SC21, SC22, SC27, SC28."""
-    return table(spark, d, "events").select("event_id", F.date_format("ts", "EEEE").alias("dow"), F.year("ts").alias("y"), X.trunc("minute", "ts").alias("minute"), X.session("ts").alias("session"), X.regime("ts").alias("regime"), X.new_york("ts").alias("ny"))
+    return table(spark, d, "events").select("event_id", F.date_format("ts", "EEEE").alias("dow"), F.year("ts").alias("y"), X.trunc("minute", "ts").alias("minute"), X.session(X.new_york("ts")).alias("session"), X.regime(X.new_york("ts")).alias("regime"), X.new_york("ts").alias("ny"))
 
 
 @query("WITH t AS (SELECT event_id, epoch_us(ts) * (CASE event_id % 4 WHEN 0 THEN 1000 ELSE 1 END) // (CASE event_id % 4 WHEN 2 THEN 1000 WHEN 3 THEN 1000000 ELSE 1 END) AS t FROM events) SELECT event_id, CASE WHEN t >= 100000000000000000 THEN 'ns' WHEN t >= 100000000000000 THEN 'us' WHEN t >= 100000000000 THEN 'ms' ELSE 's' END AS unit, make_timestamp(CASE WHEN t >= 100000000000000000 THEN t // 1000 WHEN t >= 100000000000000 THEN t WHEN t >= 100000000000 THEN t * 1000 ELSE t * 1000000 END) AS at FROM t")
