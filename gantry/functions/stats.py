@@ -15,6 +15,11 @@ def count_where(condition: Column) -> Column:
     return F.count_if(condition)
 
 
+def correlation(x: str, y: str) -> Column:
+    """Pearson correlation; null where one of them doesn't vary (AG17)."""
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+
 def weighted(value: Column, weight: Column) -> Column:
     """Sum of value * weight over the sum of weights; null without weight (AG22)."""
     return F.try_divide(F.sum(value * weight), F.sum(weight))

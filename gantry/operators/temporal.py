@@ -41,8 +41,9 @@ def nearest_join(left: DataFrame, right: DataFrame, key: str, left_date: str, ri
     """
     near = right.select(key, F.col(right_date).alias("_date"), F.explode(F.sequence(F.lit(-within), F.lit(within))).alias("_d")).withColumn("_on", F.date_add("_date", F.col("_d")))
     best = near.groupBy(key, "_on").agg(F.min(F.struct(F.abs("_d").alias("a"), F.col("_date").alias("date"))).alias("_best"))
-    joined = left.join(best, (left[key] == best[key]) & (left[left_date] == best["_on"]), "left").drop(best[key])
-    return joined.select(*[left[c] for c in left.columns], F.col("_best.date").alias("near_date"), F.datediff("_best.date", left_date).alias("near_days"))
+    best = best.withColumnRenamed(key, "_key")
+    joined = left.join(best, (F.col(key) == F.col("_key")) & (F.col(left_date) == F.col("_on")), "left")
+    return joined.select(*left.columns, F.col("_best.date").alias("near_date"), F.datediff("_best.date", left_date).alias("near_days"))
 
 
 def band_join(left: DataFrame, right: DataFrame, key: str, left_date: str, right_date: str, days: int) -> DataFrame:

@@ -93,3 +93,11 @@ def tasks(life: DataFrame, last: DataFrame) -> DataFrame:
     end = F.least(F.coalesce("delist_date", "last"), "last")
     spans = life.crossJoin(F.broadcast(last)).select("ticker", F.col("list_date").alias("lo"), end.alias("hi")).filter("lo <= hi")
     return T.days(spans, "lo", "hi").filter(T.is_weekday(F.col("date"))).select("ticker", "date")
+
+
+def event_gaps(universe: DataFrame, events: DataFrame, life: DataFrame) -> DataFrame:
+    """Each ticker of the universe with flags of what it lacks: events, listings, delistings, lifecycle dates."""
+    seen = events.groupBy("ticker").agg(F.count_if(F.col("event_type") == "listed").alias("_listed"), F.count_if(F.col("event_type").isin(*DELISTED)).alias("_gone"))
+    j = universe.select("ticker").distinct().join(seen, "ticker", "left").join(life.select("ticker", "list_date", "delist_date"), "ticker", "left")
+    lacks = lambda c: F.coalesce(F.col(c), F.lit(0)) == 0
+    return j.select("ticker", F.col("_listed").isNull().alias("gap_any_event"), lacks("_listed").alias("gap_listed"), lacks("_gone").alias("gap_delist"), F.col("list_date").isNull().alias("gap_list_date"), F.col("delist_date").isNull().alias("gap_delist_date"))
