@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 
 SESSION_CONF = {
@@ -29,3 +33,19 @@ def local_session(cpus: int = 8, shuffle_partitions: int = 8, memory: str = "8g"
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the input tables under ``sf_dir``."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+_LOCAL: list[str] = []
+
+
+def scratch(spark: SparkSession) -> str:
+    """A folder that driver and executors share: spark.checkpoint.dir; where it is unset, a temporary one if Spark runs in this process alone."""
+    where = spark.conf.get("spark.checkpoint.dir", None)
+    if where:
+        return f"{where.rstrip('/')}/gantry"
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    if not _LOCAL:
+        _LOCAL.append(tempfile.mkdtemp(prefix="gantry-scratch-"))
+        atexit.register(shutil.rmtree, _LOCAL[0], True)
+    return f"file://{_LOCAL[0]}"

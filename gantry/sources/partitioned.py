@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -18,14 +20,64 @@ def read_tree(spark: SparkSession, root: str, schema: StructType | str, layout:
     return spark.read.schema(fields).parquet(root)
 
 
+def _dated(df: DataFrame, ts: str, key: str) -> DataFrame:
+    return df.withColumns({"ticker": F.col(key).cast("string"), "year": F.year(ts), "month": F.month(ts)})
+
+
 def write_tree(df: DataFrame, root: str, ts: str = "ts", key: str = "ticker", layout: tuple[str, ...] = LAYOUT) -> None:
-    """Writes ``df`` by ticker, year and month of ``ts``. Rebalancing by those columns keeps files few and splits a ticker that holds very many rows."""
-    dated = df.withColumns({"ticker": F.col(key).cast("string"), "year": F.year(ts), "month": F.month(ts)})
-    dated.hint("rebalance", *[F.col(c) for c in layout]).write.mode("overwrite").partitionBy(*layout).parquet(root)
+    """Writes ``df`` by ticker, year and month of ``ts``: only the folders it has rows for are replaced (SNK2, SNK3).
+
+    Rebalancing by those columns keeps files few and splits a ticker that holds very many rows. Spark's commit
+    protocol makes files visible at the end of the job (SNK4).
+    """
+    rows = _dated(df, ts, key).hint("rebalance", *[F.col(c) for c in layout])
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*layout).parquet(root)
+
+
+def upsert_tree(changes: DataFrame, root: str, keys: list[str], schema: StructType | str, ts: str = "ts", key: str = "ticker", prune: bool = False) -> None:
+    """Rows of ``changes`` take the place of those of the same keys in the folders they fall into; other rows and folders stay (SNK5).
+
+    The new folders are built as a table beside the tree first, as a folder can't be read and replaced in one job.
+    With ``prune``, folders of the tickers in ``changes`` that it has no rows for are removed.
+    """
+    spark = changes.sparkSession
+    dated = _dated(changes, ts, key)
+    touched = dated.select(*LAYOUT).distinct()
+    old = read_tree(spark, root, schema).withColumn("ticker", F.col("ticker").cast("string"))
+    stay = old.join(touched, list(LAYOUT), "left_semi").join(dated.select(*keys).distinct(), keys, "left_anti")
+    gone = []
+    if prune:  # names of folders, before they change
+        folders = old.select(*LAYOUT).distinct().join(touched.select("ticker").distinct(), "ticker", "left_semi")
+        gone = folders.join(touched, list(LAYOUT), "left_anti").collect()
+    stage = f"{root.rstrip('/')}_stage_{uuid.uuid4().hex}"
+    stay.unionByName(dated.select(*stay.columns)).write.parquet(stage)
+    staged = spark.read.parquet(stage)
+    staged.hint("rebalance", *[F.col(c) for c in LAYOUT]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*LAYOUT).parquet(root)
+    for r in gone:
+        remove(spark, f"{root.rstrip('/')}/ticker={r['ticker']}/year={r['year']}/month={r['month']}")
+    remove(spark, stage)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a file or folder of any file system that Spark knows."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def inventory(spark: SparkSession, root: str) -> DataFrame:
-    """path, size, modified, ticker, year and month of each Parquet file, without reading its content."""
+    """path, size, modified, ticker, year and month of each Parquet file, without reading its content (SRC10, SRC12)."""
     found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(root)
     part = lambda k: F.nullif(F.regexp_extract("path", f"{k}=([^/]+)", 1), F.lit(""))
     return found.select("path", F.col("length").alias("size"), F.col("modificationTime").alias("modified"), part("ticker").alias("ticker"), part("year").cast("int").alias("year"), part("month").cast("int").alias("month"))
+
+
+def signatures(spark: SparkSession, path: str) -> DataFrame:
+    """name, size and signature (size and time of the last change) of the files under ``path`` (SC40)."""
+    f = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return f.select(F.element_at(F.split("path", "/"), -1).alias("name"), F.col("length").alias("size"), F.concat_ws("_", "length", F.unix_millis("modificationTime")).alias("signature"))
+
+
+def content_hashes(spark: SparkSession, path: str) -> DataFrame:
+    """path and sha256 of the files under ``path`` (SNK11)."""
+    f = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return f.select("path", F.sha2("content", 256).alias("sha256"))

@@ -1,6 +1,6 @@
 from datetime import datetime, timedelta
 
-from gantry.sources.partitioned import inventory, read_tree, write_tree
+from gantry.sources.partitioned import inventory, read_tree, upsert_tree, write_tree
 from gantry.streaming.bars import stream_bars
 
 SCHEMA = "ticker string, ts timestamp, price double, size long, seq long"
@@ -34,3 +34,16 @@ def test_stream_gives_the_batch_bars(spark, tmp_path):
     assert got == sorted(map(tuple, stream_bars(df, ["ticker"]).collect())) and len(got) == 7
     first = next(r for r in got if r[0] == "A")
     assert first[2:] == (10.0, 14.0, 10.0, 14.0, 3, 3)
+
+
+def test_writes_replace_touched_folders_only(spark, tmp_path):
+    df, root = spark.createDataFrame(ticks(), SCHEMA), f"{tmp_path}/t"
+    write_tree(df, root)
+    write_tree(df.filter("ticker = 'B' AND seq < 3"), root)
+    back = read_tree(spark, root, SCHEMA)
+    assert {r.ticker: r.n for r in back.groupBy("ticker").agg({"*": "count"}).withColumnRenamed("count(1)", "n").collect()} == {"A": 11, "B": 3}
+    change = spark.createDataFrame([("A", datetime(2024, 1, 2, 15), 7.0, 1, 4), ("A", datetime(2024, 1, 2, 16), 8.0, 1, 50)], SCHEMA)
+    upsert_tree(change, root, ["ticker", "seq"], SCHEMA, prune=True)
+    rows = read_tree(spark, root, SCHEMA).collect()
+    assert {r.seq for r in rows if r.ticker == "A"} == {0, 1, 2, 3, 4, 5, 6, 7, 8, 50}  # March is pruned
+    assert [r.price for r in rows if r.ticker == "A" and r.seq == 4] == [7.0] and sum(r.ticker == "B" for r in rows) == 3
