@@ -13,6 +13,8 @@ corpus), which weighs the top; then each part sends each block the log probabili
 Word counts of the unigram base go by blocks of documents in the same way: a block
 sends each distinct word once and gets its corpus count back, so a frequent word is one row for each block.
 
+DEPTH, the longest context in bytes, is a parameter of the model, and so is SPLIT: a part holds whole subtrees of SPLIT context bytes.
+
 Cases: a null or empty text is the end alone; without training text every byte has probability 1/256 and no token is known;
 equal texts get equal scores; rows may repeat; a null doc_id is a training row; an empty table gives an empty result;
 extra columns are left out; a very long text is a block of its own.

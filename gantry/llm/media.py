@@ -10,7 +10,8 @@ batches through Arrow. A member that can't be read is tried anew at its own offs
 ``retries`` it fails the task, or, with ``on_error`` = "null", gives a row with a null payload and the error.
 
 Cases: a null or empty payload is stored as one row of zeros with a length of 0; equal payloads give equal stored bytes; rows may repeat;
-an empty table gives an empty manifest and no rows; a null key stays null; extra columns are left out.
+an empty table gives an empty manifest and no rows; a null key stays null; a very long payload is one member, streamed as a batch of its own; extra columns are left out.
+Archives are opened by pyarrow's file systems, so their folder has to be on one of these (local, HDFS, S3, GCS, Azure).
 """
 
 from __future__ import annotations

@@ -10,7 +10,7 @@ are encoded one by one; a bounded cache keeps units that return. Runs of marks s
 greedily from the left, as the library does. Characters outside the vocabulary become byte pieces.
 
 Cases: null is taken as an empty text; an empty text gives begin and end ids alone; text of any length is encoded whole;
-extra columns pass through.
+of pieces of equal score the leftmost is merged first, as in the library; rows may repeat; an empty table gives an empty result; extra columns pass through.
 """
 
 from __future__ import annotations
