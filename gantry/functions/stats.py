@@ -88,15 +88,14 @@ def concentration(counts: DataFrame, n: str, by: list[str]) -> DataFrame:
 
 def robust_z(df: DataFrame, keys: list[str], x: str, scale: float = 1.4826, eps: float = 1e-12) -> DataFrame:
     """``df`` with z = (x - median) / (scale * MAD + eps) per key: two aggregations and their joins (AG16)."""
-    center = df.groupBy(*keys).agg(F.median(x).alias("_med"))
+    center = quantiles(df, keys, {"_med": (F.col(x), 0.5, "linear")})
     around = df.join(center, keys)
-    spread = around.groupBy(*keys).agg(F.median(F.abs(F.col(x) - F.col("_med"))).alias("_mad"))
+    spread = quantiles(around, keys, {"_mad": (F.abs(F.col(x) - F.col("_med")), 0.5, "linear")})
     return around.join(spread, keys).withColumn("z", (F.col(x) - F.col("_med")) / (scale * F.col("_mad") + eps)).withColumnsRenamed({"_med": "median", "_mad": "mad"})
 
 
 def describe(df: DataFrame, x: str, by: list[str]) -> DataFrame:
     """Count, mean, sample deviation, minimum, exact quartiles and maximum (AG29)."""
-    q = F.percentile(x, F.array(*[F.lit(v) for v in (0.25, 0.5, 0.75)]))
-    return df.groupBy(*by).agg(F.count(x).alias("n"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), F.min(x).alias("min"), q.alias("q"), F.max(x).alias("max")).select(
-        *by, "n", "mean", "std", "min", F.col("q")[0].alias("q25"), F.col("q")[1].alias("q50"), F.col("q")[2].alias("q75"), "max"
-    )
+    q = quantiles(df, by, {f"q{v}": (F.col(x), v / 100, "linear") for v in (25, 50, 75)})
+    sums = df.groupBy(*by).agg(F.count(x).alias("n"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max"))
+    return sums.join(q, by, "left").select(*by, "n", "mean", "std", "min", "q25", "q50", "q75", "max")

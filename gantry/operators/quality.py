@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gantry.functions import exprs as X
 from gantry.functions import stats as S
+from gantry.operators import temporal as T
 
 
 def ohlcv_check(bars: DataFrame, keys: list[str]) -> DataFrame:
@@ -49,8 +50,7 @@ def condition_eligibility(ticks: DataFrame, codes: str, keys: list[str]) -> Data
 
 def sequence_integrity(ticks: DataFrame, key: str, ts: str, seq: str) -> DataFrame:
     """Out-of-order and duplicated ticks per key in order of arrival."""
-    w = Window.partitionBy(key).orderBy(seq)
-    flagged = ticks.withColumn("_back", (F.col(ts) < F.lag(ts).over(w)).cast("int"))
+    flagged = T.sliced_lag(ticks.select(key, ts, seq), key, seq, {"_before": ts}).withColumn("_back", (F.col(ts) < F.col("_before")).cast("int"))
     dup = ticks.groupBy(key, ts).agg(F.count("*").alias("_n")).groupBy(key).agg(F.sum(F.col("_n") - 1).alias("excess"))
     out = flagged.groupBy(key).agg(F.count("*").alias("rows"), F.coalesce(F.sum("_back"), F.lit(0)).alias("backward"))
     return out.join(dup, key).withColumn("status", X.grade(F.col("backward") / F.col("rows"), 0.2, 0.5, False))

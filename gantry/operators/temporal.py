@@ -52,11 +52,35 @@ def band_join(left: DataFrame, right: DataFrame, key: str, left_date: str, right
     return left.join(spread, (F.col(key) == F.col("_key")) & (F.col(left_date) == F.col("_on"))).withColumn("band_days", -F.col("_d")).drop("_key", "_on", "_d")
 
 
-def within_interval(points: DataFrame, intervals: DataFrame, key: str, at: str, low: str, high: str) -> DataFrame:
-    """Pairs of the key with low <= at < high (JN11, JN12); an open end is null."""
-    inside = (F.col(at) >= F.col(low)) & (F.col(high).isNull() | (F.col(at) < F.col(high)))
+def within_interval(points: DataFrame, intervals: DataFrame, key: str, at: str, low: str, high: str, bin_seconds: int = 86_400) -> DataFrame:
+    """Pairs of the key with low <= at < high (JN11, JN12); an open end is null.
+
+    Closed intervals are copied once for each bin of time they touch, so the join is on key and bin, and a busy key is dealt out by time. The bin should
+    be about as long as the intervals. Open ones are joined on the key alone.
+    """
+    number = lambda c: F.floor(F.unix_seconds(F.col(c).cast("timestamp")) / bin_seconds)
     renamed = intervals.withColumnRenamed(key, "_key")
-    return points.join(renamed, (F.col(key) == F.col("_key")) & inside).drop("_key")
+    binned = renamed.filter(F.col(high) > F.col(low)).withColumn("_bin", F.explode(F.sequence(number(low), number(high))))
+    near = points.withColumn("_at_bin", number(at)).join(binned, (F.col(key) == F.col("_key")) & (F.col("_at_bin") == F.col("_bin")) & (F.col(at) >= F.col(low)) & (F.col(at) < F.col(high)))
+    open_ = points.join(renamed.filter(F.col(high).isNull()), (F.col(key) == F.col("_key")) & (F.col(at) >= F.col(low)))
+    return near.drop("_key", "_bin", "_at_bin").unionByName(open_.drop("_key"))
+
+
+def sliced_lag(df: DataFrame, key: str, order: str, columns: dict[str, str], rows: int = 1_000_000) -> DataFrame:
+    """``df`` with the value of each column (new name to column) in the row before, by a whole-number ``order`` that tells rows of the key apart.
+
+    The window runs inside slices of ``rows`` numbers of the order; the first row of a slice takes the last one of the slice before it that has any, from one
+    summary row for each slice. So a key that holds a large share of the rows is dealt out.
+    """
+    part = F.floor(F.col(order) / rows)
+    cut = df.withColumn("_slice", part)
+    before = Window.partitionBy(key, "_slice").orderBy(order)
+    last = cut.groupBy(key, "_slice").agg(F.max_by(F.struct(*columns.values()), order).alias("_last"))
+    border = last.withColumn("_border", F.lag("_last").over(Window.partitionBy(key).orderBy("_slice"))).drop("_last")
+    border = border.withColumnsRenamed({key: "_key", "_slice": "_of"})
+    lagged = cut.withColumn("_first", F.lag(F.lit(False), 1, True).over(before)).withColumns({n: F.lag(c).over(before) for n, c in columns.items()})
+    joined = lagged.join(border, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_slice") == F.col("_of")), "left")
+    return joined.withColumns({n: F.when(F.col("_first"), F.col("_border")[c]).otherwise(F.col(n)) for n, c in columns.items()}).drop("_slice", "_first", "_border", "_key", "_of")
 
 
 def days(bounds: DataFrame, low: str, high: str, name: str = "date") -> DataFrame:

@@ -152,7 +152,7 @@ def halt_windows(spark, d):
     hours = lambda n: F.col("ts") + F.expr(f"interval {n} hours")
     part = lambda name, lo, hi: F.struct(F.lit(name).alias("part"), lo.alias("lo"), hi.alias("hi"))
     w = t.filter("venue = 'error'").select("ticker", F.col("seq").alias("halt_id"), F.explode(F.array(part("pre", hours(-6), hours(0)), part("halt", hours(0), hours(3)), part("reopen", hours(3), hours(9)))).alias("w")).select("ticker", "halt_id", "w.*")
-    return T.within_interval(t, w, "ticker", "ts", "lo", "hi").groupBy("ticker", "halt_id", "part").agg(F.count("*").alias("n"))
+    return T.within_interval(t, w, "ticker", "ts", "lo", "hi", 6 * 3600).groupBy("ticker", "halt_id", "part").agg(F.count("*").alias("n"))
 
 
 LADDER = [0.1, 0.2, 0.25, 0.5, 1.0, 2.0, 4.0, 5.0, 10.0]
@@ -202,7 +202,10 @@ def bars_rolled_up(spark, d):
 @query("SELECT event_type, median(value) AS med, quantile_cont(value, 0.95) AS p95, list_extract(list_sort(list(value)), CAST(round((count(value) - 1) * 0.9) AS INTEGER) + 1) AS near90, round(stddev_samp(value), 6) AS std, round(corr(value, event_id), 6) AS rho, round(regr_slope(value, event_id), 9) AS slope FROM events GROUP BY 1")
 def group_statistics(spark, d):
     """AG11 to AG15, AG17, AG33."""
-    return table(spark, d, "events").groupBy("event_type").agg(F.median("value").alias("med"), S.q_linear(F.col("value"), 0.95).alias("p95"), S.q_nearest(F.col("value"), 0.9).alias("near90"), F.round(F.stddev_samp("value"), 6).alias("std"), F.round(F.corr("value", F.col("event_id").cast("double")), 6).alias("rho"), F.round(F.regr_slope("value", F.col("event_id").cast("double")), 9).alias("slope"))
+    e, v = table(spark, d, "events"), F.col("value")
+    tails = S.quantiles(e, ["event_type"], {"med": (v, 0.5, "linear"), "p95": (v, 0.95, "linear"), "near90": (v, 0.9, "nearest")})
+    sums = e.groupBy("event_type").agg(F.round(F.stddev_samp("value"), 6).alias("std"), F.round(F.corr("value", F.col("event_id").cast("double")), 6).alias("rho"), F.round(F.regr_slope("value", F.col("event_id").cast("double")), 9).alias("slope"))
+    return sums.join(tails, "event_type")
 
 
 @query("WITH m AS (SELECT event_type, median(value) AS med FROM events GROUP BY 1), a AS (SELECT event_type, median(abs(value - med)) AS mad FROM events JOIN m USING (event_type) GROUP BY 1) SELECT event_id, round((value - med) / (1.4826 * mad + 1e-12), 6) AS z FROM events JOIN m USING (event_type) JOIN a USING (event_type)")
@@ -343,8 +346,7 @@ def rows_after(spark, d):
 @query("SELECT user_id, CAST(count(*) FILTER (WHERE ts < prev) AS BIGINT) AS backward, CAST(count(*) FILTER (WHERE value = pv AND event_type = pe) AS BIGINT) AS repeats, coalesce(bool_and(ts >= prev), true) AS monotone FROM (SELECT *, lag(ts) OVER w AS prev, lag(value) OVER w AS pv, lag(event_type) OVER w AS pe FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id)) GROUP BY 1")
 def order_checks(spark, d):
     """WN12, WN13, WN14: ticks out of order and repeated, in order of arrival."""
-    w = Window.partitionBy("user_id").orderBy("event_id")
-    e = table(spark, d, "events").withColumns({"prev": F.lag("ts").over(w), "pv": F.lag("value").over(w), "pe": F.lag("event_type").over(w)})
+    e = T.sliced_lag(table(spark, d, "events").select("user_id", "event_id", "ts", "value", "event_type"), "user_id", "event_id", {"prev": "ts", "pv": "value", "pe": "event_type"}, rows=2000)
     c = F.col
     return e.groupBy("user_id").agg(F.count_if(c("ts") < c("prev")).alias("backward"), F.count_if((c("value") == c("pv")) & (c("event_type") == c("pe"))).alias("repeats"), F.coalesce(F.bool_and(c("ts") >= c("prev")), F.lit(True)).alias("monotone"))
 
