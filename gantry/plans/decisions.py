@@ -401,3 +401,50 @@ def attribute_profile(spark, d):
     found = P.tallies(o).select("name", (100.0 * F.col("nulls") / F.col("rows")).alias("null_pct"), F.lit(True).alias("there"))
     j = found.join(expected, "name", "full")
     return j.select("name", F.when(F.col("there").isNull(), "missing").when(F.col("wanted").isNull(), "extra").otherwise("present").alias("state"), "null_pct")
+
+
+@query(with_roles("trades") + ", h AS (SELECT ticker, CAST(ts AS DATE) AS halt_date, 'NASDAQ' AS source, 1 AS priority, min(ts) AS start FROM trades WHERE venue = 'error' GROUP BY 1, 2 UNION ALL SELECT ticker, CAST(ts AS DATE), 'NYSE', 2, min(ts) FROM trades WHERE venue = 'signup' GROUP BY 1, 2 UNION ALL SELECT ticker, CAST(ts AS DATE), 'SEC', 3, min(ts) FROM trades WHERE seq % 17 = 0 GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY ticker, halt_date ORDER BY priority, start) AS n, count(*) OVER (PARTITION BY ticker, halt_date) AS sources FROM h) SELECT ticker, halt_date, source, start, sources, bool_or(source = 'SEC') OVER (PARTITION BY ticker) AS first_is_sec FROM r WHERE n = 1")
+def halts_master(spark, d):
+    """D58, ST3, AG25: halts of three sources as one table, the best source of each ticker and day."""
+    t = trades(spark, d).withColumn("halt_date", F.to_date("ts"))
+    one = lambda df, name, p: df.groupBy("ticker", "halt_date").agg(F.min("ts").alias("start")).withColumns({"source": F.lit(name), "priority": F.lit(p)})
+    rows = one(t.filter("venue = 'error'"), "NASDAQ", 1).unionByName(one(t.filter("venue = 'signup'"), "NYSE", 2)).unionByName(one(t.filter("seq % 17 = 0"), "SEC", 3))
+    best = rows.groupBy("ticker", "halt_date").agg(F.min(F.struct("priority", "start", "source")).alias("b"), F.count("*").alias("sources")).select("ticker", "halt_date", "b.source", "b.start", "sources")
+    sec = best.groupBy("ticker").agg(F.bool_or(F.col("source") == "SEC").alias("first_is_sec"))
+    return best.join(sec, "ticker")
+
+
+@query("WITH u AS (SELECT c_custkey, 'T' || c_custkey % 400 || CASE c_custkey % 5 WHEN 0 THEN '.WS' WHEN 1 THEN '-A' ELSE '' END AS ticker FROM customer), gone AS (SELECT DISTINCT ticker FROM u WHERE c_custkey % 11 = 0), t AS (SELECT DISTINCT ticker, regexp_replace(ticker, '([./-][A-Z]+|\\+|=)$', '') AS base FROM u) SELECT t.ticker, base, g.ticker IS NOT NULL AS not_found, CASE WHEN g.ticker IS NULL THEN 'keep' WHEN base <> t.ticker AND EXISTS (SELECT 1 FROM t o WHERE o.ticker = t.base AND o.ticker NOT IN (SELECT ticker FROM gone)) THEN 'remap' ELSE 'drop' END AS action FROM t LEFT JOIN gone g ON g.ticker = t.ticker")
+def cleaned_universe(spark, d):
+    """D65, JN6: tickers that were not found go, but for those whose base ticker is there."""
+    k = F.col("c_custkey")
+    u = table(spark, d, "customer").select("c_custkey", F.concat(F.lit("T"), k % 400, F.when(k % 5 == 0, ".WS").when(k % 5 == 1, "-A").otherwise("")).alias("ticker"))
+    gone = u.filter("c_custkey % 11 = 0").select("ticker").distinct()
+    t = u.select("ticker", X.base_ticker(F.col("ticker")).alias("base")).distinct()
+    there = t.join(gone, "ticker", "left_anti").select(F.col("ticker").alias("base"), F.lit(True).alias("base_there"))
+    j = t.join(gone.withColumn("not_found", F.lit(True)), "ticker", "left").join(there, "base", "left").withColumn("not_found", F.coalesce("not_found", F.lit(False)))
+    remap = (F.col("base") != F.col("ticker")) & F.coalesce("base_there", F.lit(False))
+    return j.select("ticker", "base", "not_found", F.when(~F.col("not_found"), "keep").when(remap, "remap").otherwise("drop").alias("action"))
+
+
+@query("WITH p AS (SELECT DISTINCT CASE WHEN l_orderkey % 2 = 0 THEN 'quotes' ELSE 'trades' END AS dataset, CAST(l_shipdate AS DATE) AS day FROM lineitem WHERE isodow(l_shipdate) < 6), s AS (SELECT min(day) AS lo, max(day) AS hi FROM p), cal AS (SELECT CAST(x AS DATE) AS day FROM (SELECT unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 1 DAY)) AS x FROM s) WHERE isodow(x) < 6) SELECT dataset, count(*) AS days, count(*) / (SELECT count(*) FROM cal) AS coverage, min(day) AS first, max(day) AS last FROM p GROUP BY 1")
+def path_day_coverage(spark, d):
+    """D22, SRC11: days of each dataset, read from its paths, against the calendar."""
+    from gantry.operators import pieces as P
+    from gantry.operators import temporal as T
+
+    li = table(spark, d, "lineitem")
+    key = F.concat(F.when(F.col("l_orderkey") % 2 == 0, "quotes").otherwise("trades"), F.lit("/T"), "l_suppkey", F.lit("/year="), F.year("l_shipdate"), F.lit("/month="), F.lpad(F.month("l_shipdate").cast("string"), 2, "0"), F.lit("/day="), F.lpad(F.day("l_shipdate").cast("string"), 2, "0"), F.lit("/part.parquet"))
+    f = P.key_fields(li.select(key.alias("key")).distinct())
+    p = f.select("dataset", F.make_date("year", "month", "day").alias("day")).distinct().filter(F.weekday("day") < 5)
+    cal = T.market_calendar(p.agg(F.min("day").alias("low"), F.max("day").alias("high"))).agg(F.count("*").alias("n"))
+    return p.groupBy("dataset").agg(F.count("*").alias("days"), F.min("day").alias("first"), F.max("day").alias("last")).crossJoin(F.broadcast(cal)).select("dataset", "days", (F.col("days") / F.col("n")).alias("coverage"), "first", "last")
+
+
+@query("SELECT l_suppkey AS ticker, " + ", ".join(f"CAST(count(*) FILTER (WHERE month(l_shipdate) = {m} AND l_returnflag = 'R') AS BIGINT) AS m{m}" for m in range(1, 13)) + ", CASE WHEN count(*) FILTER (WHERE l_returnflag = 'R') / count(*) <= 0.25 THEN 'GO' WHEN count(*) FILTER (WHERE l_returnflag = 'R') / count(*) <= 0.3 THEN 'REVIEW' ELSE 'NO_GO' END AS verdict FROM lineitem GROUP BY 1")
+def review_heat(spark, d):
+    """D55, AG21: failures by ticker and month, and the verdict of the review."""
+    bad = F.col("l_returnflag") == "R"
+    share = F.count_if(bad) / F.count("*")
+    months = [F.count_if(bad & (F.month("l_shipdate") == m)).alias(f"m{m}") for m in range(1, 13)]
+    return table(spark, d, "lineitem").groupBy(F.col("l_suppkey").alias("ticker")).agg(*months, F.when(share <= 0.25, "GO").when(share <= 0.3, "REVIEW").otherwise("NO_GO").alias("verdict"))
