@@ -275,12 +275,12 @@ def near_duplicates(df: DataFrame, size: int = SHINGLE, key: str = "doc_id", tex
 
 def keep_first(df: DataFrame, size: int = SHINGLE, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``df`` with the least key of their component; of repeated rows one stays."""
-    own_key, own_hash = private(df, "_key", "_h")
-    kept = near_duplicates(df, size, key, text).filter("kept").select(F.col(key).alias(own_key), F.col("h").alias("h")).distinct()
-    kept = kept.withColumnRenamed("h", own_hash)
-    stays = F.col(key).eqNullSafe(F.col(own_key)) & (F.xxhash64(text) == F.col(own_hash))
-    hashed = df.withColumn(*private(df, "_text_h"), F.xxhash64(text))
-    return hashed.join(kept, stays, "left_semi").dropDuplicates([key, hashed.columns[-1]]).select(*df.columns)
+    first, second = private(df, "_first", "_second")
+    # two hashes of key and text tell rows apart; not null, so one shuffle of the rows serves join and duplicates
+    marks = lambda k, h: {first: F.xxhash64(k, h), second: F.xxhash64(h, F.lit(7), k)}
+    kept = near_duplicates(df, size, key, text).filter("kept").select(*[m.alias(n) for n, m in marks(F.col(key), F.col("h")).items()])
+    marked = df.withColumns(marks(F.col(key), F.xxhash64(text)))
+    return marked.dropDuplicates([first, second]).join(kept, [first, second], "left_semi").select(*df.columns)
 
 
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -31,7 +31,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gantry.llm.shared import documents, drop_written, private, released, written
+from gantry.llm.shared import documents, drop_written, private, released, rows_of, written
 
 LENGTH, ANCHOR = 50, 24
 WINDOW = LENGTH - ANCHOR + 1
@@ -157,10 +157,9 @@ def _copies(blocks: DataFrame) -> DataFrame:
     """block and the places in it of texts that a smaller id has too."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for block, ids, hashes in zip(*[c.to_pylist() for c in batch.columns]):
-                ids, h = np.frombuffer(ids, np.int64), np.frombuffer(hashes, np.int64).reshape(-1, 2)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), block)), pa.array(np.arange(len(ids), dtype=np.int32)), pa.array(ids), pa.array(h[:, 0].copy()), pa.array(h[:, 1].copy())], names=["block", "place", "id", "h1", "h2"])
+        for block, ids, hashes in rows_of(batches):
+            ids, h = np.frombuffer(ids, np.int64), np.frombuffer(hashes, np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), block)), pa.array(np.arange(len(ids), dtype=np.int32)), pa.array(ids), pa.array(h[:, 0].copy()), pa.array(h[:, 1].copy())], names=["block", "place", "id", "h1", "h2"])
 
     rows = blocks.select("block", "ids", "hashes").mapInArrow(run, "block long, place int, id long, h1 long, h2 long")
     least = written(rows.groupBy("h1", "h2").agg(F.min("id").alias("least"), F.count("*").alias("n")).filter("n > 1").select("h1", "h2", "least"), "copies")
@@ -184,19 +183,17 @@ def _shared(blocks: DataFrame, parts: int) -> DataFrame:
     """block, cold and hot (packed 64-bit hashes): anchors with two occurrences or more, in the blocks that have them; rows by block and part of the hashes."""
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for block, ids, sizes, text, copies in zip(*[c.to_pylist() for c in batch.columns]):
-                hashes, counts = np.unique(Block(ids, sizes, text, copies).anchors()[1], return_counts=True)
-                part = (hashes * _C1 >> np.uint64(33)) % np.uint64(parts)
-                order = np.argsort(part, kind="stable")
-                bounds = [0, *(np.flatnonzero(np.diff(part[order])) + 1).tolist(), len(order)] if len(order) else [0]
-                picks = [order[a:b] for a, b in zip(bounds, bounds[1:])]
-                yield pa.RecordBatch.from_arrays([pa.array(part[order[bounds[:-1]]].astype(np.int64)), pa.array([block] * len(picks), pa.int64()), pa.array([_packed(hashes[k], counts[k]) for k in picks], pa.binary())], names=["part", "block", "payload"])
+        for block, ids, sizes, text, copies in rows_of(batches):
+            hashes, counts = np.unique(Block(ids, sizes, text, copies).anchors()[1], return_counts=True)
+            part = (hashes * _C1 >> np.uint64(33)) % np.uint64(parts)
+            order = np.argsort(part, kind="stable")
+            bounds = [0, *(np.flatnonzero(np.diff(part[order])) + 1).tolist(), len(order)] if len(order) else [0]
+            picks = [order[a:b] for a, b in zip(bounds, bounds[1:])]
+            yield pa.RecordBatch.from_arrays([pa.array(part[order[bounds[:-1]]].astype(np.int64)), pa.array([block] * len(picks), pa.int64()), pa.array([_packed(hashes[k], counts[k]) for k in picks], pa.binary())], names=["part", "block", "payload"])
         released()
 
     def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = (r for b in batches for r in zip(*[c.to_pylist() for c in b.columns]))
-        for _, mine in groupby(rows, key=lambda r: r[0]):  # one part at a time
+        for _, mine in groupby(rows_of(batches), key=lambda r: r[0]):  # one part at a time
             blocks_, pieces = [], []
             for _, block, payload in mine:
                 blocks_.append(block)
@@ -214,6 +211,8 @@ def _shared(blocks: DataFrame, parts: int) -> DataFrame:
                 if (t > 1).any():
                     row = [block, h[(t > 1) & (t <= HOT)].tobytes(), h[t > max(1, HOT)].tobytes()]
                     yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, [pa.int64(), pa.binary(), pa.binary()])], names=["block", "cold", "hot"])
+            del pieces, hashes, n, order, starts, total, h, t
+            released()
 
     rows = blocks.select("block", "ids", "sizes", "text", "copies").mapInArrow(found, "part long, block long, payload binary")
     return rows.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(both, "block long, cold binary, hot binary")
@@ -231,9 +230,9 @@ def _contexts(blocks: DataFrame, parts: int) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in zip(*[c.to_pylist() for c in batch.columns]):
-                yield from out(*row)
+        for row in rows_of(batches):
+            yield from out(*row)
+        released()
 
     def out(block, ids, sizes, text, copies, cold, hot) -> Iterator[pa.RecordBatch]:
         docs = Block(ids, sizes, text, copies)
@@ -338,8 +337,7 @@ def _groups(contexts: DataFrame, parts: int, run, schema: str) -> DataFrame:
         def flush(rows: list[tuple]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=names)
 
-        payloads = (r for b in batches for r in zip(*[c.to_pylist() for c in b.columns]))
-        for _, part in groupby(payloads, key=lambda r: r[0]):  # one part at a time
+        for _, part in groupby(rows_of(batches), key=lambda r: r[0]):  # one part at a time
             rows = sorted((r for _, block, payload in part for r in _unpacked(block, payload)), key=lambda r: r[0])
             for _, group in groupby(rows, key=lambda r: r[0]):
                 held.extend(run(list(group)))
@@ -386,14 +384,21 @@ class Repeats:
         copies = written(_copies(blocks), "copied")
         self.blocks = blocks.join(copies, "block", "left")
         shared = written(_shared(self.blocks, self.parts), "shared", "none")
+        self.used = [blocks, copies]
         lists = shared.groupBy("block").agg(F.collect_list("cold").alias("cold"), F.collect_list("hot").alias("hot"))
         n = shared.agg(F.sum(F.octet_length("cold") + F.octet_length("hot"))).first()[0] or 0
         self.parts = max(least, n // 8 // PART_CONTEXTS)
         self.contexts = written(_contexts(self.blocks.join(lists, "block"), self.parts), "contexts", "none")
         drop_written(shared)
+        self.used.append(self.contexts)
+
+    def drop(self) -> None:
+        """Deletes the tables of the search, once nothing reads them any more."""
+        drop_written(*self.used)
 
     def reach(self) -> DataFrame:
-        return written(_groups(self.contexts, self.parts, _covered, "block long, context long, left long, right long"), "reach")
+        self.used.append(written(_groups(self.contexts, self.parts, _covered, "block long, context long, left long, right long"), "reach"))
+        return self.used[-1]
 
     def groups(self) -> DataFrame:
         """hash, number (of the group), length, id, start: all occurrences of all maximal repeats, copies included.
@@ -461,11 +466,11 @@ class Repeats:
         rows = rows.select("block", "ids", "sizes", "text", "copies", "occurrences", F.col("reach.context").alias("c"), F.col("reach.left").alias("l"), F.col("reach.right").alias("r"), "nulls")
 
         def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for _, ids, sizes, text, copies, occurrences, c, left, right, nulls in zip(*[x.to_pylist() for x in batch.columns]):
-                    docs = Block(ids, sizes, text, copies)
-                    docs.nulls = np.frombuffer(nulls, np.bool_)
-                    yield from run(docs, _mask(docs, occurrences, c or [], left or [], right or []))
+            for _, ids, sizes, text, copies, occurrences, c, left, right, nulls in rows_of(batches):
+                docs = Block(ids, sizes, text, copies)
+                docs.nulls = np.frombuffer(nulls, np.bool_)
+                yield from run(docs, _mask(docs, occurrences, c or [], left or [], right or []))
+            released()
 
         return rows.mapInArrow(each, schema)
 
@@ -497,10 +502,10 @@ _REMAINING = "doc_id long, n_bytes long, n_removed long, n_spans long, kept bina
 
 def repeated_bytes(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept (the remaining bytes) of each row."""
-    return _remaining(df, key, text).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept")
+    return _remaining(Repeats(df, key, text)).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept")
 
 
-def _remaining(df: DataFrame, key: str, text: str) -> DataFrame:
+def _remaining(repeats: Repeats) -> DataFrame:
     """The columns of ``repeated_bytes``, and the md5 of the text where bytes go."""
 
     def run(docs: Block, mask: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -512,13 +517,15 @@ def _remaining(df: DataFrame, key: str, text: str) -> DataFrame:
         types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.string()]
         yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), types)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "hash"])
 
-    return Repeats(df, key, text).spans(run, _REMAINING + ", hash string")
+    return repeats.spans(run, _REMAINING + ", hash string")
 
 
 def without_repeats(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``df`` with the text that remains. A character of which a byte went goes whole. Rows of one key (or null) and different texts each keep their own."""
     names = private(df, "_key", "_hash", "_kept")
-    kept = written(_remaining(df, key, text).filter("n_removed > 0").select(*[F.col(c).alias(n) for c, n in zip(("doc_id", "hash", "kept"), names)]), "kept")
+    repeats = Repeats(df, key, text)
+    kept = written(_remaining(repeats).filter("n_removed > 0").select(*[F.col(c).alias(n) for c, n in zip(("doc_id", "hash", "kept"), names)]), "kept")
+    repeats.drop()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

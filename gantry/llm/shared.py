@@ -84,6 +84,13 @@ def sliced(batches: Iterator[pa.RecordBatch], text: int, most: int = PIECE_BYTES
                 yield batch.slice(a, b - a)
 
 
+def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """Rows of batches, one at a time: where a row holds a whole block, a batch as Python objects would take its memory once more."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield tuple(c[i].as_py() for c in batch.columns)
+
+
 def released() -> None:
     """Gives the memory of caches that a task has dropped back to the system: Spark keeps its Python workers for the next operator."""
     pa.default_memory_pool().release_unused()
