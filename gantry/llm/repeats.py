@@ -347,7 +347,7 @@ def _groups(contexts: DataFrame, parts: int, run, schema: str) -> DataFrame:
         if held:
             yield flush(held)
 
-    rows = contexts.filter("part >= 0").select("part", "block", "payload")
+    rows = contexts.filter("NOT own").select("part", "block", "payload")
     return rows.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(each, schema)
 
 
@@ -388,7 +388,8 @@ class Repeats:
         lists = shared.groupBy("block").agg(F.collect_list("cold").alias("cold"), F.collect_list("hot").alias("hot"))
         n = shared.agg(F.sum(F.octet_length("cold") + F.octet_length("hot"))).first()[0] or 0
         self.parts = max(least, n // 8 // PART_CONTEXTS)
-        self.contexts = written(_contexts(self.blocks.join(lists, "block"), self.parts), "contexts", "none")
+        contexts = _contexts(self.blocks.join(lists, "block"), self.parts)
+        self.contexts = written(contexts.withColumn("own", F.col("part") < 0), "contexts", "none", by=("own",))  # own: occurrences of a block
         drop_written(shared)
         self.used.append(self.contexts)
 
@@ -454,14 +455,15 @@ class Repeats:
                     starts = np.cumsum(np.frombuffer(sizes, np.int64)) - np.frombuffer(sizes, np.int64)
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), block)), pa.array(x[:, 2].copy()), pa.array(np.frombuffer(ids, np.int64)[x[:, 0]]), pa.array(x[:, 0].copy()), pa.array(x[:, 1] - starts[x[:, 0]])], names=["block", "context", "id", "place", "at"])
 
-        packed = self.contexts.filter("part < 0").select("block", F.col("payload").alias("occurrences")).join(self.blocks.select("block", "ids", "sizes"), "block")
+        packed = self.contexts.filter("own").select("block", F.col("payload").alias("occurrences")).join(self.blocks.select("block", "ids", "sizes"), "block")
         places = packed.select("block", "occurrences", "ids", "sizes").mapInArrow(run, "block long, context long, id long, place long, at long")
         return members.join(places, ["block", "context"]).select("hash", "number", (F.col("left") + F.col("right")).alias("length"), "id", F.struct("block", "place").alias("doc"), (F.col("at") - F.col("left")).alias("start"))
 
     def spans(self, run, schema) -> DataFrame:
-        """``run``(block, covered bytes) for each block."""
+        """``run``(block, covered bytes) for each block. Contexts go once their reach is known: ``groups`` comes before, or from a search of its own."""
         reach = self.reach().groupBy("block").agg(F.collect_list(F.struct("context", "left", "right")).alias("reach"))
-        packed = self.contexts.filter("part < 0").select("block", F.col("payload").alias("occurrences"))
+        drop_written(self.contexts, folder="own=false")
+        packed = self.contexts.filter("own").select("block", F.col("payload").alias("occurrences"))
         rows = self.blocks.drop("hashes", "bytes").join(packed, "block", "left").join(reach, "block", "left")
         rows = rows.select("block", "ids", "sizes", "text", "copies", "occurrences", F.col("reach.context").alias("c"), F.col("reach.left").alias("l"), F.col("reach.right").alias("r"), "nulls")
 

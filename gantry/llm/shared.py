@@ -46,10 +46,10 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/gantry/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
+def written(df: DataFrame, name: str, compression: str = "zstd", by: tuple[str, ...] = ()) -> DataFrame:
     """``df`` as a table written to the shared folder and read back, which cuts its lineage: the files outlive any executor.
 
-    Spark removes the shuffle files of the write once it is done.
+    Spark removes the shuffle files of the write once it is done. ``by``: columns with a folder for each value.
     """
     spark = df.sparkSession
     path = new_path(spark, name)
@@ -57,7 +57,7 @@ def written(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     before = spark.conf.get(CLEANUP, None)
     try:
         spark.conf.set(CLEANUP, "true")
-        df.write.option("compression", compression).parquet(path)
+        df.write.option("compression", compression).partitionBy(*by).parquet(path)
     finally:
         spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
     table = spark.read.schema(schema).parquet(path)
@@ -65,11 +65,11 @@ def written(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     return table
 
 
-def drop_written(*tables: DataFrame) -> None:
-    """Deletes the files behind ``written`` tables that no plan reads any more."""
+def drop_written(*tables: DataFrame, folder: str = "") -> None:
+    """Deletes the files (or one folder of them) behind ``written`` tables that no plan reads any more."""
     for df in tables:
         spark = df.sparkSession
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df.written_to)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{df.written_to}/{folder}" if folder else df.written_to)
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
