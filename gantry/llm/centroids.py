@@ -119,12 +119,26 @@ def first_centroids(df: DataFrame, ident: str, x: str, k: int, salt: str) -> np.
     return np.array([r["x"] for r in rows], np.int64)
 
 
-def moved_sums(state: DataFrame, names: dict[str, str], dims: int) -> list:
-    """For each cluster what has come less what has gone: count and sum of each component. At most 2k rows a task are shuffled."""
-    came = F.struct(F.col(names["at"]).alias("c"), F.lit(1).alias("s"))
-    gone = F.struct(F.col(names["was"]).alias("c"), F.lit(-1).alias("s"))
-    each = state.filter(F.col(names["at"]) != F.col(names["was"])).select(F.explode(F.array(came, gone)).alias("m"), F.col(names["x"]).alias("x")).filter("m.c >= 0")
-    return each.groupBy("m.c").agg(F.sum("m.s").alias("n"), F.array(*[F.sum(F.col("m.s") * F.col("x")[i]) for i in range(dims)]).alias("sums")).collect()
+def moved_sums(state: DataFrame, names: dict[str, str], k: int, dims: int) -> np.ndarray:
+    """For each cluster what has come less what has gone: the sum of each component and, last, the count. A task shuffles k * (dims + 1) numbers at most."""
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((k, dims + 1), np.int64)
+        for batch in batches:
+            at, was = (batch.column(i).to_numpy() for i in (0, 1))
+            x = batch.column(2).flatten().to_numpy(zero_copy_only=False).astype(np.int64, copy=False).reshape(-1, dims)
+            x = np.concatenate([x, np.ones((len(x), 1), np.int64)], 1)
+            np.add.at(total, at, x)
+            old = was >= 0
+            np.subtract.at(total, was[old], x[old])
+        c, i = np.nonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32()), pa.array(i, pa.int32()), pa.array(total[c, i])], names=["c", "i", "s"])
+
+    out = np.zeros((k, dims + 1), object)
+    moved = state.filter(F.col(names["at"]) != F.col(names["was"])).select(*[names[n] for n in ("at", "was", "x")])
+    for r in moved.mapInArrow(summed, "c int, i int, s bigint").groupBy("c", "i").agg(F.sum("s").alias("s")).collect():
+        out[r["c"], r["i"]] = r["s"]
+    return out
 
 
 def clustered(df: DataFrame, k: int, rounds: int, dims: int, scale: int = 256, salt: str = "", ident: str = "vec_id", vector: str = "embedding", keep: list[str] | None = None) -> tuple[DataFrame, np.ndarray]:
@@ -140,17 +154,15 @@ def clustered(df: DataFrame, k: int, rounds: int, dims: int, scale: int = 256, s
         return table.select(*keep, F.lit(None).cast("int").alias("cluster"), F.lit(None).cast("long").alias("distance")), centroids
     kinds = {"x": T.ArrayType(T.LongType()), "at": T.IntegerType(), "was": T.IntegerType(), "up": T.DoubleType(), "low": T.DoubleType(), "d": T.LongType()}
     schema = T.StructType([*[table.schema[c] for c in keep], *[T.StructField(names[n], kind) for n, kind in kinds.items()]])
-    counts, sums = np.zeros(len(centroids), object), np.zeros(centroids.shape, object)
+    sums = np.zeros((len(centroids), dims + 1), object)
     drift, state = None, table
     for i in range(rounds + 1):
         before, state = state, written(state.mapInArrow(passed(centroids, drift, dims, names, keep), schema), "clustered")
         if i:
             drop_written(before)
         if i < rounds:
-            for r in moved_sums(state, names, dims):
-                counts[r["c"]] += r["n"]
-                sums[r["c"]] += np.array(r["sums"], object)
-            new = np.array([[int(s) // int(n) for s in row] if n else old for row, n, old in zip(sums, counts, centroids.tolist())], np.int64)
+            sums += moved_sums(state, names, len(centroids), dims)
+            new = np.array([[s // row[-1] for s in row[:-1]] if row[-1] else old for row, old in zip(sums.tolist(), centroids.tolist())], np.int64)
             drift = np.sqrt(own_distances(new, centroids).astype(np.float64)) * UP
             centroids = new
     out = state.select(*keep, F.col(names["at"]).alias("cluster"), F.col(names["d"]).alias("distance"))
