@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -14,7 +16,8 @@ from gantry.operators import universe as U
 from gantry.operators.bars import build_bars
 from gantry.plans.domain import _INDEX, _LIFE, _POLICY, _QBARS, _REGIME, _ROLES, _joined
 from gantry.plans.registry import daily, official_events, query, quotes, trades, with_roles
-from gantry.session import table
+from gantry.session import scratch, table
+from gantry.sources import versioned as V
 
 _R9 = lambda *cs: [F.round(c, 9).alias(c) for c in cs]
 
@@ -279,12 +282,13 @@ def hours_audit(spark, d):
 
 @query(with_roles("daily") + ", m AS (SELECT ticker, date_trunc('month', date) AS month, count(*) AS days, min(low) AS low, max(high) AS high, arg_max(close, date) AS close, CAST(sum(volume) AS BIGINT) AS volume FROM daily GROUP BY 1, 2), upd AS (SELECT ticker, month, days, low, high, close * 2 AS close, volume FROM m WHERE ticker % 3 = 0) SELECT m.ticker, CAST(m.month AS DATE) AS month, m.days, m.low, m.high, coalesce(u.close, m.close) AS close, m.volume FROM m LEFT JOIN upd u ON u.ticker = m.ticker AND u.month = m.month")
 def monthly_cache(spark, d):
-    """Monthly metrics with newer rows in the place of older ones of the same key."""
+    """A table of monthly metrics, and newer rows put into it in the place of those of the same keys; other buckets keep their files."""
     b = daily(spark, d)
     m = b.groupBy("ticker", F.trunc("date", "month").alias("month")).agg(F.count("*").alias("days"), F.min("low").alias("low"), F.max("high").alias("high"), F.max_by("close", "date").alias("close"), F.sum("volume").alias("volume"))
-    both = m.withColumn("v", F.lit(0)).unionByName(m.filter("ticker % 3 = 0").withColumns({"close": F.col("close") * 2, "v": F.lit(1)}))
-    keep = [c for c in m.columns if c not in ("ticker", "month")]
-    return both.groupBy("ticker", "month").agg(F.max_by(F.struct(*keep), "v").alias("r")).select("ticker", "month", "r.*")
+    root = f"{scratch(spark)}/monthly-{uuid.uuid4().hex}"
+    V.replace(m, root, ["ticker", "month"])
+    V.upsert(m.filter("ticker % 3 = 0").withColumn("close", F.col("close") * 2), root, ["ticker", "month"])
+    return V.read(spark, root)
 
 
 # Events --------------------------------------------------------------------------------------------------------------

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
+from gantry.sources import versioned as V
+
 
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A CSV file with a header; rows that don't fit the schema are left out (SRC7)."""
@@ -42,14 +44,19 @@ def write_text(df: DataFrame, path: str, fmt: str) -> None:
         raise ValueError(f"no writer for {fmt}")
 
 
-def append_history(df: DataFrame, history: str, current: str, keys: list[str], at: str) -> None:
-    """Appends ``df`` to a history, and rewrites the table of the latest row of each key (SNK8)."""
+def append_history(df: DataFrame, history: str, current: str, keys: list[str], at: str, tag: str = "") -> None:
+    """Appends ``df`` to a history, and merges it into the table of the latest row of each key (SNK8). Both are tables in versions (``versioned``).
+
+    The history is not read, and of the current table only the buckets of keys in ``df``. With a ``tag``, a table that has it already is left as it is: after a failure between
+    the two, the same call again does the second alone.
+    """
     spark = df.sparkSession
-    df.write.mode("append").parquet(history)
-    whole = spark.read.parquet(history)
-    rest = [c for c in whole.columns if c not in keys]
-    latest = whole.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(at, *[c for c in rest if c != at])).alias("_r")).select(*keys, "_r.*")
-    latest.select(*whole.columns).write.mode("overwrite").parquet(current)
+    done = lambda root: tag and (m := V.manifest(spark, root)) is not None and m.tag == tag
+    if not done(history):
+        V.append(df, history, keys, tag=tag)
+    if not done(current):
+        V.upsert(df, current, keys, at=at, tag=tag)
+        V.drop_versions(spark, current)
 
 
 def write_years(df: DataFrame, path: str, ts: str) -> None:

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from gantry.sources import versioned as V
+
 
 def discovered(spark: SparkSession, folder: str, schema: str, files_per_batch: int = 100, fmt: str = "parquet") -> DataFrame:
     """The rows of files as they appear in ``folder``, at most so many files a batch, with the path of each row's file (SRC19)."""
@@ -26,17 +28,16 @@ def drained(stream: DataFrame, out: str, checkpoint: str, mode: str = "append")
 
 
 def latest_per_key(stream: DataFrame, table: str, checkpoint: str, keys: list[str], at: str) -> None:
-    """Keeps the table of the latest row of each key: every batch is merged into a new version, and the greatest version is the current one.
+    """Keeps the table of the latest row of each key, as a table in versions (``sources.versioned``): a batch writes anew the buckets that its keys fall into, and superseded versions go.
 
-    A batch that is repeated after a failure writes the same version again.
+    A batch that is repeated after a failure finds its number in the manifest and is left out.
     """
 
     def merge(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        rows = batch if number == 0 else batch.unionByName(spark.read.parquet(f"{table}/version={number - 1}"))
-        rest = [c for c in batch.columns if c not in keys]
-        latest = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(at, *[c for c in rest if c != at])).alias("_r")).select(*keys, "_r.*").select(*batch.columns)
-        latest.write.mode("overwrite").parquet(f"{table}/version={number}")
+        m = V.manifest(batch.sparkSession, table)
+        if m is None or int(m.tag) < number:
+            V.upsert(batch, table, keys, at=at, tag=str(number))
+            V.drop_versions(batch.sparkSession, table)
 
     stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
