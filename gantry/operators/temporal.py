@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gantry.functions.calendar import special_days
+
 
 def asof_join(left: DataFrame, right: DataFrame, keys: list[str], left_time: str, right_time: str, values: list[str], tie: str | None = None, slices: str | None = None) -> DataFrame:
     """``left`` with ``values`` and ``right_time`` of the latest right row of the key at or before its time (JN8).
@@ -93,12 +95,19 @@ def is_weekday(date: Column) -> Column:
 
 
 def market_calendar(bounds: DataFrame, low: str = "low", high: str = "high") -> DataFrame:
-    """Weekday sessions between two dates, with open and close in New York and UTC (D23; weekdays stand for exchange sessions)."""
+    """Exchange sessions between two dates: weekdays that are no holiday, with open and close in New York and UTC, and whether they close early.
+
+    The table of holidays has some fifteen rows a year; it is joined to the days of the range.
+    """
     at = lambda text: F.to_timestamp_ntz(F.concat(F.date_format("session_date", "yyyy-MM-dd"), F.lit(f" {text}")))
     utc = lambda c: F.to_utc_timestamp(c, "America/New_York").cast("timestamp_ntz")
     rows = days(bounds.select(low, high), low, high, "session_date").filter(is_weekday(F.col("session_date"))).select("session_date").distinct()
+    years = bounds.select(F.explode(F.sequence(F.year(low), F.year(high))).alias("year")).distinct()
+    special = special_days(years).select(F.col("date").alias("session_date"), F.col("early").alias("_early"))
+    rows = rows.join(special, "session_date", "left").filter("_early IS NULL OR _early").select("session_date", F.coalesce("_early", F.lit(False)).alias("is_early_close"))
+    close = F.when(F.col("is_early_close"), at("13:00:00")).otherwise(at("16:00:00"))
     return rows.select(
-        "session_date", at("09:30:00").alias("open_et"), at("16:00:00").alias("close_et"), utc(at("09:30:00")).alias("open_utc"), utc(at("16:00:00")).alias("close_utc"),
+        "session_date", at("09:30:00").alias("open_et"), close.alias("close_et"), utc(at("09:30:00")).alias("open_utc"), utc(close).alias("close_utc"), "is_early_close",
         F.year("session_date").alias("year"), F.month("session_date").alias("month"), F.date_format("session_date", "EEEE").alias("dow"),
     )
 

@@ -26,8 +26,7 @@ def lifecycle(events: DataFrame) -> DataFrame:
     return out.filter(F.col("list_date").isNotNull())
 
 
-#: Half days of the calendar, and the sessions with their ends on them.
-HALF_DAYS = ("07-03", "12-24")
+#: The sessions with their ends, on half days too.
 SESSIONS = (("premarket", "04:00:00", "09:30:00", "09:30:00", False), ("rth", "09:30:00", "16:00:00", "13:00:00", True), ("postmarket", "16:00:00", "20:00:00", None, False))
 
 
@@ -37,8 +36,8 @@ def live_days(life: DataFrame, calendar: DataFrame, last: DataFrame) -> DataFram
     ``calendar`` is a day table, small by its span; ``last`` one row with the last day of those that still live.
     """
     spans = life.crossJoin(F.broadcast(last)).select("ticker", F.col("list_date").alias("lo"), F.coalesce("delist_date", "last").alias("hi")).filter("lo <= hi")
-    days = T.days(spans, "lo", "hi").join(calendar.select(F.col("session_date").alias("date")), "date")
-    return days.select("ticker", "date", F.date_format("date", "MM-dd").isin(*HALF_DAYS).alias("is_half_day"))
+    days = T.days(spans, "lo", "hi").join(calendar.select(F.col("session_date").alias("date"), F.col("is_early_close").alias("is_half_day")), "date")
+    return days.select("ticker", "date", "is_half_day")
 
 
 def session_rules(days: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from gantry.operators import events as E
 from gantry.operators import universe as U
 from gantry.operators.bars import build_bars
 from gantry.plans.domain import _INDEX, _LIFE, _POLICY, _QBARS, _REGIME, _ROLES, _joined
-from gantry.plans.registry import daily, official_events, query, quotes, trades, with_roles
+from gantry.plans.registry import daily, official_events, query, quotes, sql_closed, trades, with_roles
 from gantry.session import scratch, table
 from gantry.sources import versioned as V
 
@@ -431,7 +431,7 @@ def cleaned_universe(spark, d):
     return j.select("ticker", "base", "not_found", F.when(~F.col("not_found"), "keep").when(remap, "remap").otherwise("drop").alias("action"))
 
 
-@query("WITH p AS (SELECT DISTINCT CASE WHEN l_orderkey % 2 = 0 THEN 'quotes' ELSE 'trades' END AS dataset, CAST(l_shipdate AS DATE) AS day FROM lineitem WHERE isodow(l_shipdate) < 6), s AS (SELECT min(day) AS lo, max(day) AS hi FROM p), cal AS (SELECT CAST(x AS DATE) AS day FROM (SELECT unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 1 DAY)) AS x FROM s) WHERE isodow(x) < 6) SELECT dataset, count(*) AS days, count(*) / (SELECT count(*) FROM cal) AS coverage, min(day) AS first, max(day) AS last FROM p GROUP BY 1")
+@query("WITH p AS (SELECT DISTINCT CASE WHEN l_orderkey % 2 = 0 THEN 'quotes' ELSE 'trades' END AS dataset, CAST(l_shipdate AS DATE) AS day FROM lineitem WHERE isodow(l_shipdate) < 6), s AS (SELECT min(day) AS lo, max(day) AS hi FROM p), cal AS (SELECT CAST(x AS DATE) AS day FROM (SELECT unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 1 DAY)) AS x FROM s) WHERE isodow(x) < 6 AND NOT " + sql_closed("x") + ") SELECT dataset, count(*) AS days, count(*) / (SELECT count(*) FROM cal) AS coverage, min(day) AS first, max(day) AS last FROM p SEMI JOIN cal USING (day) GROUP BY 1")
 def path_day_coverage(spark, d):
     """D22, SRC11: days of each dataset, read from its paths, against the calendar."""
     from gantry.operators import pieces as P
@@ -441,7 +441,8 @@ def path_day_coverage(spark, d):
     key = F.concat(F.when(F.col("l_orderkey") % 2 == 0, "quotes").otherwise("trades"), F.lit("/T"), "l_suppkey", F.lit("/year="), F.year("l_shipdate"), F.lit("/month="), F.lpad(F.month("l_shipdate").cast("string"), 2, "0"), F.lit("/day="), F.lpad(F.day("l_shipdate").cast("string"), 2, "0"), F.lit("/part.parquet"))
     f = P.key_fields(li.select(key.alias("key")).distinct())
     p = f.select("dataset", F.make_date("year", "month", "day").alias("day")).distinct().filter(F.weekday("day") < 5)
-    cal = T.market_calendar(p.agg(F.min("day").alias("low"), F.max("day").alias("high"))).agg(F.count("*").alias("n"))
+    sessions = T.market_calendar(p.agg(F.min("day").alias("low"), F.max("day").alias("high"))).select(F.col("session_date").alias("day"))
+    p, cal = p.join(sessions, "day", "left_semi"), sessions.agg(F.count("*").alias("n"))
     return p.groupBy("dataset").agg(F.count("*").alias("days"), F.min("day").alias("first"), F.max("day").alias("last")).crossJoin(F.broadcast(cal)).select("dataset", "days", (F.col("days") / F.col("n")).alias("coverage"), "first", "last")
 
 

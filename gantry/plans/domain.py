@@ -13,7 +13,7 @@ from gantry.operators import quality as Q
 from gantry.operators import temporal as T
 from gantry.operators import universe as U
 from gantry.operators.bars import build_bars
-from gantry.plans.registry import daily, files, official_events, query, quotes, trades, with_roles
+from gantry.plans.registry import daily, files, official_events, query, quotes, sql_closed, sql_early, trades, with_roles
 from gantry.session import table
 
 _QBARS = ", qb AS (SELECT ticker, date_trunc('day', ts) AS bar, count(*) AS n_quotes, min((bid + ask) / 2) AS mid_min, max((bid + ask) / 2) AS mid_max, median((bid + ask) / 2) AS mid_med, CAST(sum(CASE WHEN bid > ask THEN 1 ELSE 0 END) AS BIGINT) AS crossed, median(1e4 * (ask - bid) / nullif((bid + ask) / 2, 0)) AS spread_med, arg_max(bid, row(ts, seq)) AS bid_last, list_extract(list_sort(list((bid + ask) / 2)), CAST(round((count(*) - 1) * 0.95) AS INTEGER) + 1) AS mid_p95 FROM quotes GROUP BY 1, 2), bb AS (SELECT ticker, date_trunc('day', ts) AS bar, arg_min(price, row(ts, seq)) AS open, max(price) AS high, min(price) AS low, arg_max(price, row(ts, seq)) AS close FROM trades GROUP BY 1, 2), j AS (SELECT *, mid_med >= low - 1e-9 AND mid_med <= high + 1e-9 AS in_range, low <= mid_max + 1e-9 AND high >= mid_min - 1e-9 AS overlap, CASE WHEN mid_med < low THEN mid_med - low WHEN mid_med > high THEN mid_med - high ELSE 0.0 END AS out_dist, abs(open - mid_med) AS open_err, abs(close - mid_med) AS close_err, close / mid_med AS scale FROM bb JOIN qb USING (ticker, bar))"
@@ -197,13 +197,16 @@ def lifecycle(spark, d):
     return U.lifecycle(official_events(spark, d))
 
 
-@query("SELECT CAST(s AS DATE) AS session_date, s + INTERVAL 570 MINUTE AS open_et, s + INTERVAL 960 MINUTE AS close_et, ((s + INTERVAL 570 MINUTE) AT TIME ZONE 'America/New_York') AT TIME ZONE 'UTC' AS open_utc, ((s + INTERVAL 960 MINUTE) AT TIME ZONE 'America/New_York') AT TIME ZONE 'UTC' AS close_utc, CAST(year(s) AS INTEGER) AS year, CAST(month(s) AS INTEGER) AS month, strftime(s, '%A') AS dow FROM (SELECT unnest(generate_series(CAST(CAST(min(o_orderdate) AS DATE) AS TIMESTAMP), CAST(CAST(max(o_orderdate) AS DATE) AS TIMESTAMP), INTERVAL 1 DAY)) AS s FROM orders) WHERE isodow(s) < 6")
+_CLOSE = f"(CASE WHEN {sql_early('s')} THEN s + INTERVAL 780 MINUTE ELSE s + INTERVAL 960 MINUTE END)"
+
+
+@query(f"SELECT CAST(s AS DATE) AS session_date, s + INTERVAL 570 MINUTE AS open_et, {_CLOSE} AS close_et, ((s + INTERVAL 570 MINUTE) AT TIME ZONE 'America/New_York') AT TIME ZONE 'UTC' AS open_utc, ({_CLOSE} AT TIME ZONE 'America/New_York') AT TIME ZONE 'UTC' AS close_utc, {sql_early('s')} AS is_early_close, CAST(year(s) AS INTEGER) AS year, CAST(month(s) AS INTEGER) AS month, strftime(s, '%A') AS dow FROM (SELECT unnest(generate_series(CAST(CAST(min(o_orderdate) AS DATE) AS TIMESTAMP), CAST(CAST(max(o_orderdate) AS DATE) AS TIMESTAMP), INTERVAL 1 DAY)) AS s FROM orders) WHERE isodow(s) < 6 AND NOT {sql_closed('s')}")
 def market_calendar(spark, d):
-    """D23, SRC16, SC16, SC26."""
+    """D23, SRC16, SC16, SC26: sessions of the exchange, without holidays and with early closes."""
     return T.market_calendar(table(spark, d, "orders").agg(F.to_date(F.min("o_orderdate")).alias("low"), F.to_date(F.max("o_orderdate")).alias("high")))
 
 
-@query(with_roles("official") + _LIFE + ", span AS (SELECT min(event_date) AS lo, max(event_date) AS hi FROM official), cal AS (SELECT CAST(s AS DATE) AS day FROM (SELECT unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 1 DAY)) AS s FROM span) WHERE isodow(s) < 6), r AS (SELECT ticker, day, strftime(day, '%m-%d') IN ('07-03', '12-24') AS half FROM life, span JOIN cal ON day >= list_date AND day <= coalesce(delist_date, span.hi)), x AS (SELECT ticker, day, half, p.session, CASE WHEN half AND p.session = 'rth' THEN '13:00:00' ELSE p.end_ END AS end_, p.sig FROM r, (VALUES ('premarket', '09:30:00', false), ('rth', '16:00:00', true), ('postmarket', '20:00:00', false)) p(session, end_, sig) WHERE NOT (half AND p.session = 'postmarket')) SELECT ticker, session, end_ AS \"end\", count(*) AS days, min(day) AS first, max(day) AS last, bool_and(sig) AS signal_allowed FROM x GROUP BY 1, 2, 3")
+@query(with_roles("official") + _LIFE + ", span AS (SELECT min(event_date) AS lo, max(event_date) AS hi FROM official), cal AS (SELECT CAST(s AS DATE) AS day FROM (SELECT unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 1 DAY)) AS s FROM span) WHERE isodow(s) < 6 AND NOT " + sql_closed("s") + "), r AS (SELECT ticker, day, " + sql_early("day") + " AS half FROM life, span JOIN cal ON day >= list_date AND day <= coalesce(delist_date, span.hi)), x AS (SELECT ticker, day, half, p.session, CASE WHEN half AND p.session = 'rth' THEN '13:00:00' ELSE p.end_ END AS end_, p.sig FROM r, (VALUES ('premarket', '09:30:00', false), ('rth', '16:00:00', true), ('postmarket', '20:00:00', false)) p(session, end_, sig) WHERE NOT (half AND p.session = 'postmarket')) SELECT ticker, session, end_ AS \"end\", count(*) AS days, min(day) AS first, max(day) AS last, bool_and(sig) AS signal_allowed FROM x GROUP BY 1, 2, 3")
 def session_rules(spark, d):
     """D24, D25, JN11: sessions of all days of all tickers' lives, half days too, as days and their span by ticker and session."""
     events = official_events(spark, d)

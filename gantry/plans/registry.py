@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gantry.functions.calendar import CLOSED_ONCE, EARLY_ONCE
 from gantry.operators.bars import build_bars
 from gantry.session import table
 
@@ -75,3 +76,25 @@ def with_roles(*names: str) -> str:
             if p not in parts:
                 parts.append(p)
     return "WITH " + ", ".join(parts)
+
+
+def sql_closed(d: str) -> str:
+    """SQL condition that weekday ``d`` is a holiday of the exchange: the rules by month, weekday and day of the month, Easter by Gauss (1900 to 2099)."""
+    y, m, n, w = f"year({d})", f"month({d})", f"day({d})", f"isodow({d})"
+    g = f"((19 * ({y} % 19) + 24) % 30)"
+    sunday = f"(22 + {g} + (2 * ({y} % 4) + 4 * ({y} % 7) + 6 * {g} + 5) % 7)"
+    sunday = f"CASE WHEN {sunday} = 57 THEN 50 WHEN {sunday} = 56 AND {g} = 28 AND {y} % 19 > 10 THEN 49 ELSE {sunday} END"
+    moved = lambda month, number: f"({m} = {month} AND ({n} = {number} OR {n} = {number + 1} AND {w} = 1 OR {n} = {number - 1} AND {w} = 5))"
+    monday = lambda month, a, b: f"({m} = {month} AND {w} = 1 AND {n} BETWEEN {a} AND {b})"
+    once = ", ".join(f"DATE '{x}'" for x in CLOSED_ONCE)
+    return (
+        f"({m} = 1 AND ({n} = 1 OR {n} = 2 AND {w} = 1) OR {y} >= 1998 AND {monday(1, 15, 21)} OR {monday(2, 15, 21)} OR CAST({d} AS DATE) = make_date({y}, 3, 1) + CAST({sunday} - 3 AS INTEGER) OR {monday(5, 25, 31)} OR {y} >= 2022 AND {moved(6, 19)} OR {moved(7, 4)} "
+        f"OR {monday(9, 1, 7)} OR {m} = 11 AND {w} = 4 AND {n} BETWEEN 22 AND 28 OR {moved(12, 25)} OR CAST({d} AS DATE) IN ({once}))"
+    )
+
+
+def sql_early(d: str) -> str:
+    """SQL condition that session ``d`` closes early."""
+    y, m, n, w = f"year({d})", f"month({d})", f"day({d})", f"isodow({d})"
+    once = ", ".join(f"DATE '{x}'" for x in EARLY_ONCE)
+    return f"({m} = 7 AND {n} = 3 AND ({w} IN (1, 2, 4) OR {w} = 3 AND {y} >= 2013) OR {m} = 7 AND {n} = 5 AND {w} = 5 AND {y} BETWEEN 1996 AND 2012 OR {m} = 11 AND {w} = 5 AND {n} BETWEEN 23 AND 29 OR {m} = 12 AND {n} = 24 AND {w} < 5 OR CAST({d} AS DATE) IN ({once}))"
