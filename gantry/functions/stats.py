@@ -36,40 +36,57 @@ def q_linear(x: Column, q: float) -> Column:
     return F.percentile(x, q)
 
 
-def quantiles(df: DataFrame, keys: list[str], wanted: dict[str, tuple[Column, float, str]], splits: int = 16) -> DataFrame:
-    """Exact quantiles per key, name to (value, q, 'linear' or 'nearest'): no task holds a group's values (AG12, AG13, AG16).
+#: A group of at most so many values is ranked as a whole; of a larger one, only values within 3 / ACCURACY of a wanted rank are.
+SMALL, ACCURACY = 20_000, 10_000
 
-    Equal values are counted first; an approximate sketch cuts each group's values into ranges, whose counts say
-    which range has a rank, and running counts inside the ranges find it. Nulls are left out.
+
+def quantiles(df: DataFrame, keys: list[str], wanted: dict[str, tuple[Column, float, str]], small: int = SMALL, accuracy: int = ACCURACY) -> DataFrame:
+    """Exact quantiles per key, name to (value, q, 'linear' or 'nearest'): no task holds a large group's values (AG12, AG13, AG16).
+
+    A sketch of each group gives values just below and above each wanted rank (its error is at most 1 / accuracy of the group). All values outside these brackets are counted, a
+    number for each stretch between two brackets, before anything is shuffled; the few inside are counted by value, and running counts find the ranks. Nulls are left out.
     """
-    names = list(wanted)
-    one = [F.struct(F.lit(i).alias("_m"), wanted[n][0].cast("double").alias("_x")) for i, n in enumerate(names)]
-    counts = df.select(*keys, F.explode(F.array(*one)).alias("_e")).select(*keys, "_e.*").filter("_x IS NOT NULL").groupBy(*keys, "_m", "_x").agg(F.count("*").alias("_n"))
-    by = [*keys, "_m"]
-    edges = [F.lit(i / splits) for i in range(1, splits)]
-    cut = counts.groupBy(*by).agg(F.percentile_approx("_x", F.array(*edges), F.lit(500)).alias("_cuts"), F.sum("_n").alias("_total"))
-    same = None
-    for k in by:
-        c = F.col(k).eqNullSafe(F.col(f"_of_{k}"))
-        same = c if same is None else same & c
-    placed = counts.join(cut.withColumnsRenamed({k: f"_of_{k}" for k in by}), same).withColumn("_b", F.size(F.filter("_cuts", lambda c: c < F.col("_x"))))
-    sizes = placed.groupBy(*by, "_b").agg(F.sum("_n").alias("_in"))
-    before = sizes.withColumn("_before", F.coalesce(F.sum("_in").over(Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_in")
-    before = before.withColumnsRenamed({k: f"_at_{k}" for k in [*by, "_b"]})
-    same = F.col("_b") == F.col("_at__b")
-    for k in by:
-        same = same & F.col(k).eqNullSafe(F.col(f"_at_{k}"))
-    upto = F.sum("_n").over(Window.partitionBy(*by, "_b").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)) + F.col("_before")
-    q = F.element_at(F.array(*[F.lit(float(wanted[n][1])) for n in names]), F.col("_m") + 1)
-    near = F.element_at(F.array(*[F.lit(wanted[n][2] == "nearest") for n in names]), F.col("_m") + 1)
-    at = (F.col("_total") - 1) * q
-    low, high = F.when(near, F.round(at)).otherwise(F.floor(at)), F.when(near, F.round(at)).otherwise(F.ceil(at))
-    ranked = placed.join(before, same).withColumns({"_upto": upto, "_low": low, "_high": high, "_part": at - F.floor(at)})
-    value = lambda r: F.max(F.when((F.col("_upto") - F.col("_n") <= F.col(r)) & (F.col(r) < F.col("_upto")), F.col("_x")))
-    found = ranked.groupBy(*by).agg(value("_low").alias("_l"), value("_high").alias("_h"), F.max("_part").alias("_p"))
-    linear = F.col("_l") + (F.col("_h") - F.col("_l")) * F.col("_p")
-    result = F.when(F.col("_l") == F.col("_h"), F.col("_l")).otherwise(linear)
-    return found.groupBy(*keys).agg(*[F.max(F.when(F.col("_m") == i, result)).alias(n) for i, n in enumerate(names)])
+    values: dict[str, tuple[int, Column]] = {}
+    for value, _, _ in wanted.values():
+        values.setdefault(str(value), (len(values), value.cast("double")))
+    place = {name: values[str(wanted[name][0])][0] for name in wanted}
+    columns = {f"_x{i}": c for i, c in values.values()}
+    of = lambda i: sorted({wanted[n][1] for n in wanted if place[n] == i})
+    near = 3 / accuracy
+    around = lambda i: [x for q in of(i) for x in (max(q - near, 0.0), min(q + near, 1.0))]
+    rows = df.select(*keys, *[c.alias(n) for n, c in columns.items()])
+    cut = rows.groupBy(*keys).agg(*[F.struct(F.count(n).alias("n"), F.percentile_approx(n, F.array(*map(F.lit, around(i))), F.lit(accuracy)).alias("at")).alias(f"_s{i}") for i, n in enumerate(columns)])
+    if keys:
+        named = cut.withColumnsRenamed({k: f"_of_{k}" for k in keys})
+        joined = rows.join(named, [rows[k].eqNullSafe(named[f"_of_{k}"]) for k in keys])
+    else:
+        joined = rows.crossJoin(F.broadcast(cut))
+
+    def entry(i: int) -> Column:
+        x, s = F.col(f"_x{i}"), F.col(f"_s{i}")
+        inside = s["n"] <= small
+        below = F.lit(float("-inf"))
+        for j, q in enumerate(of(i)):
+            low, high = s["at"][2 * j], s["at"][2 * j + 1]
+            inside = inside | ((x >= low if q - near > 0 else F.lit(True)) & (x <= high if q + near < 1 else F.lit(True)))
+            below = F.when(high < x, high).otherwise(below)
+        return F.struct(F.lit(i).alias("_m"), F.when(inside, x).otherwise(below).alias("_v"), (~inside).alias("_gap"), s["n"].alias("_total"), x.isNull().alias("_null"))
+
+    counts = joined.select(*keys, F.explode(F.array(*[entry(i) for i in range(len(columns))])).alias("_e")).select(*keys, "_e.*").filter("NOT _null")
+    counts = counts.groupBy(*keys, "_m", "_v", "_gap").agg(F.count("*").alias("_n"), F.max("_total").alias("_total"))
+    upto = F.sum("_n").over(Window.partitionBy(*keys, "_m").orderBy("_v", "_gap").rowsBetween(Window.unboundedPreceding, 0))
+    ranked = counts.withColumn("_upto", upto)
+    out = []
+    for name, (_, q, kind) in wanted.items():
+        at = (F.col("_total") - 1) * F.lit(float(q))
+        mine = (F.col("_m") == place[name]) & ~F.col("_gap")
+        value = lambda r, mine=mine: F.max(F.when(mine & (F.col("_upto") - F.col("_n") <= r) & (r < F.col("_upto")), F.col("_v")))
+        if kind == "nearest":
+            out.append(value(F.round(at)).alias(name))
+        else:
+            low, high, part = value(F.floor(at)), value(F.ceil(at)), F.max(F.when(F.col("_m") == place[name], at - F.floor(at)))
+            out.append(F.when(low == high, low).otherwise(low + (high - low) * part).alias(name))
+    return ranked.groupBy(*keys).agg(*out)
 
 
 def shares(counts: DataFrame, n: str, by: list[str] | None = None) -> DataFrame:

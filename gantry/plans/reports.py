@@ -63,7 +63,8 @@ def cohort_quantiles(spark, d):
     """D105, AG12: nearest-rank quartiles of orders per customer and cohort."""
     n = table(spark, d, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count("*").alias("n"))
     joined = n.join(table(spark, d, "customer").select("c_custkey", "c_mktsegment"), "c_custkey")
-    return joined.groupBy("c_mktsegment").agg(F.count("*").alias("customers"), *[S.q_nearest(F.col("n"), q / 100).alias(f"p{q}") for q in (25, 50, 75)])
+    q = S.quantiles(joined, ["c_mktsegment"], {f"p{q}": (F.col("n"), q / 100, "nearest") for q in (25, 50, 75)})
+    return joined.groupBy("c_mktsegment").agg(F.count("*").alias("customers")).join(q, "c_mktsegment").select("c_mktsegment", "customers", *[F.col(f"p{q}").cast("long").alias(f"p{q}") for q in (25, 50, 75)])
 
 
 @query(with_roles("daily") + ", e AS (SELECT ticker, date AS event_date FROM daily WHERE close / open - 1 >= 1), w AS (SELECT e.ticker, event_date, o AS day_offset, close FROM e CROSS JOIN range(-2, 3) r(o) LEFT JOIN daily d ON d.ticker = e.ticker AND d.date = event_date + CAST(o AS INTEGER)) SELECT ticker, event_date, day_offset, last_value(close IGNORE NULLS) OVER (PARTITION BY ticker, event_date ORDER BY day_offset ROWS UNBOUNDED PRECEDING) AS close, close IS NULL AS filled FROM w")
