@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gantry.functions import stats as S
+
 
 def prefilter(quoted: DataFrame, barred: DataFrame, key: str) -> DataFrame:
     """Why a ticker can't be compared: no_quotes, no_ohlcv, no_overlap or ok; both sides have (key, month)."""
@@ -52,7 +54,7 @@ def repair_queue(files: DataFrame, causes: Column) -> DataFrame:
 
 def calibrated(rows: DataFrame, metric: str, key: str, comparable: Column, quantiles: tuple[float, float]) -> DataFrame:
     """PASS, WARN or FAIL by quantiles of the comparable rows, joined as one row."""
-    edges = rows.filter(comparable).agg(F.percentile(metric, quantiles[0]).alias("_pass"), F.percentile(metric, quantiles[1]).alias("_warn"))
+    edges = S.quantiles(rows.filter(comparable), [], {"_pass": (F.col(metric), quantiles[0], "linear"), "_warn": (F.col(metric), quantiles[1], "linear")})
     c = F.col
     return rows.crossJoin(F.broadcast(edges)).withColumn("status", F.when(c(metric) <= c("_pass"), "PASS").when(c(metric) <= c("_warn"), "WARN").otherwise("FAIL")).drop("_pass", "_warn")
 

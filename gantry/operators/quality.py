@@ -72,11 +72,12 @@ def spread_sanity(quotes: DataFrame, keys: list[str]) -> DataFrame:
 
 def calibrated_thresholds(history: DataFrame, keys: list[str], x: str, default: tuple[float, float]) -> DataFrame:
     """Warn and fail bounds from past values: more of them, the further out."""
-    n, q = F.count(x), lambda p: F.percentile(x, p)
-    top = F.max(x)
-    warn = F.when(n >= 20, q(0.95)).when(n >= 5, q(0.90)).when(n >= 1, top).otherwise(default[0])
-    fail = F.when(n >= 20, q(0.99)).when(n >= 5, q(0.98)).when(n >= 1, top * 1.25).otherwise(default[1])
-    return history.groupBy(*keys).agg(n.alias("n"), warn.alias("warn_at"), fail.alias("fail_at"))
+    counts = history.groupBy(*keys).agg(F.count(x).alias("n"), F.max(x).alias("_top"))
+    both = counts.join(S.quantiles(history, keys, {f"_q{v}": (F.col(x), v / 100, "linear") for v in (90, 95, 98, 99)}), keys, "left")
+    n, top = F.col("n"), F.col("_top")
+    warn = F.when(n >= 20, F.col("_q95")).when(n >= 5, F.col("_q90")).when(n >= 1, top).otherwise(default[0])
+    fail = F.when(n >= 20, F.col("_q99")).when(n >= 5, F.col("_q98")).when(n >= 1, top * 1.25).otherwise(default[1])
+    return both.select(*keys, "n", warn.alias("warn_at"), fail.alias("fail_at"))
 
 
 def gate(metrics: DataFrame, rules: dict[str, tuple[float, float, bool]], rows: str = "rows") -> DataFrame:

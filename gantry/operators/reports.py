@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gantry.functions import stats as S
 from gantry.functions.exprs import EPS
 
 
@@ -23,8 +24,9 @@ def range_bucket(width: Column) -> Column:
 
 def quantile_table(df: DataFrame, by: list[str], x: str, at: tuple[float, ...], count: str) -> DataFrame:
     """Count and interpolated quantiles of ``x`` per group, as columns p0 .. p100."""
-    q = df.groupBy(*by).agg(F.count("*").alias(count), F.percentile(x, F.array(*[F.lit(float(v)) for v in at])).alias("_q"))
-    return q.select(*by, count, *[F.round(F.col("_q")[i], 9).alias(f"p{round(100 * v)}") for i, v in enumerate(at)])
+    names = [f"p{round(100 * v)}" for v in at]
+    q = S.quantiles(df, by, {n: (F.col(x), float(v), "linear") for n, v in zip(names, at)})
+    return df.groupBy(*by).agg(F.count("*").alias(count)).join(q, by, "left").select(*by, count, *[F.round(n, 9).alias(n) for n in names])
 
 
 def month_overlap(df: DataFrame, key: str, left: str, right: str) -> DataFrame:
