@@ -123,6 +123,18 @@ def nearest_factor(x: Column, ladder: list[float]) -> Column:
     return F.array_min(options)["f"]
 
 
+def at_most(values: Column, x: Column, steps: int = 20) -> Column:
+    """How many elements of a sorted array are ``x`` or less, by binary search (arrays below 2 ** steps elements)."""
+    powers = F.array(*[F.lit(1 << k) for k in range(steps - 1, -1, -1)])
+    return F.aggregate(powers, F.lit(0), lambda at, p: F.when((at + p <= F.size(values)) & (F.get(values, at + p - 1) <= x), at + p).otherwise(at))
+
+
+def nearest_of(values: Column, x: Column) -> Column:
+    """The element of a sorted array nearest to ``x``, the smaller one of two as near; null for a null or an empty array."""
+    low, high = F.get(values, at_most(values, x) - 1), F.get(values, at_most(values, x))
+    return F.when(x.isNull(), None).when(low.isNull(), high).when(high.isNull() | (x - low <= high - x), low).otherwise(high)
+
+
 def bucket(x: Column, edges: list[float], labels: list[str], right: bool = False) -> Column:
     """Label of the interval between edges, closed on the left or, with ``right``, on the right; the ends are open (SC36)."""
     out = None

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gantry.functions import exprs as X
+from gantry.operators import temporal as T
 
 
 def edge_candidates(daily: DataFrame, window: int = 20) -> DataFrame:
@@ -54,41 +53,55 @@ def regimes(days: DataFrame, rise: float) -> DataFrame:
     return f.withColumn("regime", regime)
 
 
-def jumps(days: DataFrame, ladder: list[float], tolerance: float) -> DataFrame:
-    """Overnight ratios next to a factor of the ladder."""
-    w = Window.partitionBy("ticker").orderBy("date")
-    ratio = F.try_divide(F.col("open"), F.lag("close").over(w))
-    j = days.withColumn("ratio", ratio).withColumn("canonical", X.canonical_factor(F.col("ratio"))).withColumn("factor", X.nearest_factor(F.col("canonical"), ladder))
+#: Factors of splits that count, and those that always do.
+LEAST_FACTOR, MOST_FACTOR, ALWAYS = 1.01, 200.0, (1.0, 2.0, 3.0, 4.0)
+
+
+def split_factors(splits: DataFrame) -> DataFrame:
+    """One row: the sorted array ``factors`` of a table of splits (split_from, split_to), each as its ratio above one to three places (WN20).
+
+    Rounded factors up to MOST_FACTOR are at most 1000 * MOST_FACTOR, whatever the table's size.
+    """
+    ratio = F.try_divide(F.col("split_from").cast("double"), F.col("split_to").cast("double"))
+    found = splits.select(F.round(X.canonical_factor(ratio), 3).alias("f")).filter(F.col("f").between(LEAST_FACTOR, MOST_FACTOR)).distinct()
+    always = F.array(*map(F.lit, ALWAYS))
+    return found.agg(F.array_sort(F.array_union(F.collect_set("f"), always)).alias("factors"))
+
+
+def overnight(days: DataFrame, price: str) -> DataFrame:
+    """``days`` with ``before``, the close of a ticker's day before, and ``ratio`` of ``price`` to it; null where one of them isn't positive. Long series are cut into slices of days."""
+    order = days.withColumn("_no", F.unix_date("date"))
+    lagged = T.sliced_lag(order, "ticker", "_no", {"before": "close"}, rows=10_000).drop("_no")
+    return lagged.withColumn("ratio", F.when((F.col(price) > 0) & (F.col("before") > 0), F.col(price) / F.col("before")))
+
+
+def jumps(days: DataFrame, splits: DataFrame, tolerance: float) -> DataFrame:
+    """Overnight ratios next to a factor of the splits."""
+    j = overnight(days, "open").crossJoin(F.broadcast(split_factors(splits)))
+    j = j.withColumn("canonical", X.canonical_factor(F.col("ratio"))).withColumn("factor", X.nearest_of(F.col("factors"), F.col("canonical"))).drop("factors")
     return j.withColumn("matched", F.coalesce(F.abs(F.col("canonical") / F.col("factor") - 1) <= tolerance, F.lit(False)) & (F.col("factor") > 1))
 
 
-def adjusted_series(days: DataFrame, ladder: list[float], rounds: int = 6, least: float = 1.5, tolerance: float = 0.12) -> DataFrame:
+def adjusted_series(days: DataFrame, splits: DataFrame, rounds: int = 6, least: float = 1.5, tolerance: float = 0.12) -> DataFrame:
     """Closes with the strongest split-like jump undone, up to ``rounds`` times (WN20).
 
-    A jump is split-like if its ratio (or the inverse) is ``least`` or more and within ``tolerance`` of a factor of the ladder. That factor, not the ratio, is applied to the
-    jump's day and all later ones: multiplied where the price fell, divided where it rose; of equal jumps the first. Each round looks at the whole adjusted series of a ticker,
-    so this is state over one series, not a window: a ticker's days are one group, bounded by its trading days.
+    A jump is split-like if its ratio (or the inverse) is ``least`` or more and within ``tolerance`` of a factor of the splits. That factor, not the ratio, is applied to the
+    jump's day and all later ones: multiplied where the price fell, divided where it rose; of equal jumps the first.
+
+    A factor changes the ratio of its own day alone, to one within ``tolerance`` of 1, which is no jump any more. So the rounds take the ``rounds`` strongest jumps of a ticker: a ranking
+    of jumps, and a product over at most so many of them for each day.
     """
-    factors = np.array(sorted(ladder))
-
-    def adjust(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("date", ignore_index=True)
-        price = pdf["close"].to_numpy(float).copy()
-        used = 0
-        while used < rounds and len(price) > 1:
-            with np.errstate(divide="ignore", invalid="ignore"):
-                ratio = np.where((price[:-1] > 0) & (price[1:] > 0), price[1:] / price[:-1], 1.0)
-            jump = np.maximum(ratio, 1 / ratio)
-            factor = factors[np.abs(factors - jump[:, None]).argmin(1)]
-            jump[(jump < least) | (np.abs(jump - factor) / factor > tolerance)] = 0
-            i = int(jump.argmax())
-            if not jump[i]:
-                break
-            price[i + 1 :] *= factor[i] if ratio[i] < 1 else 1 / factor[i]
-            used += 1
-        return pd.DataFrame({"ticker": pdf["ticker"], "date": pdf["date"], "close": pdf["close"], "adjusted": price, "rounds": used})
-
-    return days.select("ticker", "date", "close").groupBy("ticker").applyInPandas(adjust, "ticker long, date date, close double, adjusted double, rounds int")
+    j = overnight(days.select("ticker", "date", "close"), "close")
+    jump = X.canonical_factor(F.col("ratio"))
+    wide = j.filter(jump >= least).withColumn("_jump", jump).crossJoin(F.broadcast(split_factors(splits))).withColumn("_factor", X.nearest_of(F.col("factors"), F.col("_jump")))
+    like = wide.filter(F.abs(F.col("_jump") - F.col("_factor")) / F.col("_factor") <= tolerance)
+    top = like.withColumn("_k", F.row_number().over(Window.partitionBy("ticker").orderBy(F.desc("_jump"), "date"))).filter(F.col("_k") <= rounds)
+    step = F.struct("_k", F.col("date").alias("at"), F.when(F.col("ratio") < 1, F.col("_factor")).alias("times"), F.when(F.col("ratio") >= 1, F.col("_factor")).alias("over"))
+    steps = top.groupBy("ticker").agg(F.array_sort(F.collect_list(step)).alias("_steps"))
+    undo = lambda p, s: F.when(s["at"] > F.col("date"), p).when(s["times"].isNotNull(), p * s["times"]).otherwise(p / s["over"])
+    joined = days.select("ticker", "date", "close").join(steps, "ticker", "left")
+    adjusted = F.coalesce(F.aggregate("_steps", F.col("close"), undo), F.col("close"))
+    return joined.select("ticker", "date", "close", adjusted.alias("adjusted"), F.coalesce(F.size("_steps"), F.lit(0)).alias("rounds"))
 
 
 def event_gate(index: DataFrame, regime: DataFrame, policy: DataFrame) -> DataFrame:

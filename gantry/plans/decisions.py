@@ -15,7 +15,7 @@ from gantry.operators import events as E
 from gantry.operators import universe as U
 from gantry.operators.bars import build_bars
 from gantry.plans.domain import _INDEX, _LIFE, _POLICY, _QBARS, _REGIME, _ROLES, _joined
-from gantry.plans.registry import daily, official_events, query, quotes, sql_closed, trades, with_roles
+from gantry.plans.registry import daily, official_events, query, quotes, splits, sql_closed, trades, with_roles
 from gantry.session import scratch, table
 from gantry.sources import versioned as V
 
@@ -338,15 +338,13 @@ def pump_starts(spark, d):
     return D.pump_starts(b, b.filter(F.col("close") / F.col("open") - 1 >= 0.5), 10, 0.5).withColumn("rise", F.round("rise", 9))
 
 
-@query(with_roles("daily", "official") + ", s AS (SELECT DISTINCT ticker, CAST(event_date + INTERVAL 27 YEAR AS DATE) AS sd FROM official WHERE event_type = 'renamed'), j AS (SELECT ticker, date, open / lag(close) OVER (PARTITION BY ticker ORDER BY date) AS ratio FROM daily), k AS (SELECT *, greatest(ratio, 1 / ratio) AS jump FROM j WHERE greatest(ratio, 1 / ratio) >= 1.5), f AS (SELECT *, list_sort(list_transform([1.5, 2.0, 3.0, 4.0, 5.0, 10.0], lambda z: row(abs(jump - CAST(z AS DOUBLE)), CAST(z AS DOUBLE))))[1][2] AS factor FROM k), n AS (SELECT f.ticker, f.date, min(abs(datediff('day', f.date, sd))) AS away FROM f JOIN s ON s.ticker = f.ticker AND abs(datediff('day', f.date, sd)) <= 5 GROUP BY 1, 2) SELECT f.ticker, f.date, factor, CAST(away AS INTEGER) AS away, CASE WHEN away <= 5 THEN 'split_matched' WHEN abs(jump / factor - 1) <= 0.12 THEN 'split_like_unmatched' ELSE 'extreme_non_split' END AS jump_class FROM f LEFT JOIN n ON n.ticker = f.ticker AND n.date = f.date")
+@query(with_roles("daily", "official", "ladder") + ", s AS (SELECT DISTINCT ticker, CAST(event_date + INTERVAL 27 YEAR AS DATE) AS sd FROM official WHERE event_type = 'renamed'), j AS (SELECT ticker, date, open / lag(close) OVER (PARTITION BY ticker ORDER BY date) AS ratio FROM daily), k AS (SELECT *, greatest(ratio, 1 / ratio) AS jump FROM j WHERE greatest(ratio, 1 / ratio) >= 1.5), f AS (SELECT *, list_sort(list_transform(fs, lambda z: row(abs(jump - z), z)))[1][2] AS factor FROM k, ladder), n AS (SELECT f.ticker, f.date, min(abs(datediff('day', f.date, sd))) AS away FROM f JOIN s ON s.ticker = f.ticker AND abs(datediff('day', f.date, sd)) <= 5 GROUP BY 1, 2) SELECT f.ticker, f.date, factor, CAST(away AS INTEGER) AS away, CASE WHEN away <= 5 THEN 'split_matched' WHEN abs(jump / factor - 1) <= 0.12 THEN 'split_like_unmatched' ELSE 'extreme_non_split' END AS jump_class FROM f LEFT JOIN n ON n.ticker = f.ticker AND n.date = f.date")
 def jump_classes(spark, d):
     """Jumps by their distance to a split of the calendar and to a factor."""
     from gantry.operators import temporal as T
 
     s = official_events(spark, d).filter("event_type = 'renamed'").select("ticker", F.add_months("event_date", 27 * 12).alias("split_date")).distinct()
-    w = Window.partitionBy("ticker").orderBy("date")
-    k = daily(spark, d).withColumn("jump", X.canonical_factor(F.col("open") / F.lag("close").over(w))).filter("jump >= 1.5").select("ticker", "date", "jump")
-    k = k.withColumn("factor", X.nearest_factor(F.col("jump"), [1.5, 2.0, 3.0, 4.0, 5.0, 10.0]))
+    k = E.jumps(daily(spark, d), splits(spark, d), 0.12).filter("canonical >= 1.5").select("ticker", "date", F.col("canonical").alias("jump"), "factor")
     n = T.nearest_join(k, s, "ticker", "date", "split_date", 5).withColumn("away", F.abs("near_days"))
     like = F.abs(F.col("jump") / F.col("factor") - 1) <= 0.12
     return n.select("ticker", "date", "factor", "away", F.when(F.col("away") <= 5, "split_matched").when(like, "split_like_unmatched").otherwise("extreme_non_split").alias("jump_class"))

@@ -13,7 +13,7 @@ from gantry.operators import quality as Q
 from gantry.operators import temporal as T
 from gantry.operators import universe as U
 from gantry.operators.bars import build_bars
-from gantry.plans.registry import daily, files, official_events, query, quotes, sql_closed, sql_early, trades, with_roles
+from gantry.plans.registry import daily, files, official_events, query, quotes, splits, sql_closed, sql_early, trades, with_roles
 from gantry.session import table
 
 _QBARS = ", qb AS (SELECT ticker, date_trunc('day', ts) AS bar, count(*) AS n_quotes, min((bid + ask) / 2) AS mid_min, max((bid + ask) / 2) AS mid_max, median((bid + ask) / 2) AS mid_med, CAST(sum(CASE WHEN bid > ask THEN 1 ELSE 0 END) AS BIGINT) AS crossed, median(1e4 * (ask - bid) / nullif((bid + ask) / 2, 0)) AS spread_med, arg_max(bid, row(ts, seq)) AS bid_last, list_extract(list_sort(list((bid + ask) / 2)), CAST(round((count(*) - 1) * 0.95) AS INTEGER) + 1) AS mid_p95 FROM quotes GROUP BY 1, 2), bb AS (SELECT ticker, date_trunc('day', ts) AS bar, arg_min(price, row(ts, seq)) AS open, max(price) AS high, min(price) AS low, arg_max(price, row(ts, seq)) AS close FROM trades GROUP BY 1, 2), j AS (SELECT *, mid_med >= low - 1e-9 AND mid_med <= high + 1e-9 AS in_range, low <= mid_max + 1e-9 AND high >= mid_min - 1e-9 AS overlap, CASE WHEN mid_med < low THEN mid_med - low WHEN mid_med > high THEN mid_med - high ELSE 0.0 END AS out_dist, abs(open - mid_med) AS open_err, abs(close - mid_med) AS close_err, close / mid_med AS scale FROM bb JOIN qb USING (ticker, bar))"
@@ -351,19 +351,19 @@ def regimes(spark, d):
     return E.regimes(daily(spark, d), 0.3).select("ticker", "date", "n10", "regime")
 
 
-@query(with_roles("daily") + ", j AS (SELECT ticker, date, open / lag(close) OVER (PARTITION BY ticker ORDER BY date) AS ratio FROM daily), c AS (SELECT *, greatest(ratio, 1 / ratio) AS canonical FROM j WHERE ratio IS NOT NULL), f AS (SELECT *, list_extract(list_sort(list_transform([1.0, 2.0, 3.0, 4.0, 5.0, 10.0, 20.0], lambda f: row(abs(canonical - CAST(f AS DOUBLE)), CAST(f AS DOUBLE)))), 1)[2] AS factor FROM c) SELECT ticker, date, factor, abs(canonical / factor - 1) <= 0.05 AND factor > 1 AS matched FROM f")
-def split_jumps(spark, d):
-    """D87, D88, JN14, SC33."""
-    return E.jumps(daily(spark, d), [1.0, 2.0, 3.0, 4.0, 5.0, 10.0, 20.0], 0.05).filter("ratio IS NOT NULL").select("ticker", "date", "factor", "matched")
+_NEAREST = "list_sort(list_transform(fs, lambda f: row(abs({x} - f), f)))[1][2]"
 
 
-_LADDER = [1.5, 2.0, 3.0, 4.0, 5.0, 6.0, 8.0, 10.0, 15.0, 20.0, 25.0, 30.0, 50.0, 100.0]
+@query(with_roles("daily", "ladder") + f", j AS (SELECT ticker, date, open / lag(close) OVER (PARTITION BY ticker ORDER BY date) AS ratio FROM daily), c AS (SELECT *, greatest(ratio, 1 / ratio) AS canonical FROM j, ladder WHERE ratio IS NOT NULL), f AS (SELECT *, {_NEAREST.format(x='canonical')} AS factor FROM c) SELECT ticker, date, factor, abs(canonical / factor - 1) <= 0.05 AND factor > 1 AS matched FROM f")
+def split_jumps(spark, d):
+    """D87, D88, JN14, SC33: overnight jumps by the nearest factor of the table of splits."""
+    return E.jumps(daily(spark, d), splits(spark, d), 0.05).filter("ratio IS NOT NULL").select("ticker", "date", "factor", "matched")
 
 
-@query(with_roles("daily").replace("WITH ", "WITH RECURSIVE ", 1) + f", s0 AS (SELECT ticker, list(date ORDER BY date) AS dates, list(close ORDER BY date) AS raw FROM daily GROUP BY 1), r AS (SELECT ticker, dates, raw, raw AS a, 0 AS it FROM s0 UNION ALL SELECT ticker, dates, raw, list_transform(range(1, len(a) + 1), lambda i: CASE WHEN i < p.k THEN a[i] WHEN p.up THEN a[i] / p.f ELSE a[i] * p.f END), it + 1 FROM (SELECT *, list_sort(list_filter(list_transform(list_transform(range(2, len(a) + 1), lambda k: struct_pack(d := greatest(a[k] / a[k - 1], a[k - 1] / a[k]), k := k, up := a[k] >= a[k - 1])), lambda z: struct_pack(less := -z.d, k := z.k, up := z.up, f := list_sort(list_transform({_LADDER}, lambda f: row(abs(CAST(f AS DOUBLE) - z.d), CAST(f AS DOUBLE))))[1][2])), lambda z: -z.less >= 1.5 AND abs(-z.less - z.f) / z.f <= 0.12))[1] AS p FROM r WHERE it < 6) WHERE p IS NOT NULL), z AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY it DESC) AS n FROM r) WHERE n = 1) SELECT ticker, unnest(dates) AS date, unnest(raw) AS close, round(unnest(a), 9) AS adjusted, it AS rounds FROM z")
+@query(with_roles("daily", "ladder").replace("WITH ", "WITH RECURSIVE ", 1) + ", s0 AS (SELECT ticker, list(date ORDER BY date) AS dates, list(close ORDER BY date) AS raw FROM daily GROUP BY 1), r AS (SELECT ticker, dates, raw, raw AS a, 0 AS it, fs FROM s0, ladder UNION ALL SELECT ticker, dates, raw, list_transform(range(1, len(a) + 1), lambda i: CASE WHEN i < p.k THEN a[i] WHEN p.up THEN a[i] / p.f ELSE a[i] * p.f END), it + 1, fs FROM (SELECT *, list_sort(list_filter(list_transform(list_transform(range(2, len(a) + 1), lambda k: struct_pack(d := greatest(a[k] / a[k - 1], a[k - 1] / a[k]), k := k, up := a[k] >= a[k - 1])), lambda z: struct_pack(less := -z.d, k := z.k, up := z.up, f := " + _NEAREST.format(x="z.d") + ")), lambda z: -z.less >= 1.5 AND abs(-z.less - z.f) / z.f <= 0.12))[1] AS p FROM r WHERE it < 6) WHERE p IS NOT NULL), z AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY it DESC) AS n FROM r) WHERE n = 1) SELECT ticker, unnest(dates) AS date, unnest(raw) AS close, round(unnest(a), 9) AS adjusted, it AS rounds FROM z")
 def adjusted_closes(spark, d):
-    """D88, WN20, UD7: closes with a ticker's strongest split-like jumps undone, up to six."""
-    return E.adjusted_series(daily(spark, d), _LADDER).withColumn("adjusted", F.round("adjusted", 9))
+    """D88, WN20, UD7: closes with a ticker's strongest split-like jumps undone, up to six, by factors of the table of splits."""
+    return E.adjusted_series(daily(spark, d), splits(spark, d)).withColumn("adjusted", F.round("adjusted", 9))
 
 
 _REGIME = ", rr AS (SELECT *, close / open - 1 AS ret, row_number() OVER (PARTITION BY ticker ORDER BY date) AS pos FROM daily), rf AS (SELECT ticker, date, close, ret, min(close) OVER w AS lo, max(close) OVER w AS hi, count(*) OVER w AS n10, regr_slope(close, pos) OVER w AS sl FROM rr WINDOW w AS (PARTITION BY ticker ORDER BY date ROWS BETWEEN 1 FOLLOWING AND 10 FOLLOWING)), reg AS (SELECT ticker, date, CASE WHEN lo / close - 1 <= -0.5 AND sl < 0 THEN 'dump' WHEN lo / close - 1 >= -0.2 THEN 'hold' WHEN hi / lo - 1 >= 0.5 THEN 'recovery' ELSE 'shakeout' END AS regime FROM rf WHERE ret >= 0.3 AND n10 >= 3)"

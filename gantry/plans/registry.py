@@ -59,13 +59,21 @@ def files(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def splits(spark: SparkSession, d: str) -> DataFrame:
+    """Splits from orders: ticker, execution_date, split_from, split_to."""
+    o = table(spark, d, "orders").filter("o_orderstatus = 'P'")
+    k = F.col("o_orderkey")
+    return o.select(F.col("o_custkey").alias("ticker"), F.to_date("o_orderdate").alias("execution_date"), (k % 3 + 1).cast("double").alias("split_from"), (k % 11 + 1).cast("double").alias("split_to"))
+
+
 _TRADES = "trades AS (SELECT user_id AS ticker, ts, value AS price, event_id % 7 + 1 AS size, event_type AS venue, event_id AS seq, props FROM events)"
 _QUOTES = "quotes AS (SELECT user_id AS ticker, ts, event_id AS seq, event_type AS venue, round(value - (0.01 * (event_id % 5) - 0.01), 4) AS bid, round(value + (0.01 * (event_id % 5) - 0.01), 4) AS ask FROM events)"
 _DAILY = "daily AS (SELECT ticker, CAST(ts AS DATE) AS date, arg_min(price, row(ts, seq)) AS open, max(price) AS high, min(price) AS low, arg_max(price, row(ts, seq)) AS close, count(*) AS n, CAST(sum(size) AS BIGINT) AS volume FROM trades GROUP BY 1, 2)"
 _OFFICIAL = "official AS (SELECT o_custkey AS ticker, CASE o_orderstatus WHEN 'O' THEN 'listed' WHEN 'F' THEN 'delisted' ELSE 'renamed' END AS event_type, CAST(o_orderdate AS DATE) AS event_date, o_orderpriority AS source, o_orderkey AS event_key FROM orders)"
 _FILES = "files AS (SELECT 'quotes/ticker=' || l_suppkey || '/year=' || year(l_shipdate) || '/month=' || lpad(CAST(month(l_shipdate) AS VARCHAR), 2, '0') AS file, l_suppkey AS ticker, l_shipdate AS ts, l_extendedprice AS price, l_quantity AS qty, l_discount, l_tax, l_orderkey, l_linenumber, l_returnflag, l_linestatus FROM lineitem)"
+_LADDER = "splits AS (SELECT CAST(o_orderkey % 3 + 1 AS DOUBLE) AS split_from, CAST(o_orderkey % 11 + 1 AS DOUBLE) AS split_to FROM orders WHERE o_orderstatus = 'P'), ladder AS (SELECT list_sort(list_distinct(list_concat(list(f), CAST([1, 2, 3, 4] AS DOUBLE[])))) AS fs FROM (SELECT round(greatest(split_from / split_to, split_to / split_from), 3) AS f FROM splits) WHERE f BETWEEN 1.01 AND 200)"
 
-_PARTS = {"trades": _TRADES, "quotes": _QUOTES, "daily": f"{_TRADES}, {_DAILY}", "official": _OFFICIAL, "files": _FILES}
+_PARTS = {"ladder": _LADDER, "trades": _TRADES, "quotes": _QUOTES, "daily": f"{_TRADES}, {_DAILY}", "official": _OFFICIAL, "files": _FILES}
 
 
 def with_roles(*names: str) -> str:
