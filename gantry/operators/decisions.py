@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from gantry.functions import exprs as X
 from gantry.functions import stats as S
+from gantry.operators import pieces as P
+from gantry.session import stored
 
 
 def enveloped(bars: DataFrame, quoted: DataFrame, key: str) -> DataFrame:
@@ -93,3 +95,31 @@ def rescaled(rows: DataFrame, ladder: list[float], tolerance: float) -> DataFram
     fits = (F.abs(X.canonical_factor(F.col("scale")) / f - 1) <= tolerance) & (f > 1)
     fixed = F.when(F.col("scale") >= 1, F.col("close") / f).otherwise(F.col("close") * f)
     return rows.withColumns({"factor": F.when(fits, f), "rescaled_err": F.when(fits, F.abs(fixed - F.col("mid_med")))})
+
+
+def quartiles(df: DataFrame, columns: list[str], key: str) -> DataFrame:
+    """``df`` with ``<column>_quartile`` (Q1 to Q4 by rank over all rows, ties in the order of ``key``; null for null), by range sorts instead of one window over all."""
+    narrow = stored(df.select(F.col(key).alias("_key"), *columns), "quartiles")
+    out = df
+    for c in columns:
+        known = narrow.filter(F.col(c).isNotNull()).select("_key", c)
+        ranked = P.numbered(known, [F.col(c), F.col("_key")], "_row").crossJoin(F.broadcast(known.agg((F.count("*") - 1).alias("_most"))))
+        beyond = lambda q: (F.col("_row") > q * F.col("_most")).cast("int")
+        label = F.concat(F.lit("Q"), (1 + beyond(0.25) + beyond(0.5) + beyond(0.75)).cast("string"))
+        out = out.join(ranked.select("_key", label.alias(f"{c}_quartile")), F.col(key) == F.col("_key"), "left").drop("_key")
+    return out
+
+
+def hypotheses(rows: DataFrame, groups: dict[str, Column], flags: dict[str, Column], unit: str) -> DataFrame:
+    """For each hypothesis (a way to group rows) and group: rows, different ``unit``, and of each flag its count, its rate and the lift over the rate of all rows.
+
+    Each row is one entry a hypothesis and all are counted in one aggregation; null is a group of its own.
+    """
+    entry = F.array(*[F.struct(F.lit(n).alias("hypothesis"), c.cast("string").alias("scope")) for n, c in groups.items()])
+    marked = rows.select(F.explode(entry).alias("e"), F.col(unit).alias("_unit"), *[F.coalesce(c, F.lit(False)).cast("long").alias(f"_{n}") for n, c in flags.items()])
+    by = marked.groupBy("e.hypothesis", "e.scope").agg(F.count("*").alias("rows"), F.countDistinct("_unit").alias("units"), *[F.sum(f"_{n}").alias(n) for n in flags])
+    every = by.groupBy("hypothesis").agg(F.sum("rows").alias("_rows"), *[F.sum(n).alias(f"_all_{n}") for n in flags])
+    j = by.join(every, "hypothesis")
+    rate = lambda n: F.col(n) / F.col("rows")
+    lift = lambda n: F.try_divide(rate(n), F.try_divide(F.col(f"_all_{n}"), F.col("_rows")))
+    return j.select("hypothesis", "scope", "rows", "units", *flags, *[rate(n).alias(f"{n}_rate") for n in flags], *[lift(n).alias(f"{n}_lift") for n in flags])

@@ -109,3 +109,43 @@ def event_gate(index: DataFrame, regime: DataFrame, policy: DataFrame) -> DataFr
     j = index.filter("is_event_day").join(regime.select("ticker", "date", "regime"), ["ticker", "date"], "left").join(policy.select("ticker", "policy"), "ticker", "left")
     ok = (F.coalesce("policy", F.lit("BLOCK")) != "BLOCK") & (F.coalesce("regime", F.lit("none")) != "dump")
     return j.withColumn("gate", F.when(ok, "pass").otherwise("stop"))
+
+
+def phases(days: DataFrame, event: Column, window: int, rise: float, cum_rise: float, explosion: float, fall: float, cum_fall: float, decay: float) -> DataFrame:
+    """Where the rise of each event day began and where its fall began, with reasons and lags (D94, D85, WN17, WN23).
+
+    ``days`` has ticker, date, ret, explosion and decay. Of up to ``window`` days before, the rise begins on the first with a return of ``rise``, from which the returns up to the event make ``cum_rise``, or with a score of ``explosion``;
+    of the days after, the fall on the first with a return of ``fall``, with returns since the event of ``cum_fall``, or a score of ``decay``; the event's own return goes before both. Both
+    directions are arrays of at most ``window`` days in one window; each is folded once, the one before from behind, so returns up to the event grow along with it.
+    """
+    w = Window.partitionBy("ticker").orderBy("date")
+    one = F.struct("date", F.coalesce("ret", F.lit(0.0)).alias("ret"), F.coalesce("explosion", F.lit(0.0)).alias("up"), F.coalesce("decay", F.lit(0.0)).alias("down"))
+    held = days.withColumns({"_event": event, "_before": F.collect_list(one).over(w.rowsBetween(-window, -1)), "_after": F.collect_list(one).over(w.rowsBetween(1, window))}).filter("_event")
+    none = F.lit(None).cast("struct<date:date,reason:string>")
+    hit = lambda x, reason: F.struct(x["date"].alias("date"), reason.alias("reason"))
+
+    def back(s: Column, x: Column) -> Column:
+        cum = s["cum"] * (1 + x["ret"])
+        reason = F.when(x["ret"] >= rise, "pre_day_pump").when(cum - 1 >= cum_rise, "cum_pre_pump").when(x["up"] >= explosion, "score_explosion_trigger")
+        return F.struct(cum.alias("cum"), F.when(reason.isNotNull(), hit(x, reason)).otherwise(s["at"]).alias("at"))
+
+    def ahead(s: Column, x: Column) -> Column:
+        cum = s["cum"] * (1 + x["ret"])
+        reason = F.when(x["ret"] <= fall, "post_day_dump").when(cum - 1 <= cum_fall, "cum_post_dump").when(x["down"] >= decay, "score_decay_trigger")
+        return F.struct(cum.alias("cum"), F.when(s["at"].isNull() & reason.isNotNull(), hit(x, reason)).otherwise(s["at"]).alias("at"))
+
+    ret = F.coalesce("ret", F.lit(0.0))
+    start = lambda c: F.struct(c.alias("cum"), none.alias("at"))
+    rose = F.aggregate(F.reverse("_before"), start(1 + ret), back, lambda s: s["at"])
+    fell = F.aggregate("_after", start(F.lit(1.0)), ahead, lambda s: s["at"])
+    found = held.withColumns({"_rose": rose, "_fell": fell})
+    pick = lambda own, word, days_, hits, nothing, no: (
+        F.when(own, F.col("date")).otherwise(F.col(f"{hits}.date")),
+        F.when(own, word).when(F.size(days_) == 0, nothing).otherwise(F.coalesce(F.col(f"{hits}.reason"), F.lit(no))),
+    )
+    pump, why_pump = pick(ret >= rise, "event_day_pump", "_before", "_rose", "no_pre_only", "no_pump_trigger")
+    back_, why_back = pick(ret <= fall, "event_day_dump", "_after", "_fell", "no_post_data", "no_backside_trigger")
+    return found.select(
+        "ticker", F.col("date").alias("event_date"), pump.alias("pump_start"), why_pump.alias("pump_reason"), F.datediff("date", pump).alias("pump_lag"),
+        back_.alias("backside_start"), why_back.alias("backside_reason"), F.datediff(back_, "date").alias("backside_lag"),
+    )

@@ -6,10 +6,14 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from gantry.functions import exprs as X
+from gantry.operators import decisions as D
+from gantry.operators import events as E
 from gantry.operators import fundamentals as U
 from gantry.operators import runaudit as R
-from gantry.plans.registry import query
-from gantry.session import scratch, table
+from gantry.operators import temporal as T
+from gantry.plans.registry import daily, official_events, query, quotes, splits, with_roles
+from gantry.session import scratch, stored, table
 
 # Runs of snapshots ---------------------------------------------------------------------------------------------------
 
@@ -91,3 +95,55 @@ def fundamentals_known(spark, d):
     filings, _ = _filings(spark, d)
     points = table(spark, d, "lineitem").select(F.col("l_suppkey").alias("ticker"), F.trunc("l_shipdate", "month").alias("date")).distinct()
     return U.known_at(points, filings, "ticker", "date", "value", 400)
+
+
+# Causes --------------------------------------------------------------------------------------------------------------
+
+_WINDOWS = (5, 20, 60)
+_SCOPES = ", ".join(f"('split_{n}d', CASE WHEN split_away <= {n} THEN 'inside' ELSE 'outside' END), ('change_{n}d', CASE WHEN change_away <= {n} THEN 'inside' ELSE 'outside' END)" for n in _WINDOWS)
+_QUARTILE = "CASE WHEN {c} IS NOT NULL THEN 'Q' || (1 + CAST({c}_r > 0.25 * m AS INTEGER) + CAST({c}_r > 0.5 * m AS INTEGER) + CAST({c}_r > 0.75 * m AS INTEGER)) END"
+_CAUSES = (
+    ", o AS (SELECT o_custkey AS ticker, CAST(o_orderdate + INTERVAL 27 YEAR AS DATE) AS dt, o_orderstatus AS s FROM orders), "
+    "q AS (SELECT ticker, CAST(ts AS DATE) AS date, count(*) AS n_rows, 100.0 * sum(CASE WHEN bid > ask THEN 1 ELSE 0 END) / count(*) AS crossed FROM quotes GROUP BY 1, 2), "
+    "near AS (SELECT q.ticker, q.date, min(abs(datediff('day', q.date, dt))) FILTER (WHERE s = 'P') AS split_away, min(abs(datediff('day', q.date, dt))) FILTER (WHERE s = 'F') AS change_away FROM q JOIN o ON o.ticker = q.ticker AND abs(datediff('day', q.date, dt)) <= 60 GROUP BY 1, 2), "
+    "f AS (SELECT q.*, split_away, change_away, close, volume, n, row_number() OVER (ORDER BY volume, q.ticker || '|' || q.date) - 1 AS volume_r, row_number() OVER (ORDER BY n, q.ticker || '|' || q.date) - 1 AS n_r, count(*) OVER () - 1 AS m FROM q JOIN daily USING (ticker, date) LEFT JOIN near ON near.ticker = q.ticker AND near.date = q.date), "
+    f"g AS (SELECT f.*, h.hypothesis, h.scope FROM f, LATERAL (VALUES {_SCOPES}, ('rows', CASE WHEN n_rows < 2 THEN '<2' WHEN n_rows < 5 THEN '2-4' ELSE '>=5' END), ('price', CASE WHEN close < 1 THEN '<1' WHEN close < 5 THEN '1-5' WHEN close < 20 THEN '5-20' ELSE '>=20' END), ('volume', {_QUARTILE.format(c='volume')}), ('trades', {_QUARTILE.format(c='n')})) h(hypothesis, scope)), "
+    "c AS (SELECT hypothesis, scope, count(*) AS n_files, count(DISTINCT ticker) AS units, CAST(sum(CASE WHEN crossed > 50 THEN 1 ELSE 0 END) AS BIGINT) AS hard, CAST(sum(CASE WHEN crossed > 15 THEN 1 ELSE 0 END) AS BIGINT) AS soft FROM g GROUP BY 1, 2), "
+    "t AS (SELECT hypothesis, sum(n_files) AS a, sum(hard) AS h, sum(soft) AS s FROM c GROUP BY 1) "
+)
+
+
+@query(with_roles("daily", "quotes") + _CAUSES + "SELECT hypothesis, scope, n_files AS \"rows\", units, hard, soft, hard / n_files AS hard_rate, soft / n_files AS soft_rate, (hard / n_files) / nullif(h / a, 0) AS hard_lift, (soft / n_files) / nullif(s / a, 0) AS soft_lift FROM c JOIN t USING (hypothesis)")
+def causal_hypotheses(spark, d):
+    """Rates and lift of crossed days inside and outside of windows around splits and ticker changes, by bins of rows and price, and by quartiles of volume and trades."""
+    q = quotes(spark, d).groupBy("ticker", F.to_date("ts").alias("date")).agg(F.count("*").alias("n_rows"), (100.0 * F.count_if(F.col("bid") > F.col("ask")) / F.count("*")).alias("crossed"))
+    shifted = lambda df, c: df.select("ticker", F.add_months(c, 27 * 12).alias("at")).distinct()
+    split, change = shifted(splits(spark, d), "execution_date"), shifted(official_events(spark, d).filter("event_type = 'delisted'"), "event_date")
+    near = T.nearest_join(q, split, "ticker", "date", "at", max(_WINDOWS)).withColumn("split_away", F.abs("near_days")).drop("near_date", "near_days")
+    near = T.nearest_join(near, change, "ticker", "date", "at", max(_WINDOWS)).withColumn("change_away", F.abs("near_days")).drop("near_date", "near_days")
+    f = near.join(daily(spark, d).select("ticker", "date", "close", "volume", "n"), ["ticker", "date"]).withColumn("file", F.concat_ws("|", "ticker", "date"))
+    f = stored(f, "causes")
+    f = D.quartiles(f, ["volume", "n"], "file")
+    inside = lambda c, n: F.when(F.col(c) <= n, "inside").otherwise("outside")
+    groups = {f"split_{n}d": inside("split_away", n) for n in _WINDOWS} | {f"change_{n}d": inside("change_away", n) for n in _WINDOWS}
+    groups |= {"rows": X.bucket(F.col("n_rows"), [2, 5], ["<2", "2-4", ">=5"]), "price": X.bucket(F.col("close"), [1, 5, 20], ["<1", "1-5", "5-20", ">=20"]), "volume": F.col("volume_quartile"), "trades": F.col("n_quartile")}
+    return D.hypotheses(f, groups, {"hard": F.col("crossed") > 50, "soft": F.col("crossed") > 15}, "ticker")
+
+
+_PHASES = (
+    ", r AS (SELECT ticker, date, close / open - 1 AS ret, row_number() OVER (PARTITION BY ticker ORDER BY date) AS k FROM daily), "
+    "l AS (SELECT *, greatest(ret, 0) AS up, greatest(-least((1 + coalesce(lead(ret, 1) OVER w, 0)) * (1 + coalesce(lead(ret, 2) OVER w, 0)) * (1 + coalesce(lead(ret, 3) OVER w, 0)) - 1, min(ret) OVER (PARTITION BY ticker ORDER BY date ROWS BETWEEN 1 FOLLOWING AND 3 FOLLOWING)), 0) AS down FROM r WINDOW w AS (PARTITION BY ticker ORDER BY date)), "
+    "e AS (SELECT * FROM l WHERE abs(ret) >= 0.3), "
+    "b AS (SELECT e.ticker, e.date AS ed, x.date, x.k, x.ret, x.up, (SELECT product(1 + y.ret) FROM l y WHERE y.ticker = e.ticker AND y.k BETWEEN x.k AND e.k) - 1 AS cum FROM e JOIN l x ON x.ticker = e.ticker AND x.k BETWEEN e.k - 10 AND e.k - 1), "
+    "bb AS (SELECT ticker, ed, min_by(row(date, CASE WHEN ret >= 0.8 THEN 'pre_day_pump' WHEN cum >= 1.5 THEN 'cum_pre_pump' ELSE 'score_explosion_trigger' END), k) FILTER (WHERE ret >= 0.8 OR cum >= 1.5 OR up >= 0.6) AS hit FROM b GROUP BY 1, 2), "
+    "a AS (SELECT e.ticker, e.date AS ed, x.date, x.k, x.ret, x.down, (SELECT product(1 + y.ret) FROM l y WHERE y.ticker = e.ticker AND y.k BETWEEN e.k + 1 AND x.k) - 1 AS cum FROM e JOIN l x ON x.ticker = e.ticker AND x.k BETWEEN e.k + 1 AND e.k + 10), "
+    "aa AS (SELECT ticker, ed, min_by(row(date, CASE WHEN ret <= -0.8 THEN 'post_day_dump' WHEN cum <= -0.9 THEN 'cum_post_dump' ELSE 'score_decay_trigger' END), k) FILTER (WHERE ret <= -0.8 OR cum <= -0.9 OR down >= 0.95) AS hit FROM a GROUP BY 1, 2), "
+    "z AS (SELECT e.ticker, e.date AS event_date, CASE WHEN e.ret >= 0.8 THEN e.date ELSE bb.hit[1] END AS pump_start, CASE WHEN e.ret >= 0.8 THEN 'event_day_pump' WHEN bb.ed IS NULL THEN 'no_pre_only' ELSE coalesce(bb.hit[2], 'no_pump_trigger') END AS pump_reason, CASE WHEN e.ret <= -0.8 THEN e.date ELSE aa.hit[1] END AS backside_start, CASE WHEN e.ret <= -0.8 THEN 'event_day_dump' WHEN aa.ed IS NULL THEN 'no_post_data' ELSE coalesce(aa.hit[2], 'no_backside_trigger') END AS backside_reason FROM e LEFT JOIN bb ON bb.ticker = e.ticker AND bb.ed = e.date LEFT JOIN aa ON aa.ticker = e.ticker AND aa.ed = e.date) "
+)
+
+
+@query(with_roles("daily") + _PHASES + "SELECT ticker, event_date, pump_start, pump_reason, CAST(event_date - pump_start AS INTEGER) AS pump_lag, backside_start, backside_reason, CAST(backside_start - event_date AS INTEGER) AS backside_lag FROM z")
+def event_phases(spark, d):
+    """Where the rise and the fall of each event began, by the first of three criteria, with reason and lag, in one window pass."""
+    days = E.lifecycle_scores(daily(spark, d))
+    return E.phases(days, F.abs("ret") >= 0.3, 10, 0.8, 1.5, 0.6, -0.8, -0.9, 0.95)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,16 +37,37 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 _LOCAL: list[str] = []
+_SHARED: set[str] = set()
+
+
+def _deleted(spark: SparkSession, folder: str) -> None:
+    """Deletes a folder of a file system that Spark knows, if the driver's JVM is still there."""
+    try:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsparkSession.sparkContext().hadoopConfiguration()).delete(path, True)
+    except Exception:  # noqa: BLE001  the process ends: nothing to be done about a JVM that has gone before
+        return
 
 
 def scratch(spark: SparkSession) -> str:
-    """A folder that driver and executors share: spark.checkpoint.dir; where it is unset, a temporary one if Spark runs in this process alone."""
+    """A folder of this application that driver and executors share, deleted when the driver ends: below spark.checkpoint.dir; where it is unset, a temporary one if Spark runs in this process alone."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if where:
-        return f"{where.rstrip('/')}/gantry"
+        folder = f"{where.rstrip('/')}/gantry-{spark.sparkContext.applicationId}"
+        if folder not in _SHARED:
+            _SHARED.add(folder)
+            atexit.register(_deleted, spark, folder)
+        return folder
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not _LOCAL:
         _LOCAL.append(tempfile.mkdtemp(prefix="gantry-scratch-"))
         atexit.register(shutil.rmtree, _LOCAL[0], True)
     return f"file://{_LOCAL[0]}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table below the scratch folder: for what is read several times and costs more to make than to write."""
+    path = f"{scratch(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
