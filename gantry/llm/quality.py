@@ -13,6 +13,8 @@ unread, and its own columns (the statistics, v_<rule>, base_failed, p_good and k
 
 from __future__ import annotations
 
+from math import log
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -104,42 +106,41 @@ def base_failed() -> Column:
     return (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
 
 
-def _log_odds(rates: dict[str, dict[int, tuple[float, float]]], good: float) -> Column:
-    """Log odds of good, given the votes: rates maps rule to vote to (rate on good, rate on bad)."""
-    from math import log
+def _log_rates(rates: dict[str, dict[int, tuple[float, float]]], good: float) -> list[float]:
+    """The prior log odds of good, and for each rule and vote (bad, none, good) the log of its rate on good over that on bad documents."""
+    return [log(good / (1 - good)), *[log(rates[r][vote][0] / rates[r][vote][1]) for r in RULES for vote in (-1, 0, 1)]]
+
 
-    total = F.lit(log(good / (1 - good)))
-    for rule, votes in rates.items():
-        term = F.lit(log(votes[0][0] / votes[0][1]))
-        for vote in (-1, 1):
-            term = F.when(F.col(f"v_{rule}") == vote, log(votes[vote][0] / votes[vote][1])).otherwise(term)
-        total = total + term
-    return total
+def posterior(votes_: DataFrame, logs: list[float], name: str = "p_good") -> DataFrame:
+    """``votes_`` with the probability of good, given the columns v_<rule>. The logs are joined as one row, so the plan and its compiled code are the same whatever they are."""
+    (column,) = private(votes_, "_logs")
+    one = votes_.sparkSession.createDataFrame([(logs,)], f"{column} array<double>")
+    odds = F.get(column, F.lit(0))
+    for i, rule in enumerate(RULES):
+        odds = odds + F.get(column, 3 * i + 2 + F.col(f"v_{rule}"))
+    return votes_.crossJoin(F.broadcast(one)).withColumn(name, 1 / (1 + F.exp(-odds))).drop(column)
 
 
-def fit(patterns: DataFrame, rounds: int = ROUNDS) -> tuple[dict, float]:
-    """Rates of each rule's votes on good and on bad documents, and the share of good ones.
+def fit(patterns: DataFrame, rounds: int = ROUNDS) -> list[float]:
+    """What ``posterior`` takes: the logs of the share of good documents and of each rule's rates of votes.
 
     ``patterns`` has a column v_<rule> for each rule and the count ``n``. Each round is one aggregation of that bounded
     table to one row. The first posterior takes each rule to vote bad on BAD_VOTES[0] of the good documents and on
     BAD_VOTES[1] of the bad ones.
     """
-    first = {r: {-1: BAD_VOTES, 0: (1, 1), 1: (1 - BAD_VOTES[0], 1 - BAD_VOTES[1])} for r in RULES}
-    posterior = 1 / (1 + F.exp(-_log_odds(first, START_GOOD)))
-    rates, good = {}, START_GOOD
+    logs = _log_rates({r: {-1: BAD_VOTES, 0: (1, 1), 1: (1 - BAD_VOTES[0], 1 - BAD_VOTES[1])} for r in RULES}, START_GOOD)
+    p = F.col("p_good")
+    sums = [F.sum("n").alias("n"), F.sum(p * F.col("n")).alias("good")]
+    for r in RULES:
+        for vote in (-1, 0, 1):
+            has = F.when(F.col(f"v_{r}") == vote, F.col("n")).otherwise(0)
+            sums += [F.sum(p * has).alias(f"g_{r}_{vote}"), F.sum((1 - p) * has).alias(f"b_{r}_{vote}")]
     for _ in range(rounds):
-        p = F.col("p")
-        sums = [F.sum("n").alias("n"), F.sum(p * F.col("n")).alias("good")]
-        for r in RULES:
-            for vote in (-1, 0, 1):
-                has = F.when(F.col(f"v_{r}") == vote, F.col("n")).otherwise(0)
-                sums += [F.sum(p * has).alias(f"g_{r}_{vote}"), F.sum((1 - p) * has).alias(f"b_{r}_{vote}")]
-        row = patterns.withColumn("p", posterior).agg(*sums).first()
+        row = posterior(patterns, logs).agg(*sums).first()
         n, n_good = row["n"] or 0, row["good"] or 0.0
-        good = (n_good + SMOOTH) / (n + 2 * SMOOTH)
         rates = {r: {v: ((_or0(row[f"g_{r}_{v}"]) + SMOOTH) / (n_good + 3 * SMOOTH), (_or0(row[f"b_{r}_{v}"]) + SMOOTH) / (n - n_good + 3 * SMOOTH)) for v in (-1, 0, 1)} for r in RULES}
-        posterior = 1 / (1 + F.exp(-_log_odds(rates, good)))
-    return rates, good
+        logs = _log_rates(rates, (n_good + SMOOTH) / (n + 2 * SMOOTH))
+    return logs
 
 
 def _or0(x: float | None) -> float:
@@ -152,10 +153,9 @@ def judge(df: DataFrame, text: str = "text") -> DataFrame:
     stats = written(statistics(df, text).select(*keep, *[c for c in (*BASE, "n_lines", "n_letters", "n_upper", "n_bars", "n_bangs") if c not in df.columns]), "quality")
     voted = stats.withColumns({f"v_{r}": vote for r, vote in votes().items()})
     patterns = written(voted.filter(~base_failed()).groupBy(*[f"v_{r}" for r in RULES]).agg(F.count("*").alias("n")).coalesce(1), "patterns")
-    rates, good = fit(patterns)
+    logs = fit(patterns)
     drop_written(patterns)
-    p = 1 / (1 + F.exp(-_log_odds(rates, good)))
-    return voted.withColumns({"base_failed": base_failed(), "p_good": p}).withColumn("kept", ~F.col("base_failed") & (F.col("p_good") >= 0.5))
+    return posterior(voted, logs).withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & (F.col("p_good") >= 0.5))
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

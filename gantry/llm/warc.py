@@ -41,18 +41,24 @@ def canonical(url: Column) -> Column:
     return F.concat(host, path, F.when(F.size(kept) > 0, F.concat(F.lit("?"), F.array_join(kept, "&"))).otherwise(""))
 
 
-def merged(stored: Column, fresh: Column) -> Column:
-    """The stored headers, updated by the permitted ones of the fresh answer. Names are in lower case."""
+def _entries(entries: Column) -> Column:
+    """Entries of headers with their names in lower case first, in order; those without a name go."""
+    return F.array_sort(F.transform(F.filter(entries, lambda e: e["key"].isNotNull()), lambda e: F.struct(F.lower(e["key"]).alias("k"), e["key"].alias("as"), e["value"].alias("v"))))
 
-    def lower(m: Column) -> Column:
-        entries = F.array_sort(F.filter(F.map_entries(m), lambda e: e["key"].isNotNull()))
-        names = F.transform(entries, lambda e: F.lower(e["key"]))
-        return F.map_from_entries(F.transform(F.filter(entries, lambda e, i: F.array_position(names, F.lower(e["key"])) == i + 1), lambda e: F.struct(F.lower(e["key"]), e["value"])))
 
-    empty = F.create_map().cast("map<string,string>")
-    stored, fresh = lower(F.coalesce(stored, empty)), lower(F.coalesce(fresh, empty))
-    update = F.map_filter(fresh, lambda k, v: k.isin(*PERMITTED))
-    return F.map_concat(F.map_filter(stored, lambda k, v: ~F.array_contains(F.map_keys(update), k)), update)
+def with_merged(df: DataFrame, stored: Column, fresh: Column, name: str) -> DataFrame:
+    """``df`` with ``name``: the stored headers (entries of a map), updated by the permitted ones of the fresh answer. Names are in lower case; of names that differ by case the first counts.
+
+    Each step is a column of its own, so the lambdas of the next refer to it and don't hold it.
+    """
+    old, new = private(df, "_stored", "_fresh")
+    none = F.array().cast("array<struct<key:string,value:string>>")
+    first = lambda c: F.filter(c, lambda e, i: (i == 0) | (e["k"] != F.get(F.col(c), i - 1)["k"]))
+    steps = df.withColumns({old: _entries(F.coalesce(stored, none)), new: _entries(F.coalesce(F.map_entries(fresh), none))})
+    steps = steps.withColumns({old: first(old), new: F.filter(first(new), lambda e: e["k"].isin(*PERMITTED))})
+    kept = F.filter(old, lambda e: ~F.exists(new, lambda n: n["k"] == e["k"]))
+    both = F.transform(F.concat(kept, new), lambda e: F.struct(e["k"].alias("key"), e["v"].alias("value")))
+    return steps.withColumn(name, F.map_from_entries(both)).drop(old, new)
 
 
 def _opaque(etag: Column) -> Column:
@@ -83,12 +89,13 @@ def resolve(records: DataFrame, slice_seconds: int = SLICE_SECONDS) -> DataFrame
     found = F.col(found_)
     same = F.coalesce(_opaque(F.col("etag")) == _opaque(found["etag"]), F.col("modified") == found["modified"])
     kept = [F.col(c) for c in records.columns if c not in out]
-    return joined.select(
+    (headers,) = private(joined, "_merged")
+    return with_merged(joined, found["headers"], F.col("headers"), headers).select(
         *kept,
         found["id"].alias("found_id"),
         found["ts"].alias("found_ts"),
         F.when(found.isNotNull(), same).alias("agrees"),
-        F.when(found.isNotNull() & F.coalesce(same, F.lit(True)), merged(F.map_from_entries(found["headers"]), F.col("headers"))).alias("merged_headers"),
+        F.when(found.isNotNull() & F.coalesce(same, F.lit(True)), F.col(headers)).alias("merged_headers"),
     )
 
 
