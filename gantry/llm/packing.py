@@ -30,14 +30,12 @@ LENGTH = 1024
 #: Bytes of ids in each range of the curve, about.
 RANGE_BYTES = 32 << 20
 DIMENSIONS, BITS = 4, 12
-#: Chunks of text whose ids a Python worker keeps; a full table becomes the older one, which still answers.
-CACHE = 100_000
-#: Characters of the longest chunk that is kept.
-LONG = 64
+#: Characters of the longest pre-token whose ids a worker keeps (``tokencounts``), and of a piece of text that is encoded at once, about.
+LONG, PIECE = 64, 1 << 20
 #: White space as the byte-level pre-tokenizer's pattern has it. No pre-token holds white space after another character.
 _WS = "\t-\r \x85\xa0  -     　"
-_SPACES = frozenset(c for c in map(chr, range(0x3001)) if re.match(f"[{_WS}]", c))
-CHUNK = re.compile(f"[{_WS}]*[^{_WS}]+|[{_WS}]+")
+#: Between these two characters every text can be cut: what lies on both sides is encoded as it is in the whole.
+CUT = re.compile(f"[^{_WS}](?=[{_WS}])")
 
 
 #: Fixed value: the pattern of byte-level pre-tokenization.
@@ -64,9 +62,9 @@ def merge_ranks(whole: dict) -> dict[bytes, int] | None:
 
 
 class ChunkTokenizer:
-    """A byte-level BPE tokenizer file, applied to whole texts by chunks that are cached.
+    """A byte-level BPE tokenizer file, applied to whole texts, long ones in pieces.
 
-    New chunks go to the merge loop for vocabularies of ranks (tiktoken's) where the file's ids are ranks: the ids are the same, without the
+    Texts go to the merge loop for vocabularies of ranks (tiktoken's) where the file's ids are ranks: the ids are the same, without the
     alignments the other library keeps. A text with one of the file's added tokens goes to the tokenizer itself, as do all texts where ids are no ranks.
     """
 
@@ -80,15 +78,11 @@ class ChunkTokenizer:
         self.plain = not any(x.get(k) for x in added for k in ("lstrip", "rstrip", "single_word"))
         self.size = 1 + max([*content["model"]["vocab"].values(), *(x["id"] for x in added)])
         self.dtype = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
         self.ranked = None
         if ranks:
             import tiktoken
 
             self.ranked = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-            self.widths = np.zeros(self.size, np.int64)
-            self.widths[list(ranks.values())] = [len(t) for t in ranks]
 
     @property
     def whole(self):
@@ -103,52 +97,26 @@ class ChunkTokenizer:
     def _pack(self, ids: list[int]) -> bytes:
         return np.array(ids, self.dtype).tobytes()
 
-    def _learn(self, chunks: list[str]) -> None:
-        """Chunks that follow each other where each begins with white space are encoded as one text and taken apart by their bytes."""
-        chain = [c for c in chunks if c[0] in _SPACES and c[-1] not in _SPACES]
-        for c in set(chunks).difference(chain):
-            self.known[c] = self._pack(self.ranked.encode_ordinary(c))
-        ids = np.array(self.ranked.encode_ordinary("".join(chain)), np.int64)
-        ends = np.searchsorted(np.cumsum(self.widths[ids]), np.cumsum([len(c.encode()) for c in chain]), side="left") + 1
-        packed, width, at = ids.astype(self.dtype).tobytes(), self.dtype.itemsize, 0
-        for c, end in zip(chain, ends.tolist()):
-            self.known[c] = packed[at * width : end * width]
+    def _ranks(self, text: str) -> bytes:
+        """Packed ids of a text, by pieces of about PIECE characters that end where white space follows."""
+        out, at = [], 0
+        while at < len(text):
+            cut = CUT.search(text, at + PIECE) if len(text) - at > PIECE else None
+            end = cut.end() if cut else len(text)
+            out.append(self._pack(self.ranked.encode_ordinary(text[at:end])))
             at = end
+        return b"".join(out)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Packed ids of each text, in ``dtype``: those of the file's tokenizer without special tokens of its own."""
+        """Packed ids of each text, in ``dtype``: those of the file's tokenizer without special tokens of its own. Equal texts are encoded once."""
         if self.ranked is None:
             return [self._pack(e.ids) for e in self.whole.encode_batch(texts, add_special_tokens=False)]
-        odd = {i for i, x in enumerate(texts) if self.added and self.added.search(x)}
-        chunks = [[] if i in odd else CHUNK.findall(x) for i, x in enumerate(texts)]
-        long = self._know(chunks)
-        known = self.known
-        out = [b"".join(map(known.__getitem__, parts)) for parts in chunks]
-        for c in long:
-            del known[c]
-        for i in odd:
-            out[i] = self._pack(self.whole.encode(texts[i], add_special_tokens=False).ids)
-        return out
-
-    def _know(self, chunks: list[list[str]]) -> list[str]:
-        """Learns these chunks; gives those that are too long to be kept."""
-        known, older = self.known, self.older
-        if len(known) >= CACHE:
-            self.older = older = dict(known)
-            known.clear()
-        new = []
-        for c in set().union(*chunks).difference(known):
-            if (packed := older.get(c)) is not None:
-                known[c] = packed
-            else:
-                new.append(c)
-        for i in range(0, len(new), 20_000):
-            self._learn(new[i : i + 20_000])
-        return [c for c in new if len(c) > LONG]
+        own = lambda x: self._pack(self.whole.encode(x, add_special_tokens=False).ids) if self.added and self.added.search(x) else self._ranks(x)
+        known = {x: own(x) for x in dict.fromkeys(texts)}
+        return [known[x] for x in texts]
 
     def forget(self) -> None:
-        """Drops what has been kept, at the end of a task."""
-        self.known, self.older = {}, {}
+        """Gives memory back at the end of a task."""
         released()
 
 

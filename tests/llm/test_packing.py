@@ -23,6 +23,15 @@ def test_chunks_encode_like_whole_texts():
         assert np.frombuffer(got, coder.dtype).tolist() == t.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_long_texts_are_cut_between_pre_tokens(monkeypatch):
+    coder, rng = P.tokenizer(FILE), random.Random(2)
+    texts = ["".join(rng.choice("ab1! ' \t\n\u2009é") for _ in range(rng.randint(1, 300))) for _ in range(300)] + ["x" * 500]
+    whole = coder.encode(texts)
+    for piece in (1, 5, 50):
+        monkeypatch.setattr(P, "PIECE", piece)
+        assert coder.encode(texts) == whole
+
+
 def test_hilbert_is_a_curve():
     cells = np.stack(np.meshgrid(*[np.arange(8)] * 3, indexing="ij"), -1).reshape(-1, 3)
     order = cells[np.argsort(P.hilbert(cells, 3))]
