@@ -129,24 +129,20 @@ def fit(patterns: DataFrame, rounds: int = ROUNDS) -> list[float]:
     BAD_VOTES[1] of the bad ones.
     """
     logs = _log_rates({r: {-1: BAD_VOTES, 0: (1, 1), 1: (1 - BAD_VOTES[0], 1 - BAD_VOTES[1])} for r in RULES}, START_GOOD)
-    p = F.col("p_good")
-    sums = [F.sum("n").alias("n"), F.sum(p * F.col("n")).alias("good")]
-    for r in RULES:
-        for vote in (-1, 0, 1):
-            has = F.when(F.col(f"v_{r}") == vote, F.col("n")).otherwise(0)
-            sums += [F.sum(p * has).alias(f"g_{r}_{vote}"), F.sum((1 - p) * has).alias(f"b_{r}_{vote}")]
+    each = F.explode(F.array(*[F.struct(F.lit(i).alias("rule"), F.col(f"v_{r}").alias("vote")) for i, r in enumerate(RULES)])).alias("e")
+    p, n = F.col("p_good"), F.col("n")
     for _ in range(rounds):
-        row = posterior(patterns, logs).agg(*sums).first()
-        n, n_good = row["n"] or 0, row["good"] or 0.0
-        rates = {r: {v: ((_or0(row[f"g_{r}_{v}"]) + SMOOTH) / (n_good + 3 * SMOOTH), (_or0(row[f"b_{r}_{v}"]) + SMOOTH) / (n - n_good + 3 * SMOOTH)) for v in (-1, 0, 1)} for r in RULES}
-        logs = _log_rates(rates, (n_good + SMOOTH) / (n + 2 * SMOOTH))
+        # one task reads the table: a row for each pattern
+        rows = posterior(patterns, logs).coalesce(1).select(each, (p * n).alias("g"), ((1 - p) * n).alias("b")).groupBy("e.rule", "e.vote").agg(F.sum("g").alias("g"), F.sum("b").alias("b")).collect()
+        found = {(r["rule"], r["vote"]): (r["g"], r["b"]) for r in rows}
+        of = lambda i, vote: found.get((i, vote), (0.0, 0.0))  # noqa: E731, B023
+        good, bad = (sum(of(0, vote)[k] for vote in (-1, 0, 1)) for k in (0, 1))
+        rate = lambda i, vote, k, total: (of(i, vote)[k] + SMOOTH) / (total + 3 * SMOOTH)  # noqa: E731, B023
+        rates = {r: {v: (rate(i, v, 0, good), rate(i, v, 1, bad)) for v in (-1, 0, 1)} for i, r in enumerate(RULES)}
+        logs = _log_rates(rates, (good + SMOOTH) / (good + bad + 2 * SMOOTH))
     return logs
 
 
-def _or0(x: float | None) -> float:
-    return x or 0.0
-
-
 def judge(df: DataFrame, text: str = "text") -> DataFrame:
     """``df`` with its statistics, base_failed, the posterior ``p_good`` and ``kept``."""
     keep = [F.col(c) for c in df.columns if c != text]
