@@ -40,6 +40,25 @@ def live_days(life: DataFrame, calendar: DataFrame, last: DataFrame) -> DataFram
     return days.select("ticker", "date", "is_half_day")
 
 
+def session_counts(life: DataFrame, calendar: DataFrame, bounds: DataFrame) -> DataFrame:
+    """Ticker, is_half_day, days, first and last of the sessions while a ticker lives, without a row for each of its days (JN11).
+
+    ``bounds`` has one row, the calendar's low and high, and lives lie within. For each day of it (some ten thousand in forty years, broadcast) the sessions of each kind so far, the next and the last one are known; a
+    life takes the difference between its ends.
+    """
+    back = Window.orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
+    ahead = Window.orderBy("date").rowsBetween(0, Window.unboundedFollowing)
+    days = T.days(bounds, "low", "high").select("date").join(calendar.select(F.col("session_date").alias("date"), "is_early_close"), "date", "left")
+    kinds = {False: ~F.col("is_early_close"), True: F.col("is_early_close")}
+    known = [F.struct(F.lit(k).alias("half"), F.count_if(on).over(back).alias("upto"), F.coalesce(on, F.lit(False)).cast("int").alias("own"), F.max(F.when(on, F.col("date"))).over(back).alias("before"), F.min(F.when(on, F.col("date"))).over(ahead).alias("after")) for k, on in kinds.items()]
+    table = days.select("date", F.array(*known).alias("kinds"))
+    spans = life.crossJoin(F.broadcast(bounds.select("high"))).select("ticker", F.col("list_date").alias("lo"), F.coalesce("delist_date", "high").alias("hi")).filter("lo <= hi")
+    at = lambda c: F.broadcast(table.select(F.col("date").alias(c), F.col("kinds").alias(f"_{c}")))
+    ends = spans.join(at("lo"), "lo").join(at("hi"), "hi").select("ticker", F.explode(F.arrays_zip("_lo", "_hi")).alias("e"))
+    a, b = F.col("e._lo"), F.col("e._hi")
+    return ends.select("ticker", a["half"].alias("is_half_day"), (b["upto"] - a["upto"] + a["own"]).alias("days"), a["after"].alias("first"), b["before"].alias("last")).filter("days > 0")
+
+
 def session_rules(days: DataFrame) -> DataFrame:
     """``days`` (with is_half_day) with their sessions: three a day, two on half days."""
     parts = F.array(*[F.struct(F.lit(n).alias("session"), F.lit(a).alias("start"), F.when(F.col("is_half_day"), F.lit(h).cast("string")).otherwise(F.lit(b)).alias("end"), F.lit(s).alias("signal_allowed")) for n, a, b, h, s in SESSIONS])

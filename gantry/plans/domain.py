@@ -14,7 +14,7 @@ from gantry.operators import temporal as T
 from gantry.operators import universe as U
 from gantry.operators.bars import build_bars
 from gantry.plans.registry import daily, files, official_events, query, quotes, splits, sql_closed, sql_early, trades, with_roles
-from gantry.session import table
+from gantry.session import stored, table
 
 _QBARS = ", qb AS (SELECT ticker, date_trunc('day', ts) AS bar, count(*) AS n_quotes, min((bid + ask) / 2) AS mid_min, max((bid + ask) / 2) AS mid_max, median((bid + ask) / 2) AS mid_med, CAST(sum(CASE WHEN bid > ask THEN 1 ELSE 0 END) AS BIGINT) AS crossed, median(1e4 * (ask - bid) / nullif((bid + ask) / 2, 0)) AS spread_med, arg_max(bid, row(ts, seq)) AS bid_last, list_extract(list_sort(list((bid + ask) / 2)), CAST(round((count(*) - 1) * 0.95) AS INTEGER) + 1) AS mid_p95 FROM quotes GROUP BY 1, 2), bb AS (SELECT ticker, date_trunc('day', ts) AS bar, arg_min(price, row(ts, seq)) AS open, max(price) AS high, min(price) AS low, arg_max(price, row(ts, seq)) AS close FROM trades GROUP BY 1, 2), j AS (SELECT *, mid_med >= low - 1e-9 AND mid_med <= high + 1e-9 AS in_range, low <= mid_max + 1e-9 AND high >= mid_min - 1e-9 AS overlap, CASE WHEN mid_med < low THEN mid_med - low WHEN mid_med > high THEN mid_med - high ELSE 0.0 END AS out_dist, abs(open - mid_med) AS open_err, abs(close - mid_med) AS close_err, close / mid_med AS scale FROM bb JOIN qb USING (ticker, bar))"
 _ROLES = with_roles("trades", "quotes")
@@ -211,8 +211,8 @@ def session_rules(spark, d):
     """D24, D25, JN11: sessions of all days of all tickers' lives, half days too, as days and their span by ticker and session."""
     events = official_events(spark, d)
     span = events.agg(F.min("event_date").alias("low"), F.max("event_date").alias("high"))
-    days = U.live_days(U.lifecycle(events), T.market_calendar(span), span.select(F.col("high").alias("last")))
-    counted = days.groupBy("ticker", "is_half_day").agg(F.count("*").alias("days"), F.min("date").alias("first"), F.max("date").alias("last"))  # all days of a kind have the same sessions
+    span = stored(span, "span")
+    counted = U.session_counts(U.lifecycle(events), stored(T.market_calendar(span), "calendar"), span)
     return U.session_rules(counted).groupBy("ticker", "session", "end").agg(F.sum("days").alias("days"), F.min("first").alias("first"), F.max("last").alias("last"), F.bool_and("signal_allowed").alias("signal_allowed"))
 
 

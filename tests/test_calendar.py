@@ -41,3 +41,19 @@ def test_sessions(spark):
     bounds = spark.createDataFrame([(date(2024, 7, 1), date(2024, 7, 8))], "low date, high date")
     got = sorted((r["session_date"].day, r["close_et"].hour, r["close_utc"].hour, r["is_early_close"]) for r in market_calendar(bounds).collect())
     assert got == [(1, 16, 20, False), (2, 16, 20, False), (3, 13, 17, True), (5, 16, 20, False), (8, 16, 20, False)]
+
+
+def test_counts_of_sessions_are_those_of_all_days(spark):
+    from gantry.operators import universe as U
+
+    d = date
+    bounds = spark.createDataFrame([(d(2023, 6, 30), d(2025, 1, 5))], "low date, high date")
+    life = spark.createDataFrame(
+        [("a", d(2023, 6, 30), None), ("b", d(2023, 7, 3), d(2023, 7, 3)), ("c", d(2023, 7, 4), d(2023, 7, 4)), ("d", d(2023, 12, 23), d(2023, 12, 25)), ("e", d(2024, 6, 1), d(2024, 12, 24)), ("f", d(2024, 6, 1), d(2024, 5, 1)), ("g", d(2024, 11, 29), d(2025, 1, 5))],
+        "ticker string, list_date date, delist_date date",
+    )
+    calendar = market_calendar(bounds)
+    days = U.live_days(life, calendar, bounds.select(F.col("high").alias("last")))
+    want = days.groupBy("ticker", "is_half_day").agg(F.count("*").alias("days"), F.min("date").alias("first"), F.max("date").alias("last"))
+    got = U.session_counts(life, calendar, bounds).select(want.columns)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count() > 6
