@@ -57,15 +57,18 @@ def band_join(left: DataFrame, right: DataFrame, key: str, left_date: str, right
 def within_interval(points: DataFrame, intervals: DataFrame, key: str, at: str, low: str, high: str, bin_seconds: int = 86_400) -> DataFrame:
     """Pairs of the key with low <= at < high (JN11, JN12); an open end is null.
 
-    Closed intervals are copied once for each bin of time they touch, so the join is on key and bin, and a busy key is dealt out by time. The bin should
-    be about as long as the intervals. Open ones are joined on the key alone.
+    Intervals are copied once for each bin of time they touch, open ones up to the last point's bin, so the join is on key and bin, and a busy key is dealt out by time. The bin should
+    be about as long as the intervals.
     """
     number = lambda c: F.floor(F.unix_seconds(F.col(c).cast("timestamp")) / bin_seconds)
-    renamed = intervals.withColumnRenamed(key, "_key")
-    binned = renamed.filter(F.col(high) > F.col(low)).withColumn("_bin", F.explode(F.sequence(number(low), number(high))))
-    near = points.withColumn("_at_bin", number(at)).join(binned, (F.col(key) == F.col("_key")) & (F.col("_at_bin") == F.col("_bin")) & (F.col(at) >= F.col(low)) & (F.col(at) < F.col(high)))
-    open_ = points.join(renamed.filter(F.col(high).isNull()), (F.col(key) == F.col("_key")) & (F.col(at) >= F.col(low)))
-    return near.drop("_key", "_bin", "_at_bin").unionByName(open_.drop("_key"))
+    ends = points.agg(F.max(number(at)).alias("_end"))
+    renamed = intervals.withColumnRenamed(key, "_key").crossJoin(F.broadcast(ends))
+    to = F.least(F.coalesce(number(high), F.col("_end")), F.col("_end"))
+    some = F.coalesce(F.col(high) > F.col(low), F.lit(True)) & (number(low) <= to)
+    binned = renamed.filter(some).withColumn("_bin", F.explode(F.sequence(number(low), to))).drop("_end")
+    inside = (F.col(at) >= F.col(low)) & F.coalesce(F.col(at) < F.col(high), F.lit(True))
+    near = points.withColumn("_at_bin", number(at)).join(binned, (F.col(key) == F.col("_key")) & (F.col("_at_bin") == F.col("_bin")) & inside)
+    return near.drop("_key", "_bin", "_at_bin")
 
 
 def sliced_lag(df: DataFrame, key: str, order: str, columns: dict[str, str], rows: int = 1_000_000) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from gantry.plans import audits, certify, decisions, domain, lasting, pieces, reconcile, relational, reports, storage  # noqa: F401
+from gantry.plans import audits, certify, decisions, deltas, domain, lasting, pieces, reconcile, relational, reports, storage  # noqa: F401
 from gantry.plans.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
