@@ -224,13 +224,18 @@ def trees(df: DataFrame, file: str, key: str = "doc_id", text: str = "text") ->
     return df.select(F.col(key).cast("long"), F.col(text)).mapInArrow(run, _TREE)
 
 
+def different(kept: DataFrame) -> DataFrame:
+    """doc_id and times, how many different texts it has: repeated rows are one tree. Told by a hash, which only decides over how many parts they are dealt."""
+    return kept.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.countDistinct(F.xxhash64("text")).alias("times"))
+
+
 def edited(kept: DataFrame, edits: DataFrame, file: str) -> DataFrame:
     """The trees of ``kept`` (what ``trees`` gives) after ``edits`` (doc_id, seq, start, end, new), with n_before, n_edits and n_encoded (pre-tokens encoded).
 
     Trees and edits are dealt out by doc_id and sorted, so that a task sees each tree and then its edits, one at a time, however many there are. Where
-    several trees have one doc_id, they are dealt out further, and each part gets the edits of that doc_id.
+    several different texts have one doc_id, their trees are dealt out further, and each part gets the edits of that doc_id.
     """
-    times = kept.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("times"))
+    times = different(kept)
     part = F.pmod(F.xxhash64("text"), F.coalesce("times", F.lit(1)))
     # a repeated row is one tree with a count
     once = kept.groupBy("doc_id", "text").agg(F.first("lengths").alias("lengths"), F.first("counts").alias("counts"), F.count("*").alias("copies"))

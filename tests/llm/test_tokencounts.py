@@ -66,3 +66,12 @@ def test_kept_trees_take_a_table_of_edits(spark):
     again = T.edited(spark.createDataFrame(got).select("doc_id", "text", "lengths", "counts", "n_tokens"), changes.limit(0), FILE).collect()
     assert sorted([(r.doc_id, r.text, r.n_tokens) for r in again], key=key) == sorted([w[:3] for w in want], key=key)
     assert T.edited(kept.limit(0), changes, FILE).collect() == []
+
+
+def test_repeated_rows_do_not_multiply_edits(spark):
+    df = spark.createDataFrame([(1, "one text 12")] * 300 + [(2, "a"), (2, "b"), (None, "x")], "doc_id long, text string")
+    kept = T.trees(df, FILE)
+    assert {r["doc_id"]: r["times"] for r in T.different(kept).collect()} == {1: 1, 2: 2}
+    edits = spark.createDataFrame([(1, i, 0, 0, "z") for i in range(20)], "doc_id long, seq long, start long, end long, new string")
+    got = [r for r in T.edited(kept, edits, FILE).collect() if r["doc_id"] == 1]
+    assert len(got) == 300 and {r["text"] for r in got} == {"z" * 20 + "one text 12"} and {r["n_edits"] for r in got} == {20}
