@@ -37,7 +37,8 @@ def write_tree(df: DataFrame, root: str, ts: str = "ts", key: str = "ticker", la
 def upsert_tree(changes: DataFrame, root: str, keys: list[str], schema: StructType | str, ts: str = "ts", key: str = "ticker", prune: bool = False) -> None:
     """Rows of ``changes`` take the place of those of the same keys in the folders they fall into; other rows and folders stay (SNK5).
 
-    The new folders are built as a table beside the tree first, as a folder can't be read and replaced in one job.
+    The new folders are built as a table beside the tree first, as a folder can't be read and replaced in one job. Folders are replaced one after the other at the end: where readers
+    must see all or nothing, keep the rows as a table in versions (``versioned``).
     With ``prune``, folders of the tickers in ``changes`` that it has no rows for are removed.
     """
     spark = changes.sparkSession
@@ -78,6 +79,6 @@ def signatures(spark: SparkSession, path: str) -> DataFrame:
 
 
 def content_hashes(spark: SparkSession, path: str) -> DataFrame:
-    """path and sha256 of the files under ``path`` (SNK11)."""
+    """path and sha256 of the files under ``path`` (SNK11). A file is one binary value: files of 2 GB and more fail."""
     f = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     return f.select("path", F.sha2("content", 256).alias("sha256"))
