@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-import atexit
 import ctypes
-import shutil
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -14,6 +11,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
+from gantry.session import scratch
+
 #: Words are maximal runs of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
@@ -22,28 +21,14 @@ PIECE_BYTES = 4 << 20
 
 CLEANUP = "spark.sql.shuffleDependency.fileCleanup.enabled"
 
-_LOCAL: list[str] = []
-
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or, where it is unset and Spark runs in this process alone (tests), a temporary one."""
-    where = spark.conf.get("spark.checkpoint.dir", None)
-    if where:
-        return where.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    if not _LOCAL:
-        _LOCAL.append(tempfile.mkdtemp(prefix="gantry-shared-"))
-        atexit.register(shutil.rmtree, _LOCAL[0], True)
-    return f"file://{_LOCAL[0]}"
-
-
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/gantry/{name}-{uuid.uuid4().hex}"
+    """A new name in the folder of this application that all executors share; the folder goes when the driver ends."""
+    return f"{scratch(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, name: str, compression: str = "zstd", by: tuple[str, ...] = ()) -> DataFrame:
