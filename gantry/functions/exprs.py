@@ -21,6 +21,11 @@ def div(x: Column, n: int) -> Column:
     return F.call_function("div", x, F.lit(n))
 
 
+def ratio(x: Column, y: Column) -> Column:
+    """x / y as floating-point numbers have it: infinite or NaN where y is 0, where Spark's own division is an error and try_divide gives null."""
+    return F.when(y == 0, x * F.pow(y, F.lit(-1.0))).otherwise(x / y)
+
+
 def epoch_unit(t: Column) -> Column:
     """Unit of an epoch number, told by its size (SC18)."""
     a = F.abs(t)

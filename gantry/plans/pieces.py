@@ -134,7 +134,7 @@ def benchmark_gaps(spark, d):
     ours = daily(spark, d).select("ticker", "date", "close")
     bench = ours.filter(F.col("ticker") % 6 > 0).select("ticker", "date", (F.col("close") * (1 + 0.01 * (F.col("ticker") % 5))).alias("reference"))
     j = P.common_join(ours, bench)
-    return j.select("ticker", "date", "close", "reference", F.round(F.col("close") - F.col("reference"), 9).alias("gap"), F.when(F.abs(F.col("close") / F.col("reference") - 1) <= 0.02, "ok").otherwise("off").alias("verdict"))
+    return j.select("ticker", "date", "close", "reference", F.round(F.col("close") - F.col("reference"), 9).alias("gap"), F.when(F.abs(X.ratio(F.col("close"), F.col("reference")) - 1) <= 0.02, "ok").otherwise("off").alias("verdict"))
 
 
 @query("SELECT o_orderkey FROM orders ORDER BY md5(CAST(o_orderkey AS VARCHAR) || '-7'), o_orderkey LIMIT 50")
