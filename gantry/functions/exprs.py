@@ -26,6 +26,11 @@ def ratio(x: Column, y: Column) -> Column:
     return F.when(y == 0, x * F.pow(y, F.lit(-1.0))).otherwise(x / y)
 
 
+def rounded(x: Column | str, places: int) -> Column:
+    """x rounded as a binary number: scaled, rounded and scaled back. F.round takes the shortest decimal for the number's value, so a number just below a tie goes up."""
+    return F.round(F.col(x) * 10.0**places if isinstance(x, str) else x * 10.0**places, 0) / 10.0**places
+
+
 def epoch_unit(t: Column) -> Column:
     """Unit of an epoch number, told by its size (SC18)."""
     a = F.abs(t)
