@@ -336,7 +336,7 @@ _INDEX = ", s AS (SELECT *, close / open - 1 AS dr, (high - low) / open AS rg FR
 @query(with_roles("daily") + _INDEX + " SELECT ticker, date, round(event_score, 4) AS event_score, event_score >= 1.0 AS is_event_day FROM x")
 def event_index(spark, d):
     """D82, D84, T9, WN7."""
-    return E.event_index(daily(spark, d), 1.0).select("ticker", "date", F.round("event_score", 4).alias("event_score"), "is_event_day")
+    return E.event_index(daily(spark, d), 1.0).select("ticker", "date", X.rounded("event_score", 4).alias("event_score"), "is_event_day")
 
 
 @query(with_roles("daily") + ", r AS (SELECT *, close / open - 1 AS ret FROM daily), f AS (SELECT ticker, date, ret, (1 + coalesce(lead(ret, 1) OVER w, 0)) * (1 + coalesce(lead(ret, 2) OVER w, 0)) * (1 + coalesce(lead(ret, 3) OVER w, 0)) - 1 AS fwd3, min(ret) OVER (PARTITION BY ticker ORDER BY date ROWS BETWEEN 1 FOLLOWING AND 3 FOLLOWING) AS worst3 FROM r WINDOW w AS (PARTITION BY ticker ORDER BY date)) SELECT ticker, date, CASE WHEN ret > 0 THEN round(ret, 9) ELSE 0.0 END AS explosion, CASE WHEN least(fwd3, worst3) < 0 THEN round(-least(fwd3, worst3), 9) ELSE 0.0 END AS decay FROM f")
