@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from gantry.functions import exprs as X
 from gantry.functions import stats as S
 from gantry.operators import reports as R
 from gantry.plans.domain import _QBARS, _ROLES, _joined
@@ -71,7 +72,7 @@ def cohort_quantiles(spark, d):
 def event_windows(spark, d):
     """D95, WN22: days around events, with missing closes filled forward."""
     days = daily(spark, d)
-    return R.event_windows(days.filter(F.col("close") / F.col("open") - 1 >= 1), days, "ticker", 2)
+    return R.event_windows(days.filter(X.ratio(F.col("close"), F.col("open")) - 1 >= 1), days, "ticker", 2)
 
 
 @query("WITH s AS (SELECT s_suppkey, upper(trim(regexp_replace(s_name, '[^A-Za-z0-9]+', ' ', 'g'))) AS name FROM supplier) SELECT s_suppkey, name, regexp_replace(name, ' [0-9]+$', '') AS base, len(list_filter(string_split(name, ' '), lambda t: NOT regexp_matches(t, '^([A-Z]+|[0-9]+)$'))) = 0 AS known FROM s")
