@@ -306,7 +306,7 @@ def lags_and_leads(spark, d):
 def forward_return(spark, d):
     """WN4: three days ahead, a missing day counts as no change."""
     w = Window.partitionBy("ticker").orderBy("date")
-    r = daily(spark, d).withColumn("ret", F.col("close") / F.col("open") - 1)
+    r = daily(spark, d).withColumn("ret", X.ratio(F.col("close"), F.col("open")) - 1)
     product = (1 + F.coalesce(F.lead("ret", 1).over(w), F.lit(0.0))) * (1 + F.coalesce(F.lead("ret", 2).over(w), F.lit(0.0))) * (1 + F.coalesce(F.lead("ret", 3).over(w), F.lit(0.0)))
     return r.select("ticker", "date", F.round(product - 1, 9).alias("fwd3"))
 
