@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from gantry.functions import exprs as X
 from gantry.functions import stats as S
 from gantry.operators import deltas as L
 from gantry.operators import events as E
@@ -38,7 +39,7 @@ def index_versions(spark, d):
     late = (F.col("seq") % 29 != 0) & ~((F.col("ticker") % 10 == 3) & (F.day("ts") > 25))
     for part in (late, ~((F.col("ticker") % 10 == 7) & (F.day("ts") < 3))):
         days = build_bars(t.filter(part), ["ticker"], F.to_date("ts"), "price", ["ts", "seq"], "size").withColumnRenamed("bar", "date")
-        index = days.select("ticker", "date", (F.col("close") / F.col("open") - 1).alias("ret"), ((F.col("high") - F.col("low")) / F.col("open")).alias("rg"), "n")
+        index = days.select("ticker", "date", (X.ratio(F.col("close"), F.col("open")) - 1).alias("ret"), X.ratio(F.col("high") - F.col("low"), F.col("open")).alias("rg"), "n")
         V.replace(index, root, ["ticker", "date"])
     delta = L.version_delta(V.read(spark, root, 0), V.read(spark, root, 1), ["ticker", "date"], ["ret", "rg", "n"])
     return delta.groupBy("ticker", "status").agg(F.count("*").alias("days"), F.round(F.max(F.abs("ret_change")), 9).alias("most"))
@@ -102,8 +103,6 @@ def domain_adjusted(spark, d):
 def axis_by_decision(spark, d):
     """D111: each axis of comparability and its status by decision."""
     s = _joined(spark, d).groupBy("ticker").agg(F.count("*").alias("bars"), S.rate(F.col("in_range")).alias("p"), S.rate(F.col("overlap")).alias("o"))
-    from gantry.functions import exprs as X
-
     g = s.withColumns({"sample": X.grade(F.col("bars"), 20, 5), "structural": X.grade(F.col("o"), 0.95, 0.8), "point": X.grade(F.col("p"), 0.9, 0.6)})
     worst = X.worst(F.col("structural"), F.col("point"))
     g = g.withColumn("decision", F.when(F.col("sample") == "FAIL", "NOT_COMPARABLE").when(worst == "PASS", "GO").otherwise(worst))
