@@ -332,7 +332,7 @@ def median_z_rank(spark, d):
 def price_index(spark, d):
     """WN9, WN23: products of returns before and after a day."""
     w = Window.partitionBy("ticker").orderBy("date")
-    r = F.col("close") / F.col("open")
+    r = X.ratio(F.col("close"), F.col("open"))
     return daily(spark, d).select("ticker", "date", F.round(F.product(r).over(w.rowsBetween(Window.unboundedPreceding, 0)), 6).alias("idx"), F.round(F.product(r).over(w.rowsBetween(0, Window.unboundedFollowing)), 6).alias("ahead"))
 
 
