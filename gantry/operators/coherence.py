@@ -31,7 +31,7 @@ def aligned(bars: DataFrame, quoted: DataFrame, key: str) -> DataFrame:
             "d_norm": X.range_position(c("mid_med"), c("low"), c("high")),
             "open_err": F.abs(c("open") - c("mid_med")),
             "close_err": F.abs(c("close") - c("mid_med")),
-            "scale": F.try_divide(c("close"), c("mid_med")),
+            "scale": X.ratio(c("close"), c("mid_med")),
             "regime": X.regime("bar"),
         }
     )
