@@ -107,7 +107,7 @@ def is_whole(x: Column, tolerance: float = 1e-8) -> Column:
 
 def canonical_factor(x: Column) -> Column:
     """max(x, 1 / x) (SC33)."""
-    return F.greatest(x, F.try_divide(F.lit(1.0), x))
+    return F.greatest(x, ratio(F.lit(1.0), x))
 
 
 def grade(metric: Column, pass_at: float, warn_at: float, higher_is_better: bool = True) -> Column:
@@ -140,9 +140,9 @@ def at_most(values: Column, x: Column, steps: int = 20) -> Column:
 
 
 def nearest_of(values: Column, x: Column) -> Column:
-    """The element of a sorted array nearest to ``x``, the smaller one of two as near; null for a null or an empty array."""
+    """The element of a sorted array nearest to ``x``, the smallest of those as near, so the first one for an infinite ``x`` or NaN; null for a null or an empty array."""
     low, high = F.get(values, at_most(values, x) - 1), F.get(values, at_most(values, x))
-    return F.when(x.isNull(), None).when(low.isNull(), high).when(high.isNull() | (x - low <= high - x), low).otherwise(high)
+    return F.when(x.isNull(), None).when(F.isnan(x) | (F.abs(x) == float("inf")), F.get(values, F.lit(0))).when(low.isNull(), high).when(high.isNull() | (x - low <= high - x), low).otherwise(high)
 
 
 def bucket(x: Column, edges: list[float], labels: list[str], right: bool = False) -> Column:
