@@ -49,7 +49,7 @@ def index_versions(spark, d):
 def event_triggers(spark, d):
     """Tickers ranked by event days, with counts by what triggered them."""
     x = E.event_index(daily(spark, d), 1.0).filter("is_event_day")
-    rp, tp, np = (F.round(c, 6) for c in (0.5 * F.col("z_range"), 0.3 * F.col("z_ticks"), 0.2 * F.log1p("return_scale")))
+    rp, tp, np = (X.rounded(c, 6) for c in (0.5 * F.col("z_range"), 0.3 * F.col("z_ticks"), 0.2 * F.log1p("return_scale")))
     first = (rp >= tp) & (rp >= np)
     g = x.groupBy("ticker").agg(F.count("*").alias("event_days"), F.count_if(first).alias("by_range"), F.count_if(~first & (tp >= np)).alias("by_ticks"), F.count_if(~first & (tp < np)).alias("by_return"))
     counts = g.groupBy("event_days").agg(F.count("*").alias("_n"))  # a row for each number of event days: at most the days of the calendar
