@@ -9,6 +9,7 @@ from gantry.plans.catalog import QUERIES, SQL
 from tests.test_queries import DATA, plain
 
 NAMES = (
+    "spread_by_regime",
     "score_parts",
     "event_triggers",
     "event_phases",
