@@ -41,7 +41,7 @@ SMALL, ACCURACY = 20_000, 10_000
 
 
 def quantiles(df: DataFrame, keys: list[str], wanted: dict[str, tuple[Column, float, str]], small: int = SMALL, accuracy: int = ACCURACY) -> DataFrame:
-    """Exact quantiles per key, name to (value, q, 'linear' or 'nearest'): no task holds a large group's values (AG12, AG13, AG16).
+    """Exact quantiles per key, name to (value, q, 'linear', 'nearest' or 'lower': the least value that a share of q doesn't exceed): no task holds a large group's values (AG12, AG13, AG16).
 
     A sketch of each group gives values just below and above each wanted rank (its error is at most 1 / accuracy of the group). All values outside these brackets are counted, a
     number for each stretch between two brackets, before anything is shuffled; the few inside are counted by value, and running counts find the ranks. Nulls are left out.
@@ -83,6 +83,8 @@ def quantiles(df: DataFrame, keys: list[str], wanted: dict[str, tuple[Column, fl
         value = lambda r, mine=mine: F.max(F.when(mine & (F.col("_upto") - F.col("_n") <= r) & (r < F.col("_upto")), F.col("_v")))
         if kind == "nearest":
             out.append(value(F.round(at)).alias(name))
+        elif kind == "lower":
+            out.append(value(F.greatest(F.ceil(F.col("_total") * F.lit(float(q))), F.lit(1)) - 1).alias(name))
         else:
             low, high, part = value(F.floor(at)), value(F.ceil(at)), F.max(F.when(F.col("_m") == place[name], at - F.floor(at)))
             out.append(F.when(low == high, low).otherwise(low + (high - low) * part).alias(name))

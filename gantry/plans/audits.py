@@ -48,7 +48,7 @@ def _profiled(spark, d):
 
 @query(_SNAPS + "SELECT * FROM k")
 def run_audit(spark, d):
-    """Integrity of each cut (duplicate keys, entities without id, gaps) and growth, churn, fill and drift against the cut before, from stored sketches."""
+    """Integrity of each cut (duplicate keys, entities without id, gaps) and growth, churn, fill and drift against the cut before, from stored profiles and entities."""
     return R.audited(_profiled(spark, d)[1], ["f1", "f2"], 3)
 
 

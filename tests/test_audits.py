@@ -67,3 +67,17 @@ def test_phases_of_events(spark):
     assert got[("A", 2)][:3] == (d(2), "event_day_pump", 0)
     assert got[("B", 1)] == (d(1), "event_day_pump", 0, None, "no_post_data", None)
     assert got[("C", 3)] == (None, "no_pump_trigger", None, d(6), "score_decay_trigger", 3)
+
+
+def test_audits_of_many_entities_are_exact(spark, tmp_path):
+    cut = lambda m, low, high: spark.range(low, high).select(F.lit(date(2024, m, 1)).alias("cut"), F.col("id").cast("string").alias("entity"), F.col("id").cast("double").alias("value"), F.lit("x").alias("f1"))
+    rows = cut(1, 0, 9001).unionByName(cut(2, 1777, 10002)).unionByName(cut(3, 0, 501))
+    found = R.profiled(rows, f"{tmp_path}/p", "cut", "entity", "value", ["f1"])
+    checks = R.audited(found, ["f1"], 1)
+    got = {(r["cut"].month, r["check"]): r["value"] for r in checks.collect()}
+    assert got[(2, "churn")] == round((1777 + 1001) / 9001, 6) and got[(3, "churn")] == round((501 + 8225) / 8225, 6)
+    at = lambda low, n, q: low + -(-n * q // 4) - 1
+    apart = max(abs(at(1777, 8225, q) - at(0, 9001, q)) for q in (1, 2, 3))
+    assert got[(2, "drift")] == round(apart / (at(0, 9001, 3) - at(0, 9001, 1)), 6)
+    meta = rows.agg(F.countDistinct("cut").alias("cuts"), F.count("*").alias("rows"), F.max("cut").alias("last"))
+    assert R.overall(found, checks, meta).first()["entities"] == 10002
