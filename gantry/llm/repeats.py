@@ -40,6 +40,8 @@ HOT = 2000
 BLOCK_BYTES, STEP = 4 << 20, 1 << 20
 #: Anchors and contexts that one partition holds at the most, about.
 PART_ANCHORS, PART_CONTEXTS = 2_000_000, 100_000
+#: Of zstd, for blocks and contexts: both are written once and shuffled twice or more.
+LEVEL = 9
 NO_ID = (1 << 63) - 1
 _C1, _C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -135,7 +137,7 @@ def blocks_of(df: DataFrame, key: str, text: str) -> DataFrame:
         def out() -> pa.RecordBatch:
             raw = [t for _, t in rows]
             hashes = b"".join(hashlib.blake2b(t, digest_size=16).digest() for t in raw)
-            row = [(part << 32) + made, np.array([i for i, _ in rows], np.int64).tobytes(), np.array([len(t) for t in raw], np.int64).tobytes(), hashes, held, zstandard.ZstdCompressor(1).compress(b"".join(raw)), bytes(nulls)]
+            row = [(part << 32) + made, np.array([i for i, _ in rows], np.int64).tobytes(), np.array([len(t) for t in raw], np.int64).tobytes(), hashes, held, zstandard.ZstdCompressor(LEVEL).compress(b"".join(raw)), bytes(nulls)]
             return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, [pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.binary(), pa.binary()])], names=["block", "ids", "sizes", "hashes", "bytes", "text", "nulls"])
 
         for batch in batches:
@@ -267,7 +269,7 @@ def _contexts(blocks: DataFrame, parts: int) -> DataFrame:
         least = np.full(len(first), NO_ID)
         np.minimum.at(least, number, docs.ids[doc])
         times = np.bincount(number, minlength=len(first)).astype(np.int64)
-        pack = zstandard.ZstdCompressor(3).compress
+        pack = zstandard.ZstdCompressor(LEVEL).compress
         occurrences = np.stack([doc, at, number, left, right], 1).astype(np.int32)
         yield rows([block], [-1], [pack(occurrences.tobytes())])
         part = (keys[first].view(np.uint64) >> np.uint64(20)) % np.uint64(parts)

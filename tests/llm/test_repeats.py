@@ -106,3 +106,13 @@ def test_groups_hold_long_passages_of_one_block_and_of_copies(spark):
     where = lambda s: sorted(((i, t.index(s)) for i, t in rows if s in t), key=str)
     assert sorted(map(str, sets)) == sorted(str(where(s)) for s in (p, q, r, rows[5][1]))
     assert {g.length for g in got} == {400, 300, 200, 272}
+
+
+def test_blocks_are_compressed_well(spark):
+    import zstandard
+
+    texts = [(i, " ".join(f"word{(i * 31 + j * j) % 997}" for j in range(400))) for i in range(40)]
+    row = R.blocks_of(spark.createDataFrame(texts, "doc_id long, text string").coalesce(1), "doc_id", "text").first()
+    whole = "".join(t for _, t in texts).encode()
+    assert zstandard.ZstdDecompressor().decompress(bytes(row["text"]), max_output_size=len(whole)) == whole
+    assert len(row["text"]) < 0.95 * len(zstandard.ZstdCompressor(1).compress(whole))
