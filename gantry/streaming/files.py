@@ -63,12 +63,17 @@ def changes(stream: DataFrame, key: str, value: str, at: str) -> DataFrame:
     """A row only where a key's value differs from the one before, in the order of ``at`` within a batch (change-only event log, D93)."""
 
     def step(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        before = state.get[0] if state.exists else None
-        rows = pd.concat(list(batches)).sort_values("_at")
-        value_ = rows["_value"]
-        new = rows[value_.ne(value_.shift(1, fill_value=before if before is not None else "\0"))]
-        state.update((str(value_.iloc[-1]),))
-        yield pd.DataFrame({"key": str(k[0]), "at": new["_at"], "value": new["_value"]})
+        before = state.get[0] if state.exists else ()  # differs from any value, null too
+        found = sorted(((at_, v) for pdf in batches for at_, v in zip(pdf["_at"].tolist(), pdf["_value"].tolist())), key=lambda r: r[0])  # a few rows a key and batch: lists cost less than frames
+        at_new, new = [], []
+        for at_, v in found:
+            if v != before:
+                at_new.append(at_)
+                new.append(v)
+                before = v
+        state.update((before,))
+        if new:
+            yield pd.DataFrame({"key": str(k[0]), "at": at_new, "value": new})
 
     rows = stream.select(F.col(key).cast("string").alias("_key"), F.col(value).cast("string").alias("_value"), F.col(at).cast("long").alias("_at"))
     return rows.groupBy("_key").applyInPandasWithState(step, "key string, at long, value string", "value string", "append", GroupStateTimeout.NoTimeout)
