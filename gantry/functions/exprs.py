@@ -135,16 +135,17 @@ def nearest_factor(x: Column, ladder: list[float]) -> Column:
     return F.array_min(options)["f"]
 
 
-def at_most(values: Column, x: Column, steps: int = 20) -> Column:
-    """How many elements of a sorted array are ``x`` or less, by binary search (arrays below 2 ** steps elements)."""
-    powers = F.array(*[F.lit(1 << k) for k in range(steps - 1, -1, -1)])
-    return F.aggregate(powers, F.lit(0), lambda at, p: F.when((at + p <= F.size(values)) & (F.get(values, at + p - 1) <= x), at + p).otherwise(at))
-
+def nearest_of(values: Column, x: Column, steps: int = 20) -> Column:
+    """The element of a sorted array nearest to ``x``, the smallest of those as near, so the first one for an infinite ``x`` or NaN; null for a null or an empty array.
 
-def nearest_of(values: Column, x: Column) -> Column:
-    """The element of a sorted array nearest to ``x``, the smallest of those as near, so the first one for an infinite ``x`` or NaN; null for a null or an empty array."""
-    low, high = F.get(values, at_most(values, x) - 1), F.get(values, at_most(values, x))
-    return F.when(x.isNull(), None).when(F.isnan(x) | (F.abs(x) == float("inf")), F.get(values, F.lit(0))).when(low.isNull(), high).when(high.isNull() | (x - low <= high - x), low).otherwise(high)
+    Two binary searches (arrays below 2 ** steps elements): for the distance of the nearest, and for the first element at this distance, as far from a large ``x`` many elements are as near in floating-point numbers.
+    """
+    powers = F.array(*[F.lit(1 << k) for k in range(steps - 1, -1, -1)])
+    further = lambda at, p, holds: F.when((at + p <= F.size(values)) & holds(F.get(values, at + p - 1)), at + p).otherwise(at)
+    near = F.aggregate(powers, F.lit(0), lambda at, p: further(at, p, lambda f: f <= x), lambda at: F.least(x - F.get(values, at - 1), F.get(values, at) - x))
+    start = F.struct(F.lit(0).alias("at"), near.alias("near"))
+    step = lambda s, p: F.struct(further(s["at"], p, lambda f: x - f > s["near"]).alias("at"), s["near"].alias("near"))
+    return F.when(x.isNotNull(), F.aggregate(powers, start, step, lambda s: F.get(values, s["at"])))
 
 
 def bucket(x: Column, edges: list[float], labels: list[str], right: bool = False) -> Column:
