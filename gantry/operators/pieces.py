@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from gantry.session import stored
+
 #: Labels of halt codes.
 HALT_LABELS = {
     "LUDP": "LULD pause",
@@ -58,16 +60,15 @@ def first_of(columns: list[str], names: list[str]) -> str:
 def numbered(df: DataFrame, order: list[Column], name: str = "row") -> DataFrame:
     """Row numbers from 0 in a total order, without one task for all rows: a range sort, and counts of the ranges before (PRJ11).
 
-    Both uses of the range sort are one exchange, which Spark runs once (spark.sql.exchange.reuse).
+    The sorted ranges are written as a table: their borders come from a sample, so a second range sort for the counts may cut elsewhere.
     """
     spark = df.sparkSession
-    # numbers within ranges of a range sort, whose borders are the same for equal order keys
-    ranged = df.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *order).withColumn("_part", F.spark_partition_id())
-    within = Window.partitionBy("_part").orderBy(*order)
-    mine = ranged.withColumn(name, F.row_number().over(within))
-    sizes = ranged.groupBy("_part").agg(F.count("*").alias("_n"))  # a row for each range
+    ranged = df.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *order).sortWithinPartitions(*order)
+    table = stored(ranged.withColumn("_id", F.monotonically_increasing_id()), "numbered")  # number of the range, and of the row within it
+    part, within = F.shiftright("_id", 33), F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = table.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))  # a row for each range
     before = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("_part", "_before")
-    return mine.join(F.broadcast(before), "_part").withColumn(name, F.col(name) + F.col("_before") - 1).drop("_part", "_before")
+    return table.withColumn("_part", part).join(F.broadcast(before), "_part").withColumn(name, within + F.col("_before")).drop("_part", "_before", "_id")
 
 
 def suffix_join(left: DataFrame, right: DataFrame, keys: list[str], suffix: str = "_right", how: str = "inner") -> DataFrame:
