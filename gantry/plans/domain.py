@@ -327,7 +327,7 @@ def repair_queue(spark, d):
 def edge_candidates(spark, d):
     """D76."""
     r = E.edge_candidates(daily(spark, d))
-    return r.select("ticker", "date", *[F.round(c, 9).alias(c) for c in ("gap", "range", "rel_volume")])
+    return r.select("ticker", "date", *[X.rounded(c, 9).alias(c) for c in ("gap", "range", "rel_volume")])
 
 
 _INDEX = ", s AS (SELECT *, close / open - 1 AS dr, (high - low) / open AS rg FROM daily), m AS (SELECT ticker, median(rg) AS mr, coalesce(stddev_samp(rg), 0) AS sr, median(n) AS mn, coalesce(stddev_samp(n), 0) AS sn, median(abs(dr)) AS ma FROM s GROUP BY 1), x AS (SELECT ticker, date, round(0.5 * ((rg - mr) / (sr + 1e-9)) + 0.3 * ((n - mn) / (sn + 1e-9)) + 0.2 * ln(1 + abs(dr) / (ma + 1e-9)), 6) AS event_score FROM s JOIN m USING (ticker))"
