@@ -308,7 +308,7 @@ def forward_return(spark, d):
     w = Window.partitionBy("ticker").orderBy("date")
     r = daily(spark, d).withColumn("ret", X.ratio(F.col("close"), F.col("open")) - 1)
     product = (1 + F.coalesce(F.lead("ret", 1).over(w), F.lit(0.0))) * (1 + F.coalesce(F.lead("ret", 2).over(w), F.lit(0.0))) * (1 + F.coalesce(F.lead("ret", 3).over(w), F.lit(0.0)))
-    return r.select("ticker", "date", F.round(product - 1, 9).alias("fwd3"))
+    return r.select("ticker", "date", X.rounded(product - 1, 9).alias("fwd3"))
 
 
 @query(with_roles("daily") + " SELECT ticker, date, CASE WHEN count(*) OVER w >= 20 THEN median(volume) OVER w END AS med20 FROM daily WINDOW w AS (PARTITION BY ticker ORDER BY date ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)")
