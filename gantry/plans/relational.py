@@ -299,7 +299,7 @@ def sensitivity(spark, d):
 def lags_and_leads(spark, d):
     """WN1, WN2, WN3, WN5, WN16: one sort for all windows."""
     w, c = Window.partitionBy("ticker").orderBy("date"), F.col("close")
-    return daily(spark, d).select("ticker", "date", (c - F.lag("close").over(w)).alias("diff"), F.round(X.ratio(c, F.lag("close").over(w)) - 1, 9).alias("change"), F.lead("close", 1).over(w).alias("next1"), F.lead("close", 3).over(w).alias("next3"), F.min("low").over(w.rowsBetween(1, 3)).alias("low3"))
+    return daily(spark, d).select("ticker", "date", (c - F.lag("close").over(w)).alias("diff"), X.rounded(X.ratio(c, F.lag("close").over(w)) - 1, 9).alias("change"), F.lead("close", 1).over(w).alias("next1"), F.lead("close", 3).over(w).alias("next3"), F.min("low").over(w.rowsBetween(1, 3)).alias("low3"))
 
 
 @query(with_roles("daily") + ", r AS (SELECT *, close / open - 1 AS ret FROM daily) SELECT ticker, date, round((1 + coalesce(lead(ret, 1) OVER w, 0)) * (1 + coalesce(lead(ret, 2) OVER w, 0)) * (1 + coalesce(lead(ret, 3) OVER w, 0)) - 1, 9) AS fwd3 FROM r WINDOW w AS (PARTITION BY ticker ORDER BY date)")
