@@ -342,7 +342,7 @@ def event_index(spark, d):
 @query(with_roles("daily") + ", r AS (SELECT *, close / open - 1 AS ret FROM daily), f AS (SELECT ticker, date, ret, (1 + coalesce(lead(ret, 1) OVER w, 0)) * (1 + coalesce(lead(ret, 2) OVER w, 0)) * (1 + coalesce(lead(ret, 3) OVER w, 0)) - 1 AS fwd3, min(ret) OVER (PARTITION BY ticker ORDER BY date ROWS BETWEEN 1 FOLLOWING AND 3 FOLLOWING) AS worst3 FROM r WINDOW w AS (PARTITION BY ticker ORDER BY date)) SELECT ticker, date, CASE WHEN ret > 0 THEN round(ret, 9) ELSE 0.0 END AS explosion, CASE WHEN least(fwd3, worst3) < 0 THEN round(-least(fwd3, worst3), 9) ELSE 0.0 END AS decay FROM f")
 def lifecycle_scores(spark, d):
     """D83, T18."""
-    return E.lifecycle_scores(daily(spark, d)).select("ticker", "date", F.round("explosion", 9).alias("explosion"), F.nanvl(F.round("decay", 9), F.lit(0.0)).alias("decay"))
+    return E.lifecycle_scores(daily(spark, d)).select("ticker", "date", F.coalesce(X.rounded("explosion", 9), F.lit(0.0)).alias("explosion"), (F.nanvl(X.rounded("decay", 9), F.lit(0.0)) + 0.0).alias("decay"))
 
 
 @query(with_roles("daily") + ", r AS (SELECT *, close / open - 1 AS ret, row_number() OVER (PARTITION BY ticker ORDER BY date) AS pos FROM daily), f AS (SELECT ticker, date, close, ret, min(close) OVER w AS lo, max(close) OVER w AS hi, count(*) OVER w AS n10, regr_slope(close, pos) OVER w AS sl FROM r WINDOW w AS (PARTITION BY ticker ORDER BY date ROWS BETWEEN 1 FOLLOWING AND 10 FOLLOWING)) SELECT ticker, date, n10, CASE WHEN lo / close - 1 <= -0.5 AND sl < 0 THEN 'dump' WHEN lo / close - 1 >= -0.2 THEN 'hold' WHEN hi / lo - 1 >= 0.5 THEN 'recovery' ELSE 'shakeout' END AS regime FROM f WHERE ret >= 0.3 AND n10 >= 3")
