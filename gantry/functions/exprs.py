@@ -27,10 +27,10 @@ def ratio(x: Column, y: Column) -> Column:
 
 
 def rounded(x: Column | str, places: int) -> Column:
-    """x rounded as a binary number: scaled, rounded and scaled back; a negative number that rounds to 0 is -0. F.round takes the shortest decimal for the number's value, so a number just below a tie goes up, and has no -0."""
+    """x rounded as a binary number: scaled, rounded and scaled back; a negative number that rounds to 0 is -0. F.round takes the shortest decimal for the number's value, so a number just below a tie goes up, and has no -0. A number too large to be scaled stays."""
     x = F.col(x) if isinstance(x, str) else x
     found = F.round(x * 10.0**places, 0) / 10.0**places
-    return F.when(found == 0, x * 0.0).otherwise(found)
+    return F.when(found == 0, x * 0.0).when(F.abs(found) == float("inf"), x).otherwise(found)
 
 
 def epoch_unit(t: Column) -> Column:

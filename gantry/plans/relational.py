@@ -333,7 +333,7 @@ def price_index(spark, d):
     """WN9, WN23: products of returns before and after a day."""
     w = Window.partitionBy("ticker").orderBy("date")
     r = X.ratio(F.col("close"), F.col("open"))
-    return daily(spark, d).select("ticker", "date", F.round(F.product(r).over(w.rowsBetween(Window.unboundedPreceding, 0)), 6).alias("idx"), F.round(F.product(r).over(w.rowsBetween(0, Window.unboundedFollowing)), 6).alias("ahead"))
+    return daily(spark, d).select("ticker", "date", X.rounded(F.product(r).over(w.rowsBetween(Window.unboundedPreceding, 0)), 6).alias("idx"), X.rounded(F.product(r).over(w.rowsBetween(0, Window.unboundedFollowing)), 6).alias("ahead"))
 
 
 @query(with_roles("daily") + " SELECT ticker, date, min(low) OVER (PARTITION BY ticker ORDER BY date ROWS BETWEEN 1 FOLLOWING AND 5 FOLLOWING) AS low5, max(high) OVER (PARTITION BY ticker ORDER BY date ROWS BETWEEN 1 FOLLOWING AND 10 FOLLOWING) AS high10, count(*) OVER (PARTITION BY ticker ORDER BY date ROWS BETWEEN 1 FOLLOWING AND 20 FOLLOWING) AS n20 FROM daily")

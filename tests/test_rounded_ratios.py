@@ -6,7 +6,7 @@ import pytest
 from gantry.plans.catalog import QUERIES, SQL
 from tests.test_odd_prices import exact
 
-NAMES = ("edge_candidates", "forward_return", "lags_and_leads", "lifecycle_scores")
+NAMES = ("edge_candidates", "forward_return", "lags_and_leads", "lifecycle_scores", "price_index")
 #: Two days of each ticker, two ticks a day, one of them a price of 6.40 or 51.20: ratios over it end in a 5 behind the last place, or next to it.
 EVENTS = """SELECT e AS event_id, TIMESTAMP '2024-01-01' + to_hours(CAST(e % 4 * 12 AS INTEGER)) AS ts, e // 4 AS user_id, 'view' AS event_type, '{"k": 1}' AS props,
     CASE WHEN e % 4 = 2 OR e % 4 = e // 4 % 2 THEN CASE WHEN e // 8 % 2 = 0 THEN 6.4 ELSE 51.2 END ELSE (1 + e * 7919 % 60013) / 100 END AS value FROM range(60000) r(e)"""
